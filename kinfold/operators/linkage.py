@@ -64,8 +64,8 @@ def _implied(spec: Matching, key: tuple[str, ...]) -> bool:
     return any(set(b.columns) <= set(key) for b in spec.blocking)
 
 
-def _key_groups(records: DataFrame, spec: Matching, vertex: str = "record_uid") -> DataFrame:
-    """(vertex, det_key, group): membership in every deterministic key group, within shared blocks."""
+def key_groups(records: DataFrame, spec: Matching) -> DataFrame:
+    """(record_uid, det_key, group): membership in every deterministic key group, within shared blocks."""
     entries = []
     for key in spec.deterministic:
         filled = reduce(lambda a, b: a & b, [F.col(c).isNotNull() for c in key])
@@ -76,7 +76,7 @@ def _key_groups(records: DataFrame, spec: Matching, vertex: str = "record_uid")
             group = F.sha2(F.to_json(F.array(*[p.cast("string") for p in parts])), 256)
             entries.append(F.when(filled & F.expr(b.expr).isNotNull(), F.struct(
                 F.lit("+".join(key)).alias("det_key"), group.alias("group"))))
-    return records.select(F.col(vertex), F.inline(F.array_compact(F.array(*entries))))
+    return records.select("record_uid", F.inline(F.array_compact(F.array(*entries))))
 
 
 def deterministic_links(records: DataFrame, spec: Matching) -> DataFrame:
@@ -85,7 +85,7 @@ def deterministic_links(records: DataFrame, spec: Matching) -> DataFrame:
     Two records are a deterministic match exactly if they have the same root
     under some key.  Roots themselves are not listed.
     """
-    members = _key_groups(records, spec)
+    members = key_groups(records, spec)
     roots = (members.groupBy("group").agg(F.max("record_uid").alias("root_uid"), F.count("*").alias("n"))
              .filter("n > 1").drop("n"))
     return (members.join(roots, "group").filter("record_uid != root_uid")
@@ -203,16 +203,18 @@ def _scored(pairs: DataFrame, spec: Matching) -> DataFrame:
         elif f.method == "token_set_ratio":
             texts[f.attribute] = lcs(sim.set_rest(a, b), sim.set_rest(b, a))
     pairs = pairs.select("*", *[v.alias(f"__lcs_{k}") for k, v in texts.items()])
-    total = F.lit(0.0)
+    parts = {}
     for f in spec.features:
         a, b = _both(f.attribute)
         forms = _both(f"__{f.attribute}")
         if f.method == "exact":
-            part = F.when(a == b, F.lit(f.weight))
+            part = F.when(a == b, F.lit(1.0))
         else:
             ratio = sim.sort_ratio if f.method == "token_sort_ratio" else sim.set_ratio
-            part = f.weight * ratio(*forms, F.col(f"__lcs_{f.attribute}"))
-        total = total + F.coalesce(part, F.lit(0.0))
+            part = ratio(*forms, F.col(f"__lcs_{f.attribute}"))
+        parts[f"sim_{f.attribute}"] = F.coalesce(part, F.lit(0.0))
+    pairs = pairs.withColumns(parts)
+    total = reduce(lambda t, f: t + f.weight * F.col(f"sim_{f.attribute}"), spec.features, F.lit(0.0))
     return pairs.withColumn("score", F.round(total, 4))
 
 
@@ -231,10 +233,24 @@ def fuzzy_pairs(records: DataFrame, spec: Matching, floor: float | None = None,
     `record_pairs` pairs of records with the same values; the uids are the
     first of either profile (first and last for copies within one profile).
     """
-    floor = spec.review if floor is None else floor
+    scored, copies = _fuzzy(records, spec, spec.review if floor is None else floor, split_rows)
+    return copies if scored is None else scored.select(*PAIR_COLUMNS).unionByName(copies)
+
+
+def pair_features(records: DataFrame, spec: Matching, floor: float | None = None) -> DataFrame:
+    """The pairs of `fuzzy_pairs` between profiles with the similarity of each attribute (`sim_*`)."""
+    scored, copies = _fuzzy(records, spec, spec.review if floor is None else floor, SPLIT_ROWS)
+    if scored is None:
+        sims = [F.lit(0.0).alias(f"sim_{f.attribute}") for f in spec.features]
+        return copies.filter(F.lit(False)).select(*PAIR_COLUMNS, *sims)
+    return scored
+
+
+def _fuzzy(records: DataFrame, spec: Matching, floor: float, split_rows: int) -> tuple[DataFrame | None, DataFrame]:
+    """(pairs of different profiles or None if none can reach the floor, copies within profiles)."""
     evidence = _evidence(spec, floor)
     if not evidence:
-        return _within_profile(_prepared(profiles(records, spec), spec), spec, floor)
+        return None, _within_profile(_prepared(profiles(records, spec), spec), spec, floor)
     # Both join sides, the group sizes and the copies read this one table.
     profile = materialize(_prepared(profiles(records, spec), spec).withColumns({
         **{f"__b{i}": F.expr(b.expr) for i, b in enumerate(spec.blocking)},
@@ -245,8 +261,7 @@ def fuzzy_pairs(records: DataFrame, spec: Matching, floor: float | None = None,
         # Evidence that settles a block needs no other block: whoever shares it shares that block.
         implied = [i for i, b in enumerate(spec.blocking) if set(b.columns) <= set(equal)][:1]
         slots += [(f"__b{i}", f"__e{j}") for i in implied or range(len(spec.blocking))]
-    return (_cross_profile(profile, spec, slots, floor, split_rows)
-            .unionByName(_within_profile(profile, spec, floor)))
+    return _cross_profile(profile, spec, slots, floor, split_rows), _within_profile(profile, spec, floor)
 
 
 def _cross_profile(profile: DataFrame, spec: Matching, slots: list[tuple[str, str]], floor: float,
@@ -276,7 +291,8 @@ def _cross_profile(profile: DataFrame, spec: Matching, slots: list[tuple[str, st
     return scored.select(
         F.least(a, b).alias("record_uid_1"), F.greatest(a, b).alias("record_uid_2"),
         (F.col("l.n_records") * F.col("r.n_records")).alias("record_pairs"), "score",
-        F.lit("probabilistic").alias("method"), _decided(F.col("score"), _conflict(spec), spec).alias("decision"))
+        F.lit("probabilistic").alias("method"), _decided(F.col("score"), _conflict(spec), spec).alias("decision"),
+        *[f"sim_{f.attribute}" for f in spec.features])
 
 
 def _tiles(grouped: DataFrame, split_rows: int) -> tuple[DataFrame, DataFrame]:
