@@ -102,8 +102,9 @@ def profiles(records: DataFrame, spec: Matching) -> DataFrame:
 
 def profile_members(records: DataFrame, spec: Matching) -> DataFrame:
     """(record_uid, first_uid): which profile stands for a record in the pair table."""
-    same = [records[c].eqNullSafe(F.col(f"p.{c}")) for c in spec.columns]
-    return records.join(profiles(records, spec).alias("p"), same).select(records["record_uid"], "p.first_uid")
+    same = [F.col(f"r.{c}").eqNullSafe(F.col(f"p.{c}")) for c in spec.columns]
+    narrow = records.select("record_uid", *spec.columns).alias("r")
+    return narrow.join(profiles(records, spec).alias("p"), same).select("r.record_uid", "p.first_uid")
 
 
 def _subsets(items) -> chain:

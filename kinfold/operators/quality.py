@@ -9,6 +9,7 @@ from pyspark.sql import DataFrame, functions as F
 from kinfold.functions.checks import or_null, row_check
 
 QUARANTINED = "QUARANTINED"
+FAILURES = "array<struct<rule_id:string,severity:string,description:string>>"
 
 
 def evaluate(df: DataFrame, rules: Sequence[Mapping], as_of: str,
@@ -35,7 +36,7 @@ def evaluate(df: DataFrame, rules: Sequence[Mapping], as_of: str,
             F.lit(rule["rule_id"]).alias("rule_id"), F.lit(rule["severity"]).alias("severity"),
             F.lit(rule["description"]).alias("description")))
         for rule, check in zip(rules, passed)
-    ]))
+    ])).cast(FAILURES)
     checked = df.select(*columns, failures.alias("dq_failures"))
     has_error = F.exists("dq_failures", lambda f: f["severity"] == "ERROR")
     status = (F.when(has_error, QUARANTINED).when(F.size("dq_failures") > 0, "VALID_WITH_WARNINGS")
