@@ -52,16 +52,23 @@ def high_water_marks(bronze: DataFrame, spec: EntitySpec) -> DataFrame:
             .agg(F.max(updated_at()).alias("high_water_mark")).filter("high_water_mark IS NOT NULL"))
 
 
-def filter_incremental(incoming: DataFrame, marks: DataFrame, landed: DataFrame | None = None) -> DataFrame:
+def filter_incremental(incoming: DataFrame, marks: DataFrame, spec: EntitySpec,
+                       landed: DataFrame | None = None) -> DataFrame:
     """Rows at or after their source's mark; sources without a mark pass whole.
 
     Rows equal to the mark or without a usable timestamp are re-read on
     purpose: `landed` removes those already stored with the same payload, so
     late rows of the marked instant are neither lost nor stored twice.
     """
+    # One row per registered source: its size is bounded by the spec, so it may be broadcast,
+    # and a source holding most of the rows is never shuffled to one place.
+    registered = [s.source_id for s in spec.sources]
+    bounded = F.broadcast(marks.filter(F.col("source_id").isin(*registered)).groupBy("source_id")
+                          .agg(F.max("high_water_mark").alias("high_water_mark")))
+
     def reaches_mark(df: DataFrame) -> DataFrame:
         moment, mark = updated_at(), F.col("high_water_mark")
-        return df.join(marks, "source_id", "left").filter(mark.isNull() | moment.isNull() | (moment >= mark))
+        return df.join(bounded, "source_id", "left").filter(mark.isNull() | moment.isNull() | (moment >= mark))
 
     fresh = reaches_mark(incoming).drop("high_water_mark")
     if landed is None:
@@ -72,13 +79,28 @@ def filter_incremental(incoming: DataFrame, marks: DataFrame, landed: DataFrame
 
 
 def snapshot_diff(old: DataFrame, new: DataFrame, key: str, columns: list[str]) -> DataFrame:
-    """Classify the keys of two full loads as insert, update, delete or unchanged."""
-    digest = F.sha2(F.to_json(F.struct(*columns), {"ignoreNullFields": "false"}), 256)
-    before = old.select(F.col(key), digest.alias("old_hash"))
-    after = new.select(F.col(key), digest.alias("new_hash"))
-    change = (F.when(F.col("old_hash").isNull(), "insert").when(F.col("new_hash").isNull(), "delete")
-              .when(F.col("old_hash") != F.col("new_hash"), "update").otherwise("unchanged"))
-    return before.join(after, key, "full_outer").select(key, change.alias("change"))
+    """Classify the keys of two full loads as insert, update, delete or unchanged.
+
+    Both loads are tagged and reduced per key in one combinable aggregation;
+    there is no join that repeated keys could blow up.  Copies of a key are
+    compared as a bag (count, extremes and sum of their hashes).
+    """
+    text = F.to_json(F.struct(*columns), {"ignoreNullFields": "false"})
+
+    def tagged(df: DataFrame, side: str) -> DataFrame:
+        return df.select(F.col(key), F.lit(side).alias("side"), F.sha2(text, 256).alias("digest"),
+                         F.xxhash64(text).cast("decimal(38,0)").alias("number"))
+
+    def bag(side: str) -> Column:
+        mine = F.col("side") == side
+        return F.struct(F.count_if(mine).alias("n"), F.min(F.when(mine, F.col("digest"))).alias("low"),
+                        F.max(F.when(mine, F.col("digest"))).alias("high"),
+                        F.sum(F.when(mine, F.col("number"))).alias("total")).alias(side)
+
+    both = tagged(old, "old").unionByName(tagged(new, "new")).groupBy(key).agg(bag("old"), bag("new"))
+    change = (F.when(F.col("old.n") == 0, "insert").when(F.col("new.n") == 0, "delete")
+              .when(F.col("old") != F.col("new"), "update").otherwise("unchanged"))
+    return both.select(key, change.alias("change"))
 
 
 def rows_ingested(bronze: DataFrame) -> DataFrame:

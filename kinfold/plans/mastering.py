@@ -85,7 +85,7 @@ def land_batch(spark: SparkSession, spec: EntitySpec, layers: Layers, root: str,
         dead.append(bad)
     arrived = ingest.union_sources(records)
     if marks is not None:
-        arrived = ingest.filter_incremental(arrived, marks, landed)
+        arrived = ingest.filter_incremental(arrived, marks, spec, landed)
     layers.write(arrived, "bronze", f"{spec.entity}_raw")
     layers.write(ingest.union_sources(dead).withColumn("batch_id", F.lit(batch_id)), "bronze", "dead_letters")
 

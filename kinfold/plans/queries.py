@@ -36,7 +36,10 @@ def mastering(spark: SparkSession, sf_dir: str) -> Mastering:
 
 
 def valid(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return mastering(spark, sf_dir).valid
+    """Valid records without payload and log, which no comparison reads."""
+    narrow = quality.valid(contacts.checked(spark, sf_dir)).select(
+        "record_uid", "source_id", "source_record_id", "batch_id", "source_updated_at", *ATTRIBUTES)
+    return materialize(narrow, "valid")
 
 
 def longs(df: DataFrame, *columns: str) -> DataFrame:
@@ -129,7 +132,7 @@ def _earlier(bronze: DataFrame) -> DataFrame:
 def ingest_incremental(spark, sf_dir):
     bronze = contacts.bronze(spark, sf_dir)
     landed = _earlier(bronze)
-    fresh = ingest.filter_incremental(bronze, ingest.high_water_marks(landed, CUSTOMER), landed)
+    fresh = ingest.filter_incremental(bronze, ingest.high_water_marks(landed, CUSTOMER), CUSTOMER, landed)
     return fresh.select("record_uid", "source_id", "source_record_id", "source_updated_at")
 
 
@@ -458,11 +461,9 @@ def lineage_survivorship(spark, sf_dir):
 
 @query
 def lineage_trace(spark, sf_dir):
-    """Full trace of every golden record; rows and characters per section."""
+    """The whole evidence of every golden record, one JSON row per item."""
     work = mastering(spark, sf_dir)
-    rows = work.trace(_entities(work))
-    return rows.groupBy("golden_id", "section").agg(
-        F.count("*").alias("n_rows"), F.sum(F.length("evidence").cast("bigint")).alias("n_chars"))
+    return work.trace(_entities(work))
 
 
 @query
