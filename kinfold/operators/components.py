@@ -11,7 +11,7 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame, functions as F
 
-from kinfold.session import materialize
+from kinfold.session import drop_stage, read_stage, write_stage
 
 
 def _large_star(edges: DataFrame) -> DataFrame:
@@ -44,12 +44,17 @@ def connected_components(edges: DataFrame, max_rounds: int = 100) -> DataFrame:
     Input columns `src`, `dst` of any orderable type.  Duplicate, reversed and
     self edges are allowed; vertices without another vertex are left out.
     """
-    state = materialize(
-        edges.filter("src != dst")
-        .select(F.least("src", "dst").alias("src"), F.greatest("src", "dst").alias("dst")).distinct(), "edges")
+    spark = edges.sparkSession
+    state = (edges.filter("src != dst")
+             .select(F.least("src", "dst").alias("src"), F.greatest("src", "dst").alias("dst")).distinct())
+    path = write_stage(state, "edges")
+    state = read_stage(state, path)
     for _ in range(max_rounds):
         if _settled(state):
             roots = state.select(F.col("dst").alias("vertex"), F.col("dst").alias("component")).distinct()
             return state.select(F.col("src").alias("vertex"), F.col("dst").alias("component")).unionByName(roots)
-        state = materialize(_small_star(_large_star(state)), "edges")
+        after = _small_star(_large_star(state))
+        before, path = path, write_stage(after, "edges")
+        state = read_stage(after, path)
+        drop_stage(spark, before)
     raise RuntimeError(f"components did not settle in {max_rounds} rounds")

@@ -13,6 +13,9 @@ from pyspark.sql import DataFrame, functions as F
 from kinfold.operators.standardize import changed_values
 
 
+SECTIONS = ["source_records", "transforms", "dq_annotations", "match_decisions", "survivorship_decisions"]
+
+
 def member_uids(crosswalk: DataFrame, golden_ids: DataFrame) -> DataFrame:
     return crosswalk.join(golden_ids.select("golden_id").distinct(), "golden_id", "left_semi").select("golden_id", "record_uid")
 
@@ -61,6 +64,19 @@ def trace(sections: dict[str, DataFrame]) -> DataFrame:
     return reduce(DataFrame.unionByName, parts)
 
 
+def documents(traced: DataFrame, limit: int = 1000) -> DataFrame:
+    """One nested document per golden record: an array of evidence per section.
+
+    An entity with more than `limit` items is split into `parts` documents by
+    a hash of the evidence, so no row ever grows with the size of an entity.
+    """
+    sizes = (traced.groupBy("golden_id").agg(F.count("*").alias("n"))
+             .select("golden_id", F.ceil(F.col("n") / limit).cast("int").alias("parts")))
+    part = F.pmod(F.xxhash64("section", "evidence"), F.col("parts")).cast("int")
+    return (traced.join(sizes, "golden_id").withColumn("part", part).groupBy("golden_id", "part", "parts").agg(*[
+        F.sort_array(F.collect_list(F.when(F.col("section") == s, F.col("evidence")))).alias(s) for s in SECTIONS]))
+
+
 def sample_entities(crosswalk: DataFrame, least_members: int = 3, limit: int = 1) -> DataFrame:
     """The largest entities with at least so many members; ties by id."""
     sizes = crosswalk.groupBy("golden_id").agg(F.count("*").alias("n_members"))

@@ -29,7 +29,7 @@ from kinfold.spec import Matching
 
 MATCH, REVIEW, REJECTED, NO_MATCH = "MATCH", "REVIEW", "REJECTED_FP_GUARD", "NO_MATCH"
 ROUNDING = 5e-5  # scores are rounded to four digits before they meet a threshold
-SPLIT_ROWS = 20_000
+SPLIT_ROWS = 5_000
 PAIR_COLUMNS = ["record_uid_1", "record_uid_2", "record_pairs", "score", "method", "decision"]
 
 
@@ -73,7 +73,7 @@ def key_groups(records: DataFrame, spec: Matching) -> DataFrame:
         blocks = [b for b in spec.blocking if set(b.columns) <= set(key)] if _implied(spec, key) else spec.blocking
         for b in blocks if not _implied(spec, key) else blocks[:1]:
             parts = [F.lit(b.name), F.expr(b.expr), *[F.col(c) for c in key]]
-            group = F.sha2(F.to_json(F.array(*[p.cast("string") for p in parts])), 256)
+            group = F.unhex(F.sha2(F.to_json(F.array(*[p.cast("string") for p in parts])), 256))
             entries.append(F.when(filled & F.expr(b.expr).isNotNull(), F.struct(
                 F.lit("+".join(key)).alias("det_key"), group.alias("group"))))
     return records.select("record_uid", F.inline(F.array_compact(F.array(*entries))))
@@ -234,35 +234,39 @@ def fuzzy_pairs(records: DataFrame, spec: Matching, floor: float | None = None,
     `record_pairs` pairs of records with the same values; the uids are the
     first of either profile (first and last for copies within one profile).
     """
-    scored, copies = _fuzzy(records, spec, spec.review if floor is None else floor, split_rows)
+    floor = spec.review if floor is None else floor
+    scored, copies = _fuzzy(_profile_table(records, spec, floor), spec, floor, split_rows)
     return copies if scored is None else scored.select(*PAIR_COLUMNS).unionByName(copies)
 
 
 def pair_features(records: DataFrame, spec: Matching, floor: float | None = None) -> DataFrame:
     """The pairs of `fuzzy_pairs` between profiles with the similarity of each attribute (`sim_*`)."""
-    scored, copies = _fuzzy(records, spec, spec.review if floor is None else floor, SPLIT_ROWS)
+    floor = spec.review if floor is None else floor
+    scored, copies = _fuzzy(_profile_table(records, spec, floor), spec, floor, SPLIT_ROWS)
     if scored is None:
         sims = [F.lit(0.0).alias(f"sim_{f.attribute}") for f in spec.features]
         return copies.filter(F.lit(False)).select(*PAIR_COLUMNS, *sims)
     return scored
 
 
-def _fuzzy(records: DataFrame, spec: Matching, floor: float, split_rows: int) -> tuple[DataFrame | None, DataFrame]:
-    """(pairs of different profiles or None if none can reach the floor, copies within profiles)."""
+def _profile_table(records: DataFrame, spec: Matching, floor: float) -> DataFrame:
+    """Profiles with their text forms, block keys and evidence, written once for all their readers."""
     evidence = _evidence(spec, floor)
-    if not evidence:
-        return None, _within_profile(_prepared(profiles(records, spec), spec), spec, floor)
-    # Both join sides, the group sizes and the copies read this one table.
-    profile = materialize(_prepared(profiles(records, spec), spec).withColumns({
+    return materialize(_prepared(profiles(records, spec), spec).withColumns({
         **{f"__b{i}": F.expr(b.expr) for i, b in enumerate(spec.blocking)},
         **{f"__e{j}": key for j, (_, key) in enumerate(evidence)},
     }), "profiles")
+
+
+def _fuzzy(profile: DataFrame, spec: Matching, floor: float, split_rows: int) -> tuple[DataFrame | None, DataFrame]:
+    """(pairs of different profiles or None if none can reach the floor, copies within profiles)."""
     slots = []
-    for j, (equal, _) in enumerate(evidence):
+    for j, (equal, _) in enumerate(_evidence(spec, floor)):
         # Evidence that settles a block needs no other block: whoever shares it shares that block.
         implied = [i for i, b in enumerate(spec.blocking) if set(b.columns) <= set(equal)][:1]
         slots += [(f"__b{i}", f"__e{j}") for i in implied or range(len(spec.blocking))]
-    return _cross_profile(profile, spec, slots, floor, split_rows), _within_profile(profile, spec, floor)
+    across = _cross_profile(profile, spec, slots, floor, split_rows) if slots else None
+    return across, _within_profile(profile, spec, floor)
 
 
 def _cross_profile(profile: DataFrame, spec: Matching, slots: list[tuple[str, str]], floor: float,
@@ -303,14 +307,18 @@ def _tiles(grouped: DataFrame, split_rows: int) -> tuple[DataFrame, DataFrame]:
     part q <= p in tile (p, q), so all pairs of the group are met exactly once
     and no task holds more than two parts.  Other groups are a single tile.
     """
-    hot = (grouped.groupBy("__group").count().filter(F.col("count") > split_rows)
-           .select("__group", F.ceil(F.col("count") / split_rows).cast("int").alias("__parts")))
+    # Written, so that its real size decides whether it is broadcast; usually it is empty.
+    hot = materialize(grouped.groupBy("__group").count().filter(F.col("count") > split_rows).select(
+        "__group", F.ceil(F.col("count") / split_rows).cast("int").alias("__parts")), "hot")
     sized = grouped.join(hot, "__group", "left").withColumn("__parts", F.coalesce("__parts", F.lit(1)))
     parted = sized.withColumn("__part", F.pmod(F.xxhash64("first_uid"), F.col("__parts")).cast("int"))
     own, last = F.col("__part"), F.col("__parts") - 1
     left = parted.withColumn("__row", own).select("*", F.explode(F.sequence(F.lit(0), own)).alias("__tile"))
     right = parted.withColumn("__tile", own).select("*", F.explode(F.sequence(own, last)).alias("__row"))
-    return left, right
+    # The join needs this partitioning anyway.  Asking for the number keeps it: the work of a task
+    # grows with pairs, not bytes, so partitions that look small must not be merged.
+    n = int(grouped.sparkSession.conf.get("spark.sql.shuffle.partitions"))
+    return tuple(side.repartition(n, "__group", "__row", "__tile") for side in (left, right))
 
 
 def _within_profile(profile: DataFrame, spec: Matching, floor: float) -> DataFrame:
@@ -397,10 +405,10 @@ def cluster_conflicts(members: DataFrame, spec: Matching) -> DataFrame:
 
 # ---------------------------------------------------------------- exact counts without pairs
 
-def _agreeing(records: DataFrame, sets: list[tuple[int, str, list[Column]]], conflict: tuple[str, ...]) -> DataFrame:
+def _agreeing(weighted: DataFrame, sets: list[tuple[int, str, list[Column]]], conflict: tuple[str, ...]) -> DataFrame:
     """(tag, pairs, conflicts): signed numbers of pairs agreeing on each set of columns.
 
-    Only group sizes are used: C(n,2) per group.  Pairs that conflict on every
+    Rows of `weighted` stand for `n_records` records each.  Only group sizes are used: C(n,2) per group.  Pairs that conflict on every
     column of a subset are those with all of them filled, less those equal on
     some of them (inclusion-exclusion), so the sizes per guarded value are
     needed too; one grouping-sets aggregation gives them all.
@@ -410,8 +418,8 @@ def _agreeing(records: DataFrame, sets: list[tuple[int, str, list[Column]]], con
                F.struct(F.lit(n).alias("set"), F.unhex(F.sha2(_joined(cols), 256)).alias("key")))
         for n, (_, _, cols) in enumerate(sets)
     ]))
-    cells = (records.select(*conflict, F.inline(entries)).groupBy("set", "key", *conflict)
-             .agg(F.count("*").alias("n")))
+    cells = (weighted.select("n_records", *conflict, F.inline(entries)).groupBy("set", "key", *conflict)
+             .agg(F.sum("n_records").alias("n")))
     subsets = list(_subsets(conflict))
 
     def filled(chosen) -> Column:
@@ -451,7 +459,8 @@ def _blocked_sets(spec: Matching) -> list[tuple[int, str, list[Column]]]:
 
 def candidate_pair_count(records: DataFrame, spec: Matching) -> DataFrame:
     """Distinct pairs sharing at least one block, from block sizes alone."""
-    counted = _agreeing(records, _blocked_sets(spec), ()).groupBy().agg(F.sum("pairs").alias("n"))
+    single = records.withColumn("n_records", F.lit(1).cast("bigint"))
+    counted = _agreeing(single, _blocked_sets(spec), ()).groupBy().agg(F.sum("pairs").alias("n"))
     return counted.select(F.coalesce("n", F.lit(0)).cast("decimal(38,0)").alias("candidate_pairs"))
 
 
@@ -464,8 +473,11 @@ def match_bands(records: DataFrame, spec: Matching) -> DataFrame:
     else:
         sure = [(s1 * s2, "deterministic", c1 + c2) for s1, _, c1 in _union_sets("", keys)
                 for s2, _, c2 in _union_sets("", blocks)]
-    counted = _agreeing(records, _blocked_sets(spec) + sure, spec.conflict_columns)
-    fuzzy = (fuzzy_pairs(records, spec).groupBy(F.col("decision").alias("tag"))
+    profile = _profile_table(records, spec, spec.review)
+    counted = _agreeing(profile, _blocked_sets(spec) + sure, spec.conflict_columns)
+    across, copies = _fuzzy(profile, spec, spec.review, SPLIT_ROWS)
+    above = copies if across is None else across.select(*PAIR_COLUMNS).unionByName(copies)
+    fuzzy = (above.groupBy(F.col("decision").alias("tag"))
              .agg(F.sum("record_pairs").cast("decimal(38,0)").alias("pairs"))
              .withColumn("conflicts", F.lit(0).cast("decimal(38,0)")))
 

@@ -6,7 +6,7 @@ from functools import cached_property
 
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
-from kinfold.operators import ingest, lineage, linkage, quality, reconcile, survivorship
+from kinfold.operators import incremental, ingest, lineage, linkage, quality, reconcile, survivorship
 from kinfold.operators.standardize import standardize
 from kinfold.session import materialize
 from kinfold.sources import files
@@ -22,9 +22,12 @@ class Mastering:
     executor re-reads a table.
     """
 
-    def __init__(self, checked: DataFrame, spec: EntitySpec, batch_id: str, as_of: str, id_length: int = 32):
+    def __init__(self, checked: DataFrame, spec: EntitySpec, batch_id: str, as_of: str, id_length: int = 32,
+                 clusters: DataFrame | None = None):
+        """`clusters` replaces matching everything, when an increment already gave them."""
         self.spec, self.batch_id, self.as_of, self.id_length = spec, batch_id, as_of, id_length
         self.checked = materialize(checked, "checked")
+        self.given = clusters
 
     @cached_property
     def valid(self) -> DataFrame:
@@ -40,7 +43,8 @@ class Mastering:
 
     @cached_property
     def clusters(self) -> DataFrame:
-        return materialize(linkage.clusters(self.valid, self.spec.matching, self.id_length), "clusters")
+        found = self.given if self.given is not None else linkage.clusters(self.valid, self.spec.matching)
+        return materialize(linkage.label(found, self.id_length), "clusters")
 
     @cached_property
     def members(self) -> DataFrame:
@@ -64,13 +68,13 @@ class Mastering:
 
     def trace(self, golden_ids: DataFrame) -> DataFrame:
         uids = lineage.member_uids(self.crosswalk, golden_ids)
-        return lineage.trace({
-            "source_records": lineage.source_records(uids, self.checked),
-            "transforms": lineage.transforms(uids, self.checked),
-            "dq_annotations": lineage.dq_annotations(uids, quality.results(self.checked)),
-            "match_decisions": lineage.match_decisions(uids, self.pairs),
-            "survivorship_decisions": lineage.survivorship(golden_ids, self.decisions),
-        })
+        return lineage.trace(dict(zip(lineage.SECTIONS, [
+            lineage.source_records(uids, self.checked),
+            lineage.transforms(uids, self.checked),
+            lineage.dq_annotations(uids, quality.results(self.checked)),
+            lineage.match_decisions(uids, self.pairs),
+            lineage.survivorship(golden_ids, self.decisions),
+        ])))
 
 
 def land_batch(spark: SparkSession, spec: EntitySpec, layers: Layers, root: str, batch_id: str, as_of: str,
@@ -91,21 +95,22 @@ def land_batch(spark: SparkSession, spec: EntitySpec, layers: Layers, root: str,
 
 
 def run_batch(spark: SparkSession, spec: EntitySpec, layers: Layers, root: str, batch_id: str, as_of: str,
-              first: bool = False, id_length: int = 32) -> Mastering:
+              previous: str | None = None, id_length: int = 32) -> Mastering:
     """One batch from landing files to golden records, every stage as a table partition of its own.
 
-    Earlier batches stay.  Matching covers the latest version of every valid
-    record known after this batch.
+    Earlier batches stay.  After the first batch only new and changed records
+    are matched, against the entities of the `previous` batch.
     """
-    raw, std, ops = f"{spec.entity}_raw", f"{spec.entity}_standardized", "high_water_marks"
-    if first:
+    raw, std, marked = f"{spec.entity}_raw", f"{spec.entity}_standardized", "high_water_marks"
+    if previous is None:
         land_batch(spark, spec, layers, root, batch_id, as_of)
     else:
-        marks = layers.read("ops", ops).groupBy("source_id").agg(F.max("high_water_mark").alias("high_water_mark"))
-        landed = layers.read("bronze", raw).filter(F.col("batch_id") != batch_id)
-        land_batch(spark, spec, layers, root, batch_id, as_of, marks, landed)
+        earlier = F.col("batch_id") < batch_id
+        marks = (layers.read("ops", marked).filter(earlier).groupBy("source_id")
+                 .agg(F.max("high_water_mark").alias("high_water_mark")))
+        land_batch(spark, spec, layers, root, batch_id, as_of, marks, layers.read("bronze", raw).filter(earlier))
     bronze = layers.read("bronze", raw, batch_id)
-    layers.write(ingest.high_water_marks(bronze, spec).withColumn("batch_id", F.lit(batch_id)), "ops", ops)
+    layers.write(ingest.high_water_marks(bronze, spec).withColumn("batch_id", F.lit(batch_id)), "ops", marked)
 
     layers.write(standardize(bronze, spec).withColumn("rule_version", F.lit(spec.version)), "silver", std)
     checked = quality.evaluate(layers.read("silver", std, batch_id), spec.rules, as_of)
@@ -113,10 +118,7 @@ def run_batch(spark: SparkSession, spec: EntitySpec, layers: Layers, root: str,
     mine = layers.read("silver", f"{spec.entity}_checked", batch_id)
     layers.write(quality.results(mine), "silver", "dq_results")
 
-    known = layers.read("silver", f"{spec.entity}_checked")
-    latest = known if first else ingest.batches_as_of(quality.valid(known), batch_id).unionByName(
-        quality.quarantine(mine))
-    work = Mastering(latest, spec, batch_id, as_of, id_length)
+    work = _matched(layers, spec, mine, batch_id, as_of, previous, id_length)
     stamped = F.lit(batch_id).alias("batch_id")
     layers.write(work.pairs.select("*", stamped), "gold", "match_pairs")
     layers.write(work.clusters.select("*", stamped), "gold", "entity_clusters")
@@ -139,6 +141,18 @@ def run_batch(spark: SparkSession, spec: EntitySpec, layers: Layers, root: str,
     return work
 
 
+def _matched(layers: Layers, spec: EntitySpec, mine: DataFrame, batch_id: str, as_of: str, previous: str | None,
+             id_length: int) -> Mastering:
+    if previous is None:
+        return Mastering(mine, spec, batch_id, as_of, id_length)
+    history = quality.valid(layers.read("silver", f"{spec.entity}_checked"))
+    incoming, stored = quality.valid(mine), ingest.batches_as_of(history, previous)
+    before = layers.read("gold", "entity_clusters", previous)
+    clusters = incremental.apply_increment(before, *incremental.match_increment(incoming, stored, before, spec.matching))
+    current = ingest.batches_as_of(history, batch_id).unionByName(quality.quarantine(mine))
+    return Mastering(current, spec, batch_id, as_of, id_length, clusters)
+
+
 def stages(layers: Layers, spec: EntitySpec, batch_id: str, work: Mastering) -> dict[str, DataFrame]:
     """The frames whose counts must balance for a batch."""
     return {

@@ -347,6 +347,22 @@ grouped AS (SELECT *, concat('E-', substring(max(record_uid) OVER w, 1, 32)) AS
             FROM valid WINDOW w AS (PARTITION BY text, lang))"""
 
 
+_SECTIONS = {
+    "source_records": ("record_uid source_id source_record_id raw_payload", "SELECT *, cluster_id AS golden_id FROM members"),
+    "transforms": ("record_uid attribute raw_value standardized_value transforms_applied",
+                   "SELECT log.*, cluster_id AS golden_id FROM log JOIN clusters USING (record_uid) WHERE raw_value IS DISTINCT FROM standardized_value"),
+    "dq_annotations": ("record_uid rule_id severity description",
+                       "SELECT results.*, cluster_id AS golden_id FROM results JOIN clusters USING (record_uid)"),
+    "match_decisions": ("record_uid_1 record_uid_2 score method decision",
+                        """SELECT DISTINCT cluster_id AS golden_id, record_uid_1, record_uid_2, score, method, decision
+                           FROM match_pairs JOIN clusters ON record_uid IN (record_uid_1, record_uid_2)"""),
+    "survivorship_decisions": ("attribute golden_value winning_source strategy", "SELECT *, cluster_id AS golden_id FROM decisions"),
+}
+_TRACE = " UNION ALL ".join(
+    f"SELECT golden_id, '{section}' AS section, CAST(json_object({', '.join(f"'{c}', {c}" for c in columns.split())}) AS VARCHAR)"
+    f" AS evidence FROM ({rows})" for section, (columns, rows) in _SECTIONS.items())
+
+
 def oracle_sql() -> dict[str, str]:
     q: dict[str, str] = {
         "scan_csv": _extract("CRM"), "scan_ndjson": _extract("WEB"), "scan_delimited": _extract("LEGACY"),
@@ -477,19 +493,10 @@ def oracle_sql() -> dict[str, str]:
             FROM match_pairs JOIN clusters ON record_uid IN (record_uid_1, record_uid_2)""", MATCH_PAIRS, CLUSTERS),
         "lineage_survivorship": _sql("""SELECT cluster_id AS golden_id, attribute, golden_value, winning_source, strategy
             FROM decisions""", GOLDEN),
-        "lineage_trace": _sql(" UNION ALL ".join(
-            f"SELECT golden_id, '{section}' AS section, CAST(json_object({', '.join(f"'{c}', {c}" for c in columns.split())}) AS VARCHAR)"
-            f" AS evidence FROM ({rows})" for section, columns, rows in [
-                ("source_records", "record_uid source_id source_record_id raw_payload", "SELECT *, cluster_id AS golden_id FROM members"),
-                ("transforms", "record_uid attribute raw_value standardized_value transforms_applied",
-                 "SELECT log.*, cluster_id AS golden_id FROM log JOIN clusters USING (record_uid) WHERE raw_value IS DISTINCT FROM standardized_value"),
-                ("dq_annotations", "record_uid rule_id severity description",
-                 "SELECT results.*, cluster_id AS golden_id FROM results JOIN clusters USING (record_uid)"),
-                ("match_decisions", "record_uid_1 record_uid_2 score method decision",
-                 """SELECT DISTINCT cluster_id AS golden_id, record_uid_1, record_uid_2, score, method, decision
-                    FROM match_pairs JOIN clusters ON record_uid IN (record_uid_1, record_uid_2)"""),
-                ("survivorship_decisions", "attribute golden_value winning_source strategy",
-                 "SELECT *, cluster_id AS golden_id FROM decisions")]), MATCH_PAIRS, GOLDEN, LOG),
+        "lineage_trace": _sql(_TRACE, MATCH_PAIRS, GOLDEN, LOG),
+        "lineage_documents": _sql("SELECT golden_id, 0::INT AS part, 1::INT AS parts, " + ", ".join(
+            f"count(*) FILTER (section = '{s}') AS {s}" for s in _SECTIONS) + f" FROM ({_TRACE}) GROUP BY golden_id",
+            MATCH_PAIRS, GOLDEN, LOG),
         "sample_entities": _sql("""SELECT golden_id, count(*) AS n_members FROM crosswalk GROUP BY 1 HAVING count(*) >= 3
             ORDER BY 2 DESC, 1 LIMIT 5""", GOLDEN),
         "incremental_match": _sql("SELECT record_uid, cluster_id FROM clusters", CLUSTERS),

@@ -466,6 +466,14 @@ def lineage_trace(spark, sf_dir):
     return work.trace(_entities(work))
 
 
+@query
+def lineage_documents(spark, sf_dir):
+    """The same evidence as one nested document per golden record; here the size of each section."""
+    work = mastering(spark, sf_dir)
+    nested = lineage.documents(work.trace(_entities(work)))
+    return nested.select("golden_id", "part", "parts", *[F.size(s).cast("bigint").alias(s) for s in lineage.SECTIONS])
+
+
 @query
 def sample_entities(spark, sf_dir):
     return lineage.sample_entities(mastering(spark, sf_dir).crosswalk, 3, 5)

@@ -43,6 +43,14 @@ def shared_dir(spark: SparkSession) -> str:
     return folder
 
 
+def spread(df: DataFrame) -> DataFrame:
+    """Let all cores work on an input that is a single split; larger inputs are left as they are.
+
+    The shuffle this adds is bounded by the size of one split.
+    """
+    return df.repartition(df.sparkSession.sparkContext.defaultParallelism) if df.rdd.getNumPartitions() == 1 else df
+
+
 def scratch_path(spark: SparkSession, label: str) -> str:
     """A fresh, never reused path below the shared folder."""
     return f"{shared_dir(spark).rstrip('/')}/kinfold/{spark.sparkContext.applicationId}/{label}-{uuid.uuid4().hex}"
@@ -54,6 +62,21 @@ def materialize(df: DataFrame, label: str = "stage") -> DataFrame:
     This ends the lineage: a lost executor re-reads the table instead of
     replaying everything before it.
     """
+    return read_stage(df, write_stage(df, label))
+
+
+def write_stage(df: DataFrame, label: str) -> str:
     path = scratch_path(df.sparkSession, label)
     df.write.parquet(path)
+    return path
+
+
+def read_stage(df: DataFrame, path: str) -> DataFrame:
+    """Scan a stage table with the schema of the frame that wrote it."""
     return df.sparkSession.read.schema(df.schema).parquet(path)
+
+
+def drop_stage(spark: SparkSession, path: str) -> None:
+    """Remove a stage table that no frame in use reads any more."""
+    target = spark._jvm.org.apache.hadoop.fs.Path(path)
+    target.getFileSystem(spark._jsc.hadoopConfiguration()).delete(target, True)

@@ -27,7 +27,7 @@ def land(root, crm=demo.CRM, web=demo.WEB, legacy=demo.LEGACY):
 def run(spark, tmp_path_factory):
     base = tmp_path_factory.mktemp("demo")
     layers = Layers(spark, str(base / "tables"))
-    work = run_batch(spark, CUSTOMER, layers, land(base), "20260801-a", AS_OF, first=True, id_length=12)
+    work = run_batch(spark, CUSTOMER, layers, land(base), "20260801-a", AS_OF, id_length=12)
     return layers, work, base
 
 
@@ -107,6 +107,16 @@ def test_lineage_trace(run, spark):
     assert {m["decision"] for m in sections["match_decisions"]} == {"MATCH"}
 
 
+def test_documents_split_large_entities(run, spark):
+    _, work, _ = run
+    rows = work.trace(work.golden.select("golden_id"))
+    whole = lineage.documents(rows).collect()
+    assert len(whole) == 12 and {(r["part"], r["parts"]) for r in whole} == {(0, 1)}
+    pieces = lineage.documents(rows, limit=5).collect()
+    assert max(r["parts"] for r in pieces) > 1
+    assert sum(len(r[s]) for r in pieces for s in lineage.SECTIONS) == rows.count()
+
+
 def test_sample_entities(run):
     _, work, _ = run
     rows = [tuple(r) for r in lineage.sample_entities(work.crosswalk, 3, 10).collect()]
@@ -124,7 +134,7 @@ def test_second_batch_keeps_history_and_takes_only_news(run, spark):
         "C002,Priya Nair,priya.nair@yahoo.com,+91-98123-45678,4 Palm St,Bangalore,Karnataka,India,1988-11-02,2026-06-01",
     ]) + "\n"
     land(later, crm=crm, web=[], legacy=demo.LEGACY.splitlines()[0] + "\n")
-    work = run_batch(spark, CUSTOMER, layers, str(later), "20260802-a", AS_OF, id_length=12)
+    work = run_batch(spark, CUSTOMER, layers, str(later), "20260802-a", AS_OF, previous="20260801-a", id_length=12)
     landed = layers.read("bronze", "customer_raw", "20260802-a")
     assert {r["source_record_id"] for r in landed.collect()} == {"C001", "C010"}
     assert layers.read("bronze", "customer_raw").count() == 26
