@@ -96,3 +96,9 @@ def set_ratio(a: Column, b: Column, rest_lcs: Column) -> Column:
         .when(common == 0, apart)
         .otherwise(F.greatest(apart, against_a, against_b))
     )
+
+
+def set_ratio_bound(a: Column, b: Column) -> Column:
+    """Upper bound of `set_ratio` without comparing characters."""
+    rests = F.length(set_rest(a, b)), F.length(set_rest(b, a))
+    return set_ratio(a, b, F.least(*rests))

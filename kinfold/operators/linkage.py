@@ -8,15 +8,17 @@ is quadratic in the largest block, so no operator here does it:
 * Records that agree on every compared column are one *profile*; a decision
   depends on those columns only and is made once per pair of profiles.
 * A fuzzy pair is formed only where its score can still reach the wanted
-  floor.  The weights say which exact features must agree for that, so the
-  join runs on (block, agreeing features).  With the floor at 0 the same code
-  returns every compared pair, for small inputs.
+  floor.  The weights say which exact features must agree for that, or that
+  texts must be equal or contained in each other, so the join runs on those
+  values and not on whole blocks.  With the floor at 0 the same code returns
+  every compared pair, for small inputs.
 * Pairs below the floor are counted exactly from group sizes (`match_bands`).
 * A join group above `split_rows` profiles is cut into tiles spread over tasks.
 """
 
 from __future__ import annotations
 
+from dataclasses import dataclass
 from functools import reduce
 from itertools import chain, combinations
 
@@ -128,25 +130,70 @@ def reachable_evidence(spec: Matching, floor: float) -> list[tuple[str, ...]] |
     return [s for s in reach if not any(set(t) < set(s) for t in reach)]
 
 
-def _evidence(spec: Matching, floor: float) -> list[tuple[tuple[str, ...], Column]]:
-    """Join keys such that every reachable pair shares at least one: (columns equal by the key, key)."""
+@dataclass(frozen=True)
+class Slot:
+    """One way for two profiles to meet.
+
+    All `keys` (columns of the profile table) are equal; with `inside`, the
+    tokens of one side also contain those of the other.  `any_block` slots
+    check per pair that a block is shared, the others have it in their key.
+    """
+
+    keys: tuple[str, ...]
+    inside: str | None = None
+    any_block: bool = False
+
+
+def _slots(spec: Matching, floor: float) -> tuple[dict[str, Column], list[Slot]]:
+    """Key columns and slots such that every pair able to reach `floor` meets in at least one."""
     minimal = reachable_evidence(spec, floor)
     if minimal is None:
-        return []
-    if minimal != [()]:
-        return [(s, _joined([F.col(a) for a in s])) for s in minimal]
+        return {}, []
+    columns, slots = {}, []
+    if minimal == [()]:
+        columns, slots = _fuzzy_slots(spec, floor)
+        if not slots:  # nothing can be said about the pair beyond its block
+            return {}, [Slot((f"__b{i}",)) for i in range(len(spec.blocking))]
+        minimal = [(f.attribute,) for f in spec.features
+                   if f.method == "exact" and (f.attribute,) not in spec.deterministic]
+    agreeing = []
+    for j, equal in enumerate(minimal):
+        columns[f"__e{j}"] = _joined([F.col(c) for c in equal])
+        # Values that settle a block need no other block: whoever shares them shares that block.
+        implied = [i for i, b in enumerate(spec.blocking) if set(b.columns) <= set(equal)]
+        agreeing += [Slot((f"__e{j}",) if implied else (f"__b{i}", f"__e{j}"))
+                     for i in implied[:1] or range(len(spec.blocking))]
+    return columns, agreeing + slots
+
+
+def _fuzzy_slots(spec: Matching, floor: float) -> tuple[dict[str, Column], list[Slot]]:
+    """Slots for pairs without any agreeing exact feature, when the floor asks for almost equal texts.
+
+    Each fuzzy feature then needs a similarity so close to 1 that shorter texts
+    must be equal (token_sort) or one inside the other (token_set): below 1
+    either ratio is at most 1 - 1/(|a|+|b|).  Longer texts meet under a common
+    mark instead and are compared as they are.
+    """
     fuzzy = [f for f in spec.features if f.method != "exact"]
     spare = sum(f.weight for f in fuzzy) - floor + ROUNDING
-    for f in (f for f in fuzzy if f.method == "token_sort_ratio"):
-        least = 1.0 - spare / f.weight  # similarity this feature needs if no exact feature agrees
-        # Below 1 the ratio is at most 1 - 1/(|a|+|b|): shorter texts must then be equal.
-        longest = int(least / (2 * (1 - least))) - 1 if least > 0 else 0
-        if longest >= 64:
-            canonical = sim.sorted_tokens(F.col(f.attribute))
-            equal = F.when(F.length(canonical) < longest, canonical).when(canonical.isNotNull(), F.lit("*long*"))
-            agree = [x.attribute for x in spec.features if x.method == "exact" and (x.attribute,) not in spec.deterministic]
-            return [((), equal), *[((a,), F.col(a).cast("string")) for a in agree]]
-    return [((), F.lit("*"))]
+
+    def longest(f) -> int:
+        least = 1.0 - spare / f.weight
+        return int(least / (2 * (1 - least))) - 1 if least > 0 else 0
+
+    usable = [f for f in fuzzy if longest(f) >= 64]
+    ordered = next((f for f in usable if f.method == "token_sort_ratio"), None)
+    if ordered is None:
+        return {}, []
+    form = sim.sorted_tokens(F.col(ordered.attribute))
+    form = F.when(F.length(form) < longest(ordered), form).when(form.isNotNull(), F.lit("*long*"))
+    contained = next((f for f in usable if f.method == "token_set_ratio"), None)
+    if contained is None:
+        return {"__form": form}, [Slot(("__form",), any_block=True)]
+    words = F.array_distinct(sim.tokens(F.col(contained.attribute)))
+    is_long = F.length(F.array_join(words, " ")) >= longest(contained)
+    columns = {"__form": form, "__words": words, "__long": F.when(is_long, form)}
+    return columns, [Slot(("__long",), any_block=True), Slot(("__form",), inside="__words", any_block=True)]
 
 
 def _joined(parts: list[Column]) -> Column:
@@ -179,16 +226,20 @@ def _prepared(profile: DataFrame, spec: Matching) -> DataFrame:
     return profile.withColumns(forms)
 
 
-def _score_bound(spec: Matching) -> Column:
+def _score_bound(spec: Matching, closely: bool = False) -> Column:
+    """What a pair can score at most: from text lengths, or `closely` from its token sets too."""
     total = F.lit(0.0)
     for f in spec.features:
         a, b = _both(f.attribute)
+        forms = _both(f"__{f.attribute}")
         if f.method == "exact":
-            part = F.when(a == b, f.weight)
+            part = F.when(a == b, F.lit(f.weight))
         elif f.method == "token_sort_ratio":
-            part = f.weight * sim.sort_ratio_bound(*_both(f"__{f.attribute}"))
+            part = f.weight * sim.sort_ratio_bound(*forms)
+        elif closely:
+            part = f.weight * sim.set_ratio_bound(*forms)
         else:
-            part = F.when(a.isNotNull() & b.isNotNull(), f.weight)
+            part = F.when(a.isNotNull() & b.isNotNull(), F.lit(f.weight))
         total = total + F.coalesce(part, F.lit(0.0))
     return total
 
@@ -251,45 +302,63 @@ def pair_features(records: DataFrame, spec: Matching, floor: float | None = None
 
 def _profile_table(records: DataFrame, spec: Matching, floor: float) -> DataFrame:
     """Profiles with their text forms, block keys and evidence, written once for all their readers."""
-    evidence = _evidence(spec, floor)
     return materialize(_prepared(profiles(records, spec), spec).withColumns({
-        **{f"__b{i}": F.expr(b.expr) for i, b in enumerate(spec.blocking)},
-        **{f"__e{j}": key for j, (_, key) in enumerate(evidence)},
-    }), "profiles")
+        **{f"__b{i}": F.expr(b.expr) for i, b in enumerate(spec.blocking)}, **_slots(spec, floor)[0]}), "profiles")
 
 
 def _fuzzy(profile: DataFrame, spec: Matching, floor: float, split_rows: int) -> tuple[DataFrame | None, DataFrame]:
     """(pairs of different profiles or None if none can reach the floor, copies within profiles)."""
-    slots = []
-    for j, (equal, _) in enumerate(_evidence(spec, floor)):
-        # Evidence that settles a block needs no other block: whoever shares it shares that block.
-        implied = [i for i, b in enumerate(spec.blocking) if set(b.columns) <= set(equal)][:1]
-        slots += [(f"__b{i}", f"__e{j}") for i in implied or range(len(spec.blocking))]
+    slots = _slots(spec, floor)[1]
     across = _cross_profile(profile, spec, slots, floor, split_rows) if slots else None
     return across, _within_profile(profile, spec, floor)
 
 
-def _cross_profile(profile: DataFrame, spec: Matching, slots: list[tuple[str, str]], floor: float,
-                   split_rows: int) -> DataFrame:
-    entries = F.array_compact(F.array(*[
-        F.when(F.col(b).isNotNull() & F.col(e).isNotNull(), F.struct(
-            F.lit(n).alias("__slot"), F.xxhash64(F.lit(n), F.col(b), F.col(e)).alias("__group")))
-        for n, (b, e) in enumerate(slots)
-    ]))
-    grouped = profile.select("*", F.inline(entries))
+LEFT, RIGHT, BOTH = 1, 2, 3
+
+
+def _entries(n: int, slot: Slot) -> Column:
+    """The join groups a profile enters through one slot: (slot, group, side)."""
+    def entry(side: int, *more: Column) -> Column:
+        return F.struct(F.lit(n).alias("__slot"), F.xxhash64(F.lit(n), *[F.col(k) for k in slot.keys], *more).alias("__group"),
+                        F.lit(side).alias("__side"))
+
+    filled = reduce(lambda a, b: a & b, [F.col(k).isNotNull() for k in slot.keys])
+    if slot.inside is None:
+        return F.when(filled, F.array(entry(BOTH))).otherwise(F.array())
+    # If all my tokens are among yours, so is my smallest one: I ask under that one, you answer under each.
+    words = F.col(slot.inside)
+    asked = F.array(entry(LEFT, F.array_min(words)))
+    answers = F.transform(words, lambda w: entry(RIGHT, w))
+    return F.when(filled & (F.size(words) > 0), F.concat(asked, answers)).otherwise(F.array())
+
+
+def _meets(spec: Matching, slot: Slot) -> Column:
+    """Do two profiles belong together in a slot?  Compares values, so hashed groups stay exact."""
+    same = reduce(lambda a, b: a & b, [_both(k)[0] == _both(k)[1] for k in slot.keys])
+    if slot.inside:
+        a, b = _both(slot.inside)
+        same = same & ((F.size(F.array_except(a, b)) == 0) | (F.size(F.array_except(b, a)) == 0))
+    if slot.any_block:
+        shared = [F.coalesce(F.col(f"l.__b{i}") == F.col(f"r.__b{i}"), F.lit(False)) for i in range(len(spec.blocking))]
+        same = same & reduce(lambda a, b: a | b, shared)
+    return same
+
+
+def _cross_profile(profile: DataFrame, spec: Matching, slots: list[Slot], floor: float, split_rows: int) -> DataFrame:
+    grouped = profile.select("*", F.inline(F.concat(*[_entries(n, slot) for n, slot in enumerate(slots)])))
     left, right = _tiles(grouped, split_rows)
-    on = [F.col("l.__group") == F.col("r.__group"), F.col("l.__tile") == F.col("r.__tile"),
-          F.col("l.__row") == F.col("r.__row"), F.col("l.first_uid") != F.col("r.first_uid")]
-    # Within the diagonal tile a pair is taken once; off the diagonal the two sides are disjoint.
-    on.append((F.col("l.__part") != F.col("r.__part")) | (F.col("l.first_uid") < F.col("r.first_uid")))
-    # Profiles sharing several groups meet in the first of them only: no distinct over pairs.
-    # Comparing the key values also makes the hashed join key exact.
-    first = F.coalesce(*[
-        F.when((F.col(f"l.{b}") == F.col(f"r.{b}")) & (F.col(f"l.{e}") == F.col(f"r.{e}")), F.lit(n))
-        for n, (b, e) in enumerate(slots)
-    ])
-    on += [F.col("l.__slot") == F.col("r.__slot"), first == F.col("l.__slot"), ~_is_deterministic(spec),
-           _score_bound(spec) >= floor - ROUNDING]
+    on = [F.col(f"l.{c}") == F.col(f"r.{c}") for c in ("__group", "__row", "__tile", "__slot")]
+    # Each pair is taken in one orientation: by uid, or the contained side first.
+    by_uid = F.col("l.first_uid") < F.col("r.first_uid")
+    for n, slot in enumerate(slots):
+        if slot.inside:
+            a, b = (F.size(c) for c in _both(slot.inside))
+            smaller = (a < b) | ((a == b) & by_uid)
+            by_uid = F.when(F.col("l.__slot") == n, smaller).otherwise(by_uid)
+    # Profiles meeting in several slots are taken in the first of them: no distinct over pairs.
+    first = F.coalesce(*[F.when(_meets(spec, slot), F.lit(n)) for n, slot in enumerate(slots)])
+    on += [by_uid, ~_is_deterministic(spec), _score_bound(spec) >= floor - ROUNDING, first == F.col("l.__slot"),
+           _score_bound(spec, closely=True) >= floor - ROUNDING]
     met = left.alias("l").join(right.alias("r"), reduce(lambda a, b: a & b, on))
     scored = _scored(met, spec).filter(F.col("score") >= floor)
     a, b = _both("first_uid")
@@ -301,20 +370,21 @@ def _cross_profile(profile: DataFrame, spec: Matching, slots: list[tuple[str, st
 
 
 def _tiles(grouped: DataFrame, split_rows: int) -> tuple[DataFrame, DataFrame]:
-    """Both join sides, with hot groups cut into a triangle of tiles.
+    """Both join sides, with hot groups cut into a square of tiles.
 
-    A group of n profiles gets s = ceil(n / split_rows) parts; part p meets
-    part q <= p in tile (p, q), so all pairs of the group are met exactly once
-    and no task holds more than two parts.  Other groups are a single tile.
+    A group of n rows gets s = ceil(n / split_rows) parts; left part p meets
+    right part q in tile (p, q), so every pair of the group is met once per
+    orientation and no task holds more than two parts.  Other groups are a
+    single tile.
     """
     # Written, so that its real size decides whether it is broadcast; usually it is empty.
     hot = materialize(grouped.groupBy("__group").count().filter(F.col("count") > split_rows).select(
         "__group", F.ceil(F.col("count") / split_rows).cast("int").alias("__parts")), "hot")
     sized = grouped.join(hot, "__group", "left").withColumn("__parts", F.coalesce("__parts", F.lit(1)))
-    parted = sized.withColumn("__part", F.pmod(F.xxhash64("first_uid"), F.col("__parts")).cast("int"))
-    own, last = F.col("__part"), F.col("__parts") - 1
-    left = parted.withColumn("__row", own).select("*", F.explode(F.sequence(F.lit(0), own)).alias("__tile"))
-    right = parted.withColumn("__tile", own).select("*", F.explode(F.sequence(own, last)).alias("__row"))
+    part = F.pmod(F.xxhash64("first_uid"), F.col("__parts")).cast("int")
+    every = F.explode(F.sequence(F.lit(0), F.col("__parts") - 1))
+    left = sized.filter(F.col("__side") != RIGHT).withColumn("__row", part).select("*", every.alias("__tile"))
+    right = sized.filter(F.col("__side") != LEFT).withColumn("__tile", part).select("*", every.alias("__row"))
     # The join needs this partitioning anyway.  Asking for the number keeps it: the work of a task
     # grows with pairs, not bytes, so partitions that look small must not be merged.
     n = int(grouped.sparkSession.conf.get("spark.sql.shuffle.partitions"))

@@ -218,3 +218,27 @@ def test_oversize_block_is_reported_not_dropped(spark):
     row = linkage.oversize_blocks(df, config(), 20).first()
     assert (row["block_key"], row["n_records"], int(row["n_pairs"])) == ("N|ann", 30, 435)
     assert linkage.fuzzy_pairs(df, config(), 0.0).agg(F.sum("record_pairs")).first()[0] == 435
+
+
+def test_long_texts_are_compared_whole(spark):
+    """Beyond the length where equality is implied, almost equal texts still meet."""
+    words = " ".join(f"w{i:04d}" for i in range(1500))
+    near = words[:-1] + "x"
+    rows = [("a", near, "1 Hill Road", None, None, None, "IN"), ("b", words, "1 Hill Road", None, None, None, "IN"),
+            ("c", "Ann Lee", words, None, None, None, "IN"), ("d", "Ann Lee", near, None, None, None, "IN"),
+            ("e", "Ann Lee", words + " more", None, None, None, "IN")]
+    records = [dict(zip(COLUMNS, r)) for r in rows]
+    spec = config()
+    # a common first word puts all of them into one name block
+    records = [{**r, "full_name": "abc " + r["full_name"]} for r in records]
+    got = {(r["record_uid_1"], r["record_uid_2"], r["score"], r["decision"]) for r in linkage.fuzzy_pairs(frame(spark, records), spec).collect()}
+    assert got == {("a", "b", 0.65, "REVIEW"), ("c", "d", 0.65, "REVIEW"), ("c", "e", 0.65, "REVIEW")}  # d and e reach 0.6499
+
+
+def test_third_of_all_rows_under_one_name(spark):
+    """A placeholder name in a third of the rows: pairs must share address words, so few are formed."""
+    rows = [(f"u{i:05d}", "Unknown" if i % 3 == 0 else f"N{i} X{i}", f"{i} Hill Road", f"m{i}@x.io", f"9{i:09d}", None, "IN")
+            for i in range(3000)] + [("v1", "Unknown", "3 Hill Road", None, "8123456789", None, "IN")]
+    df = frame(spark, [dict(zip(COLUMNS, r)) for r in rows])
+    got = [tuple(r)[:4] for r in linkage.fuzzy_pairs(df, config()).collect()]
+    assert got == [("u00003", "v1", 1, 0.65)]
