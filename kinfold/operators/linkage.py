@@ -345,8 +345,8 @@ def _meets(spec: Matching, slot: Slot) -> Column:
 
 
 def _cross_profile(profile: DataFrame, spec: Matching, slots: list[Slot], floor: float, split_rows: int) -> DataFrame:
-    grouped = profile.select("*", F.inline(F.concat(*[_entries(n, slot) for n, slot in enumerate(slots)])))
-    left, right = _tiles(grouped, split_rows)
+    entries = profile.select("first_uid", F.inline(F.concat(*[_entries(n, slot) for n, slot in enumerate(slots)])))
+    left, right = _tiles(profile, _meeting(entries, split_rows))
     on = [F.col(f"l.{c}") == F.col(f"r.{c}") for c in ("__group", "__row", "__tile", "__slot")]
     # Each pair is taken in one orientation: by uid, or the contained side first.
     by_uid = F.col("l.first_uid") < F.col("r.first_uid")
@@ -369,25 +369,38 @@ def _cross_profile(profile: DataFrame, spec: Matching, slots: list[Slot], floor:
         *[f"sim_{f.attribute}" for f in spec.features])
 
 
-def _tiles(grouped: DataFrame, split_rows: int) -> tuple[DataFrame, DataFrame]:
+def _meeting(entries: DataFrame, split_rows: int) -> DataFrame:
+    """Entries of groups in which somebody meets somebody else, with the number of parts of their group.
+
+    Most values are unique, so this narrow pass (ids and hashes only) leaves
+    few rows for the wide one that carries the compared texts.
+    """
+    side = F.col("__side")
+    n = {s: F.count_if(side == s) for s in (LEFT, RIGHT, BOTH)}
+    # Whoever asks under a token also answers under it.
+    alive = (n[BOTH] > 1) | ((n[LEFT] > 0) & (n[RIGHT] > 1))
+    groups = entries.groupBy("__group").agg(
+        alive.alias("alive"), F.ceil(F.count("*") / split_rows).cast("int").alias("__parts")).filter("alive").drop("alive")
+    return materialize(entries.join(groups, "__group"), "meeting")
+
+
+def _tiles(profile: DataFrame, meeting: DataFrame) -> tuple[DataFrame, DataFrame]:
     """Both join sides, with hot groups cut into a square of tiles.
 
-    A group of n rows gets s = ceil(n / split_rows) parts; left part p meets
+    A group of n rows has s = ceil(n / split_rows) parts; left part p meets
     right part q in tile (p, q), so every pair of the group is met once per
     orientation and no task holds more than two parts.  Other groups are a
     single tile.
     """
-    # Written, so that its real size decides whether it is broadcast; usually it is empty.
-    hot = materialize(grouped.groupBy("__group").count().filter(F.col("count") > split_rows).select(
-        "__group", F.ceil(F.col("count") / split_rows).cast("int").alias("__parts")), "hot")
-    sized = grouped.join(hot, "__group", "left").withColumn("__parts", F.coalesce("__parts", F.lit(1)))
     part = F.pmod(F.xxhash64("first_uid"), F.col("__parts")).cast("int")
     every = F.explode(F.sequence(F.lit(0), F.col("__parts") - 1))
-    left = sized.filter(F.col("__side") != RIGHT).withColumn("__row", part).select("*", every.alias("__tile"))
-    right = sized.filter(F.col("__side") != LEFT).withColumn("__tile", part).select("*", every.alias("__row"))
+    left = meeting.filter(F.col("__side") != RIGHT).join(profile, "first_uid")
+    left = left.withColumn("__row", part).select("*", every.alias("__tile"))
+    right = meeting.filter(F.col("__side") != LEFT).join(profile, "first_uid")
+    right = right.withColumn("__tile", part).select("*", every.alias("__row"))
     # The join needs this partitioning anyway.  Asking for the number keeps it: the work of a task
     # grows with pairs, not bytes, so partitions that look small must not be merged.
-    n = int(grouped.sparkSession.conf.get("spark.sql.shuffle.partitions"))
+    n = int(profile.sparkSession.conf.get("spark.sql.shuffle.partitions"))
     return tuple(side.repartition(n, "__group", "__row", "__tile") for side in (left, right))
 
 
