@@ -1,8 +1,8 @@
 """String similarity for pair scoring.
 
-Only the longest-common-subsequence length needs Python; tokenizing, sorting,
-set algebra and the arithmetic are Spark expressions.  Both measures follow
-the published token-ratio definitions over the normalized indel similarity
+Tokenizing, sorting and the weighting are Spark expressions; only comparing two
+short canonical texts needs Python.  Both measures follow the published
+token-ratio definitions over the normalized indel similarity
 `2 * LCS(a, b) / (|a| + |b|)`.
 """
 
@@ -14,12 +14,12 @@ from pyspark.sql import Column, functions as F, types as T
 SEPARATORS = r"[\s\x1c-\x1f\x85\p{Z}]+"
 
 
-def make_lcs_length():
-    """Arrow UDF (a, b) -> length of the longest common subsequence.
+def make_kernel(measure: str):
+    """Arrow UDF over two canonical texts: the LCS length (`lcs`) or the token_set ratio (`token_set`).
 
-    Bit-parallel over the whole strings with Python integers of any width.
-    Everything it needs is nested, so it ships by value and works without the
-    package being installed on the executors.
+    The LCS is bit-parallel over the whole strings with Python integers of any
+    width.  Everything is nested, so a kernel ships by value and works without
+    the package being installed on the executors.
     """
     import pandas as pd
 
@@ -36,23 +36,40 @@ def make_lcs_length():
             row = ((row + hits) | (row - hits)) & full
         return len(a) - row.bit_count()
 
+    def token_set(a: str, b: str) -> float:
+        mine, yours = set(a.split()), set(b.split())
+        if not mine or not yours:
+            return 0.0
+        common = len(" ".join(mine & yours))
+        rest_a, rest_b = " ".join(sorted(mine - yours)), " ".join(sorted(yours - mine))
+        if common and not (rest_a and rest_b):
+            return 1.0
+        gap = 1 if common else 0
+        whole_a, whole_b = common + gap + len(rest_a), common + gap + len(rest_b)
+        apart = 1.0 - (len(rest_a) + len(rest_b) - 2 * lcs(rest_a, rest_b)) / (whole_a + whole_b)
+        if not common:
+            return apart
+        return max(apart, 1.0 - (1 + len(rest_a)) / (common + whole_a), 1.0 - (1 + len(rest_b)) / (common + whole_b))
+
+    compare = {"lcs": lcs, "token_set": token_set}[measure]
+
     def batch(left: pd.Series, right: pd.Series) -> pd.Series:
-        seen: dict[tuple[str, str], int] = {}
+        seen: dict[tuple[str, str], float] = {}
         out = []
         for pair in zip(left, right):
             if pair[0] is None or pair[1] is None:
                 out.append(None)
                 continue
             if pair not in seen:
-                seen[pair] = lcs(*pair)
+                seen[pair] = compare(*pair)
             out.append(seen[pair])
-        return pd.Series(out, dtype="Int32")
+        return pd.Series(out, dtype="Float64")
 
     # The annotations above are text in this module; Spark needs the classes.
     batch.__annotations__ = dict.fromkeys(("left", "right", "return"), pd.Series)
-    # Marked nondeterministic so that a filter on the score is not pushed below
+    # Marked nondeterministic so that a filter on the result is not pushed below
     # the projection, which would run the kernel twice.
-    return F.pandas_udf(batch, T.IntegerType()).asNondeterministic()
+    return F.pandas_udf(batch, T.DoubleType()).asNondeterministic()
 
 
 def tokens(value: Column) -> Column:
@@ -64,6 +81,11 @@ def sorted_tokens(value: Column) -> Column:
     return F.array_join(F.sort_array(tokens(value)), " ")
 
 
+def distinct_tokens(value: Column) -> Column:
+    """Distinct tokens joined by one space: the canonical form token_set compares."""
+    return F.array_join(F.array_distinct(tokens(value)), " ")
+
+
 def sort_ratio(a: Column, b: Column, lcs: Column) -> Column:
     """Normalized indel similarity of two canonical forms."""
     total = F.length(a) + F.length(b)
@@ -75,30 +97,8 @@ def sort_ratio_bound(a: Column, b: Column) -> Column:
     return sort_ratio(a, b, F.least(F.length(a), F.length(b)))
 
 
-def set_rest(a: Column, b: Column) -> Column:
-    """Sorted tokens of `a` that `b` lacks, as text."""
-    return F.array_join(F.sort_array(F.array_except(a, b)), " ")
-
-
-def set_ratio(a: Column, b: Column, rest_lcs: Column) -> Column:
-    """token_set similarity of two token arrays, given the LCS length of their rests."""
-    common = F.length(F.array_join(F.array_intersect(a, b), " "))
-    rest_a, rest_b = F.length(set_rest(a, b)), F.length(set_rest(b, a))
-    gap = F.when(common > 0, 1).otherwise(0)
-    whole_a, whole_b = common + gap + rest_a, common + gap + rest_b
-    indel = rest_a + rest_b - 2 * rest_lcs
-    apart = 1.0 - indel / (whole_a + whole_b)
-    against_a = 1.0 - (gap + rest_a) / (common + whole_a)
-    against_b = 1.0 - (gap + rest_b) / (common + whole_b)
-    return (
-        F.when((F.size(a) == 0) | (F.size(b) == 0), F.lit(0.0))
-        .when((common > 0) & ((rest_a == 0) | (rest_b == 0)), F.lit(1.0))
-        .when(common == 0, apart)
-        .otherwise(F.greatest(apart, against_a, against_b))
-    )
-
-
-def set_ratio_bound(a: Column, b: Column) -> Column:
-    """Upper bound of `set_ratio` without comparing characters."""
-    rests = F.length(set_rest(a, b)), F.length(set_rest(b, a))
-    return set_ratio(a, b, F.least(*rests))
+def ratio(method: str, a: Column, b: Column) -> Column:
+    """Similarity of two canonical forms by either token measure."""
+    if method == "token_sort_ratio":
+        return sort_ratio(a, b, make_kernel("lcs")(a, b))
+    return make_kernel("token_set")(a, b)

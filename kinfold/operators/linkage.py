@@ -222,52 +222,46 @@ def _conflict(spec: Matching) -> Column:
 def _prepared(profile: DataFrame, spec: Matching) -> DataFrame:
     """Canonical text forms, once per profile instead of once per pair."""
     forms = {f"__{f.attribute}": sim.sorted_tokens(F.col(f.attribute)) if f.method == "token_sort_ratio"
-             else sim.tokens(F.col(f.attribute)) for f in spec.features if f.method != "exact"}
+             else sim.distinct_tokens(F.col(f.attribute)) for f in spec.features if f.method != "exact"}
     return profile.withColumns(forms)
 
 
-def _score_bound(spec: Matching, closely: bool = False) -> Column:
-    """What a pair can score at most: from text lengths, or `closely` from its token sets too."""
+def _exact_part(f) -> Column:
+    a, b = _both(f.attribute)
+    return F.coalesce(F.when(a == b, F.lit(1.0)), F.lit(0.0))
+
+
+def _bound(spec: Matching, known: set[str]) -> Column:
+    """What a pair can score at most, when only the similarities in `known` were measured."""
     total = F.lit(0.0)
     for f in spec.features:
-        a, b = _both(f.attribute)
         forms = _both(f"__{f.attribute}")
-        if f.method == "exact":
-            part = F.when(a == b, F.lit(f.weight))
+        if f.attribute in known:
+            part = F.col(f"sim_{f.attribute}")
+        elif f.method == "exact":
+            part = _exact_part(f)
         elif f.method == "token_sort_ratio":
-            part = f.weight * sim.sort_ratio_bound(*forms)
-        elif closely:
-            part = f.weight * sim.set_ratio_bound(*forms)
+            part = F.coalesce(sim.sort_ratio_bound(*forms), F.lit(0.0))
         else:
-            part = F.when(a.isNotNull() & b.isNotNull(), F.lit(f.weight))
-        total = total + F.coalesce(part, F.lit(0.0))
+            part = F.when(forms[0].isNotNull() & forms[1].isNotNull(), F.lit(1.0)).otherwise(0.0)
+        total = total + f.weight * part
     return total
 
 
-def _scored(pairs: DataFrame, spec: Matching) -> DataFrame:
-    """Weighted similarity, rounded to four digits; a NULL on either side contributes nothing."""
-    lcs = sim.make_lcs_length()
-    texts = {}
-    for f in spec.features:
-        a, b = _both(f"__{f.attribute}")
-        if f.method == "token_sort_ratio":
-            texts[f.attribute] = lcs(a, b)
-        elif f.method == "token_set_ratio":
-            texts[f.attribute] = lcs(sim.set_rest(a, b), sim.set_rest(b, a))
-    pairs = pairs.select("*", *[v.alias(f"__lcs_{k}") for k, v in texts.items()])
-    parts = {}
-    for f in spec.features:
-        a, b = _both(f.attribute)
-        forms = _both(f"__{f.attribute}")
-        if f.method == "exact":
-            part = F.when(a == b, F.lit(1.0))
-        else:
-            ratio = sim.sort_ratio if f.method == "token_sort_ratio" else sim.set_ratio
-            part = ratio(*forms, F.col(f"__lcs_{f.attribute}"))
-        parts[f"sim_{f.attribute}"] = F.coalesce(part, F.lit(0.0))
-    pairs = pairs.withColumns(parts)
+def _scored(pairs: DataFrame, spec: Matching, floor: float) -> DataFrame:
+    """Weighted similarity, rounded to four digits; a NULL on either side contributes nothing.
+
+    Features are measured by falling weight, and a pair leaves as soon as the
+    rest cannot lift it to the floor.
+    """
+    known: set[str] = set()
+    for f in sorted((f for f in spec.features if f.method != "exact"), key=lambda f: -f.weight):
+        measured = F.coalesce(sim.ratio(f.method, *_both(f"__{f.attribute}")), F.lit(0.0))
+        known = known | {f.attribute}
+        pairs = pairs.withColumn(f"sim_{f.attribute}", measured).filter(_bound(spec, known) >= floor - ROUNDING)
+    pairs = pairs.withColumns({f"sim_{f.attribute}": _exact_part(f) for f in spec.features if f.method == "exact"})
     total = reduce(lambda t, f: t + f.weight * F.col(f"sim_{f.attribute}"), spec.features, F.lit(0.0))
-    return pairs.withColumn("score", F.round(total, 4))
+    return pairs.withColumn("score", F.round(total, 4)).filter(F.col("score") >= floor)
 
 
 def _decided(score: Column, conflict: Column, spec: Matching) -> Column:
@@ -357,10 +351,9 @@ def _cross_profile(profile: DataFrame, spec: Matching, slots: list[Slot], floor:
             by_uid = F.when(F.col("l.__slot") == n, smaller).otherwise(by_uid)
     # Profiles meeting in several slots are taken in the first of them: no distinct over pairs.
     first = F.coalesce(*[F.when(_meets(spec, slot), F.lit(n)) for n, slot in enumerate(slots)])
-    on += [by_uid, ~_is_deterministic(spec), _score_bound(spec) >= floor - ROUNDING, first == F.col("l.__slot"),
-           _score_bound(spec, closely=True) >= floor - ROUNDING]
+    on += [by_uid, ~_is_deterministic(spec), _bound(spec, set()) >= floor - ROUNDING, first == F.col("l.__slot")]
     met = left.alias("l").join(right.alias("r"), reduce(lambda a, b: a & b, on))
-    scored = _scored(met, spec).filter(F.col("score") >= floor)
+    scored = _scored(met, spec, floor)
     a, b = _both("first_uid")
     return scored.select(
         F.least(a, b).alias("record_uid_1"), F.greatest(a, b).alias("record_uid_2"),
@@ -413,7 +406,7 @@ def _within_profile(profile: DataFrame, spec: Matching, floor: float) -> DataFra
     for f in spec.features:
         part = F.when(F.col(f.attribute).isNotNull(), F.lit(f.weight))
         if f.method == "token_set_ratio":  # no token at all: nothing in common
-            part = F.when(F.size(f"__{f.attribute}") > 0, F.lit(f.weight))
+            part = F.when(F.length(f"__{f.attribute}") > 0, F.lit(f.weight))
         total = total + F.coalesce(part, F.lit(0.0))
     n = F.col("n_records")
     return (profile.filter((n > 1) & blocked & ~deterministic).withColumn("score", F.round(total, 4))

@@ -69,11 +69,11 @@ def test_similarity_kernels(spark):
              "naïve café", "a a b", "a b", "12 12 12", "安娜 李"]
     pairs = [(a, b) for a in texts for b in texts]
     df = spark.createDataFrame(pairs, "a string, b string")
-    kernel = sim.make_lcs_length()
-    df = df.withColumns({"sa": sim.sorted_tokens("a"), "sb": sim.sorted_tokens("b"), "ta": sim.tokens("a"), "tb": sim.tokens("b")})
-    rows = df.select("a", "b", kernel("a", "b").alias("l"), sim.sort_ratio(F.col("sa"), F.col("sb"), kernel("sa", "sb")).alias("s"),
-                     sim.set_ratio(F.col("ta"), F.col("tb"), kernel(sim.set_rest("ta", "tb"), sim.set_rest("tb", "ta"))).alias("t"),
-                     sim.sort_ratio_bound(F.col("sa"), F.col("sb")).alias("bound")).collect()
+    df = df.withColumns({"sa": sim.sorted_tokens("a"), "sb": sim.sorted_tokens("b"), "ta": sim.distinct_tokens("a"),
+                         "tb": sim.distinct_tokens("b")})
+    sa, sb = F.col("sa"), F.col("sb")
+    rows = df.select("a", "b", sim.make_kernel("lcs")("a", "b").alias("l"), sim.ratio("token_sort_ratio", sa, sb).alias("s"),
+                     sim.ratio("token_set_ratio", F.col("ta"), F.col("tb")).alias("t"), sim.sort_ratio_bound(sa, sb).alias("bound")).collect()
     for r in rows:
         assert r["l"] == lcs(r["a"], r["b"])
         assert r["s"] == pytest.approx(token_sort(r["a"], r["b"]))
