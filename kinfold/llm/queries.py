@@ -4,13 +4,17 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
 
-from kinfold.llm import quality_rules, secrets
+from kinfold.llm import near_duplicates, quality_rules, secrets
 
 
 def _table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir}/{name}.parquet")
 
 
+def op1_minhash_postings(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return near_duplicates.components(_table(spark, sf_dir, "documents"))
+
+
 def op3_secret_ledger(spark: SparkSession, sf_dir: str) -> DataFrame:
     return secrets.digest(secrets.findings(_table(spark, sf_dir, "documents"), path="doc_id", text="text"))
 
@@ -19,4 +23,4 @@ def op4_quality_divergence(spark: SparkSession, sf_dir: str) -> DataFrame:
     return quality_rules.report(_table(spark, sf_dir, "documents"))
 
 
-QUERIES = {f.__name__: f for f in (op3_secret_ledger, op4_quality_divergence)}
+QUERIES = {f.__name__: f for f in (op1_minhash_postings, op3_secret_ledger, op4_quality_divergence)}
