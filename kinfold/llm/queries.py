@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
 
-from kinfold.llm import near_duplicates, quality_rules, secrets
+from kinfold.llm import mixing, near_duplicates, quality_rules, secrets
 
 
 def _table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
@@ -23,4 +23,8 @@ def op4_quality_divergence(spark: SparkSession, sf_dir: str) -> DataFrame:
     return quality_rules.report(_table(spark, sf_dir, "documents"))
 
 
-QUERIES = {f.__name__: f for f in (op1_minhash_postings, op3_secret_ledger, op4_quality_divergence)}
+def op10_entropy_mix(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return mixing.report(_table(spark, sf_dir, "documents"))
+
+
+QUERIES = {f.__name__: f for f in (op1_minhash_postings, op3_secret_ledger, op4_quality_divergence, op10_entropy_mix)}
