@@ -2,8 +2,10 @@
 
 from __future__ import annotations
 
-from collections.abc import Iterator
+import sys
+from collections.abc import Callable, Iterator
 from dataclasses import dataclass
+from types import ModuleType
 
 import numpy as np
 import pandas as pd
@@ -89,3 +91,11 @@ def string_bytes(texts: pa.Array) -> tuple[np.ndarray, np.ndarray]:
     data = texts.buffers()[2]
     raw = np.frombuffer(data, np.uint8)[offsets[0]:offsets[-1]] if data is not None else np.zeros(0, np.uint8)
     return raw, np.repeat(np.arange(len(texts), dtype=np.int32), np.diff(offsets))
+
+
+def process_state(key, build: Callable):
+    """What `build` gives, made once per Python process and kept across tasks."""
+    kept = sys.modules.setdefault("_kinfold_llm_state", ModuleType("_kinfold_llm_state")).__dict__
+    if key not in kept:
+        kept[key] = build()
+    return kept[key]
