@@ -56,7 +56,8 @@ class Pieces:
         return np.bincount(self.rows, weights, self.n_rows).astype(np.int64)
 
 
-def _pieces(lists: pa.Array, drop_empty: bool) -> Pieces:
+def listed(lists: pa.Array, drop_empty: bool = False) -> Pieces:
+    """The strings of a list array."""
     encoded = pc.dictionary_encode(lists.flatten())
     codes = encoded.indices.to_numpy(zero_copy_only=False).astype(np.int64)
     offsets = lists.offsets.to_numpy(zero_copy_only=False).astype(np.int64)
@@ -72,11 +73,11 @@ def _pieces(lists: pa.Array, drop_empty: bool) -> Pieces:
 
 def words(texts: pa.Array) -> Pieces:
     """Runs of characters other than U+0020 and U+0009 to U+000D."""
-    return _pieces(pc.ascii_split_whitespace(texts), True)
+    return listed(pc.ascii_split_whitespace(texts), True)
 
 
 def split_on(texts: pa.Array, separator: str) -> Pieces:
-    return _pieces(pc.split_pattern(texts, separator), False)
+    return listed(pc.split_pattern(texts, separator))
 
 
 def pair_codes(left: np.ndarray, right: np.ndarray, n_right: int) -> tuple[np.ndarray, int]:

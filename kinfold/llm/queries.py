@@ -4,7 +4,8 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
 
-from kinfold.llm import bpe, line_templates, mixing, near_duplicates, quality_rules, secrets
+from kinfold.llm import bpe, line_templates, mixing, near_duplicates, quality_rules, secrets, token_files
+from kinfold.session import scratch_path
 
 
 def _table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
@@ -27,6 +28,10 @@ def op5_speculative_bpe(spark: SparkSession, sf_dir: str) -> DataFrame:
     return bpe.report(_table(spark, sf_dir, "documents"))
 
 
+def op6_perfect_hash_files(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return token_files.report(_table(spark, sf_dir, "documents"), scratch_path(spark, "token-files"))
+
+
 def op9_line_templates(spark: SparkSession, sf_dir: str) -> DataFrame:
     return line_templates.report(_table(spark, sf_dir, "documents"))
 
@@ -35,5 +40,6 @@ def op10_entropy_mix(spark: SparkSession, sf_dir: str) -> DataFrame:
     return mixing.report(_table(spark, sf_dir, "documents"))
 
 
-QUERIES = {f.__name__: f for f in (op1_minhash_postings, op3_secret_ledger, op4_quality_divergence, op5_speculative_bpe, op9_line_templates,
+QUERIES = {f.__name__: f for f in (op1_minhash_postings, op3_secret_ledger, op4_quality_divergence, op5_speculative_bpe, op6_perfect_hash_files,
+                                     op9_line_templates,
                                      op10_entropy_mix)}
