@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
 
-from kinfold.llm import bpe, line_templates, mixing, near_duplicates, quality_rules, secrets, token_files
+from kinfold.llm import bpe, line_templates, mixing, near_duplicates, quality_rules, secrets, token_files, vamana
 from kinfold.session import scratch_path
 
 
@@ -32,6 +32,10 @@ def op6_perfect_hash_files(spark: SparkSession, sf_dir: str) -> DataFrame:
     return token_files.report(_table(spark, sf_dir, "documents"), scratch_path(spark, "token-files"))
 
 
+def op8_vamana_shards(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return vamana.report(_table(spark, sf_dir, "embeddings"))
+
+
 def op9_line_templates(spark: SparkSession, sf_dir: str) -> DataFrame:
     return line_templates.report(_table(spark, sf_dir, "documents"))
 
@@ -41,5 +45,5 @@ def op10_entropy_mix(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 QUERIES = {f.__name__: f for f in (op1_minhash_postings, op3_secret_ledger, op4_quality_divergence, op5_speculative_bpe, op6_perfect_hash_files,
-                                     op9_line_templates,
+                                     op8_vamana_shards, op9_line_templates,
                                      op10_entropy_mix)}
