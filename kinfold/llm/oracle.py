@@ -1,3 +1,39 @@
 """SQL answers of the operators that SQL can express."""
 
-ORACLE: dict[str, str] = {}
+# As of each fetch, the latest event of every (list, key) of a capture decides.
+URL_LISTS = r"""
+WITH seen AS (
+    SELECT page_id, url, html, TIMESTAMP '2024-01-01 00:00:00' + to_hours(page_id) AS ts,
+           nullif(rtrim(lower(regexp_extract(url, '^[A-Za-z][A-Za-z0-9+.-]*://(?:[^/?#@]*@)?([^/?#:]+)', 1)), '.'), '') AS host,
+           regexp_extract(url, '^[A-Za-z][A-Za-z0-9+.-]*://[^/?#]*(/[^?#]*)', 1) AS path
+    FROM pages),
+parts AS (
+    SELECT *, list_filter(string_split(path, '/'), lambda p: p <> '') AS names, string_split(host, '.') AS labels,
+           string_split(path, '/')[2] AS section FROM seen),
+raw_log AS (
+    SELECT 'junk' AS list, host AS key, CASE WHEN contains(html, '%%%') THEN 'add' ELSE 'remove' END AS action, ts FROM parts
+    UNION ALL
+    SELECT 'section', CASE WHEN coalesce(section, '') <> '' THEN host || '/' || section END,
+           CASE WHEN contains(html, '%%%') THEN 'add' ELSE 'remove' END, ts FROM parts
+    UNION ALL
+    SELECT 'tracking', nullif(regexp_extract(host, '^[^.]+\.(.+)$', 1), ''),
+           CASE WHEN contains(url, 'ref=') THEN 'add' ELSE 'remove' END, ts FROM parts),
+log AS (SELECT list, key, ts, max(action) AS action FROM raw_log WHERE key IS NOT NULL GROUP BY ALL),
+keys AS (
+    SELECT DISTINCT page_id, ts, key FROM (
+        SELECT page_id, ts, unnest(list_transform(range(1, len(labels) + 1), lambda i: array_to_string(labels[i:], '.'))) AS key FROM parts
+        UNION ALL
+        SELECT page_id, ts, host || '/' || unnest(list_transform(range(1, len(names) + 1), lambda i: array_to_string(names[:i], '/'))) FROM parts
+        WHERE host IS NOT NULL)),
+latest AS (
+    SELECT k.page_id, l.list, l.key, max(l.ts) AS since, arg_max(l.action, l.ts) AS action
+    FROM keys k JOIN log l ON l.key = k.key AND l.ts <= k.ts GROUP BY ALL),
+hits AS (
+    SELECT page_id, count(*) AS n_active, min({'valid_from': since, 'list': list, 'key': key}) AS oldest
+    FROM latest WHERE action = 'add' GROUP BY page_id)
+SELECT s.page_id, s.host, h.page_id IS NULL AS allowed, coalesce(h.n_active, 0) AS n_active, h.oldest.list AS list,
+       h.oldest.key AS listed_key, strftime(h.oldest.valid_from, '%Y-%m-%d %H:%M:%S') AS listed_since
+FROM seen s LEFT JOIN hits h USING (page_id)
+"""
+
+ORACLE: dict[str, str] = {"op2_temporal_url_lists": URL_LISTS}
