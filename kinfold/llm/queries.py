@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
 
-from kinfold.llm import bpe, line_templates, mixing, near_duplicates, quality_rules, secrets, token_files, vamana
+from kinfold.llm import bpe, line_templates, mixing, near_duplicates, quality_rules, secrets, token_files, url_lists, vamana, word_pieces
 from kinfold.session import scratch_path
 
 
@@ -16,6 +16,10 @@ def op1_minhash_postings(spark: SparkSession, sf_dir: str) -> DataFrame:
     return near_duplicates.components(_table(spark, sf_dir, "documents"))
 
 
+def op2_temporal_url_lists(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return url_lists.report(_table(spark, sf_dir, "pages"))
+
+
 def op3_secret_ledger(spark: SparkSession, sf_dir: str) -> DataFrame:
     return secrets.digest(secrets.findings(_table(spark, sf_dir, "documents"), path="doc_id", text="text"))
 
@@ -32,6 +36,10 @@ def op6_perfect_hash_files(spark: SparkSession, sf_dir: str) -> DataFrame:
     return token_files.report(_table(spark, sf_dir, "documents"), scratch_path(spark, "token-files"))
 
 
+def op7_word_piece_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return word_pieces.report(_table(spark, sf_dir, "documents"))
+
+
 def op8_vamana_shards(spark: SparkSession, sf_dir: str) -> DataFrame:
     return vamana.report(_table(spark, sf_dir, "embeddings"))
 
@@ -44,6 +52,6 @@ def op10_entropy_mix(spark: SparkSession, sf_dir: str) -> DataFrame:
     return mixing.report(_table(spark, sf_dir, "documents"))
 
 
-QUERIES = {f.__name__: f for f in (op1_minhash_postings, op3_secret_ledger, op4_quality_divergence, op5_speculative_bpe, op6_perfect_hash_files,
-                                     op8_vamana_shards, op9_line_templates,
-                                     op10_entropy_mix)}
+QUERIES = {f.__name__: f for f in (
+    op1_minhash_postings, op2_temporal_url_lists, op3_secret_ledger, op4_quality_divergence, op5_speculative_bpe,
+    op6_perfect_hash_files, op7_word_piece_counts, op8_vamana_shards, op9_line_templates, op10_entropy_mix)}
