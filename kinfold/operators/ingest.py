@@ -58,7 +58,8 @@ def filter_incremental(incoming: DataFrame, marks: DataFrame, spec: EntitySpec,
 
     Rows equal to the mark or without a usable timestamp are re-read on
     purpose: `landed` removes those already stored with the same payload, so
-    late rows of the marked instant are neither lost nor stored twice.
+    late rows of the marked instant are neither lost nor stored twice.  A payload is
+    compared with the record's latest batch only.
     """
     # One row per registered source: its size is bounded by the spec, so it may be broadcast,
     # and a source holding most of the rows is never shuffled to one place.
@@ -73,7 +74,9 @@ def filter_incremental(incoming: DataFrame, marks: DataFrame, spec: EntitySpec,
     fresh = reaches_mark(incoming).drop("high_water_mark")
     if landed is None:
         return fresh
-    boundary = reaches_mark(landed).select("record_uid", F.sha2("raw_payload", 256).alias("payload_hash")).distinct()
+    # Only a record's latest batch counts: one that returns to an earlier payload has changed again.
+    latest = landed.groupBy("record_uid").agg(F.max("batch_id").alias("batch_id"))
+    boundary = landed.join(latest, ["record_uid", "batch_id"]).select("record_uid", F.sha2("raw_payload", 256).alias("payload_hash"))
     return (fresh.withColumn("payload_hash", F.sha2("raw_payload", 256))
             .join(boundary, ["record_uid", "payload_hash"], "left_anti").drop("payload_hash"))
 

@@ -33,14 +33,21 @@ def dq_annotations(uids: DataFrame, dq_results: DataFrame) -> DataFrame:
     return uids.join(dq_results.select("record_uid", "rule_id", "severity", "description"), "record_uid")
 
 
-def match_decisions(uids: DataFrame, match_pairs: DataFrame) -> DataFrame:
+def match_decisions(uids: DataFrame, match_pairs: DataFrame, stands: DataFrame) -> DataFrame:
     """Decisions touching a member on either side; one listing per entity and pair.
 
+    A key link names its records.  Any other pair names the first record of two
+    profiles and holds for all their copies, so members meet it through `stands`
+    (record_uid, first_uid); `record_pairs` says how many pairs it stands for.
     Each pair is keyed by both ends and joined once, instead of an OR join.
     """
-    ends = match_pairs.select("*", F.explode(F.array("record_uid_1", "record_uid_2")).alias("record_uid"))
-    return ends.join(uids, "record_uid").select(
-        "golden_id", "record_uid_1", "record_uid_2", "score", "method", "decision").distinct()
+    # What a record is found under: its own uid for key links, its profile's for the rest.
+    known = uids.join(stands, "record_uid").select("golden_id", F.inline(F.array(
+        F.struct(F.lit("deterministic").alias("method"), F.col("record_uid").alias("end")),
+        F.struct(F.lit("probabilistic").alias("method"), F.col("first_uid").alias("end"))))).distinct()
+    ends = match_pairs.select("*", F.explode(F.array("record_uid_1", "record_uid_2")).alias("end"))
+    return ends.join(known, ["method", "end"]).select(
+        "golden_id", "record_uid_1", "record_uid_2", "record_pairs", "score", "method", "decision").distinct()
 
 
 def survivorship(golden_ids: DataFrame, decisions: DataFrame) -> DataFrame:
@@ -64,17 +71,17 @@ def trace(sections: dict[str, DataFrame]) -> DataFrame:
     return reduce(DataFrame.unionByName, parts)
 
 
-def documents(traced: DataFrame, limit: int = 1000) -> DataFrame:
-    """One nested document per golden record: an array of evidence per section.
+def documents(traced: DataFrame, items: int = 1000) -> DataFrame:
+    """Nested documents: (golden_id, section, part, evidence), about `items` pieces of evidence each.
 
-    An entity with more than `limit` items is split into `parts` documents by
-    a hash of the evidence, so no row ever grows with the size of an entity.
+    The shape is the same for every entity: the parts of a section are numbered
+    from 0 by a hash of the evidence, as many as its number of items asks for, so
+    no row grows with the size of an entity.
     """
-    sizes = (traced.groupBy("golden_id").agg(F.count("*").alias("n"))
-             .select("golden_id", F.ceil(F.col("n") / limit).cast("int").alias("parts")))
-    part = F.pmod(F.xxhash64("section", "evidence"), F.col("parts")).cast("int")
-    return (traced.join(sizes, "golden_id").withColumn("part", part).groupBy("golden_id", "part", "parts").agg(*[
-        F.sort_array(F.collect_list(F.when(F.col("section") == s, F.col("evidence")))).alias(s) for s in SECTIONS]))
+    sizes = traced.groupBy("golden_id", "section").agg(F.ceil(F.count("*") / items).cast("int").alias("parts"))
+    part = F.pmod(F.xxhash64("evidence"), F.col("parts")).cast("int").alias("part")
+    return (traced.join(sizes, ["golden_id", "section"]).groupBy("golden_id", "section", part)
+            .agg(F.sort_array(F.collect_list("evidence")).alias("evidence")))
 
 
 def sample_entities(crosswalk: DataFrame, least_members: int = 3, limit: int = 1) -> DataFrame:

@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from functools import reduce
 
-from pyspark.sql import DataFrame, Window, functions as F
+from pyspark.sql import Column, DataFrame, Window, functions as F
 
 from kinfold.operators.linkage import REVIEW
 from kinfold.operators.quality import QUARANTINED, results
@@ -59,16 +59,41 @@ def stalled_sources(marks: DataFrame, as_of: str, max_days: int) -> DataFrame:
     return marks.select("source_id", "high_water_mark", age.alias("days_behind")).filter(F.col("days_behind") > max_days)
 
 
-def review_sla_breaches(pairs: DataFrame, records: DataFrame, as_of: str, max_days: int) -> DataFrame:
-    """Review pairs waiting longer than allowed, measured from the later of the two records."""
-    day = records.select("record_uid", F.expr("try_cast(source_updated_at AS DATE)").alias("day"))
+def review_sla_breaches(pairs: DataFrame, records: DataFrame, as_of: str, max_days: int, stands: DataFrame) -> DataFrame:
+    """Review pairs waiting longer than allowed, measured from the later of two records.
+
+    A listed pair stands for all pairs of copies of its two profiles (`stands`:
+    record_uid, first_uid).  From the dates of each profile's records follow, without
+    forming a pair, how many of them are late (`late_pairs`) and how long the
+    longest waits.  A record without a date waits since its partner's.
+    """
+    cutoff = F.date_sub(F.lit(as_of).cast("date"), max_days)
+    dated = stands.join(records.select("record_uid", F.expr("try_cast(source_updated_at AS DATE)").alias("day")), "record_uid")
     queue = pairs.filter(F.col("decision") == REVIEW)
-    for side in ("1", "2"):
-        queue = queue.join(day.select(F.col("record_uid").alias(f"record_uid_{side}"), F.col("day").alias(f"day_{side}")),
-                           f"record_uid_{side}")
-    waiting = F.date_diff(F.lit(as_of).cast("date"), F.greatest("day_1", "day_2"))
-    return (queue.select("record_uid_1", "record_uid_2", "score", waiting.alias("days_waiting"))
-            .filter(F.col("days_waiting") > max_days))
+    # The first record by date, and the first of the others: what two copies of one profile can wait since.
+    first = dated.groupBy("first_uid").agg(F.min(F.when(F.col("day").isNotNull(), F.struct("day", "record_uid"))).alias("one"))
+    other = dated.join(first, "first_uid").filter(F.col("one").isNotNull() & (F.col("record_uid") != F.col("one.record_uid")))
+    second = other.groupBy("first_uid").agg(F.min("day").alias("second_day"))
+    ages = (dated.groupBy("first_uid").agg(
+        F.min("day").alias("day"), F.count_if(F.col("day").isNull()).alias("undated"),
+        F.count_if(F.coalesce(F.col("day") < cutoff, F.lit(True))).alias("old")).join(second, "first_uid", "left"))
+    # A pair inside one profile names its first and last record, and only the first names a profile.
+    ends = queue.join(stands.select(F.col("record_uid").alias("record_uid_2"), F.col("first_uid").alias("p2")), "record_uid_2")
+    for side, uid in (("1", "record_uid_1"), ("2", "p2")):
+        renamed = ages.select(F.col("first_uid").alias(uid), *[F.col(c).alias(f"{c}_{side}") for c in ages.columns[1:]])
+        ends = ends.join(renamed, uid)
+    same = F.col("record_uid_1") == F.col("p2")
+
+    def two_of(n: str) -> Column:
+        return F.expr(f"{n} * ({n} - 1) div 2")
+    late = F.when(same, two_of("old_1") - two_of("undated_1")).otherwise(
+        F.col("old_1") * F.col("old_2") - F.col("undated_1") * F.col("undated_2"))
+    both = F.when(F.col("day_1").isNotNull() & F.col("day_2").isNotNull(), F.greatest("day_1", "day_2"))
+    since = F.when(same, F.least("second_day_1", F.when(F.col("undated_1") > 0, F.col("day_1")))).otherwise(
+        F.least(both, F.when(F.col("undated_1") > 0, F.col("day_2")), F.when(F.col("undated_2") > 0, F.col("day_1"))))
+    return (ends.withColumn("late_pairs", late).filter("late_pairs > 0")
+            .select("record_uid_1", "record_uid_2", "score", "late_pairs",
+                    F.date_diff(F.lit(as_of).cast("date"), since).alias("days_waiting")))
 
 
 def alerts(conditions: dict[str, DataFrame]) -> DataFrame:

@@ -75,6 +75,17 @@ def quarantine(evaluated: DataFrame) -> DataFrame:
     return evaluated.filter(F.col("dq_status") == QUARANTINED)
 
 
+def split_contract(extract: DataFrame, rules: Sequence[Mapping], as_of: str) -> tuple[DataFrame, DataFrame]:
+    """(extract rows that keep the contract, the others as `payload` and `reason`), before anything is landed."""
+    columns = extract.columns
+    judged = evaluate(extract, rules, as_of)
+    broken = F.filter("dq_failures", lambda f: f["severity"] == "ERROR")
+    reason = F.concat(F.lit("contract:"), F.array_join(F.transform(broken, lambda f: f["rule_id"]), ","))
+    parked = quarantine(judged).select(F.to_json(F.struct(*columns), {"ignoreNullFields": "false"}).alias("payload"),
+                                       reason.alias("reason"))
+    return valid(judged).select(*columns), parked
+
+
 def metrics(evaluated: DataFrame, *by: str) -> DataFrame:
     """Rows in, valid, quarantined and rule failures in one aggregation."""
     failed = F.col("dq_status") == QUARANTINED

@@ -13,7 +13,6 @@ from kinfold.operators.ingest import to_canonical, union_sources
 from kinfold.operators.quality import evaluate
 from kinfold.operators.standardize import standardize
 from kinfold.plans.customer import AS_OF, CUSTOMER
-from kinfold.session import spread
 from kinfold.spec import EntitySpec, Source
 
 # How a customer key becomes a person.
@@ -83,7 +82,7 @@ def contact_records(customer: DataFrame, source_id: str | None = None) -> DataFr
 
 
 def customers(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return spread(spark.read.parquet(f"{sf_dir}/customer.parquet"))
+    return spark.read.parquet(f"{sf_dir}/customer.parquet").repartition("c_custkey")
 
 
 def extract(customer: DataFrame, source: Source) -> DataFrame:

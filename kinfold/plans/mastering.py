@@ -4,13 +4,13 @@ from __future__ import annotations
 
 from functools import cached_property
 
-from pyspark.sql import DataFrame, SparkSession, functions as F
+from pyspark.sql import Column, DataFrame, SparkSession, functions as F
 
 from kinfold.operators import incremental, ingest, lineage, linkage, quality, reconcile, survivorship
 from kinfold.operators.standardize import standardize
 from kinfold.session import materialize
 from kinfold.sources import files
-from kinfold.sources.tables import Layers, stage_event
+from kinfold.sources.tables import Layers, check_batch_id, stage_event
 from kinfold.spec import EntitySpec
 
 
@@ -72,7 +72,7 @@ class Mastering:
             lineage.source_records(uids, self.checked),
             lineage.transforms(uids, self.checked),
             lineage.dq_annotations(uids, quality.results(self.checked)),
-            lineage.match_decisions(uids, self.pairs),
+            lineage.match_decisions(uids, self.pairs, linkage.profile_members(self.valid, self.spec.matching)),
             lineage.survivorship(golden_ids, self.decisions),
         ])))
 
@@ -85,22 +85,27 @@ def land_batch(spark: SparkSession, spec: EntitySpec, layers: Layers, root: str,
         extract = files.scan(spark, source, root)
         files.check_layout(extract, source)
         good, bad = files.split_dead_letters(extract, source)
+        if source.contract:
+            good, broken = quality.split_contract(good, source.contract, as_of)
+            bad = bad.unionByName(broken.select(F.lit(source.source_id).alias("source_id"), "payload", "reason"))
         records.append(ingest.to_canonical(good, source, spec, batch_id, as_of))
         dead.append(bad)
     arrived = ingest.union_sources(records)
     if marks is not None:
         arrived = ingest.filter_incremental(arrived, marks, spec, landed)
-    layers.write(arrived, "bronze", f"{spec.entity}_raw")
-    layers.write(ingest.union_sources(dead).withColumn("batch_id", F.lit(batch_id)), "bronze", "dead_letters")
+    layers.write(arrived, "bronze", f"{spec.entity}_raw", batch_id)
+    layers.write(ingest.union_sources(dead), "bronze", "dead_letters", batch_id)
 
 
 def run_batch(spark: SparkSession, spec: EntitySpec, layers: Layers, root: str, batch_id: str, as_of: str,
               previous: str | None = None, id_length: int = 32) -> Mastering:
     """One batch from landing files to golden records, every stage as a table partition of its own.
 
-    Earlier batches stay.  After the first batch only new and changed records
-    are matched, against the entities of the `previous` batch.
+    Earlier batches stay.  After the first batch, clusters come from matching only
+    new and changed records against the entities of the `previous` batch; the
+    pair table and the golden records are written for all current records.
     """
+    check_batch_id(batch_id, previous)
     raw, std, marked = f"{spec.entity}_raw", f"{spec.entity}_standardized", "high_water_marks"
     if previous is None:
         land_batch(spark, spec, layers, root, batch_id, as_of)
@@ -110,34 +115,42 @@ def run_batch(spark: SparkSession, spec: EntitySpec, layers: Layers, root: str,
                  .agg(F.max("high_water_mark").alias("high_water_mark")))
         land_batch(spark, spec, layers, root, batch_id, as_of, marks, layers.read("bronze", raw).filter(earlier))
     bronze = layers.read("bronze", raw, batch_id)
-    layers.write(ingest.high_water_marks(bronze, spec).withColumn("batch_id", F.lit(batch_id)), "ops", marked)
+    layers.write(ingest.high_water_marks(bronze, spec), "ops", marked, batch_id)
 
-    layers.write(standardize(bronze, spec).withColumn("rule_version", F.lit(spec.version)), "silver", std)
-    checked = quality.evaluate(layers.read("silver", std, batch_id), spec.rules, as_of)
-    layers.write(checked, "silver", f"{spec.entity}_checked")
+    layers.write(standardize(bronze, spec).withColumn("rule_version", F.lit(spec.version)), "silver", std, batch_id)
+    standardized = layers.read("silver", std, batch_id)
+    layers.write(quality.evaluate(standardized, spec.rules, as_of), "silver", f"{spec.entity}_checked", batch_id)
     mine = layers.read("silver", f"{spec.entity}_checked", batch_id)
-    layers.write(quality.results(mine), "silver", "dq_results")
+    layers.write(quality.results(mine), "silver", "dq_results", batch_id)
 
     work = _matched(layers, spec, mine, batch_id, as_of, previous, id_length)
-    stamped = F.lit(batch_id).alias("batch_id")
-    layers.write(work.pairs.select("*", stamped), "gold", "match_pairs")
-    layers.write(work.clusters.select("*", stamped), "gold", "entity_clusters")
-    layers.write(work.decisions.select("*", stamped), "gold", "survivorship_decisions")
-    layers.write(work.golden, "gold", f"golden_{spec.entity}")
-    layers.write(work.crosswalk.withColumnRenamed("batch_id", "record_batch_id").select("*", stamped), "gold", "crosswalk")
-
-    counts = reconcile.stage_counts(stages(layers, spec, batch_id, work))
-    layers.write(counts.select("*", stamped), "ops", "stage_counts")
+    layers.write(work.pairs, "gold", "match_pairs", batch_id)
+    layers.write(work.clusters, "gold", "entity_clusters", batch_id)
+    layers.write(work.decisions, "gold", "survivorship_decisions", batch_id)
+    layers.write(work.golden, "gold", f"golden_{spec.entity}", batch_id)
+    layers.write(work.crosswalk.withColumnRenamed("batch_id", "record_batch_id"), "gold", "crosswalk", batch_id)
+
+    layers.write(reconcile.stage_counts(stages(layers, spec, batch_id, work)), "ops", "stage_counts", batch_id)
+    counts = layers.read("ops", "stage_counts", batch_id).drop("batch_id")
+    decided = layers.read("gold", "match_pairs", batch_id)
+
+    def pairs(decision: str) -> Column:
+        return F.coalesce(F.sum(F.when(F.col("decision") == decision, F.col("record_pairs"))), F.lit(0))
+    # Every event carries the time at which its stage was recorded; `as_of` is the business date.
     audit = [
-        stage_event(bronze, "bronze_ingest", batch_id, as_of, {"rows_ingested": F.count("*")}, source="source_id"),
-        stage_event(mine, "dq_validation", batch_id, as_of, {
+        stage_event(bronze, "bronze_ingest", batch_id, None, {"rows_ingested": F.count("*")}, source="source_id"),
+        stage_event(standardized, "silver_standardize", batch_id, None, {"rows_standardized": F.count("*")}),
+        stage_event(decided, "identity_resolution", batch_id, None, {
+            "pairs_listed": F.coalesce(F.sum("record_pairs"), F.lit(0)), "auto_matched": pairs(linkage.MATCH),
+            "review_queued": pairs(linkage.REVIEW), "rejected_by_guard": pairs(linkage.REJECTED)}),
+        stage_event(mine, "dq_validation", batch_id, None, {
             "rows_in": F.count("*"), "rows_valid": F.count_if(F.col("dq_status") != quality.QUARANTINED),
             "rows_quarantined": F.count_if(F.col("dq_status") == quality.QUARANTINED),
             "rule_failures": F.sum(F.size("dq_failures"))}),
-        stage_event(work.golden, "golden_record", batch_id, as_of, {"golden_records": F.count("*")}),
-        stage_event(reconcile.exceptions(counts), "reconciliation", batch_id, as_of, {"exceptions": F.count("*")}),
+        stage_event(work.golden, "golden_record", batch_id, None, {"golden_records": F.count("*")}),
+        stage_event(reconcile.exceptions(counts), "reconciliation", batch_id, None, {"exceptions": F.count("*")}),
     ]
-    layers.write(ingest.union_sources(audit), "ops", "audit_log")
+    layers.write(ingest.union_sources(audit), "ops", "audit_log", batch_id)
     return work
 
 

@@ -202,13 +202,12 @@ decided AS (SELECT *, CASE WHEN det THEN 1.0 ELSE fuzzy END AS score,
                    WHEN fuzzy >= 0.65 THEN 'REVIEW' ELSE 'NO_MATCH' END AS decision FROM scored),
 prof AS (SELECT record_uid, min(record_uid) OVER w AS first_uid, max(record_uid) OVER w AS last_uid FROM valid
          WINDOW w AS (PARTITION BY full_name, phone, email, date_of_birth, address_line, country)),
-fuzzy_pairs AS (
-  SELECT CASE WHEN a.first_uid = z.first_uid THEN a.first_uid ELSE least(a.first_uid, z.first_uid) END AS record_uid_1,
+named_pairs AS (
+  SELECT u1, u2, CASE WHEN a.first_uid = z.first_uid THEN a.first_uid ELSE least(a.first_uid, z.first_uid) END AS record_uid_1,
     CASE WHEN a.first_uid = z.first_uid THEN a.last_uid ELSE greatest(a.first_uid, z.first_uid) END AS record_uid_2,
-    count(*) AS record_pairs, score, decision, sim_full_name, sim_address_line, sim_email, sim_phone, sim_date_of_birth,
-    a.first_uid = z.first_uid AS same
-  FROM decided JOIN prof a ON a.record_uid = u1 JOIN prof z ON z.record_uid = u2
-  WHERE NOT det AND fuzzy >= 0.65 GROUP BY ALL)"""
+    score, decision, sim_full_name, sim_address_line, sim_email, sim_phone, sim_date_of_birth, a.first_uid = z.first_uid AS same
+  FROM decided JOIN prof a ON a.record_uid = u1 JOIN prof z ON z.record_uid = u2 WHERE NOT det AND fuzzy >= 0.65),
+fuzzy_pairs AS (SELECT * EXCLUDE (u1, u2), count(*) AS record_pairs FROM named_pairs GROUP BY ALL)"""
 
 LINKS = """
 links AS (
@@ -304,11 +303,13 @@ spikes AS (SELECT * FROM (SELECT *, avg(rate) OVER w AS baseline, stddev_samp(ra
   WHERE n = 7 AND rate > baseline + 1.0 * deviation)"""
 
 
+# Every pair of records on its own; only the names of the rows are the listed pair's.
 _SLA = f"""
-sla AS (SELECT record_uid_1, record_uid_2, score,
-    date_diff('day', greatest(CAST(a.source_updated_at AS DATE), CAST(z.source_updated_at AS DATE)), DATE '{AS_OF}') AS days_waiting
-  FROM match_pairs JOIN valid a ON a.record_uid = record_uid_1 JOIN valid z ON z.record_uid = record_uid_2
-  WHERE decision = 'REVIEW')"""
+sla AS (SELECT record_uid_1, record_uid_2, score, count(*) AS late_pairs, max(waiting) AS days_waiting
+  FROM (SELECT p.record_uid_1, p.record_uid_2, p.score,
+          date_diff('day', greatest(try_cast(a.source_updated_at AS DATE), try_cast(z.source_updated_at AS DATE)), DATE '{AS_OF}') AS waiting
+        FROM named_pairs p JOIN valid a ON a.record_uid = u1 JOIN valid z ON z.record_uid = u2 WHERE decision = 'REVIEW')
+  WHERE waiting > 14 GROUP BY ALL)"""
 
 
 def _rows(rules: list[tuple[str, str, str]], table: str, keys: str) -> str:
@@ -347,15 +348,26 @@ grouped AS (SELECT *, concat('E-', substring(max(record_uid) OVER w, 1, 32)) AS
             FROM valid WINDOW w AS (PARTITION BY text, lang))"""
 
 
+# Found by record pairs: a member on either side of any pair of records, whichever pair is listed for it.
+_MET = """
+decisions_met AS (
+  SELECT DISTINCT cluster_id AS golden_id, l.record_uid AS record_uid_1, l.root_uid AS record_uid_2, 1::BIGINT AS record_pairs,
+    1.0::DOUBLE AS score, 'deterministic' AS method, 'MATCH' AS decision
+  FROM links l JOIN clusters c ON c.record_uid IN (l.record_uid, l.root_uid) WHERE l.record_uid != l.root_uid
+  UNION ALL
+  SELECT DISTINCT c.cluster_id, p.record_uid_1, p.record_uid_2, f.record_pairs, p.score, 'probabilistic', p.decision
+  FROM named_pairs p JOIN clusters c ON c.record_uid IN (p.u1, p.u2)
+  JOIN fuzzy_pairs f ON f.record_uid_1 = p.record_uid_1 AND f.record_uid_2 = p.record_uid_2 AND f.score = p.score)"""
+
+RULE_VERSION = "d6a63db3c347362e25a35a5935800207fe106192c25769442079afceb773ad02"  # hash of the published customer rules
+
 _SECTIONS = {
     "source_records": ("record_uid source_id source_record_id raw_payload", "SELECT *, cluster_id AS golden_id FROM members"),
     "transforms": ("record_uid attribute raw_value standardized_value transforms_applied",
                    "SELECT log.*, cluster_id AS golden_id FROM log JOIN clusters USING (record_uid) WHERE raw_value IS DISTINCT FROM standardized_value"),
     "dq_annotations": ("record_uid rule_id severity description",
                        "SELECT results.*, cluster_id AS golden_id FROM results JOIN clusters USING (record_uid)"),
-    "match_decisions": ("record_uid_1 record_uid_2 score method decision",
-                        """SELECT DISTINCT cluster_id AS golden_id, record_uid_1, record_uid_2, score, method, decision
-                           FROM match_pairs JOIN clusters ON record_uid IN (record_uid_1, record_uid_2)"""),
+    "match_decisions": ("record_uid_1 record_uid_2 record_pairs score method decision", "SELECT * FROM decisions_met"),
     "survivorship_decisions": ("attribute golden_value winning_source strategy", "SELECT *, cluster_id AS golden_id FROM decisions"),
 }
 _TRACE = " UNION ALL ".join(
@@ -393,14 +405,14 @@ def oracle_sql() -> dict[str, str]:
             WHERE source_id = 'WEB' AND email IS NOT NULL AND email NOT LIKE '%@EXAMPLE.COM'
             UNION ALL SELECT source_record_id, 'C002', 'ERROR' FROM records WHERE source_id = 'WEB' AND phone IS NULL""",
         "layered_tables": f"""WITH records AS ({RECORDS})
-            SELECT CASE source_id WHEN 'CRM' THEN 'b1' ELSE 'b2' END AS batch_id, source_id, count(*) AS n_rows
+            SELECT CASE source_id WHEN 'CRM' THEN '007' ELSE '010' END AS batch_id, source_id, count(*) AS n_rows
             FROM records WHERE source_id != 'WEB' GROUP BY ALL""",
         "audit_log": _sql("""SELECT 'bronze_ingest' AS stage, source_id, 'b1' AS batch_id, 'rows_ingested' AS metric, count(*) AS amount
             FROM bronze GROUP BY source_id
             UNION ALL SELECT 'dq_validation', 'ALL', 'b1', 'rows_in', count(*) FROM checked
             UNION ALL SELECT 'dq_validation', 'ALL', 'b1', 'rows_valid', count(*) FROM valid
             UNION ALL SELECT 'dq_validation', 'ALL', 'b1', 'rows_quarantined', count(*) FROM checked WHERE dq_status = 'QUARANTINED'"""),
-        "rule_version": _sql("SELECT batch_id, 64::BIGINT AS version_length, count(*) AS n_rows FROM std GROUP BY ALL"),
+        "rule_version": _sql(f"SELECT batch_id, '{RULE_VERSION}' AS rule_version, count(*) AS n_rows FROM std GROUP BY ALL"),
         "replay_as_of": _sql("""SELECT record_uid, source_id, batch_id, email FROM (
               SELECT record_uid, source_id, source_updated_at AS batch_id, email,
                 row_number() OVER (PARTITION BY record_uid ORDER BY source_updated_at DESC) AS rn
@@ -489,14 +501,12 @@ def oracle_sql() -> dict[str, str]:
             FROM clusters JOIN log USING (record_uid) WHERE raw_value IS DISTINCT FROM standardized_value""", CLUSTERS, LOG),
         "lineage_dq": _sql("""SELECT cluster_id AS golden_id, record_uid, rule_id, severity, description
             FROM clusters JOIN results USING (record_uid)""", CLUSTERS, as_of="2027-08-01"),
-        "lineage_matches": _sql("""SELECT DISTINCT cluster_id AS golden_id, record_uid_1, record_uid_2, score, method, decision
-            FROM match_pairs JOIN clusters ON record_uid IN (record_uid_1, record_uid_2)""", MATCH_PAIRS, CLUSTERS),
+        "lineage_matches": _sql("SELECT * FROM decisions_met", MATCH_PAIRS, CLUSTERS, _MET),
         "lineage_survivorship": _sql("""SELECT cluster_id AS golden_id, attribute, golden_value, winning_source, strategy
             FROM decisions""", GOLDEN),
-        "lineage_trace": _sql(_TRACE, MATCH_PAIRS, GOLDEN, LOG),
-        "lineage_documents": _sql("SELECT golden_id, 0::INT AS part, 1::INT AS parts, " + ", ".join(
-            f"count(*) FILTER (section = '{s}') AS {s}" for s in _SECTIONS) + f" FROM ({_TRACE}) GROUP BY golden_id",
-            MATCH_PAIRS, GOLDEN, LOG),
+        "lineage_trace": _sql(_TRACE, MATCH_PAIRS, GOLDEN, LOG, _MET),
+        "lineage_documents": _sql(f"SELECT golden_id, section, 0::INT AS part, array_to_string(list_sort(list(evidence)), chr(10)) AS evidence"
+                                  f" FROM ({_TRACE}) GROUP BY ALL", MATCH_PAIRS, GOLDEN, LOG, _MET),
         "sample_entities": _sql("""SELECT golden_id, count(*) AS n_members FROM crosswalk GROUP BY 1 HAVING count(*) >= 3
             ORDER BY 2 DESC, 1 LIMIT 5""", GOLDEN),
         "incremental_match": _sql("SELECT record_uid, cluster_id FROM clusters", CLUSTERS),
@@ -531,11 +541,11 @@ def oracle_sql() -> dict[str, str]:
         "alerts_stalled_sources": _sql(f"""SELECT source_id, strftime(high_water_mark, '%Y-%m-%d %H:%M:%S') AS high_water_mark,
             date_diff('day', high_water_mark::DATE, DATE '{AS_OF}') AS days_behind FROM marks
             WHERE date_diff('day', high_water_mark::DATE, DATE '{AS_OF}') > 30""", _MARKS.format(rows="bronze")),
-        "alerts_review_sla": _sql("SELECT * FROM sla WHERE days_waiting > 14", MATCH_PAIRS, _SLA),
+        "alerts_review_sla": _sql("SELECT * FROM sla", MATCH_PAIRS, _SLA),
         "alerts_summary": _sql(f"""SELECT 'reconciliation_exception' AS alert, 0::BIGINT AS occurrences
             UNION ALL SELECT 'rate_spike', count(*) FROM spikes
             UNION ALL SELECT 'watermark_stall', count(*) FROM marks WHERE date_diff('day', high_water_mark::DATE, DATE '{AS_OF}') > 30
-            UNION ALL SELECT 'review_sla', count(*) FROM sla WHERE days_waiting > 14""",
+            UNION ALL SELECT 'review_sla', count(*) FROM sla""",
             MATCH_PAIRS, _SLA, _rates(), _MARKS.format(rows="bronze")),
         "sar_export": _sql("""SELECT cluster_id AS golden_id, record_uid, source_id, source_record_id, raw_payload FROM members
             WHERE cluster_id IN (SELECT golden_id FROM subjects)""", GOLDEN, _SUBJECTS),
@@ -547,12 +557,17 @@ def oracle_sql() -> dict[str, str]:
             CAST(NULL AS VARCHAR) AS address_line, substring(date_of_birth, 1, 4) AS date_of_birth, city FROM std"""),
         "pr_curve": _sql("""SELECT threshold, merged, true_merged, round(true_merged / merged::DOUBLE, 6) AS precision,
               round(CASE WHEN total = 0 THEN NULL ELSE true_merged / total::DOUBLE END, 6) AS recall
-            FROM (SELECT threshold, sum(n) OVER w::BIGINT AS merged, sum(hits) OVER w::BIGINT AS true_merged, sum(hits) OVER () AS total
+            FROM (SELECT threshold, sum(n) OVER w::BIGINT AS merged, sum(hits) OVER w::BIGINT AS true_merged,
+                (SELECT count(*) FROM valid l JOIN valid r ON l.record_uid < r.record_uid AND l.source_record_id[2:] = r.source_record_id[2:]
+                 WHERE regexp_matches(l.source_record_id, '^[CUL][0-9]+$') AND regexp_matches(r.source_record_id, '^[CUL][0-9]+$')
+                   AND NOT coalesce(l.email = r.email, false)
+                   AND NOT coalesce(l.phone = r.phone AND l.date_of_birth = r.date_of_birth, false)) AS total
               FROM (SELECT score AS threshold, sum(record_pairs) AS n, sum(CASE WHEN hit THEN record_pairs ELSE 0 END) AS hits
                 FROM (SELECT f.*, regexp_matches(a.source_record_id, '^[CUL]') AND regexp_matches(z.source_record_id, '^[CUL]')
                         AND a.source_record_id[2:] = z.source_record_id[2:] AS hit
                   FROM fuzzy_pairs f JOIN valid a ON a.record_uid = record_uid_1 JOIN valid z ON z.record_uid = record_uid_2
-                  WHERE NOT same) GROUP BY 1) WINDOW w AS (ORDER BY threshold DESC ROWS UNBOUNDED PRECEDING))""", PAIRS),
+                  WHERE NOT same) GROUP BY 1) WINDOW w AS (ORDER BY threshold DESC ROWS UNBOUNDED PRECEDING))""",
+            PAIRS.replace("fuzzy >= 0.65)", "fuzzy >= 0.45)")),
         "label_threshold_curve": r"""SELECT threshold, merged, true_merged, round(true_merged / merged::DOUBLE, 6) AS precision,
               round(true_merged / total::DOUBLE, 6) AS recall
             FROM (SELECT threshold, sum(n) OVER w::BIGINT AS merged, sum(hits) OVER w::BIGINT AS true_merged, sum(hits) OVER () AS total

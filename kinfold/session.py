@@ -43,14 +43,6 @@ def shared_dir(spark: SparkSession) -> str:
     return folder
 
 
-def spread(df: DataFrame) -> DataFrame:
-    """Let all cores work on an input that is a single split; larger inputs are left as they are.
-
-    The shuffle this adds is bounded by the size of one split.
-    """
-    return df.repartition(df.sparkSession.sparkContext.defaultParallelism) if df.rdd.getNumPartitions() == 1 else df
-
-
 def scratch_path(spark: SparkSession, label: str) -> str:
     """A fresh, never reused path below the shared folder."""
     return f"{shared_dir(spark).rstrip('/')}/kinfold/{spark.sparkContext.applicationId}/{label}-{uuid.uuid4().hex}"

@@ -37,8 +37,7 @@ def check(stream: DataFrame, spec: EntitySpec, layers: Layers, checkpoint: str,
     def one(batch: DataFrame, epoch: int) -> None:
         stamped = standardize(batch.withColumn("batch_id", F.lit(epoch_id(epoch))), spec)
         checked = evaluate(stamped, spec.rules, as_of)
-        (checked.write.format(layers.fmt).mode("overwrite").partitionBy("batch_id", "dq_status")
-         .option("partitionOverwriteMode", "dynamic").save(layers.path("silver", f"{spec.entity}_checked")))
+        layers.write(checked, "silver", f"{spec.entity}_checked", epoch_id(epoch), within=("dq_status",))
 
     return stream.writeStream.foreachBatch(one).option("checkpointLocation", checkpoint).trigger(availableNow=True).start()
 
@@ -58,9 +57,9 @@ def match(stream: DataFrame, spec: EntitySpec, layers: Layers, checkpoint: str)
             known = layers.read("gold", clusters, last)
             state = incremental.apply_increment(known, *incremental.match_increment(
                 incoming, stored, known, spec.matching))
-        layers.write(incoming, "silver", records)
+        layers.write(incoming, "silver", records, epoch_id(epoch))
         named = state.withColumn("cluster_id", linkage.cluster_name(F.col("root_uid")))
-        layers.write(named.withColumn("batch_id", F.lit(epoch_id(epoch))), "gold", clusters)
+        layers.write(named, "gold", clusters, epoch_id(epoch))
 
     return stream.writeStream.foreachBatch(one).option("checkpointLocation", checkpoint).trigger(availableNow=True).start()
 

@@ -80,6 +80,8 @@ def test_high_water_marks_and_audit(run):
     assert audit["bronze_ingest", "LEGACY"] == {"rows_ingested": 4}
     assert audit["dq_validation", "ALL"] == {"rows_in": 24, "rows_valid": 19, "rows_quarantined": 5, "rule_failures": 5}
     assert audit["golden_record", "ALL"] == {"golden_records": 12}
+    assert audit["silver_standardize", "ALL"] == {"rows_standardized": 24}
+    assert set(audit["identity_resolution", "ALL"]) == {"pairs_listed", "auto_matched", "review_queued", "rejected_by_guard"}
     assert audit["reconciliation", "ALL"] == {"exceptions": 0}
 
 
@@ -111,10 +113,10 @@ def test_documents_split_large_entities(run, spark):
     _, work, _ = run
     rows = work.trace(work.golden.select("golden_id"))
     whole = lineage.documents(rows).collect()
-    assert len(whole) == 12 and {(r["part"], r["parts"]) for r in whole} == {(0, 1)}
-    pieces = lineage.documents(rows, limit=5).collect()
-    assert max(r["parts"] for r in pieces) > 1
-    assert sum(len(r[s]) for r in pieces for s in lineage.SECTIONS) == rows.count()
+    assert len({r["golden_id"] for r in whole}) == 12 and {r["part"] for r in whole} == {0}
+    pieces = lineage.documents(rows, items=5)
+    assert pieces.columns == lineage.documents(rows).columns and max(r["part"] for r in pieces.collect()) > 0
+    assert sum(len(r["evidence"]) for r in pieces.collect()) == rows.count()
 
 
 def test_sample_entities(run):

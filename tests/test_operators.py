@@ -7,11 +7,12 @@ from pyspark.sql import functions as F
 
 from kinfold.functions import similarity as sim
 from kinfold.functions.transforms import apply_chain
-from kinfold.operators import evaluate, incremental, ingest, monitor, privacy, quality, reconcile, standardize, survivorship
+from kinfold.operators import (evaluate, incremental, ingest, lineage, linkage, monitor, privacy, quality, reconcile, standardize,
+                               survivorship)
 from kinfold.plans.customer import CUSTOMER, RAW_SPEC, STANDARDIZATION
 from kinfold.sources import files
-from kinfold.sources.tables import Layers
-from kinfold.spec import EntitySpec, Source, SpecError, load_spec
+from kinfold.sources.tables import Layers, check_batch_id
+from kinfold.spec import EntitySpec, Matching, Source, SpecError, load_spec
 from test_linkage import indel, lcs, token_set, token_sort
 
 
@@ -221,6 +222,79 @@ def test_layers_replace_only_their_batches(spark, tmp_path):
         layers.path("tin", "t")
 
 
+def test_layers_survive_odd_batches(spark, tmp_path):
+    """Ids with leading zeros, a replay to nothing, a first write without rows, a column that comes later."""
+    layers = Layers(spark, str(tmp_path))
+    empty = spark.createDataFrame([], "v int")
+    layers.write(empty, "ops", "none", "007")
+    assert layers.read("ops", "none").count() == 0 and layers.read("ops", "none", "007").columns == ["v", "batch_id"]
+    layers.write(spark.createDataFrame([(1,)], "v int"), "bronze", "t", "007")
+    layers.write(spark.createDataFrame([(2,)], "v int"), "bronze", "t", "010")
+    layers.write(empty, "bronze", "t", "010")
+    layers.write(spark.createDataFrame([(3, "x")], "v int, w string"), "bronze", "t", "011")
+    assert [tuple(r) for r in layers.read("bronze", "t", "007").select("batch_id", "v", "w").collect()] == [("007", 1, None)]
+    assert sorted((r["batch_id"], r["v"], r["w"]) for r in layers.read("bronze", "t").collect()) == [("007", 1, None), ("011", 3, "x")]
+    for one in ("a/b", "", "x=1"):
+        with pytest.raises(SpecError):
+            check_batch_id(one)
+    with pytest.raises(SpecError):
+        check_batch_id("10", "9")
+
+
+def test_record_that_returns_to_an_earlier_payload_is_new(spark):
+    spec = EntitySpec.parse({"entity": "e", "attributes": ["full_name"], "sources": [
+        {"source_id": "S", "format": "csv", "path": "x", "field_map": {"id": "source_record_id"}}]})
+    columns = "record_uid string, source_id string, source_updated_at string, raw_payload string, batch_id string"
+    landed = spark.createDataFrame([("u", "S", "2026-01-01", "A", "b1"), ("u", "S", "2026-01-02", "B", "b2")], columns)
+    marks = spark.createDataFrame([], "source_id string, high_water_mark timestamp")
+    again = lambda p: spark.createDataFrame([("u", "S", "2026-01-03", p, "b3")], columns)
+    assert ingest.filter_incremental(again("A"), marks, spec, landed).count() == 1
+    assert ingest.filter_incremental(again("B"), marks, spec, landed).count() == 0
+
+
+def test_merging_csv_reads_each_file_by_its_header(spark, tmp_path):
+    (tmp_path / "a.csv").write_text("id,name\n1,Ann\n2,Bob\n")
+    (tmp_path / "b.csv").write_text('extra,id,name\n"x,y",3,Cid\n')
+    (tmp_path / "c.csv").write_text("id\n4\n")
+    raw = {"source_id": "S", "format": "csv", "path": "*.csv", "field_map": {"id": "source_record_id", "name": "full_name"}}
+    got = files.scan(spark, Source.parse(raw), str(tmp_path))
+    assert got.columns == ["id", "name", "extra", files.CORRUPT]
+    assert sorted(tuple(r)[:3] for r in got.collect()) == [
+        ("1", "Ann", None), ("2", "Bob", None), ("3", "Cid", "x,y"), ("4", None, None)]
+
+
+def test_contract_parks_rows_before_landing(spark):
+    extract = spark.createDataFrame([("1", "a@x"), ("2", None)], "id string, mail string")
+    rules = [{"rule_id": "C1", "rule_type": "not_null", "column": "mail", "severity": "ERROR", "description": "d"}]
+    kept, parked = quality.split_contract(extract, rules, "2026-08-01")
+    assert [tuple(r) for r in kept.collect()] == [("1", "a@x")]
+    assert [tuple(r) for r in parked.collect()] == [('{"id":"2","mail":null}', "contract:C1")]
+
+
+# ---------------------------------------------------------------- copies of a profile
+
+def test_copies_keep_their_decisions_and_their_age(spark):
+    """Three equal records and a near copy: every one of the copies shows its review decisions, the oldest pair counts."""
+    matching = Matching.parse({
+        "blocking": [{"name": "b", "expr": "country", "columns": ["country"]}], "deterministic": [["email"]],
+        "features": [{"attribute": "full_name", "method": "token_sort_ratio", "weight": 1.0}],
+        "thresholds": {"auto_match": 1.5, "review": 0.8}})
+    rows = [("a", "ann lee smith", "2026-07-31"), ("b", "ann lee smith", "2026-06-01"), ("c", "ann lee smith", "2026-06-02"),
+            ("d", "ann lee smyth", "2026-07-31"), ("e", "zoe", "2026-01-01")]
+    records = spark.createDataFrame([(u, n, "IN", None, d) for u, n, d in rows],
+                                    "record_uid string, full_name string, country string, email string, source_updated_at string")
+    pairs, stands = linkage.match_pairs(records, matching), linkage.profile_members(records, matching)
+    each = records.select(F.concat(F.lit("E-"), "record_uid").alias("golden_id"), "record_uid")
+    seen = lineage.match_decisions(each, pairs, stands).groupBy("golden_id").agg(F.sum("record_pairs").alias("n")).collect()
+    assert {r["golden_id"]: r["n"] for r in seen} == {"E-a": 6, "E-b": 6, "E-c": 6, "E-d": 3}
+    late = monitor.review_sla_breaches(pairs, records, "2026-08-01", 14, stands).collect()
+    assert [(r["record_uid_1"], r["record_uid_2"], r["late_pairs"], r["days_waiting"]) for r in late] == [("a", "c", 1, 60)]
+    older = records.withColumn("source_updated_at", F.when(F.col("record_uid") == "d", None).otherwise(F.col("source_updated_at")))
+    late = {(r["record_uid_1"], r["record_uid_2"]): (r["late_pairs"], r["days_waiting"])
+            for r in monitor.review_sla_breaches(pairs, older, "2026-08-01", 14, stands).collect()}
+    assert late == {("a", "c"): (1, 60), ("a", "d"): (2, 61)}
+
+
 # ---------------------------------------------------------------- specs
 
 def test_specs_reject_what_no_operator_reads(tmp_path):
