@@ -38,7 +38,7 @@ from kinfold.llm.arrow_text import process_state
 
 TOKENIZER = public_tokenizers.path("word_bpe_49k.json")
 CACHE_WORDS = 500_000
-SLICE_BYTES = 8 << 20
+SLICE_BYTES = 4 << 20
 END = "</w>"
 #: Below this code point, Unicode categories and case are settled, so the pattern is applied here directly.
 PLAIN_BELOW = "ɐ"
@@ -71,14 +71,17 @@ class WordBpe:
         self.pattern = regex.compile(spec["pre_tokenizer"]["pretokenizers"][0]["pattern"]["Regex"])
         self.cut = re.compile("(" + "|".join(map(re.escape, self.special)) + ")") if self.special else None
         self.bytes = byte_symbols()
-        self.words: dict[str, bytes] = {}
+        self.known: dict[str, bytes] = {s: np.array([i], "<u4").tobytes() for s, i in self.special.items()}
         self.pairs: dict[int, bool] = {}
         self.sound: dict[int, bool] = {}
 
     def pretokens(self, word: str) -> list[str]:
         """Pre-tokens of a word in byte symbols; a special token as such."""
-        if word.isalpha() and word.isascii():
-            return [word.lower()]
+        if word.isascii():  # the two commonest forms need no pattern: letters, and letters with one mark behind
+            if word.isalpha():
+                return [word.lower()]
+            if word[-1] in ".," and word[:-1].isalpha():
+                return [word[:-1].lower(), word[-1]]
         if max(word) < PLAIN_BELOW and "<|" not in word:
             found = self.pattern.findall(word.lower())
             return found if word.isascii() and word.isprintable() else ["".join(map(self.bytes.__getitem__, p.encode())) for p in found]
@@ -182,14 +185,19 @@ class WordBpe:
 
     def encode_words(self, words: list[str]) -> list[bytes]:
         """Id bytes of each word."""
-        cache = self.words
-        new = [w for w in words if w not in cache]
-        split = [self.pretokens(w) if w else [] for w in new]
-        distinct = list(dict.fromkeys(p for s in split for p in s if p not in self.special))
-        proposals = [self.proposed(p) for p in distinct]
+        known, pretokens = self.known, self.pretokens
+        split = [pretokens(w) if w else [] for w in words]
+        new = list({p for s in split for p in s if p not in known})
+        proposals = list(map(self.proposed, new))
         good = self.verified(proposals) if proposals else ()
-        ids = {p: q if ok else self.merged(self.symbols(p)) for p, q, ok in zip(distinct, proposals, good)}
-        ids |= {s: [i] for s, i in self.special.items()}
+        found = {p: array("I", q if ok else self.merged(self.symbols(p))).tobytes() for p, q, ok in zip(new, proposals, good)}
+        if len(known) < CACHE_WORDS:
+            known.update(found)
+            found = known
+        else:
+            found = ChainMap(known, found)
+        raw = found.__getitem__
+        return [raw(s[0]) if len(s) == 1 else b"".join(map(raw, s)) for s in split]
         raw = {p: np.array(i, "<u4").tobytes() if sys.byteorder == "big" else array("I", i).tobytes() for p, i in ids.items()}
         found = {w: raw[s[0]] if len(s) == 1 else b"".join(map(raw.__getitem__, s)) for w, s in zip(new, split)}
         out = [cache[w] if w in cache else found[w] for w in words]
