@@ -37,8 +37,8 @@ from kinfold.llm import arrow_text
 from kinfold.llm.arrow_text import process_state
 
 TOKENIZER = public_tokenizers.path("word_bpe_49k.json")
-CACHE_WORDS = 500_000
-SLICE_BYTES = 4 << 20
+CACHE_WORDS = 150_000
+SLICE_BYTES = 2 << 20
 END = "</w>"
 #: Below this code point, Unicode categories and case are settled, so the pattern is applied here directly.
 PLAIN_BELOW = "ɐ"

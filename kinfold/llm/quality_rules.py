@@ -50,7 +50,7 @@ FEATURES = ("n_words: long, word_chars: long, n_symbols: long, n_dup_lines: long
 def _class_table() -> np.ndarray:
     """Class of each UTF-8 byte; continuation bytes have none, so a character counts once."""
     at = CHAR_CLASSES.index
-    table = np.full(256, at("mark"), np.int64)
+    table = np.full(256, at("mark"), np.int32)
     for first, last, name in (("a", "z", "lower"), ("A", "Z", "upper"), ("0", "9", "digit")):
         table[ord(first):ord(last) + 1] = at(name)
     table[[0x09, 0x0B, 0x0C, 0x0D, 0x20]] = at("space")
@@ -71,7 +71,7 @@ def _char_histogram(texts: pa.Array) -> np.ndarray:
     kinds = _CLASS[raw]
     there = kinds >= 0
     size = len(CHAR_CLASSES)
-    return np.bincount(rows[there] * np.int64(size) + kinds[there], minlength=len(texts) * size).reshape(-1, size)
+    return np.bincount(rows[there] * np.int32(size) + kinds[there], minlength=len(texts) * size).reshape(-1, size)
 
 
 def _common_histogram(words: arrow_text.Pieces) -> np.ndarray:

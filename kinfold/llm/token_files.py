@@ -45,8 +45,8 @@ TOKENIZER = public_tokenizers.path("byte_bpe_50k.json")
 END_ID = 0
 CHUNK_IDS = 1 << 18
 BUCKET_KEYS = 1 << 16
-CACHE_PIECES = 400_000
-SLICE_BYTES = 8 << 20
+CACHE_PIECES = 200_000
+SLICE_BYTES = 2 << 20
 
 _CHUNKS = ("shard int, chunk int, first long, doc_ids array<long>, offsets array<long>, lengths array<long>, payload binary")
 _INDEX = ("bucket int, levels array<binary>, fingerprints binary, shards binary, chunks binary, offsets binary, lengths binary")

@@ -30,8 +30,8 @@ from kinfold.llm.bpe import byte_symbols
 
 TOKENIZER = public_tokenizers.path("byte_bpe_50k.json")
 SPACE = "Ġ"
-CACHE_WORDS = 400_000
-SLICE_BYTES = 4 << 20
+CACHE_WORDS = 150_000
+SLICE_BYTES = 2 << 20
 
 
 class Automaton:
