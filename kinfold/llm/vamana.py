@@ -32,8 +32,9 @@ from pyspark.sql import Column, DataFrame, Window, functions as F
 
 from kinfold.session import materialize
 
-SHARD_ROWS = 4000
-DEGREE = 48
+SHARD_ROWS = 2000
+DEGREE = 40
+BUILD_BEAM = 64
 BEAM = 128
 ALPHA = 1.2
 K = 10
@@ -119,7 +120,7 @@ def build_graph(vectors: np.ndarray) -> tuple[np.ndarray, int]:
         order = rng.permutation(n)
         for at in range(0, n, _TOGETHER):
             some = order[at:at + _TOGETHER]
-            _, _, visited = beam_search(vectors, edges, entry, vectors[some], BEAM)
+            _, _, visited = beam_search(vectors, edges, entry, vectors[some], BUILD_BEAM)
             rows = np.concatenate([v[0] for v in visited])
             nodes = np.concatenate([v[1] for v in visited])
             by_row = np.argsort(rows, kind="stable")
