@@ -14,11 +14,13 @@ least `MATCHES` of their `COORDINATES` postings collide:
 * what passes is confirmed on the full sets: 100 * common >= 75 * united.
 
 A posting list is never expanded into all its pairs.  Its members first meet
-the member of largest weight (the sum of its postings' list lengths: the centre
-of a group of near copies has the most), twice, each time after the components
-so far.  Then only members of different components still meet, each pair at its
-first common posting.  Lists that one component covers need nothing more, so a
-group of n near copies costs about n pairs and no link is lost.
+its centre, the member of largest weight (the sum of its postings' list lengths:
+among near copies, their origin).  Lists that one component covers then need
+nothing more, so a group of n near copies costs about n pairs.  In the others, a
+pair of different components can only link if what both share with the centre,
+plus what both have outside of it and in common with anybody, is enough; those
+pairs meet and are confirmed like all others.  The bound is exact, so no link
+between components is lost.
 
 The only chance involved: a pair of similarity 0.75 reaches 32 of 64 collisions
 with probability 1 - 3e-6 (binomial), more above it.
@@ -31,6 +33,8 @@ never the smallest; an empty table gives no rows; other columns are not read.
 
 from __future__ import annotations
 
+from functools import reduce
+
 import numpy as np
 import pandas as pd
 import pyarrow as pa
@@ -46,7 +50,7 @@ WORDS = 5
 PERCENT = 75
 COORDINATES = 64
 MATCHES = 32
-CENTRE_ROUNDS = 2
+PARTS = 32  # a power of two
 _BLOCK = 4096
 
 _MIX = np.uint64(0x9E3779B97F4A7C15)
@@ -125,7 +129,9 @@ def _sets(texts: pa.Array) -> pa.Array:
     found = [s for _, some in arrow_text.slices(texts) for s in shingle_sets(some)]
     return pa.StructArray.from_arrays(
         [pa.array([_fingerprint(s)[0] for s in found], pa.int64()),
-         pa.array([s.view(np.int64) for s in found], pa.list_(pa.int64()))], ["high", "shingles"])
+         pa.array([s.view(np.int64) for s in found], pa.list_(pa.int64())),
+         pa.array([np.bincount((s & np.uint64(PARTS - 1)).astype(np.int64), minlength=PARTS).astype(np.int32) for s in found],
+                  pa.list_(pa.int32()))], ["high", "shingles", "parts"])
 
 
 def sketch_of(text: Column) -> Column:
@@ -133,7 +139,7 @@ def sketch_of(text: Column) -> Column:
 
 
 def set_of(text: Column) -> Column:
-    return F.arrow_udf(_sets, "struct<high: long, shingles: array<long>>")(text)
+    return F.arrow_udf(_sets, "struct<high: long, shingles: array<long>, parts: array<int>>")(text)
 
 
 def _surviving(classes: DataFrame) -> DataFrame:
@@ -146,65 +152,117 @@ def _surviving(classes: DataFrame) -> DataFrame:
             .select("node", "weight", F.slice("shared.token", F.lit(1), F.size("shared") - MATCHES + 1).alias("prefix")))
 
 
+def _with_member(pairs: DataFrame, members: DataFrame, side: str, *columns: str) -> DataFrame:
+    return pairs.join(members.select(F.col("node").alias(side), *[F.col(c).alias(f"{c}_{side}") for c in columns]), side)
+
+
 def _verified(pairs: DataFrame, members: DataFrame) -> DataFrame:
     """Pairs (a, b) with enough collisions and enough of their sets in common."""
     for side in ("a", "b"):
-        pairs = pairs.join(members.select(F.col("node").alias(side), F.col("tokens").alias(f"tokens_{side}"),
-                                          F.col("n_shingles").alias(f"n_{side}")), side)
+        pairs = _with_member(pairs, members, side, "tokens", "n_shingles")
+    n_a, n_b = F.col("n_shingles_a"), F.col("n_shingles_b")
     collisions = F.aggregate(F.zip_with("tokens_a", "tokens_b", lambda x, y: F.when(x == y, 1).otherwise(0)),
                              F.lit(0), lambda n, x: n + x)
-    near = (pairs.filter((100 * F.least("n_a", "n_b") >= PERCENT * F.greatest("n_a", "n_b")) & (collisions >= MATCHES))
-            .select("a", "b"))
+    near = pairs.filter((100 * F.least(n_a, n_b) >= PERCENT * F.greatest(n_a, n_b)) & (collisions >= MATCHES)).select("a", "b")
     for side in ("a", "b"):
-        near = near.join(members.select(F.col("node").alias(side), F.col("shingles").alias(f"set_{side}")), side)
-    common = F.size(F.array_intersect("set_a", "set_b"))
-    united = F.size("set_a") + F.size("set_b") - common
+        near = _with_member(near, members, side, "shingles")
+    common = F.size(F.array_intersect("shingles_a", "shingles_b"))
+    united = F.size("shingles_a") + F.size("shingles_b") - common
     return near.filter(100 * common >= PERCENT * united).select(F.col("a").alias("src"), F.col("b").alias("dst"))
 
 
-def _labelled(lists: DataFrame, links: DataFrame) -> DataFrame:
-    """Open posting lists: those whose members are not all of one component yet."""
-    found = connected_components(links)
-    named = (lists.drop("label").join(found.withColumnRenamed("vertex", "node"), "node", "left")
-             .withColumn("label", F.coalesce("component", "node")).drop("component"))
-    still = (named.groupBy("token").agg(F.min("label").alias("least"), F.max("label").alias("most"))
-             .filter("least != most").select("token"))
-    return materialize(named.join(still, "token"), "near-lists")
+def _centred(lists: DataFrame) -> DataFrame:
+    """Posting lists of two members or more, each member with its list's heaviest."""
+    top = lists.groupBy("token").agg(F.max(F.struct("weight", "node")).alias("top"), F.count("*").alias("n")).filter("n > 1")
+    return lists.join(top, "token").select("token", "node", F.col("top.node").alias("centre"))
+
+
+def _pairs(one: str, other: str) -> tuple[Column, Column]:
+    return F.least(one, other).alias("a"), F.greatest(one, other).alias("b")
+
+
+def _still_open(lists: DataFrame, found: DataFrame) -> DataFrame:
+    """Lists whose members are not all of one component; `label` is a member's component, `home` the centre's."""
+    label = found.select(F.col("vertex").alias("node"), F.col("component"))
+    named = (lists.join(label, "node", "left").withColumn("label", F.coalesce("component", "node")).drop("component"))
+    open_ = (named.groupBy("token").agg(F.min("label").alias("least"), F.max("label").alias("most"),
+                                        F.max(F.when(F.col("node") == F.col("centre"), F.col("label"))).alias("home"))
+             .filter("least != most").select("token", "home"))
+    return named.join(open_, "token")
+
+
+def _by_part(shingle: str) -> Column:
+    part = F.col(shingle).bitwiseAND(PARTS - 1)
+    return F.array(*[F.count_if(part == p).cast("int") for p in range(PARTS)])
+
+
+def _against_centre(lists: DataFrame, members: DataFrame) -> DataFrame:
+    """(centre, node, n, shared, extra): set size, shingles in common with the centre, and those of the others that
+    occur outside the centre in any other member of its lists; both counted by part of the hash range.
+    """
+    met = lists.filter("node != centre").select(F.col("centre").alias("a"), F.col("node").alias("b")).distinct()
+    both = _with_member(_with_member(met, members, "a", "shingles"), members, "b", "shingles", "parts")
+    sizes = materialize(both.select(F.col("a").alias("centre"), F.col("b").alias("node"), F.size("shingles_b").alias("n"),
+                                    F.col("parts_b").alias("parts"), F.array_except("shingles_b", "shingles_a").alias("added")), "near-centres")
+    added = sizes.select("centre", "node", F.explode("added").alias("shingle"))
+    counted = added.groupBy("centre", "node").agg(_by_part("shingle").alias("lacking"))
+    seen = added.groupBy("centre", "shingle").agg(F.count("*").alias("times")).filter("times > 1").select("centre", "shingle")
+    extra = added.join(seen, ["centre", "shingle"]).groupBy("centre", "node").agg(_by_part("shingle").alias("extra"))
+    nothing = F.array_repeat(F.lit(0), PARTS)
+    return (sizes.drop("added").join(counted, ["centre", "node"], "left").join(extra, ["centre", "node"], "left")
+            .select("centre", "node", "n", F.zip_with("parts", F.coalesce("lacking", nothing), lambda x, y: x - y).alias("shared"),
+                    F.coalesce("extra", nothing).alias("extra")))
+
+
+def _enough(common: Column, n_a: Column, n_b: Column) -> Column:
+    return 100 * common >= PERCENT * (n_a + n_b - common)
+
+
+def _total(parts: Column) -> Column:
+    return F.aggregate(parts, F.lit(0), lambda a, x: a + x)
 
 
-def _centre_pairs(lists: DataFrame) -> DataFrame:
-    """Each list's heaviest member that was no centre yet, with the members of other components."""
-    centre = (lists.filter("NOT centre").groupBy("token")
-              .agg(F.max(F.struct("weight", "node", "label")).alias("top")))
-    met = lists.join(centre, "token").filter("top.label != label")
-    return met.select(F.least("node", "top.node").alias("a"), F.greatest("node", "top.node").alias("b")).distinct()
+def _remaining_pairs(lists: DataFrame, known: DataFrame) -> DataFrame:
+    """Pairs of one centre's lists but different components that may link, by what each shares with the centre.
 
+    What two sets have in common lies in the centre, or outside of it in both.
+    One of the two is outside the centre's component.  Such a member first meets
+    size classes of the centre's members, as one row each with the best values in
+    it; only classes that may hold a partner are opened, and their members are
+    compared by totals, then by parts.
+    """
+    named = lists.filter("node != centre").select("centre", "node", "label", "home").distinct()
+    rest = (named.join(known, ["centre", "node"]).withColumn("size_class", _size_class(F.col("n")))
+            .withColumns({f"{c}_all": _total(F.col(c)) for c in ("shared", "extra")}))
+    classes = rest.groupBy("centre", "size_class").agg(
+        F.min("n").alias("n_c"), F.max("shared_all").alias("shared_c"), F.max("extra_all").alias("extra_c"))
+    spans = F.sequence(_size_class(F.col("n") * PERCENT / 100), _size_class(F.col("n") * 100 / PERCENT))
 
-def _mark_centres(lists: DataFrame) -> DataFrame:
-    centre = (lists.filter("NOT centre").groupBy("token").agg(F.max(F.struct("weight", "node")).alias("top"))
-              .select("token", F.col("top.node").alias("node"), F.lit(True).alias("now")))
-    return (lists.join(centre, ["token", "node"], "left")
-            .withColumn("centre", F.col("centre") | F.coalesce("now", F.lit(False))).drop("now"))
+    def may(n, shared, extra):
+        common = F.least("shared_all", shared) + F.least("extra_all", extra)
+        return _enough(common, F.col("n"), F.col(n))
+    asked = (rest.filter("label != home").withColumn("size_class", F.explode(spans)).join(classes, ["centre", "size_class"])
+             .filter(may("n_c", "shared_c", "extra_c"))
+             .select("centre", "size_class", *[F.col(c).alias(f"o_{c}") for c in (
+                 "node", "label", "n", "shared", "extra", "shared_all", "extra_all")]))
+    parts = reduce(lambda x, y: x + y, [_total(F.zip_with(c, f"o_{c}", lambda x, y: F.least(x, y))) for c in ("shared", "extra")])
+    same = (F.col("a.centre") == F.col("r.centre")) & (F.col("a.size_class") == F.col("r.size_class"))
+    met = asked.alias("a").join(rest.alias("r"), same & (F.col("label") != F.col("o_label")) & may("o_n", "o_shared_all", "o_extra_all")
+                                & _enough(parts, F.col("n"), F.col("o_n")))
+    return met.select(*_pairs("o_node", "node")).distinct()
 
 
-def _remaining_pairs(lists: DataFrame) -> DataFrame:
-    """All pairs of one list but different components, both never centres of it."""
-    rest = lists.filter("NOT centre").select("token", "node", "label")
-    left, right = rest.toDF("token", "a", "label_a"), rest.toDF("token", "b", "label_b")
-    return left.join(right, "token").filter("a < b AND label_a != label_b").select("a", "b").distinct()
+def _size_class(n: Column) -> Column:
+    return F.floor(F.log(n.cast("double")) / F.lit(0.05)).cast("int")
 
 
-def links(members: DataFrame, lists: DataFrame) -> DataFrame:
-    """All links that connect the classes; see the module text."""
-    lists = lists.withColumn("label", F.col("node")).withColumn("centre", F.lit(False))
-    shared = lists.groupBy("token").agg(F.count("*").alias("n")).filter("n > 1").select("token")
-    lists = materialize(lists.join(shared, "token"), "near-lists")
-    found = None
-    for _ in range(CENTRE_ROUNDS):
-        more = materialize(_verified(_centre_pairs(lists), members), "near-links")
-        found = more if found is None else found.unionByName(more)
-        lists = _labelled(_mark_centres(lists), found)
-    return found.unionByName(materialize(_verified(_remaining_pairs(lists), members), "near-links"))
+def links(members: DataFrame, postings: DataFrame) -> DataFrame:
+    """Links that connect whatever the full set of links connects; see the module text."""
+    lists = materialize(_centred(postings), "near-lists")
+    first = materialize(_verified(lists.filter("node != centre").select(*_pairs("node", "centre")).distinct(), members), "near-links")
+    open_ = materialize(_still_open(lists, connected_components(first)), "near-open")
+    pairs = _remaining_pairs(open_, materialize(_against_centre(open_, members), "near-known"))
+    return first.unionByName(materialize(_verified(pairs, members), "near-links"))
 
 
 def components(docs: DataFrame, doc_id: str = "doc_id", text: str = "text") -> DataFrame:
@@ -221,7 +279,7 @@ def components(docs: DataFrame, doc_id: str = "doc_id", text: str = "text") -> D
     texts = named.join(wanted.select("first_id").distinct().hint("shuffle_hash"),
                        F.col("doc_id").eqNullSafe(F.col("first_id")), "left_semi")
     sets = (texts.select(set_of(F.col("text")).alias("s")).groupBy(F.col("s.high").alias("node"))
-            .agg(F.first("s.shingles").alias("shingles")))
+            .agg(F.first("s.shingles").alias("shingles"), F.first("s.parts").alias("parts")))
     members = materialize(wanted.select("node", "n_shingles", "tokens").join(sets, "node"), "near-members")
     lists = surviving.select("node", "weight", F.explode("prefix").alias("token"))
     found = connected_components(links(members, lists)).withColumnRenamed("vertex", "node")
