@@ -173,7 +173,9 @@ def build(vectors: DataFrame, vec_id: str = "vec_id", vector: str = "embedding")
               .withColumn("dim", F.size("vector")))
     shards = max(1, math.ceil(usable.count() / SHARD_ROWS))
     dealt = usable.withColumn("shard", F.pmod(F.xxhash64("vec_id"), F.lit(shards)).cast("int"))
-    return materialize(dealt.groupBy("dim", "shard").applyInArrow(_shard_graph, _GRAPH), "vamana")
+    # Work per shard, not bytes, is what counts here, so small shards must not be merged into one task.
+    spread = dealt.repartition(2 * shards, "dim", "shard")
+    return materialize(spread.groupBy("dim", "shard").applyInArrow(_shard_graph, _GRAPH), "vamana")
 
 
 def _searcher(k: int):
@@ -217,9 +219,11 @@ def search(graphs: DataFrame, queries: DataFrame, k: int = K) -> DataFrame:
     blocks = max(1, math.ceil(asked.count() / _QUERY_BLOCK))
     numbered = asked.withColumn("q_block", F.pmod(F.xxhash64("query_id"), F.lit(blocks)).cast("int"))
     shards = graphs.select(F.col("dim").alias("q_dim"), F.col("shard").alias("q_shard")).distinct()
-    sent = numbered.join(shards, "q_dim").groupBy("q_dim", "q_shard", "q_block")
-    held = graphs.withColumn("block", F.explode(F.sequence(F.lit(0), F.lit(blocks - 1)))).groupBy("dim", "shard", "block")
-    near = held.cogroup(sent).applyInArrow(_searcher(k), "query_id long, vec_id long, score double")
+    tasks = 2 * blocks * max(1, shards.count())
+    sent = numbered.join(shards, "q_dim").repartition(tasks, "q_dim", "q_shard", "q_block")
+    held = (graphs.withColumn("block", F.explode(F.sequence(F.lit(0), F.lit(blocks - 1))))
+            .repartition(tasks, "dim", "shard", "block"))
+    near = held.groupBy("dim", "shard", "block").cogroup(sent.groupBy("q_dim", "q_shard", "q_block")).applyInArrow(_searcher(k), "query_id long, vec_id long, score double")
     best = Window.partitionBy("query_id").orderBy("score", "vec_id")
     return (near.withColumn("rank", F.row_number().over(best)).filter(F.col("rank") <= k)
             .select("query_id", F.col("rank").cast("int").alias("rank"), "vec_id", "score"))
