@@ -191,18 +191,12 @@ class WordBpe:
         proposals = list(map(self.proposed, new))
         good = self.verified(proposals) if proposals else ()
         found = {p: array("I", q if ok else self.merged(self.symbols(p))).tobytes() for p, q, ok in zip(new, proposals, good)}
-        if len(known) < CACHE_WORDS:
-            known.update(found)
-            found = known
-        else:
-            found = ChainMap(known, found)
-        raw = found.__getitem__
-        return [raw(s[0]) if len(s) == 1 else b"".join(map(raw, s)) for s in split]
-        raw = {p: np.array(i, "<u4").tobytes() if sys.byteorder == "big" else array("I", i).tobytes() for p, i in ids.items()}
-        found = {w: raw[s[0]] if len(s) == 1 else b"".join(map(raw.__getitem__, s)) for w, s in zip(new, split)}
-        out = [cache[w] if w in cache else found[w] for w in words]
-        if len(cache) < CACHE_WORDS:
-            cache.update(found)
+        known.update(found)
+        raw = known.__getitem__
+        out = [raw(s[0]) if len(s) == 1 else b"".join(map(raw, s)) for s in split]
+        if len(known) > CACHE_WORDS + len(found):  # what came last goes first; the early words are the frequent ones
+            for p in found:
+                del known[p]
         return out
 
 
