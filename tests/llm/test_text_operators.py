@@ -140,3 +140,17 @@ def test_word_pieces_equal_greedy_longest_match(spark, docs, rows, none):
 def test_word_piece_automaton_knows_uncovered_words():
     automaton = word_pieces.Automaton(["ab", "abc", "x"], ["d", "de", "c"], False)
     assert [automaton.count(w) for w in ("ab", "abc", "abd", "abcde", "xcdde", "abce", "q", "a")] == [1, 1, 2, 2, 4, 0, 0, 0]
+
+
+def test_full_caches_change_nothing(monkeypatch):
+    from kinfold.llm import token_files
+
+    for module, name in ((bpe, "CACHE_WORDS"), (token_files, "CACHE_PIECES"), (word_pieces, "CACHE_WORDS")):
+        monkeypatch.setattr(module, name, 5)
+    texts = pa.array(odd_texts())
+    words, pieces = Tokenizer.from_file(bpe.TOKENIZER), Tokenizer.from_file(token_files.TOKENIZER)
+    for _ in range(2):
+        assert [np.frombuffer(i, "<u4").tolist() for i in bpe.encoded(texts, bpe.TOKENIZER).to_pylist()] == [
+            words.encode(t, add_special_tokens=False).ids for t in odd_texts()]
+        assert [i.tolist() for i in token_files.encoded(texts, token_files.TOKENIZER, "<u2", 0)] == [
+            [*pieces.encode(t, add_special_tokens=False).ids, 0] for t in odd_texts()]
