@@ -1,12 +1,17 @@
 """Quality rules: divergence of a document's histograms from its language's.
 
 One pass over the texts gives counts, a histogram of character classes and a
-histogram of common words (plus words of marks alone, and all others).  The reference of a language is the
-sum of the histograms of all its documents that pass the base rules and the
-length guard, over the whole corpus.  A document is rejected when the
-Jensen-Shannon distance (base 2, 0..1) of either histogram to its language's
-reference exceeds the threshold.  Shorter documents than the guard are not
-judged by divergence, because their histograms are noise.
+histogram of common words (plus words of marks alone, and all others).  A
+document is rejected when the Jensen-Shannon distance (base 2, 0..1) of either
+histogram to its language's clean reference exceeds the threshold.
+
+The clean reference is taken over the whole corpus from documents that pass the
+base rules and the length guard, and neither length nor copies give weight:
+documents of one language whose shares agree after rounding to `CELL_STEP` (so
+all copies, and most near copies) are one cell; the medians of the cells' shares
+are a first reference, and the sum of the shares of the cells near it is the
+clean one.  So junk moves it only if it fills half of a language's cells.  If no cell is near, all
+cells are summed.  `report` also gives the distances to the plain sum of counts.
 
 Defined results: a null or empty text has no words and fails the base rules; a
 null language is a language of its own; without a reference nothing diverges;
@@ -42,6 +47,8 @@ REPEAT_PERCENT = 50   # more repeated words fail the base rules
 GUARD_WORDS = 100     # fewer are not judged by divergence
 MAX_CHAR_DISTANCE = 0.25
 MAX_WORD_DISTANCE = 0.45
+CELL_STEP = 0.02      # shares that agree after rounding to it are one cell of the reference
+MEDIAN_PARTS = 2000   # medians are exact on shares in such parts, so their buffers are bounded
 
 FEATURES = ("n_words: long, word_chars: long, n_symbols: long, n_dup_lines: long, n_repeat_words: long, "
             "chars: array<long>, common: array<long>")
@@ -144,7 +151,7 @@ def base_failed(f: str) -> Column:
 
 
 def references(measured: DataFrame, lang: str, f: str) -> DataFrame:
-    """Per language the summed histograms of all documents that pass the base rules and the guard.
+    """Per language the plain sums of counts of all documents that pass the base rules and the guard.
 
     One combinable sum per bin: a language with most of the rows sends one row per task.
     """
@@ -154,22 +161,53 @@ def references(measured: DataFrame, lang: str, f: str) -> DataFrame:
             .agg(summed("chars", len(CHAR_CLASSES)), summed("common", len(WORD_BINS) + 1)))
 
 
+def share(h: Column) -> Column:
+    total = F.aggregate(h, F.lit(0.0), lambda a, x: a + x)
+    return F.transform(h, lambda x: x / F.nullif(total, F.lit(0.0)))
+
+
 def distance(counts: Column, reference: Column) -> Column:
     """Jensen-Shannon distance of two histograms in base 2; null if either is empty."""
-    def share(h):
-        total = F.aggregate(h, F.lit(0.0), lambda a, x: a + x)
-        return F.transform(h, lambda x: x / F.nullif(total, F.lit(0.0)))
     def term(p, m):
         return F.when(p > 0, p * F.log2(p / m)).otherwise(F.lit(0.0))
     halves = F.zip_with(share(counts), share(reference), lambda p, q: term(p, (p + q) / 2) + term(q, (p + q) / 2))
     return F.sqrt(F.greatest(F.lit(0.0), F.aggregate(halves, F.lit(0.0), lambda a, x: a + x) / 2))
 
 
+def is_far(chars: Column, common: Column) -> Column:
+    return F.coalesce(chars > MAX_CHAR_DISTANCE, F.lit(False)) | F.coalesce(common > MAX_WORD_DISTANCE, F.lit(False))
+
+
+def clean_references(measured: DataFrame, lang: str, f: str) -> DataFrame:
+    """Per language the summed shares of the cells near the median cell (see above).
+
+    Cells, medians and sums are combinable aggregates; a group of copies is one row per task.
+    """
+    sizes = {"chars": len(CHAR_CLASSES), "common": len(WORD_BINS) + 1}
+    shares = measured.filter(~base_failed(f) & (F.col(f"{f}.n_words") >= GUARD_WORDS)).select(
+        F.col(lang).alias("ref_lang"), *[share(F.col(f"{f}.{name}")).alias(name) for name in sizes])
+    cell = F.md5(F.to_json(F.struct(*[F.transform(name, lambda x: F.round(x / CELL_STEP).cast("int")).alias(name) for name in sizes])))
+    cells = materialize(shares.groupBy("ref_lang", cell.alias("cell")).agg(F.min(F.struct(*sizes)).alias("s"))
+                        .select("ref_lang", "s.*"), "quality-cells")
+
+    def median(name, size):
+        return F.array(*[F.percentile(F.round(F.col(name)[i] * MEDIAN_PARTS).cast("int"), 0.5) for i in range(size)]).alias(f"mid_{name}")
+    mids = materialize(cells.groupBy(F.col("ref_lang").alias("mid_lang")).agg(*[median(*x) for x in sizes.items()]), "quality-medians")
+    near = ~is_far(*[distance(F.col(name), F.col(f"mid_{name}")) for name in sizes])
+    met = cells.join(mids, F.col("ref_lang").eqNullSafe(F.col("mid_lang"))).withColumn("near", near)
+
+    def summed(name, size):
+        part = [F.round(F.col(name)[i] * 1_000_000).cast("long") for i in range(size)]
+        return F.coalesce(F.when(F.count_if("near") > 0, F.array(*[F.sum(F.when(F.col("near"), x)) for x in part])),
+                          F.array(*[F.sum(x) for x in part])).alias(f"ref_{name}")
+    return met.groupBy("ref_lang").agg(*[summed(*x) for x in sizes.items()])
+
+
 def verdicts(measured: DataFrame, refs: DataFrame, lang: str, f: str, out: str) -> DataFrame:
     """`measured` with a struct `out`: base_failed, both distances, kept."""
     joined = measured.join(refs, F.col(lang).eqNullSafe(F.col("ref_lang")), "left")
     chars, common = distance(F.col(f"{f}.chars"), F.col("ref_chars")), distance(F.col(f"{f}.common"), F.col("ref_common"))
-    far = (F.coalesce(chars > MAX_CHAR_DISTANCE, F.lit(False)) | F.coalesce(common > MAX_WORD_DISTANCE, F.lit(False)))
+    far = is_far(chars, common)
     judged = F.col(f"{f}.n_words") >= GUARD_WORDS
     return joined.withColumn(out, F.struct(
         base_failed(f).alias("base_failed"), chars.alias("char_distance"), common.alias("word_distance"),
@@ -180,9 +218,12 @@ def report(docs: DataFrame, doc_id: str = "doc_id", text: str = "text", lang: st
     """Counts, distances and verdict of every document; the texts are read once."""
     measured = materialize(docs.select(F.col(doc_id).alias("doc_id"), F.col(lang).alias("lang"),
                                        features_of(F.col(text)).alias("f")), "quality-features")
-    judged = verdicts(measured, references(measured, "lang", "f"), "lang", "f", "v")
-    return judged.select("doc_id", "f.n_words", "f.word_chars", "f.n_symbols", "f.n_dup_lines", "f.n_repeat_words",
-                         "v.base_failed", "v.kept", "v.char_distance", "v.word_distance")
+    clean = materialize(clean_references(measured, "lang", "f"), "quality-references")
+    judged = verdicts(measured, clean, "lang", "f", "v").drop("ref_lang", "ref_chars", "ref_common")
+    plain = verdicts(judged, references(measured, "lang", "f"), "lang", "f", "p")
+    return plain.select("doc_id", "f.n_words", "f.word_chars", "f.n_symbols", "f.n_dup_lines", "f.n_repeat_words",
+                        "v.base_failed", "v.kept", "p.char_distance", "p.word_distance",
+                        F.col("v.char_distance").alias("clean_char_distance"), F.col("v.word_distance").alias("clean_word_distance"))
 
 
 def judge(docs: DataFrame, text: str = "text", lang: str = "lang") -> DataFrame:
@@ -190,7 +231,7 @@ def judge(docs: DataFrame, text: str = "text", lang: str = "lang") -> DataFrame:
 
     Texts are measured twice (references, then verdicts) and never shuffled.
     """
-    refs = references(docs.select(F.col(lang).alias("lang"), features_of(F.col(text)).alias("f")), "lang", "f")
+    refs = clean_references(docs.select(F.col(lang).alias("lang"), features_of(F.col(text)).alias("f")), "lang", "f")
     refs = materialize(refs, "quality-references")
     columns = docs.columns
     inner = docs.toDF(*[f"c{i}" for i in range(len(columns))])

@@ -55,6 +55,26 @@ def test_quality_judge_passes_all_columns_and_repeats(spark, docs, none, rows):
     assert quality_rules.judge(none).count() == quality_rules.report(none).count() == 0
 
 
+def _labelled_corpus():
+    """40 clean texts, one junk text that the base rules let pass, and near copies of it."""
+    rng = random.Random(11)
+    prose = lambda n: " ".join(rng.choice(("the", "of", "and", "house", "river", "green", "walks", "slowly", "in", "paper")) + rng.choice("abcdefgh") * rng.randrange(3)
+                               for _ in range(n))
+    junk = [f"{rng.randrange(10**9)}#%&" for _ in range(150)]
+    near = [" ".join([*junk[:k], f"{k}#%&", *junk[k + 1:]]) for k in range(60)]
+    return [prose(150 + 5 * k) for k in range(40)], " ".join(junk), near
+
+
+@pytest.mark.parametrize("kind", ["copies", "near copies"])
+def test_quality_reference_does_not_follow_copies_of_junk(spark, kind):
+    good, junk, near = _labelled_corpus()
+    bad = [junk] * 60 if kind == "copies" else near
+    rows = [(k, t, "en") for k, t in enumerate(good)] + [(100 + k, t, "en") for k, t in enumerate(bad)]
+    table = spark.createDataFrame(rows, "doc_id long, text string, lang string").repartition(3)
+    assert {r.doc_id for r in quality_rules.report(table).filter("kept").collect()} == set(range(40))
+    assert {r.doc_id for r in quality_rules.judge(table).collect()} == set(range(40))
+
+
 def test_secrets_equal_plain_python(docs, rows):
     got = {r.doc_id: r for r in secrets.digest(secrets.findings(docs, path="doc_id")).collect()}
     assert len(got) == len(rows)
