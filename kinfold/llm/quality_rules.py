@@ -44,7 +44,7 @@ MARKS = ".,;:!?\"'()[]{}-_=+~/\\^@`" + SYMBOLS
 
 MIN_WORDS = 50        # fewer fail the base rules
 REPEAT_PERCENT = 50   # more repeated words fail the base rules
-GUARD_WORDS = 100     # fewer are not judged by divergence
+GUARD_WORDS = 50      # fewer are not judged by divergence; no more than the base rules ask for
 MAX_CHAR_DISTANCE = 0.25
 MAX_WORD_DISTANCE = 0.45
 CELL_STEP = 0.02      # shares that agree after rounding to it are one cell of the reference

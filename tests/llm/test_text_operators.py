@@ -75,6 +75,16 @@ def test_quality_reference_does_not_follow_copies_of_junk(spark, kind):
     assert {r.doc_id for r in quality_rules.judge(table).collect()} == set(range(40))
 
 
+def test_quality_judges_every_length_that_passes_the_base_rules(spark):
+    good, junk, _ = _labelled_corpus()
+    short = [" ".join(junk.split(" ")[:n]) for n in (50, 60, 99)]
+    clean = [" ".join(t.split(" ")[:n]) for t, n in zip(good, (50, 60, 99))]
+    rows = [(k, t, "en") for k, t in enumerate([*good, *clean, *short])]
+    got = quality_rules.report(spark.createDataFrame(rows, "doc_id long, text string, lang string")).collect()
+    assert not any(r.base_failed for r in got)
+    assert {r.doc_id for r in got if r.kept} == set(range(43))
+
+
 def test_secrets_equal_plain_python(docs, rows):
     got = {r.doc_id: r for r in secrets.digest(secrets.findings(docs, path="doc_id")).collect()}
     assert len(got) == len(rows)
