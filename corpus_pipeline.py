@@ -20,9 +20,9 @@ def quality_stage(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFram
 
 
 def line_stage(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Documents without recurring lines; those that had lines and lost all go."""
+    """Documents without recurring lines; those that lost lines and keep none with a word go."""
     cut = line_templates.dedup(docs, out="line_counts")
-    left = cut.filter("line_counts.n_dropped = 0 OR line_counts.n_dropped < line_counts.n_lines").drop("line_counts")
+    left = cut.filter((F.col("line_counts.n_dropped") == 0) | F.col("text").rlike(line_templates.WORDED)).drop("line_counts")
     return left.withColumn("n_chars", F.char_length("text").cast("long"))
 
 

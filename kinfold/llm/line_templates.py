@@ -1,7 +1,7 @@
 """Line dedup by a log-template tree.  DataFrame operations only.
 
 A line's words are runs of characters other than U+0020 and U+0009 to U+000D,
-with every digit run read as 0.  The tree has fixed depth: number of words, then
+with every digit run read as 0 (in lines of more than `DEPTH` words).  The tree has fixed depth: number of words, then
 the first `DEPTH` words.  Within a leaf that several documents reach, the words
 vote per position; the winners are the leaf's template.  A line follows it if at
 least `SIMILAR` of its words equal the template's, so the other positions are
@@ -13,8 +13,9 @@ Texts are read twice: once for a hash per word of each line, once to drop.
 Votes and counts are combinable aggregates on (leaf, position, word), never a
 gathered leaf, so a line found in a third of all documents is like any other.
 
-Lines of fewer than `MIN_WORDS` words are too short to be told from chance and
-stay.  Lines are compared within the whole corpus, without caps.
+Lines of at most `DEPTH` words are leaves of their own: they recur only by their
+exact words, digits included.  Lines without a word never recur.  Lines are compared within the whole
+corpus, without caps.
 
 Defined results: a null text has no lines and stays null; an empty text stays
 empty; a text that loses no line is returned unchanged, otherwise its remaining
@@ -31,26 +32,32 @@ from pyspark.sql import Column, DataFrame, functions as F
 from kinfold.session import materialize
 
 DEPTH = 4
-MIN_WORDS = 5
+MIN_WORDS = 1  # every line with a word
 SIMILAR = 0.8
 
 _SPACE = r"[\x20\x09-\x0D]+"
+WORDED = r"[^\x20\x09-\x0D]"
 
 
-def _words(line: Column) -> Column:
-    return F.split(F.trim(F.regexp_replace(line, _SPACE, " ")), " ")
+def _bare(line: Column) -> Column:
+    return F.trim(F.regexp_replace(line, _SPACE, " "))
+
+
+def _exact(bare: Column) -> Column:
+    return F.size(F.split(bare, " ")) <= DEPTH
 
 
 def parsed(docs: DataFrame, doc_id: str, text: str) -> DataFrame:
-    """(doc, doc_id, line, leaf, whole, words) of every line long enough.
+    """(doc, doc_id, line, leaf, whole, words) of every line with a word.
 
     `doc` names the row by doc_id and text, `whole` hashes the words, `words` has
     a 16-bit hash per position (votes only; equality is decided on `whole`).
     """
-    plain = F.regexp_replace(F.col(text), "[0-9]+", "0")
     lines = docs.select(F.xxhash64(doc_id, text).alias("doc"), F.col(doc_id).alias("doc_id"),
-                        F.posexplode(F.split(plain, "\n")).alias("line", "content"))
-    split = lines.withColumn("w", _words(F.col("content"))).filter(F.size("w") >= MIN_WORDS)
+                        F.posexplode(F.split(F.col(text), "\n")).alias("line", "content"))
+    bare = lines.filter(F.col("content").rlike(WORDED)).withColumn("bare", _bare(F.col("content")))
+    split = bare.withColumn("w", F.split(F.when(_exact(F.col("bare")), F.col("bare"))
+                                         .otherwise(F.regexp_replace("bare", "[0-9]+", "0")), " "))
     return split.select("doc", "doc_id", "line", F.xxhash64(F.size("w"), F.slice("w", 1, DEPTH)).alias("leaf"),
                         F.xxhash64("w").alias("whole"),
                         F.transform("w", lambda x: F.shiftright(F.hash(x), 16).cast("smallint")).alias("words"))

@@ -82,6 +82,13 @@ def test_variable_fields_are_generalised(spark):
     assert got[0] == (2, 0) and all(got[k][1] >= 1 for k in range(1, 8))
 
 
+def test_short_lines_recur_by_their_exact_words(spark):
+    texts = ["All rights reserved.\nPage 1\n\nLes.\nown line of one", "All  rights reserved.\nPage 2\n\nLes.", "Les.\n \nall rights reserved."]
+    got = line_templates.report(spark.createDataFrame(list(enumerate(texts)), "doc_id long, text string")).collect()
+    assert {r.doc_id: (r.n_dropped, r.text) for r in got} == {
+        0: (0, texts[0]), 1: (2, "Page 2\n"), 2: (1, " \nall rights reserved.")}
+
+
 def test_mixture_meets_targets_and_limits(spark, docs, rows, none):
     clashing = docs.withColumn("row", F.lit(1)).withColumn("copies", F.lit(9))
     got = mixing.report(clashing).collect()

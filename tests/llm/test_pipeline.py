@@ -11,6 +11,13 @@ import corpus_pipeline
 from kinfold.llm import bpe, line_templates, mixing, quality_rules
 
 
+def test_line_stage_removes_exact_copies_with_short_lines(spark, docs):
+    text = "Haanth.\n\n" + "\n".join(f"line {w} of a text that has a copy in the corpus" for w in ("one", "two", "three"))
+    rows = [(1, text, "en", "a", 0), (2, text, "fr", "b", 0), (3, "nothing in common", "en", "a", 0), (4, "\n", "en", "a", 0)]
+    left = corpus_pipeline.line_stage(spark, spark.createDataFrame(rows, docs.schema), "").collect()
+    assert sorted(r.doc_id for r in left) == [1, 3, 4]
+
+
 def test_stages_on_their_own_input(spark, docs, none):
     frame = docs
     for k, (name, stage) in enumerate(corpus_pipeline.STAGES):
