@@ -1,11 +1,11 @@
 """Line dedup by a log-template tree.  DataFrame operations only.
 
 A line's words are runs of characters other than U+0020 and U+0009 to U+000D,
-with every digit run read as 0 (in lines of more than `DEPTH` words).  The tree has fixed depth: number of words, then
+with every digit run read as 0 (in lines with letters and more than `DEPTH` words).  The tree has fixed depth: number of words, then
 the first `DEPTH` words.  Within a leaf that several documents reach, the words
 vote per position; the winners are the leaf's template.  A line follows it if at
-least `SIMILAR` of its words equal the template's, so the other positions are
-variable fields; a line that does not is a template of its own (its whole
+least `SIMILAR` of its words behind the leading ones equal the template's and one
+of all equal words has a letter, so the other positions are variable fields; a line that does not is a template of its own (its whole
 sequence of words).  A template that occurs in two documents or more recurs: its
 lines are dropped from all documents but the first (smallest doc_id).
 
@@ -13,7 +13,7 @@ Texts are read twice: once for a hash per word of each line, once to drop.
 Votes and counts are combinable aggregates on (leaf, position, word), never a
 gathered leaf, so a line found in a third of all documents is like any other.
 
-Lines of at most `DEPTH` words are leaves of their own: they recur only by their
+Lines of at most `DEPTH` words or without a letter recur only by their
 exact words, digits included.  Lines without a word never recur.  Lines are compared within the whole
 corpus, without caps.
 
@@ -36,6 +36,7 @@ MIN_WORDS = 1  # every line with a word
 SIMILAR = 0.8
 
 _SPACE = r"[\x20\x09-\x0D]+"
+LETTER = r"\p{L}"
 WORDED = r"[^\x20\x09-\x0D]"
 
 
@@ -44,23 +45,33 @@ def _bare(line: Column) -> Column:
 
 
 def _exact(bare: Column) -> Column:
-    return F.size(F.split(bare, " ")) <= DEPTH
+    return (F.size(F.split(bare, " ")) <= DEPTH) | ~bare.rlike(LETTER)
 
 
 def parsed(docs: DataFrame, doc_id: str, text: str) -> DataFrame:
     """(doc, doc_id, line, leaf, whole, words) of every line with a word.
 
     `doc` names the row by doc_id and text, `whole` hashes the words, `words` has
-    a 16-bit hash per position (votes only; equality is decided on `whole`).
+    a 16-bit hash per position (votes only; equality is decided on `whole`), odd if
+    the word has a letter or stands in a line whose leading words have one.
     """
     lines = docs.select(F.xxhash64(doc_id, text).alias("doc"), F.col(doc_id).alias("doc_id"),
                         F.posexplode(F.split(F.col(text), "\n")).alias("line", "content"))
     bare = lines.filter(F.col("content").rlike(WORDED)).withColumn("bare", _bare(F.col("content")))
     split = bare.withColumn("w", F.split(F.when(_exact(F.col("bare")), F.col("bare"))
                                          .otherwise(F.regexp_replace("bare", "[0-9]+", "0")), " "))
+    lettered = F.array_join(F.slice("w", 1, DEPTH), " ").rlike(LETTER)
     return split.select("doc", "doc_id", "line", F.xxhash64(F.size("w"), F.slice("w", 1, DEPTH)).alias("leaf"),
                         F.xxhash64("w").alias("whole"),
-                        F.transform("w", lambda x: F.shiftright(F.hash(x), 16).cast("smallint")).alias("words"))
+                        F.transform("w", lambda x: (2 * F.shiftright(F.hash(x), 17) + F.when(lettered | x.rlike(LETTER), 1).otherwise(0))
+                                    .cast("smallint")).alias("words"))
+
+
+def _follows(words: Column, template: Column) -> Column:
+    """Enough equal words behind the leading ones, which are equal in a leaf, and an equal word with a letter (odd)."""
+    equal = F.aggregate(F.zip_with(words, template, lambda a, b: F.when(a == b, 1).otherwise(0)), F.lit(0), lambda n, x: n + x)
+    constant = F.exists(F.zip_with(words, template, lambda a, b: (a == b) & (a % 2 != 0)), lambda x: x)
+    return (equal - DEPTH >= SIMILAR * (F.size(words) - DEPTH)) & constant
 
 
 def clustered(lines: DataFrame) -> DataFrame:
@@ -69,15 +80,16 @@ def clustered(lines: DataFrame) -> DataFrame:
                                         F.max("whole").alias("w2"))
               .filter("d1 != d2").select("leaf", (F.col("w1") != F.col("w2")).alias("varied")))
     shared = materialize(lines.join(leaves, "leaf"), "line-shared")
-    forms = shared.filter("varied").groupBy("leaf", "whole").agg(F.first("words").alias("words"))
+    # With fewer words no other form is similar enough.
+    behind = F.size("words") - DEPTH
+    forms = shared.filter(F.col("varied") & (behind - 1 >= SIMILAR * behind)).groupBy("leaf", "whole").agg(F.first("words").alias("words"))
     cells = forms.select("leaf", "whole", F.posexplode("words").alias("place", "word"))
     votes = cells.groupBy("leaf", "place", "word").agg(F.count("*").alias("n"))
     winners = votes.groupBy("leaf", "place").agg(F.max(F.struct("n", "word")).alias("top"))
     # The template as one array per leaf: its length is the leaf's number of words.
     template = winners.groupBy("leaf").agg(F.transform(F.sort_array(F.collect_list(F.struct("place", "top.word"))),
                                                        lambda x: x["word"]).alias("template"))
-    equal = F.aggregate(F.zip_with("words", "template", lambda a, b: F.when(a == b, 1).otherwise(0)), F.lit(0), lambda n, x: n + x)
-    follows = (forms.join(template, "leaf").filter(equal >= SIMILAR * F.size("words"))
+    follows = (forms.join(template, "leaf").filter(_follows(F.col("words"), F.col("template")))
                .select("leaf", "whole", F.lit(True).alias("follows")))
     return (shared.select("leaf", "whole", "doc", "doc_id", "line").join(follows, ["leaf", "whole"], "left")
             .select("doc", "doc_id", "line", F.when(F.col("follows"), F.xxhash64("leaf")).otherwise(F.xxhash64("leaf", "whole"))

@@ -89,6 +89,14 @@ def test_short_lines_recur_by_their_exact_words(spark):
         0: (0, texts[0]), 1: (2, "Page 2\n"), 2: (1, " \nall rights reserved.")}
 
 
+def test_lines_that_share_only_their_leading_words_stay(spark):
+    lines = [f"you can also buy {w}" for w in ("apples", "pears", "bread")]
+    lines += ["1 2 3 4 5 6 7 8 9 10", "1 2 3 4 5 6 7 8 9 11", "10 20 30 40 50 60 70 80 90 100"]
+    lines += [f"{k} {k} {k} {k} {k} {k} {k} {k} {k} {w}" for k, w in enumerate(("salt", "milk"))]
+    got = line_templates.report(spark.createDataFrame(list(enumerate([*lines, lines[0], lines[3]])), "doc_id long, text string")).collect()
+    assert {r.doc_id: r.n_dropped for r in got} == {k: int(k >= len(lines)) for k in range(len(lines) + 2)}
+
+
 def test_mixture_meets_targets_and_limits(spark, docs, rows, none):
     clashing = docs.withColumn("row", F.lit(1)).withColumn("copies", F.lit(9))
     got = mixing.report(clashing).collect()
