@@ -5,8 +5,10 @@ with every digit run read as 0 (in lines with letters and more than `DEPTH` word
 the first `DEPTH` words.  Within a leaf that several documents reach, the words
 vote per position; the winners are the leaf's template.  A line follows it if at
 least `SIMILAR` of its words behind the leading ones equal the template's and one
-of all equal words has a letter, so the other positions are variable fields; a line that does not is a template of its own (its whole
-sequence of words).  A template that occurs in two documents or more recurs: its
+of all equal words has a letter, so the other positions are variable fields.  The lines that do not are parted by their words at the place where most
+lines of the leaf agree (words that no other line has there stay together), and
+each part votes again, until no part can agree.  A line that follows nothing is a
+template of its own (its whole sequence of words).  A template that occurs in two documents or more recurs: its
 lines are dropped from all documents but the first (smallest doc_id).
 
 Texts are read twice: once for a hash per word of each line, once to drop.
@@ -74,6 +76,38 @@ def _follows(words: Column, template: Column) -> Column:
     return (equal - DEPTH >= SIMILAR * (F.size(words) - DEPTH)) & constant
 
 
+def templates(forms: DataFrame) -> DataFrame:
+    """(leaf, whole, found): the template of each form that follows one, from (leaf, whole, words).
+
+    A round votes in all parts of all leaves at once.  Each part loses the forms
+    that follow its template or is split, so rounds end.
+    """
+    open_, found = forms.withColumn("part", F.col("leaf")), None
+    while True:
+        cells = open_.select("part", F.posexplode("words").alias("place", "word"))
+        votes = cells.groupBy("part", "place", "word").agg(F.count("*").alias("n"))
+        places = votes.groupBy("part", "place").agg(F.max(F.struct("n", "word")).alias("top"), F.sum("n").alias("size"))
+        # The template as one array per part: its length is the leaf's number of words.
+        agree = (F.col("top.n") > 1) & (F.col("top.n") < F.col("size"))
+        template = places.groupBy("part").agg(
+            F.transform(F.sort_array(F.collect_list(F.struct("place", "top.word"))), lambda x: x["word"]).alias("template"),
+            F.max(F.when(agree, F.struct(F.col("top.n").alias("n"), (-F.col("place")).alias("back"))))["back"].alias("back"),
+            F.max("size").alias("size")).filter("size > 1")
+        met = open_.join(template, "part").withColumn("follows", _follows(F.col("words"), F.col("template")))
+        judged = materialize(met.select(
+            "leaf", "whole", F.when(F.col("follows"), F.xxhash64(F.lit("template"), "part")).alias("found"), "part", "back",
+            F.when(~F.col("follows"), F.get("words", -F.col("back"))).alias("own"),
+            F.when(~F.col("follows") & F.col("back").isNotNull(), F.col("words")).alias("words")), "line-round")
+        here = judged.filter("found IS NOT NULL").select("leaf", "whole", "found")
+        found = here if found is None else found.unionByName(here)
+        rest = judged.filter("words IS NOT NULL")
+        if rest.isEmpty():
+            return found
+        common = rest.groupBy("part", "own").agg(F.count("*").alias("n")).filter("n > 1")
+        open_ = rest.join(common, ["part", "own"], "left").select(
+            "leaf", "whole", "words", F.xxhash64("part", "back", F.when(F.col("n").isNotNull(), F.col("own"))).alias("part"))
+
+
 def clustered(lines: DataFrame) -> DataFrame:
     """(doc, doc_id, line, template) of the lines in leaves that several documents reach."""
     leaves = (lines.groupBy("leaf").agg(F.min("doc").alias("d1"), F.max("doc").alias("d2"), F.min("whole").alias("w1"),
@@ -83,17 +117,9 @@ def clustered(lines: DataFrame) -> DataFrame:
     # With fewer words no other form is similar enough.
     behind = F.size("words") - DEPTH
     forms = shared.filter(F.col("varied") & (behind - 1 >= SIMILAR * behind)).groupBy("leaf", "whole").agg(F.first("words").alias("words"))
-    cells = forms.select("leaf", "whole", F.posexplode("words").alias("place", "word"))
-    votes = cells.groupBy("leaf", "place", "word").agg(F.count("*").alias("n"))
-    winners = votes.groupBy("leaf", "place").agg(F.max(F.struct("n", "word")).alias("top"))
-    # The template as one array per leaf: its length is the leaf's number of words.
-    template = winners.groupBy("leaf").agg(F.transform(F.sort_array(F.collect_list(F.struct("place", "top.word"))),
-                                                       lambda x: x["word"]).alias("template"))
-    follows = (forms.join(template, "leaf").filter(_follows(F.col("words"), F.col("template")))
-               .select("leaf", "whole", F.lit(True).alias("follows")))
+    follows = templates(forms)
     return (shared.select("leaf", "whole", "doc", "doc_id", "line").join(follows, ["leaf", "whole"], "left")
-            .select("doc", "doc_id", "line", F.when(F.col("follows"), F.xxhash64("leaf")).otherwise(F.xxhash64("leaf", "whole"))
-                    .alias("template")))
+            .select("doc", "doc_id", "line", F.coalesce("found", F.xxhash64("leaf", "whole")).alias("template")))
 
 
 def dropped_lines(docs: DataFrame, doc_id: str = "doc_id", text: str = "text") -> DataFrame:

@@ -97,6 +97,16 @@ def test_lines_that_share_only_their_leading_words_stay(spark):
     assert {r.doc_id: r.n_dropped for r in got} == {k: int(k >= len(lines)) for k in range(len(lines) + 2)}
 
 
+@pytest.mark.parametrize("weights", [(4, 4), (7, 3, 2)])
+def test_a_leaf_holds_several_templates(spark, weights):
+    names = "abcdefgh"
+    lines = [(m, "the same first words " + " ".join(names[m] + c for c in "klmno") + f" {names[k]} " + " ".join(names[m] + c for c in "pqrst"))
+             for k in range(max(weights)) for m, n in enumerate(weights) if k < n]
+    got = line_templates.report(spark.createDataFrame([(k, x) for k, (_, x) in enumerate(lines)], "doc_id long, text string")).collect()
+    first = {m: min(k for k, (x, _) in enumerate(lines) if x == m) for m in range(len(weights))}
+    assert {r.doc_id: r.n_dropped for r in got} == {k: int(k != first[m]) for k, (m, _) in enumerate(lines)}
+
+
 def test_mixture_meets_targets_and_limits(spark, docs, rows, none):
     clashing = docs.withColumn("row", F.lit(1)).withColumn("copies", F.lit(9))
     got = mixing.report(clashing).collect()
