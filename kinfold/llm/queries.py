@@ -4,7 +4,9 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
 
-from kinfold.llm import bpe, line_templates, mixing, near_duplicates, quality_rules, secrets, token_files, url_lists, vamana, word_pieces
+from kinfold.llm import (
+    bpe, hard_negatives, line_templates, mixing, near_duplicates, quality_rules, secrets, spelling, token_files, token_groups, url_lists,
+    vamana, word_pieces)
 from kinfold.session import scratch_path
 
 
@@ -52,6 +54,19 @@ def op10_entropy_mix(spark: SparkSession, sf_dir: str) -> DataFrame:
     return mixing.report(_table(spark, sf_dir, "documents"))
 
 
+def op11_fagin_negatives(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return hard_negatives.report(_table(spark, sf_dir, "embeddings"))
+
+
+def op12_token_group_join(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return token_groups.components(_table(spark, sf_dir, "documents"))
+
+
+def op13_pivotal_spellings(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return spelling.report(_table(spark, sf_dir, "documents"))
+
+
 QUERIES = {f.__name__: f for f in (
     op1_minhash_postings, op2_temporal_url_lists, op3_secret_ledger, op4_quality_divergence, op5_speculative_bpe,
-    op6_perfect_hash_files, op7_word_piece_counts, op8_vamana_shards, op9_line_templates, op10_entropy_mix)}
+    op6_perfect_hash_files, op7_word_piece_counts, op8_vamana_shards, op9_line_templates, op10_entropy_mix,
+    op11_fagin_negatives, op12_token_group_join, op13_pivotal_spellings)}
