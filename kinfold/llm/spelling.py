@@ -13,10 +13,17 @@ of two disjoint grams.  Of two near words take the one whose prefix ends at the
 rarer bigram: its unspoilt pivot is no more frequent than the end of the other's
 prefix, so the other has it there.  So pivots joined with prefixes lose no pair.
 
-Position limits: the edit lies behind the unspoilt pivot, then both words agree
-from their start through that gram, or before it, then they agree from the gram
-to their end.  So the join is on that whole head or tail and on the length (off
-by one at most), not on the gram alone.  What meets is verified exactly.
+Position limits: the edit's place relative to the two pivots says which parts of
+the word are untouched, and the join is on these parts, with the length (off by
+one at most), instead of on the bigram alone:
+
+* behind both pivots: the head through the second; before both: the tail from the
+  first; between them: the head through the first and the tail from the second.  Both
+  pivots are then in the other's prefix;
+* in a pivot: the parts before and behind it; the other pivot lies in one of them.
+
+A word answers under every such part of its own that holds a prefix bigram (both,
+where both pivots are untouched).  What meets is verified exactly.
 
 The form of a word is its near word with the largest count (ties: the smallest
 in code-point order), if at least `RATIO` times its own.  Counts grow at every
@@ -46,8 +53,7 @@ LEAST_COUNT = 3
 RATIO = 2
 SLIP = 97
 PREFIX = 3
-#: In lowered UTF-8: a-z, and U+00C0 to U+00FF as C3 80 to C3 BF.
-RUN = re.compile(rb"(?:[a-z]|\xc3[\x80-\xbf]){%d,}" % LEAST_LENGTH)
+RUN = re.compile("[a-z\u00c0-\u00ff]{%d,}" % LEAST_LENGTH)  # in lowered text; shorter runs give no word
 _CUT = re.compile(rb"[\x00-\x40\x5b-\x60\x7b-\x7f]")
 _PIECE = 1 << 20
 _HELD = 200_000  # distinct words a task holds before it hands their counts on
@@ -65,17 +71,16 @@ def _pieces(text: bytes) -> Iterator[bytes]:
     yield text[start:] if start else text
 
 
-def _without(run: bytes, h: int) -> bytes:
-    letters = run.decode()
-    at = h % len(letters)
-    return (letters[:at] + letters[at + 1:]).encode()
+def _without(run: str, h: int) -> str:
+    at = h % len(run)
+    return run[:at] + run[at + 1:]
 
 
 def _count(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     held: Counter = Counter()
 
     def flush():
-        words, counts = [w.decode() for w in held], list(held.values())
+        words, counts = list(held), list(held.values())
         held.clear()
         return pa.RecordBatch.from_arrays([pa.array(words, pa.string()), pa.array(counts, pa.int64())], ["word", "n"])
 
@@ -85,8 +90,8 @@ def _count(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
                 continue
             start = zlib.crc32(b"%s:" % (b"" if doc_id is None else str(doc_id).encode()))
             for piece in _pieces(text.as_buffer().to_pybytes().lower()):
-                for run, n in Counter(RUN.findall(piece)).items():
-                    h = zlib.crc32(run, start)
+                for run, n in Counter(RUN.findall(piece.decode())).items():
+                    h = zlib.crc32(run.encode(), start)
                     held[run if h % SLIP else _without(run, h)] += n
                 if len(held) > _HELD:
                     yield flush()
@@ -116,47 +121,74 @@ def pivots(prefix: list[tuple[int, int]]) -> tuple[int, int]:
     return best[1], best[2]
 
 
+#: An untouched part is a head of so many letters and the tail from a position; kinds keep parts of other origin apart.
+THROUGH, FROM, AROUND, BESIDE = range(4)
+_BITS = 28
+
+
+def _part(kind: int, head: int, tail: int) -> int:
+    return (kind << 2 * _BITS) + (head << _BITS) + tail
+
+
+def asked_parts(n: int, first: int, second: int) -> list[int]:
+    """What stays untouched of a word of n letters with two pivots, one per place of the edit."""
+    return [_part(THROUGH, second + 2, n), _part(FROM, 0, first), _part(AROUND, first + 2, second),
+            _part(BESIDE, first, first + 2), _part(BESIDE, second, second + 2)]
+
+
+def answered_parts(n: int, prefix: list[int]) -> list[int]:
+    """The parts by which a word is met by one that has its untouched pivots among the word's prefix positions."""
+    prefix = sorted(prefix)
+    first, last = prefix[0], prefix[-1]
+    parts = {_part(THROUGH, b + 2, n) for b in prefix if first + 2 <= b}
+    parts |= {_part(FROM, 0, a) for a in prefix if a + 2 <= last}
+    parts |= {_part(AROUND, a + 2, b) for a in prefix for b in prefix if a + 2 <= b}
+    # Where the other word has its spoilt pivot, this one has one to three letters.
+    return [*parts, *[_part(BESIDE, a, a + gap) for gap in (1, 2, 3) for a in range(n - gap + 1) if first + 2 <= a or a + gap <= last]]
+
+
 def _selector(counts: dict[str, int]):
+    # One number per bigram, in the order of (count, bigram).
+    rank = {gram: i for i, gram in enumerate(sorted(counts, key=lambda g: (counts[g], g)))}
+
     def select(batches):
         for batch in batches:
-            out = []
+            asked, answered = [], []
             for word in batch.column(0).to_pylist():
-                ranked = sorted((counts[word[i:i + 2]], word[i:i + 2], i) for i in range(len(word) - 1))
-                end = ranked[PREFIX - 1][:2]
-                prefix = [(i, c) for c, gram, i in ranked if (c, gram) <= end]
-                out.append((sorted(i for i, _ in prefix), list(pivots(prefix))))
-            ints = pa.list_(pa.int32())
-            yield pa.RecordBatch.from_arrays([batch.column(0), pa.array([p for p, _ in out], ints), pa.array([p for _, p in out], ints)],
-                                             ["word", "prefix", "pivots"])
+                ranks = [rank[word[i:i + 2]] for i in range(len(word) - 1)]
+                end = sorted(ranks)[PREFIX - 1]
+                prefix = [i for i, r in enumerate(ranks) if r <= end]
+                asked.append(asked_parts(len(word), *pivots([(i, counts[word[i:i + 2]]) for i in prefix])))
+                answered.append(answered_parts(len(word), prefix))
+            longs = pa.list_(pa.int64())
+            yield pa.RecordBatch.from_arrays([batch.column(0), pa.array(asked, longs), pa.array(answered, longs)],
+                                             ["word", "asked", "answered"])
     return select
 
 
 def grams(words: DataFrame) -> DataFrame:
-    """(word, prefix, pivots): bigram positions from 0; `words` has distinct words of five code points or more."""
+    """(word, asked, answered): the parts of distinct words of five code points or more."""
     bigrams = words.select(F.explode(F.transform(F.sequence(F.lit(1), F.length("word") - 1),
                                                  lambda i: F.substring(F.col("word"), i, F.lit(2)))).alias("gram"))
     counts = {r.gram: r.n for r in bigrams.groupBy("gram").agg(F.count("*").alias("n")).collect()}  # 90 * 90 at most
-    return words.select("word").mapInArrow(_selector(counts), "word string, prefix array<int>, pivots array<int>")
+    return words.select("word").mapInArrow(_selector(counts), "word string, asked array<bigint>, answered array<bigint>")
 
 
-def _keys(selected: DataFrame, positions: str, *lengths: int) -> DataFrame:
-    """(key, length, word): head through the gram and tail from it, under each of the lengths."""
-    at = F.col("at")
-    sides = F.array(F.xxhash64(F.lit("head"), F.substring(F.col("word"), F.lit(1), at + 2)),
-                    F.xxhash64(F.lit("tail"), F.substring(F.col("word"), at + 1, F.length("word"))))
-    keyed = selected.select("word", F.explode(positions).alias("at")).select("word", F.explode(sides).alias("key"))
-    if lengths == (0,):
-        return keyed.select("key", F.length("word").alias("length"), "word")
-    near = F.explode(F.array(*[F.length("word") + d for d in lengths]))
-    return keyed.select("key", near.alias("length"), "word")
+def _keyed(parts: DataFrame, word: str) -> DataFrame:
+    """(key, word) of (word, part, length of the word that answers)."""
+    head, tail = (F.shiftright("part", _BITS).bitwiseAND((1 << _BITS) - 1), F.col("part").bitwiseAND((1 << _BITS) - 1))
+    key = F.xxhash64(F.shiftright("part", 2 * _BITS), "length", F.substring(F.col("word"), F.lit(1), head.cast("int")),
+                     F.substring(F.col("word"), (tail + 1).cast("int"), F.length("word")))
+    return parts.select(key.alias("key"), F.col("word").alias(word))
 
 
 def near_words(words: DataFrame) -> DataFrame:
     """(a, b), a < b: all pairs of the distinct `word`s that are one edit apart."""
     selected = materialize(grams(words), "spelling-grams")
-    pivot = _keys(selected, "pivots", -1, 0, 1).withColumnRenamed("word", "one")
-    prefix = _keys(selected, "prefix", 0).withColumnRenamed("word", "other")
-    met = pivot.join(prefix, ["key", "length"]).filter(F.levenshtein("one", "other", 1) == 1)
+    size = F.length("word")
+    asks = selected.select("word", F.explode("asked").alias("part")).select("word", "part", F.explode(F.array(size - 1, size, size + 1)).alias("length"))
+    answers = selected.select("word", F.explode("answered").alias("part")).withColumn("length", size)
+    met = _keyed(asks, "one").join(_keyed(answers, "other"), "key").filter(F.levenshtein("one", "other", 1) == 1)
     return met.select(F.least("one", "other").alias("a"), F.greatest("one", "other").alias("b")).distinct()
 
 
