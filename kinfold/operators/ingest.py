@@ -81,6 +81,27 @@ def filter_incremental(incoming: DataFrame, marks: DataFrame, spec: EntitySpec,
             .join(boundary, ["record_uid", "payload_hash"], "left_anti").drop("payload_hash"))
 
 
+def still_present(landed: DataFrame, retired: DataFrame) -> DataFrame:
+    """Landed rows without those of keys that were retired later; a key that came back has its later rows."""
+    last = retired.groupBy("record_uid").agg(F.max("batch_id").alias("retired_in"))
+    return (landed.join(last, "record_uid", "left").filter(F.col("retired_in").isNull() | (F.col("batch_id") > F.col("retired_in")))
+            .drop("retired_in"))
+
+
+def vanished_keys(present: DataFrame, seen: DataFrame, unreadable: DataFrame, spec: EntitySpec) -> DataFrame:
+    """(record_uid, source_id) of full-load sources that were present and are not among the keys `seen` in a new extract.
+
+    `seen` has the keys of the whole extract, `unreadable` the sources with lines
+    whose key could not be read: nobody knows who is missing there, so such a source
+    retires nothing this time, and neither does one whose extract holds no key at all.
+    """
+    full = [s.source_id for s in spec.sources if s.load_type == "full"]
+    # One row per registered source, so it may be broadcast.
+    judged = F.broadcast(seen.select("source_id").distinct().join(unreadable.select("source_id").distinct(), "source_id", "left_anti"))
+    held = present.filter(F.col("source_id").isin(*full)).select("record_uid", "source_id").distinct()
+    return held.join(judged, "source_id", "left_semi").join(seen.select("record_uid"), "record_uid", "left_anti")
+
+
 def snapshot_diff(old: DataFrame, new: DataFrame, key: str, columns: list[str]) -> DataFrame:
     """Classify the keys of two full loads as insert, update, delete or unchanged.
 

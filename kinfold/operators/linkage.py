@@ -326,6 +326,19 @@ def _entries(n: int, slot: Slot) -> Column:
     return F.when(filled & (F.size(words) > 0), F.concat(asked, answers)).otherwise(F.array())
 
 
+def slot_entries(records: DataFrame, spec: Matching, floor: float) -> DataFrame:
+    """(slot, record_uid): hashed values under which a record meets every other that may score `floor` with it.
+
+    Two records that can reach the floor without a key share at least one slot.
+    """
+    columns, slots = _slots(spec, floor)
+    blocks = {f"__b{i}": F.expr(b.expr) for i, b in enumerate(spec.blocking)}
+    # Column names of the slots are the only ones read besides the compared ones.
+    formed = records.select("record_uid", *spec.columns).withColumns({**blocks, **columns})
+    every = F.concat(*[_entries(n, slot) for n, slot in enumerate(slots)])
+    return formed.select(F.explode(F.array_distinct(F.transform(every, lambda e: e["__group"]))).alias("slot"), "record_uid")
+
+
 def _meets(spec: Matching, slot: Slot) -> Column:
     """Do two profiles belong together in a slot?  Compares values, so hashed groups stay exact."""
     same = reduce(lambda a, b: a & b, [_both(k)[0] == _both(k)[1] for k in slot.keys])
@@ -417,13 +430,17 @@ def _within_profile(profile: DataFrame, spec: Matching, floor: float) -> DataFra
                     _decided(F.col("score"), F.lit(False), spec).alias("decision")))
 
 
-def match_pairs(records: DataFrame, spec: Matching, floor: float | None = None) -> DataFrame:
-    """The decision table: deterministic links (score 1) and every fuzzy pair at or above `floor`."""
-    links = deterministic_links(records, spec).select(
+def deterministic_decisions(records: DataFrame, spec: Matching) -> DataFrame:
+    """Key links in the shape of the decision table (score 1)."""
+    return deterministic_links(records, spec).select(
         F.col("record_uid").alias("record_uid_1"), F.col("root_uid").alias("record_uid_2"),
         F.lit(1).cast("bigint").alias("record_pairs"), F.lit(1.0).alias("score"),
         F.lit("deterministic").alias("method"), F.lit(MATCH).alias("decision")).distinct()
-    return links.unionByName(fuzzy_pairs(records, spec, floor))
+
+
+def match_pairs(records: DataFrame, spec: Matching, floor: float | None = None) -> DataFrame:
+    """The decision table: deterministic links (score 1) and every fuzzy pair at or above `floor`."""
+    return deterministic_decisions(records, spec).unionByName(fuzzy_pairs(records, spec, floor))
 
 
 def review_queue(pairs: DataFrame, limit: int | None = None) -> DataFrame:

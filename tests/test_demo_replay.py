@@ -81,7 +81,11 @@ def test_high_water_marks_and_audit(run):
     assert audit["dq_validation", "ALL"] == {"rows_in": 24, "rows_valid": 19, "rows_quarantined": 5, "rule_failures": 5}
     assert audit["golden_record", "ALL"] == {"golden_records": 12}
     assert audit["silver_standardize", "ALL"] == {"rows_standardized": 24}
-    assert set(audit["identity_resolution", "ALL"]) == {"pairs_listed", "auto_matched", "review_queued", "rejected_by_guard"}
+    assert set(audit["identity_resolution", "ALL"]) == {"pairs_listed", "auto_matched", "review_queued", "rejected_by_guard", "entities"}
+    assert audit["identity_resolution", "ALL"]["entities"] == 12
+    times = {r["stage"]: r["event_ts"] for r in layers.read("ops", "audit_log").collect()}
+    stages = ["bronze_ingest", "silver_standardize", "dq_validation", "identity_resolution", "golden_record", "reconciliation"]
+    assert sorted(times, key=times.get) == stages and len(set(times.values())) == 6
     assert audit["reconciliation", "ALL"] == {"exceptions": 0}
 
 
