@@ -71,9 +71,9 @@ def intervals(log: DataFrame) -> DataFrame:
 
 
 def active_entries(captures: DataFrame, log: DataFrame) -> DataFrame:
-    """(capture, list, key, valid_from) of every entry active when a capture was fetched.
+    """(capture, url, fetched_at, list, key, valid_from) of every entry active when a capture was fetched.
 
-    `captures` has (capture, url, fetched_at).
+    `captures` has (capture, url, fetched_at); one id may have several urls and times, each is a capture of its own.
     """
     spans = materialize(intervals(log), "url-intervals")
     last = captures.agg(F.max("fetched_at").alias("t")).first()["t"]
@@ -81,19 +81,20 @@ def active_entries(captures: DataFrame, log: DataFrame) -> DataFrame:
     listed = (spans.withColumn("period", F.explode(F.sequence(period_of(F.col("valid_from")), horizon)))
               .withColumnRenamed("key", "listed_key").withColumnRenamed("period", "listed_period"))
     asked = (captures.filter("fetched_at IS NOT NULL").withColumn("period", period_of(F.col("fetched_at")))
-             .select("capture", "fetched_at", "period", F.explode(keys_of(F.col("url"))).alias("key")))
+             .select("capture", "url", "fetched_at", "period", F.explode(keys_of(F.col("url"))).alias("key")))
     same = (F.col("key") == F.col("listed_key")) & (F.col("period") == F.col("listed_period"))
     active = (F.col("valid_from") <= F.col("fetched_at")) & (F.col("valid_to").isNull() | (F.col("fetched_at") < F.col("valid_to")))
-    return asked.join(listed, same & active).select("capture", "list", "key", "valid_from")
+    return asked.join(listed, same & active).select("capture", "url", "fetched_at", "list", "key", "valid_from")
 
 
 def verdicts(captures: DataFrame, log: DataFrame) -> DataFrame:
-    """Per capture: host, whether it is allowed, how many entries were active, and the longest-listed of them."""
+    """Per capture (id, url and time): host, whether it is allowed, how many entries were active, and the longest-listed of them."""
     named = materialize(captures.select("capture", "url", "fetched_at"), "url-captures")
-    hits = active_entries(named.distinct(), log).groupBy("capture").agg(
+    hits = active_entries(named.distinct(), log).groupBy(*[F.col(c).alias(f"hit_{c}") for c in named.columns]).agg(
         F.count("*").alias("n_active"), F.min(F.struct("valid_from", "list", "key")).alias("oldest"))
-    return (named.withColumnRenamed("capture", "c").join(hits, F.col("c").eqNullSafe(F.col("capture")), "left")
-            .select(F.col("c").alias("capture"), host_of(F.col("url")).alias("host"), F.col("oldest").isNull().alias("allowed"),
+    same = [F.col(c).eqNullSafe(F.col(f"hit_{c}")) for c in named.columns]
+    return (named.join(hits, same, "left")
+            .select("capture", host_of(F.col("url")).alias("host"), F.col("oldest").isNull().alias("allowed"),
                     F.coalesce("n_active", F.lit(0)).cast("long").alias("n_active"), F.col("oldest.list").alias("list"),
                     F.col("oldest.key").alias("listed_key"), F.col("oldest.valid_from").alias("listed_since")))
 
