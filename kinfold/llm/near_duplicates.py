@@ -267,9 +267,17 @@ def links(members: DataFrame, postings: DataFrame) -> DataFrame:
 
 def components(docs: DataFrame, doc_id: str = "doc_id", text: str = "text") -> DataFrame:
     """Per row: doc_id, n_shingles, component_id (smallest doc_id reachable), kept."""
-    named = docs.select(F.col(doc_id).alias("doc_id"), F.col(text).alias("text"))
-    sketches = materialize(named.select("doc_id", sketch_of(F.col("text")).alias("s"))
-                           .select("doc_id", "s.n_shingles", "s.high", "s.low", "s.tokens"), "near-sketches")
+    answered = _answered(docs.select(F.col(doc_id).alias("doc_id"), F.col(text).alias("text")))
+    return answered.select(
+        "doc_id", "n_shingles", F.coalesce("component_id", "doc_id").alias("component_id"),
+        F.coalesce(F.col("doc_id") == F.coalesce("component_id", "doc_id"), F.lit(True)).alias("kept"))
+
+
+def _answered(named: DataFrame, *more: Column) -> DataFrame:
+    """Per row of (doc_id, text): doc_id, n_shingles, high, low, `more`, its component's node and its smallest doc_id."""
+    extra = [f"more_{i}" for i in range(len(more))]
+    sketches = materialize(named.select("doc_id", sketch_of(F.col("text")).alias("s"), *[c.alias(n) for c, n in zip(more, extra)])
+                           .select("doc_id", "s.n_shingles", "s.high", "s.low", "s.tokens", *extra), "near-sketches")
     classes = (sketches.filter("high IS NOT NULL").groupBy("high", "low", "n_shingles")
                .agg(F.min("doc_id").alias("first_id"), F.first("tokens").alias("tokens")))
     classes = materialize(classes.withColumn("node", F.col("high")), "near-classes")
@@ -286,15 +294,33 @@ def components(docs: DataFrame, doc_id: str = "doc_id", text: str = "text") -> D
     labelled = (classes.select("high", "low", "first_id", "node").join(found, "node", "left")
                 .withColumn("component", F.coalesce("component", "node")))
     smallest = labelled.groupBy("component").agg(F.min("first_id").alias("component_id"))
-    named_classes = labelled.join(smallest, "component").select("high", "low", "component_id")
-    rows = sketches.select("doc_id", "n_shingles", "high", "low")
-    answered = rows.join(named_classes, ["high", "low"], "left")
-    return answered.select(
-        "doc_id", "n_shingles", F.coalesce("component_id", "doc_id").alias("component_id"),
-        F.coalesce(F.col("doc_id") == F.coalesce("component_id", "doc_id"), F.lit(True)).alias("kept"))
+    named_classes = labelled.join(smallest, "component").select("high", "low", "component", "component_id")
+    rows = sketches.select("doc_id", "n_shingles", "high", "low", *extra)
+    return rows.join(named_classes, ["high", "low"], "left")
 
 
 def keep_one(docs: DataFrame, doc_id: str = "doc_id", text: str = "text") -> DataFrame:
-    """The documents with one of each group kept: the smallest doc_id, all its columns."""
-    gone = components(docs, doc_id, text).filter("NOT kept").select(F.col("doc_id").alias("gone_id")).distinct()
-    return docs.join(gone, F.col(doc_id) == F.col("gone_id"), "left_anti")
+    """The documents with one row of each group kept, with all its columns: the smallest doc_id, then the smallest MD5 of the text.
+
+    Decided per row, not per doc_id, so another text under the id of a copy stays.
+    Rows equal in id and text are one document, and any one of them stays; texts
+    without words are in no group.
+    """
+    columns = docs.columns
+    inner = docs.toDF(*[f"c{i}" for i in range(len(columns))])
+    doc_id, text = (f"c{columns.index(c)}" for c in (doc_id, text))
+    answered = materialize(_answered(inner.select(F.col(doc_id).alias("doc_id"), F.col(text).alias("text")), F.md5(F.col("text")))
+                           .filter("component IS NOT NULL").select("component", "doc_id", F.col("more_0").alias("md5")), "near-answers")
+    least = F.struct(F.col("doc_id").isNull().alias("no_id"), "doc_id", "md5")
+    rows = answered.groupBy("component", "doc_id", "md5").agg(F.count("*").alias("n"))
+    first = rows.groupBy("component").agg(F.min(least).alias("first"))
+    judged = rows.join(first, "component").withColumn("stays", least == F.col("first"))
+    marked = materialize(judged.filter("NOT stays OR n > 1").select(
+        F.col("doc_id").alias("of_id"), F.col("md5").alias("of_md5"), "stays"), "near-marked")
+    same = F.col(doc_id).eqNullSafe(F.col("of_id")) & (F.md5(F.col(text)) == F.col("of_md5"))
+    single = inner.join(marked, same, "left_anti")
+    if marked.filter("stays").isEmpty():
+        return single.toDF(*columns)
+    repeated = (inner.join(marked.filter("stays"), same, "left_semi").withColumn("md5", F.md5(F.col(text)))
+                .dropDuplicates([doc_id, "md5"]).drop("md5"))
+    return single.unionByName(repeated).toDF(*columns)
