@@ -375,6 +375,18 @@ _TRACE = " UNION ALL ".join(
     f" AS evidence FROM ({rows})" for section, (columns, rows) in _SECTIONS.items())
 
 
+# The last state of three batches: LEGACY without what its last extract lacks, every WEB and CRM record as it last came.
+_LAST_STATE = f"""
+SELECT source_id, trust_rank, source_record_id, full_name,
+  CASE WHEN moved THEN concat('moved', k, '@example.com') ELSE email END AS email,
+  CASE WHEN moved THEN CAST(6000000000 + k AS STRING) ELSE phone END AS phone, address_line, city, state, country, date_of_birth,
+  CASE WHEN moved THEN '2026-07-20' WHEN source_id = 'WEB' AND k % 16 = 0 THEN '2026-07-25'
+       WHEN source_id = 'CRM' AND k % 7 = 3 THEN '2026-07-01' ELSE source_updated_at END AS source_updated_at
+FROM (SELECT *, source_id = 'WEB' AND k % 8 = 0 AND k % 16 != 0 AS moved
+      FROM (SELECT *, CAST(regexp_extract(source_record_id, '([0-9]+)$', 1) AS BIGINT) AS k FROM ({RECORDS})))
+WHERE NOT (source_id = 'LEGACY' AND k % 15 = 0)"""
+
+
 def oracle_sql() -> dict[str, str]:
     q: dict[str, str] = {
         "scan_csv": _extract("CRM"), "scan_ndjson": _extract("WEB"), "scan_delimited": _extract("LEGACY"),
@@ -510,6 +522,9 @@ def oracle_sql() -> dict[str, str]:
         "sample_entities": _sql("""SELECT golden_id, count(*) AS n_members FROM crosswalk GROUP BY 1 HAVING count(*) >= 3
             ORDER BY 2 DESC, 1 LIMIT 5""", GOLDEN),
         "incremental_match": _sql("SELECT record_uid, cluster_id FROM clusters", CLUSTERS),
+        "batch_entities": _sql("SELECT x.golden_id, x.record_uid, x.source_id, x.source_record_id, "
+                               + ", ".join(f"g.{a} AS golden_{a}" for a in ATTRIBUTES)
+                               + " FROM crosswalk x JOIN golden g ON g.golden_id = x.golden_id", GOLDEN).replace(RECORDS, _LAST_STATE),
         "incremental_redirects": _sql("""SELECT DISTINCT o.root AS old_root, c.root_uid FROM old_roots o
             JOIN clusters c ON c.record_uid = o.root WHERE c.root_uid != o.root""", CLUSTERS, """
             old_edges AS (SELECT edges.* FROM edges JOIN valid x ON x.record_uid = a JOIN valid y ON y.record_uid = b

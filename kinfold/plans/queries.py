@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 from collections.abc import Callable
+from dataclasses import replace
 
 from pyspark.sql import Column, DataFrame, SparkSession, functions as F, types as T
 
@@ -10,7 +11,7 @@ from kinfold.operators import (evaluate, incremental, ingest, lineage, linkage,
                                standardize, survivorship)
 from kinfold.plans import contacts, entities
 from kinfold.plans.customer import AS_OF, ATTRIBUTES, CUSTOMER
-from kinfold.plans.mastering import Mastering
+from kinfold.plans.mastering import Mastering, run_batch
 from kinfold.session import materialize, scratch_path
 from kinfold.sources import files
 from kinfold.sources.tables import Layers, stage_event
@@ -504,6 +505,48 @@ def incremental_redirects(spark, sf_dir):
     return incremental.match_increment(incoming, stored, before, MATCHING)[1]
 
 
+#: What the extracts of three batches hold: a condition on the customer key per source, and WEB's columns where it changed.
+BATCHES = [
+    ("20260801", {"CRM": "k % 7 != 3", "WEB": "true", "LEGACY": "true"}, {}),
+    # LEGACY no longer has the customers that tie CRM and WEB records together; some sign-ups come with another address.
+    ("20260802", {"CRM": "false", "WEB": "k % 8 = 0", "LEGACY": "k % 12 != 0"},
+     {"contact_email": "concat('moved', k, '@example.com')", "mobile": "CAST(6000000000 + k AS STRING)", "modified_ts": "'2026-07-20'"}),
+    # Half of them return to their first address, most of LEGACY is back with its old rows, and the missing CRM customers arrive.
+    ("20260803", {"CRM": "k % 7 = 3", "WEB": "k % 16 = 0", "LEGACY": "k % 15 != 0"},
+     {"modified_ts": "'2026-07-25'", "updated_at": "'2026-07-01'"}),
+]
+
+
+def _batches(spark: SparkSession, sf_dir: str) -> Mastering:
+    """Three batches from landing files through the batch job, the later ones as increments of the entity store."""
+    root = scratch_path(spark, "batches")
+    layers = Layers(spark, f"{root}/tables")
+    previous, work = None, None
+    for batch, conditions, changed in BATCHES:
+        sources = []
+        for source in CUSTOMER.sources:
+            key = next(c for c, canonical in source.field_map.items() if canonical == "source_record_id")
+            extract = contacts.extract(contacts.customers(spark, sf_dir), source).withColumn(
+                "k", F.regexp_extract(key, "([0-9]+)$", 1).cast("bigint"))
+            rows = extract.filter(conditions[source.source_id])
+            rows = rows.withColumns({c: F.expr(e) for c, e in changed.items() if c in rows.columns}).drop("k")
+            folder = source.path.rsplit("/", 1)[0]
+            rows.write.format(source.format).options(**source.options, header=True).save(f"{root}/{batch}/{folder}")
+            sources.append(replace(source, path=f"{folder}/part-*"))
+        spec = replace(CUSTOMER, sources=tuple(sources))
+        work = run_batch(spark, spec, layers, f"{root}/{batch}", batch, AS_OF, previous)
+        previous = batch
+    return work
+
+
+@query
+def batch_entities(spark, sf_dir):
+    """Entities after changes, returns, merges and removals in three batches; equals matching and surveying the last state."""
+    work = _batches(spark, sf_dir)
+    shown = work.golden.select("golden_id", *[F.col(a).alias(f"golden_{a}") for a in ATTRIBUTES])
+    return work.crosswalk.select("golden_id", "record_uid", "source_id", "source_record_id").join(shown, "golden_id")
+
+
 @query
 def golden_upsert(spark, sf_dir):
     """Balances of all customers, then those of one segment corrected: only their buckets are rewritten."""
