@@ -443,6 +443,37 @@ def match_pairs(records: DataFrame, spec: Matching, floor: float | None = None)
     return deterministic_decisions(records, spec).unionByName(fuzzy_pairs(records, spec, floor))
 
 
+def compared_pairs(records: DataFrame, wanted: DataFrame, spec: Matching) -> DataFrame:
+    """Every compared pair with a record in `wanted` (record_uid), also the low-scoring and rejected ones, record by record.
+
+    (record_uid_1, record_uid_2, score, method, decision, conflicts).  The work is
+    that of the wanted records' blocks: their members meet the others there, the
+    others do not meet each other.  A pair that shares several blocks is taken in the
+    first of them.
+    """
+    blocks = F.array_sort(F.array_distinct(F.array_compact(F.array(*[F.expr(b.expr) for b in spec.blocking]))))
+    keyed = records.select("record_uid", blocks.alias("blocks"))
+    entry = keyed.select("record_uid", "blocks", F.explode("blocks").alias("block"))
+    asked = entry.join(wanted.select("record_uid").distinct().withColumn("is_wanted", F.lit(True)), "record_uid", "left")
+    one, other = asked.filter("is_wanted").alias("a"), asked.alias("b")
+    first = F.array_min(F.array_intersect("a.blocks", "b.blocks")) == F.col("a.block")
+    # Two wanted records meet in both orders and are taken in one.
+    once = (F.col("a.record_uid") != F.col("b.record_uid")) & (F.col("b.is_wanted").isNull() | (F.col("a.record_uid") < F.col("b.record_uid")))
+    met = one.join(other, (F.col("a.block") == F.col("b.block")) & first & once).select(
+        F.least("a.record_uid", "b.record_uid").alias("record_uid_1"), F.greatest("a.record_uid", "b.record_uid").alias("record_uid_2"))
+    sides = _prepared(records.select("record_uid", *spec.columns), spec)
+    pairs = (met.join(sides.alias("l"), F.col("l.record_uid") == F.col("record_uid_1"))
+             .join(sides.alias("r"), F.col("r.record_uid") == F.col("record_uid_2")))
+    named = F.array_join(F.array_compact(F.array(*[F.when(_both(c)[0] != _both(c)[1], F.lit(c)) for c in spec.conflict_columns])), "+")
+    sure = pairs.filter(_is_deterministic(spec)).select(
+        "record_uid_1", "record_uid_2", F.lit(1.0).alias("score"), F.lit("deterministic").alias("method"), F.lit(MATCH).alias("decision"),
+        named.alias("conflicts"))
+    scored = _scored(pairs.filter(~_is_deterministic(spec)), spec, 0.0)
+    return sure.unionByName(scored.select(
+        "record_uid_1", "record_uid_2", "score", F.lit("probabilistic").alias("method"),
+        _decided(F.col("score"), _conflict(spec), spec).alias("decision"), named.alias("conflicts")))
+
+
 def review_queue(pairs: DataFrame, limit: int | None = None) -> DataFrame:
     """Pairs for the steward, best first; `limit` gives the top of the queue without a full sort."""
     queue = pairs.filter(F.col("decision") == REVIEW).orderBy(F.desc("score"), "record_uid_1", "record_uid_2")

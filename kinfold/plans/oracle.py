@@ -564,6 +564,12 @@ def oracle_sql() -> dict[str, str]:
             MATCH_PAIRS, _SLA, _rates(), _MARKS.format(rows="bronze")),
         "sar_export": _sql("""SELECT cluster_id AS golden_id, record_uid, source_id, source_record_id, raw_payload FROM members
             WHERE cluster_id IN (SELECT golden_id FROM subjects)""", GOLDEN, _SUBJECTS),
+        "evidence_on_request": _sql("""SELECT u1 AS record_uid_1, u2 AS record_uid_2, score::DOUBLE AS score,
+              CASE WHEN det THEN 'deterministic' ELSE 'probabilistic' END AS method, decision,
+              concat_ws('+', CASE WHEN l.date_of_birth != r.date_of_birth THEN 'date_of_birth' END, CASE WHEN l.country != r.country THEN 'country' END) AS conflicts
+            FROM decided JOIN valid l ON l.record_uid = u1 JOIN valid r ON r.record_uid = u2
+            WHERE u1 IN (SELECT record_uid FROM crosswalk JOIN subjects USING (golden_id))
+               OR u2 IN (SELECT record_uid FROM crosswalk JOIN subjects USING (golden_id))""", PAIRS, GOLDEN, _SUBJECTS),
         "erasure": _sql("""SELECT record_uid, source_id, source_record_id FROM members
             WHERE cluster_id NOT IN (SELECT golden_id FROM subjects)""", GOLDEN, _SUBJECTS),
         "masking": _sql("""SELECT sha256(record_uid) AS record_uid, source_updated_at,

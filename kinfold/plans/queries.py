@@ -648,6 +648,14 @@ def sar_export(spark, sf_dir):
     return privacy.export_subjects(_subjects(spark, sf_dir, work), work.crosswalk, work.checked)
 
 
+@query
+def evidence_on_request(spark, sf_dir):
+    """All that was compared for the entities that asked: why their records belong together, and whom they were kept from."""
+    work = mastering(spark, sf_dir)
+    owned = privacy.subject_members(_subjects(spark, sf_dir, work), work.crosswalk)
+    return linkage.compared_pairs(work.valid, owned, MATCHING)
+
+
 @query
 def erasure(spark, sf_dir):
     work = mastering(spark, sf_dir)

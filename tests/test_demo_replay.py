@@ -72,6 +72,21 @@ def test_match_decisions(run):
     assert linkage.candidate_pair_count(work.valid, CUSTOMER.matching).first()[0] == 11
 
 
+def test_evidence_on_request(run, spark):
+    """The rejected pair of the published run is found from either of its records, with what kept them apart."""
+    _, work, _ = run
+    rejected = next(f for f in demo.FUZZY if f[3] == "REJECTED_FP_GUARD")
+    for uid in rejected[:2]:
+        wanted = work.valid.filter(F.col("record_uid").startswith(uid)).select("record_uid")
+        rows = linkage.compared_pairs(work.valid, wanted, CUSTOMER.matching).collect()
+        assert {(*short(r, "record_uid_1", "record_uid_2"), r["score"], r["decision"]) for r in rows if r["method"] == "probabilistic"} == {
+            f for f in demo.FUZZY if uid in f[:2]}
+        assert any(r["conflicts"] for r in rows if r["decision"] == "REJECTED_FP_GUARD")
+    everything = linkage.compared_pairs(work.valid, work.valid, CUSTOMER.matching)
+    assert everything.count() == 11 and everything.filter("method = 'deterministic'").count() == 9
+    assert linkage.compared_pairs(work.valid, work.valid.filter("false"), CUSTOMER.matching).count() == 0
+
+
 def test_high_water_marks_and_audit(run):
     layers, _, _ = run
     marks = {r["source_id"]: str(r["high_water_mark"])[:10] for r in layers.read("ops", "high_water_marks").collect()}
