@@ -3,7 +3,7 @@
 A document's set holds its distinct 3-word shingles (tokens).  Equal sets are one
 class, and only classes are compared.
 
-Tokens have one order over the corpus: first those in an eighth of the hash range,
+Tokens have one order over the corpus: first those in a quarter of the hash range,
 by their number of classes (counted over the whole corpus), then the others by
 hash.  Sets of similarity 0.9 share a token among the first tenth of both (their
 prefixes), whatever the order; classes whose prefix holds no token of anybody
@@ -28,7 +28,8 @@ Documents already connected need no further link, all others are searched withou
 caps, so components are exact.  Only one link per other component leaves a group.
 
 Defined results: null texts and texts without words have no tokens and are linked
-with nothing; equal sets are one class (128-bit fingerprints, tokens of 64 bits);
+with nothing; equal sets are one class (128-bit fingerprints; tokens and graph nodes
+are of 64 bits);
 a very long text is a group of its own with its neighbour in the order; repeated
 rows get equal answers; a null doc_id is never the smallest; an empty table gives
 no rows; other columns are not read.
@@ -52,7 +53,7 @@ from kinfold.session import materialize
 WORDS = 3
 PERCENT = 90
 LEAST = -(-PERCENT // (100 - PERCENT))  # smaller sets link with equal ones only
-COUNTED = 1 << 61  # tokens below it, an eighth, are ordered by frequency
+COUNTED = 1 << 62  # tokens below it, a quarter, are ordered by frequency
 GROUP = 64                # documents of a group at most
 GROUP_TOKENS = 2_000_000  # and tokens, but two documents at least
 BLOCK_TOKENS = 2_000_000  # tokens of the queries that meet one group in a task, on average
@@ -138,18 +139,20 @@ def _is_counted(token: Column) -> Column:
     return (token >= 0) & (token < COUNTED)
 
 
-def prefixes(classes: DataFrame) -> DataFrame:
+def prefixes(sketches: DataFrame) -> DataFrame:
     """(node, token, probes, single) of every prefix token that several classes have in their prefixes.
 
     `probes` marks the shorter prefix that a set needs among sets not smaller than itself; `single` is the number of
-    counted tokens that no other class has.
+    counted tokens that no other class has.  Copies of a class count once.
     """
-    long_ = classes.filter(F.col("n") >= LEAST)
-    counted = long_.select("node", F.explode(F.filter("tokens", _is_counted)).alias("token"))
+    long_ = sketches.filter(F.col("n") >= LEAST).withColumnRenamed("high", "node")
+    # Dealt by token once: counting and joining the counts back need no further shuffle.
+    counted = (long_.select("node", F.explode(F.filter("tokens", _is_counted)).alias("token"))
+               .repartition("token").dropDuplicates(["token", "node"]))
     shared = counted.groupBy("token").agg(F.count("*").alias("f")).filter("f > 1")
     known = counted.join(shared, "token").groupBy("node").agg(F.sort_array(F.collect_list(F.struct("f", "token"))).alias("known"))
-    sized = long_.select("node", "n", F.size(F.filter("tokens", _is_counted)).alias("counted"),
-                         F.filter("tokens", lambda x: ~_is_counted(x)).alias("rest"))
+    sized = long_.groupBy("node").agg(F.first("n").alias("n"), F.first(F.size(F.filter("tokens", _is_counted))).alias("counted"),
+                                      F.first(F.filter("tokens", lambda x: ~_is_counted(x))).alias("rest"))
     n, single = F.col("n"), F.col("counted") - F.coalesce(F.size("known"), F.lit(0))
     ordered = F.concat(F.coalesce(F.col("known.token"), F.array().cast("array<bigint>")), F.col("rest"))
     as_larger = n - F.ceil(n * PERCENT / 100) + 1
@@ -364,23 +367,24 @@ def components(docs: DataFrame, doc_id: str = "doc_id", text: str = "text") -> D
     named = docs.select(F.col(doc_id).alias("doc_id"), F.col(text).alias("text"))
     sketch = F.arrow_udf(_sketch, "struct<n: long, high: long, low: long, tokens: array<long>>")(F.col("text"))
     sketches = materialize(named.select("doc_id", sketch.alias("s")).select("doc_id", "s.*"), "group-sketches")
-    classes = (sketches.filter("high IS NOT NULL").groupBy("high", "low")
-               .agg(F.min("doc_id").alias("first_id"), F.first("n").alias("n"), F.first("tokens").alias("tokens")))
-    classes = materialize(classes.withColumn("node", F.monotonically_increasing_id()), "group-classes")  # written, so the names stay
-    posted = materialize(prefixes(classes.select("node", "n", "tokens")), "group-prefixes")
-    left = posted.groupBy("node").agg(F.first("single").alias("single"))
-    wanted = materialize(classes.select("node", "first_id", "high", "low", "n").join(left, "node"), "group-wanted")
-    texts = named.join(wanted.select("first_id").distinct().hint("shuffle_hash"), F.col("doc_id").eqNullSafe(F.col("first_id")), "left_semi")
+    classes = materialize(sketches.filter("high IS NOT NULL").groupBy("high", "low")
+                          .agg(F.min("doc_id").alias("first_id"), F.first("n").alias("n")), "group-classes")
+    posted = materialize(prefixes(sketches), "group-prefixes")
+    left = posted.groupBy(F.col("node").alias("high")).agg(F.first("single").alias("single"))
+    wanted = materialize(classes.join(left, "high"), "group-wanted")
+    # One text per class gives its full set.  The rows of a repeated doc_id meet in one task and are told apart there.
+    ids = wanted.select(F.xxhash64("first_id").alias("dealt"), "first_id", "high", "low", "n", "single").hint("shuffle_hash")
+    texts = named.select(F.xxhash64("doc_id").alias("dealt"), "doc_id", "text").join(ids, "dealt").filter(F.col("doc_id").eqNullSafe(F.col("first_id")))
     whole = F.arrow_udf(_whole, "struct<high: long, low: long, tokens: array<long>, keys: array<long>>")(F.col("text"))
-    sets = texts.select(whole.alias("w")).select("w.*").join(wanted.select("high", "low", "node", "n", "single"), ["high", "low"])
-    members = materialize(sets.groupBy("node").agg(*[F.first(c).alias(c) for c in ("n", "single", "tokens", "keys")])
-                          .withColumn("class", size_class(F.col("n"))), "group-sets")
+    sets = (texts.select("dealt", "high", "low", "n", "single", whole.alias("w")).filter("high = w.high AND low = w.low")
+            .groupBy("dealt", "high", "low").agg(*[F.first(c).alias(c.split(".")[-1]) for c in ("n", "single", "w.tokens", "w.keys")]))
+    members = materialize(sets.select(F.col("high").alias("node"), "n", "single", "tokens", "keys", size_class(F.col("n")).alias("class")), "group-sets")
     first = materialize(merge_round(members, 0), "group-links")
     heads = _labelled(members.select("node", (F.col("single") / F.col("n")).alias("own")), first).groupBy("label").agg(F.min(F.struct("own", "node")).alias("head"))
     second = materialize(merge_round(members.join(heads.select("head.node"), "node", "left_semi"), 1), "group-links")
     merged = first.unionByName(second)
     links = merged.unionByName(materialize(search(members.drop("single"), posted, merged), "group-links"))
-    labelled = _labelled(classes.select("high", "low", "first_id", "node"), links)
+    labelled = _labelled(classes.select("high", "low", "first_id", F.col("high").alias("node")), links)
     smallest = labelled.groupBy("label").agg(F.min("first_id").alias("component_id"))
     named_classes = labelled.join(smallest, "label").select("high", "low", "component_id")
     answered = sketches.select("doc_id", F.col("n").alias("n_shingles"), "high", "low").join(named_classes, ["high", "low"], "left")
