@@ -474,6 +474,15 @@ def compared_pairs(records: DataFrame, wanted: DataFrame, spec: Matching) -> Dat
         _decided(F.col("score"), _conflict(spec), spec).alias("decision"), named.alias("conflicts")))
 
 
+def review_members(pairs: DataFrame, stands: DataFrame) -> DataFrame:
+    """(record_uid_1, record_uid_2, score, record_uid): all records that a pair for review stands for, its copies included."""
+    queue = pairs.filter((F.col("decision") == REVIEW) & (F.col("method") == "probabilistic"))
+    # A pair within one profile names its first and last record; both lead to that profile.
+    ends = queue.select("record_uid_1", "record_uid_2", "score", F.explode(F.array("record_uid_1", "record_uid_2")).alias("end"))
+    firsts = ends.join(stands.withColumnRenamed("record_uid", "end"), "end").drop("end").distinct()
+    return firsts.join(stands, "first_uid").select("record_uid_1", "record_uid_2", "score", "record_uid")
+
+
 def review_queue(pairs: DataFrame, limit: int | None = None) -> DataFrame:
     """Pairs for the steward, best first; `limit` gives the top of the queue without a full sort."""
     queue = pairs.filter(F.col("decision") == REVIEW).orderBy(F.desc("score"), "record_uid_1", "record_uid_2")
@@ -588,17 +597,29 @@ def candidate_pair_count(records: DataFrame, spec: Matching) -> DataFrame:
     return counted.select(F.coalesce("n", F.lit(0)).cast("decimal(38,0)").alias("candidate_pairs"))
 
 
-def match_bands(records: DataFrame, spec: Matching) -> DataFrame:
-    """(decision, method, record_pairs) over all compared pairs, without forming the low-scoring ones."""
+def _sure_sets(spec: Matching) -> list[tuple[int, str, list[Column]]]:
+    """Compared pairs that a key decides."""
     blocks = [[F.expr(b.expr)] for b in spec.blocking]
     keys = [[F.col(c) for c in k] for k in spec.deterministic]
     if all(_implied(spec, k) for k in spec.deterministic):
-        sure = _union_sets("deterministic", keys)
-    else:
-        sure = [(s1 * s2, "deterministic", c1 + c2) for s1, _, c1 in _union_sets("", keys)
-                for s2, _, c2 in _union_sets("", blocks)]
+        return _union_sets("deterministic", keys)
+    return [(s1 * s2, "deterministic", c1 + c2) for s1, _, c1 in _union_sets("", keys)
+            for s2, _, c2 in _union_sets("", blocks)]
+
+
+def open_pair_count(records: DataFrame, spec: Matching, entity: str | None = None) -> DataFrame:
+    """`open_pairs`: compared pairs that no key decides, from group sizes; with `entity` those of one entity only."""
+    more = [F.col(entity)] if entity else []
+    sets = [(sign, tag, columns + more) for sign, tag, columns in _blocked_sets(spec) + _sure_sets(spec)]
+    single = records.withColumn("n_records", F.lit(1).cast("bigint"))
+    part = F.when(F.col("tag") == "candidate", F.col("pairs")).otherwise(-F.col("pairs"))
+    return _agreeing(single, sets, ()).agg(F.coalesce(F.sum(part), F.lit(0)).cast("bigint").alias("open_pairs"))
+
+
+def match_bands(records: DataFrame, spec: Matching) -> DataFrame:
+    """(decision, method, record_pairs) over all compared pairs, without forming the low-scoring ones."""
     profile = _profile_table(records, spec, spec.review)
-    counted = _agreeing(profile, _blocked_sets(spec) + sure, spec.conflict_columns)
+    counted = _agreeing(profile, _blocked_sets(spec) + _sure_sets(spec), spec.conflict_columns)
     across, copies = _fuzzy(profile, spec, spec.review, SPLIT_ROWS)
     above = copies if across is None else across.select(*PAIR_COLUMNS).unionByName(copies)
     fuzzy = (above.groupBy(F.col("decision").alias("tag"))

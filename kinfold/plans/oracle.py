@@ -435,6 +435,8 @@ def oracle_sql() -> dict[str, str]:
             WHERE raw_value IS DISTINCT FROM standardized_value GROUP BY ALL""", LOG),
         "reference_lookup_join": """SELECT s_suppkey, s_name, coalesce(n_name, concat('n', s_nationkey)) AS s_nation
             FROM supplier LEFT JOIN (SELECT * FROM nation WHERE n_regionkey != 4) ON n_nationkey = s_nationkey""",
+        "standardized_report": _sql("""SELECT source_id, source_record_id, source_updated_at, full_name, email, phone, city, state, country, date_of_birth
+            FROM std ORDER BY source_id, source_record_id, source_updated_at LIMIT 30"""),
         "dq_results": _sql("SELECT record_uid, source_id, batch_id, rule_id, severity, description FROM results"),
         "dq_status": _sql("SELECT record_uid, source_updated_at, dq_status, len(dq_failures) AS n_failures FROM checked"),
         "dq_metrics": _sql("""SELECT source_id, count(*) AS rows_in, count(*) FILTER (dq_status != 'QUARANTINED') AS rows_valid,
@@ -481,11 +483,15 @@ def oracle_sql() -> dict[str, str]:
             GROUP BY ALL""", PAIRS),
         "review_queue": _sql("""SELECT record_uid_1, record_uid_2, record_pairs, score FROM fuzzy_pairs WHERE decision = 'REVIEW'
             ORDER BY score DESC, record_uid_1, record_uid_2 LIMIT 10""", PAIRS),
+        "review_members": _sql("""SELECT DISTINCT record_uid_1, record_uid_2, score::DOUBLE AS score, unnest([u1, u2]) AS record_uid
+            FROM named_pairs WHERE decision = 'REVIEW'""", PAIRS),
         "profile_members": _sql("SELECT record_uid, first_uid FROM prof", PAIRS),
         "clusters": _sql("SELECT * FROM clusters", CLUSTERS),
         "cluster_conflicts": _sql("""SELECT cluster_id, count(*) AS n_records, min(date_of_birth) != max(date_of_birth) AS date_of_birth_differs,
             min(country) != max(country) AS country_differs FROM members GROUP BY 1
-            HAVING count(DISTINCT date_of_birth) > 1 OR count(DISTINCT country) > 1""", CLUSTERS),
+            HAVING count(DISTINCT date_of_birth) > 1 OR count(DISTINCT country) > 1""", CLUSTERS).replace(RECORDS, f"""
+            SELECT * REPLACE (CASE WHEN source_id = 'LEGACY' AND CAST(source_record_id[2:] AS BIGINT) % 24 = 0 THEN '19770707'
+                                   ELSE date_of_birth END AS date_of_birth) FROM ({RECORDS})"""),
         "survivorship_decisions": _sql("SELECT * FROM decisions", GOLDEN),
         "golden": _sql("SELECT * FROM golden", GOLDEN),
         "crosswalk": _sql("SELECT * FROM crosswalk", GOLDEN),
@@ -534,6 +540,12 @@ def oracle_sql() -> dict[str, str]:
             old_roots AS (SELECT record_uid, max(other) AS root FROM old_reach GROUP BY 1)"""),
         "golden_upsert": """SELECT c_custkey, CASE c_mktsegment WHEN 'BUILDING' THEN 0.0 ELSE c_acctbal END AS c_acctbal,
             c_mktsegment, CASE c_mktsegment WHEN 'BUILDING' THEN 2 ELSE 1 END::INT AS version FROM customer""",
+        "golden_versions": _sql("""SELECT * FROM (
+              SELECT golden_id, full_name, city, 'b1' AS recorded_from, CASE WHEN f < '4' THEN 'b2' WHEN f = 'b' THEN 'b3' WHEN f = 'c' THEN 'b4' END AS recorded_to FROM g
+              UNION ALL SELECT golden_id, full_name, 'Corrected', 'b2', CASE WHEN f < '2' THEN 'b3' END FROM g WHERE f < '4'
+              UNION ALL SELECT golden_id, full_name, city, 'b3', NULL FROM g WHERE f < '2'
+              UNION ALL SELECT golden_id, full_name, city, 'b4', NULL FROM g WHERE f = 'b')""",
+            GOLDEN, " g AS (SELECT golden_id, full_name, city, golden_id[3] AS f FROM golden)"),
         "cdc_apply": """SELECT user_id, event_id, op, event_type, value FROM (SELECT *, CASE event_type WHEN 'signup' THEN 'I'
               WHEN 'error' THEN 'D' ELSE 'U' END AS op, row_number() OVER (PARTITION BY user_id ORDER BY ts DESC, event_id DESC) AS rn
             FROM events) WHERE rn = 1 AND op != 'D'""",
@@ -587,7 +599,14 @@ def oracle_sql() -> dict[str, str]:
                 FROM (SELECT f.*, regexp_matches(a.source_record_id, '^[CUL]') AND regexp_matches(z.source_record_id, '^[CUL]')
                         AND a.source_record_id[2:] = z.source_record_id[2:] AS hit
                   FROM fuzzy_pairs f JOIN valid a ON a.record_uid = record_uid_1 JOIN valid z ON z.record_uid = record_uid_2
-                  WHERE NOT same) GROUP BY 1) WINDOW w AS (ORDER BY threshold DESC ROWS UNBOUNDED PRECEDING))""",
+                  WHERE NOT same) GROUP BY 1) WINDOW w AS (ORDER BY threshold DESC ROWS UNBOUNDED PRECEDING))
+            UNION ALL SELECT 0.0, merged, true_merged, round(true_merged / merged::DOUBLE, 6), round(CASE WHEN total > 0 THEN true_merged / total::DOUBLE END, 6)
+            FROM (SELECT count(*) AS merged, count(*) FILTER (regexp_matches(l.source_record_id, '^[CUL]') AND regexp_matches(r.source_record_id, '^[CUL]')
+                      AND l.source_record_id[2:] = r.source_record_id[2:]) AS true_merged,
+                    (SELECT count(*) FROM valid x JOIN valid y ON x.record_uid < y.record_uid AND x.source_record_id[2:] = y.source_record_id[2:]
+                     WHERE regexp_matches(x.source_record_id, '^[CUL][0-9]+$') AND regexp_matches(y.source_record_id, '^[CUL][0-9]+$')
+                       AND NOT coalesce(x.email = y.email, false) AND NOT coalesce(x.phone = y.phone AND x.date_of_birth = y.date_of_birth, false)) AS total
+                  FROM decided JOIN valid l ON l.record_uid = u1 JOIN valid r ON r.record_uid = u2 WHERE NOT det) WHERE merged > 0""",
             PAIRS.replace("fuzzy >= 0.65)", "fuzzy >= 0.45)")),
         "label_threshold_curve": r"""SELECT threshold, merged, true_merged, round(true_merged / merged::DOUBLE, 6) AS precision,
               round(true_merged / total::DOUBLE, 6) AS recall

@@ -4,6 +4,7 @@ from __future__ import annotations
 
 from collections.abc import Callable
 from dataclasses import replace
+from functools import reduce
 
 from pyspark.sql import Column, DataFrame, SparkSession, functions as F, types as T
 
@@ -14,6 +15,7 @@ from kinfold.plans.customer import AS_OF, ATTRIBUTES, CUSTOMER
 from kinfold.plans.mastering import Mastering, run_batch
 from kinfold.session import materialize, scratch_path
 from kinfold.sources import files
+from kinfold.sources.keyed import KeyedTable
 from kinfold.sources.tables import Layers, stage_event
 from kinfold.spec import Source
 from kinfold.streaming import micro_batch
@@ -236,6 +238,14 @@ def reference_lookup_join(spark, sf_dir):
     return standardize.lookup_join(entities.supplier_records(table(spark, sf_dir, "supplier")), "s_nation", nation, "code", "n_name")
 
 
+@query
+def standardized_report(spark, sf_dir):
+    """The first standardized records by source and key, as a display would show them."""
+    rows = contacts.silver(spark, sf_dir).select("source_id", "source_record_id", "source_updated_at", "full_name", "email", "phone", "city", "state",
+                                                 "country", "date_of_birth")
+    return rows.orderBy("source_id", "source_record_id", "source_updated_at").limit(30)
+
+
 # ------------------------------------------------------------------ quality
 
 @query
@@ -337,6 +347,13 @@ def review_queue(spark, sf_dir):
         "record_uid_1", "record_uid_2", "record_pairs", "score")
 
 
+@query
+def review_members(spark, sf_dir):
+    """Whom the steward decides about: every record behind the pairs for review."""
+    records = valid(spark, sf_dir)
+    return linkage.review_members(linkage.fuzzy_pairs(records, MATCHING), linkage.profile_members(records, MATCHING))
+
+
 @query
 def profile_members(spark, sf_dir):
     return linkage.profile_members(valid(spark, sf_dir), MATCHING)
@@ -349,7 +366,11 @@ def clusters(spark, sf_dir):
 
 @query
 def cluster_conflicts(spark, sf_dir):
-    return linkage.cluster_conflicts(mastering(spark, sf_dir).members, MATCHING)
+    """Some records of the old system come with another date of birth, but the e-mail of the same person."""
+    other = F.regexp_extract("source_record_id", "^L([0-9]+)$", 1).try_cast("bigint") % 24 == 0
+    raw = contacts.bronze(spark, sf_dir).withColumn("date_of_birth", F.when(other, "19770707").otherwise(F.col("date_of_birth")))
+    checked = quality.evaluate(standardize.standardize(raw, CUSTOMER), CUSTOMER.rules, AS_OF)
+    return linkage.cluster_conflicts(Mastering(checked, CUSTOMER, "b1", AS_OF).members, MATCHING)
 
 
 # ------------------------------------------------------------------ golden records
@@ -558,6 +579,22 @@ def golden_upsert(spark, sf_dir):
     return spark.read.parquet(path).drop("bucket")
 
 
+@query
+def golden_versions(spark, sf_dir):
+    """Golden records over four batches: a correction, its return, removals, and a fold of the table in between."""
+    made = mastering(spark, sf_dir).golden.select("golden_id", "full_name", "city", F.substring("golden_id", 3, 1).alias("first"))
+    rows = materialize(made, "golden")
+    kept = rows.select("golden_id", "full_name", "city")
+    table_ = KeyedTable(spark, scratch_path(spark, "versions"))
+    table_.start(kept, ["golden_id"], ["golden_id"], "b1", buckets=8)
+    table_.change(kept.join(rows.filter("first < '4'").select("golden_id"), "golden_id").withColumn("city", F.lit("Corrected")), None, "b2")
+    table_.change(kept.join(rows.filter("first < '2' OR first = 'a'").select("golden_id"), "golden_id"),
+                  rows.filter("first = 'b'"), "b3")
+    table_.maintain("b3", deltas=1)
+    table_.change(kept.join(rows.filter("first = 'b'").select("golden_id"), "golden_id"), rows.filter("first = 'c'"), "b4")
+    return table_.versions()
+
+
 @query
 def cdc_apply(spark, sf_dir):
     feed = entities.change_feed(table(spark, sf_dir, "events"))
@@ -673,7 +710,7 @@ def masking(spark, sf_dir):
 
 # ------------------------------------------------------------------ thresholds and learning
 
-#: Pairs scoring less are not listed for the curve or the scorer; true ones below it still count as missed.
+#: The steward's and the scorer's pairs, and the steps of the curve, start here; its last row counts all pairs below as one band.
 LEAST_SCORE = 0.45
 
 
@@ -695,11 +732,19 @@ def _labelled(spark: SparkSession, sf_dir: str, floor: float = LEAST_SCORE) -> D
 
 @query
 def pr_curve(spark, sf_dir):
-    """Recall is measured against all true pairs that no key decides, also those that score too little to be listed."""
+    """Recall against all true pairs that no key decides.  The row at 0 is everything compared: pairs below the listed scores
+    are counted from group sizes, so what it adds to the row above are the true pairs that no listed threshold finds."""
     people = valid(spark, sf_dir).withColumn("person", F.nullif(_person(), F.lit("")))
     total = evaluate.open_true_pairs(people, "person", MATCHING)
     curve = evaluate.precision_recall(_labelled(spark, sf_dir), weight="record_pairs", total=total)
-    return longs(curve, "merged", "true_merged")
+    tagged = [counted.select(F.lit(tag).alias("tag"), counted.columns[0]).toDF("tag", "n") for tag, counted in (
+        ("merged", linkage.open_pair_count(people, MATCHING)), ("true", linkage.open_pair_count(people, MATCHING, "person")), ("all", total))]
+    count = lambda tag: F.max(F.when(F.col("tag") == tag, F.col("n")))
+    whole = reduce(DataFrame.unionByName, tagged).agg(count("merged").alias("merged"), count("true").alias("true_merged"), count("all").alias("total"))
+    last = whole.filter("merged > 0").select(
+        F.lit(0.0).alias("threshold"), "merged", "true_merged", F.round(F.col("true_merged") / F.col("merged"), 6).alias("precision"),
+        F.round(F.try_divide("true_merged", "total"), 6).alias("recall"))
+    return longs(curve, "merged", "true_merged").unionByName(last)
 
 
 @query

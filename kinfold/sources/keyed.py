@@ -4,9 +4,10 @@ from __future__ import annotations
 
 import json
 import math
+from functools import reduce
 
 from pyspark.errors import AnalysisException
-from pyspark.sql import Column, DataFrame, SparkSession, functions as F, types as T
+from pyspark.sql import Column, DataFrame, SparkSession, Window, functions as F, types as T
 
 from kinfold.sources.tables import check_batch_id
 from kinfold.spec import SpecError
@@ -29,18 +30,22 @@ class KeyedTable:
 
     def __init__(self, spark: SparkSession, path: str):
         self.spark, self.path = spark, path.rstrip("/")
+        self._known: list[dict] | None = None
 
     # ------------------------------------------------------------ generations
 
     def _generations(self) -> list[dict]:
-        """One small row per fold."""
+        """One small row per fold, read once: a table has one writer at a time."""
+        if self._known is not None:
+            return self._known
         try:
             rows = self.spark.read.text(f"{self.path}/_generations/*").collect()
         except AnalysisException as missing:
             if missing.getCondition() != "PATH_NOT_FOUND":
                 raise
             return []
-        return sorted((json.loads(r["value"]) for r in rows), key=lambda g: g["number"])
+        self._known = sorted((json.loads(r["value"]) for r in rows), key=lambda g: g["number"])
+        return self._known
 
     def start(self, rows: DataFrame, key: list[str], spread_by: list[str], batch_id: str, buckets: int | None = None) -> None:
         """Replace everything by `rows`; `key` names a row, `spread_by` (some of it) its bucket."""
@@ -54,6 +59,7 @@ class KeyedTable:
         self._write(rows.select(*columns, F.lit(False).alias(GONE)), generation, batch_id)
         record = self.spark.createDataFrame([(json.dumps(generation),)], "value string")
         record.coalesce(1).write.mode("overwrite").text(f"{self.path}/_generations/{number:06d}")
+        self._known = [*known, generation]
 
     def exists(self) -> bool:
         return bool(self._generations())
@@ -128,6 +134,29 @@ class KeyedTable:
         last = stored.groupBy(*key).agg(F.max_by(F.struct(GONE, *shown), STAMP).alias("row")).filter(f"NOT row.{GONE}")
         return last.select(*key, *[F.col(f"row.{c}").alias(c) for c in shown])
 
+    def versions(self) -> DataFrame:
+        """Every state of every key over all generations: its columns, `recorded_from` and `recorded_to` (batch ids).
+
+        Runs of batches that leave a row as it was are one version, and so is a row that a
+        fold repeats.  A null `recorded_to` is the present state; a removed key has no version
+        from its removal on.  The rows known as of a batch b are those with recorded_from <= b
+        and (recorded_to is null or b < recorded_to).
+        """
+        known = self._generations()
+        if not known:
+            raise SpecError(f"no table at {self.path}")
+        key, rest = known[-1]["key"], [f["name"] for f in known[-1]["schema"]["fields"] if f["name"] not in known[-1]["key"]]
+        # A key that was removed before a fold is not in its base: its removal is in the generation before.
+        rows = reduce(lambda a, b: a.unionByName(b, allowMissingColumns=True),
+                      [self._stored(g).withColumn("generation", F.lit(g["number"])) for g in known])
+        each = rows.groupBy(*key, STAMP).agg(F.max_by(F.struct(F.struct(GONE, *rest).alias("state")), "generation").alias("last"))
+        along = Window.partitionBy(*key).orderBy(STAMP)
+        states = each.select(*key, STAMP, F.col("last.state").alias("state"))
+        before = F.lag("state").over(along)
+        changed = states.withColumn("before", before).filter(F.col("before").isNull() | ~F.col("state").eqNullSafe(F.col("before"))).drop("before")
+        return (changed.withColumn("recorded_to", F.lead(STAMP).over(along)).filter(f"NOT state.{GONE}")
+                .select(*key, *[F.col(f"state.{c}").alias(c) for c in rest], F.col(STAMP).alias("recorded_from"), "recorded_to"))
+
     def lookup(self, keys: DataFrame, before: str | None = None) -> DataFrame:
         """The rows whose `spread_by` values are among those of `keys`."""
         spread_by = self._current()["spread_by"]

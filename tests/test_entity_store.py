@@ -131,6 +131,30 @@ def test_lookups_read_only_their_buckets(spark, tmp_path):
         table.change(table.read(), None, "007")
 
 
+def test_versions_give_every_state_back(spark, tmp_path):
+    """Random changes and removals, folds in between: the versions known as of a batch are the table as of it."""
+    rng = random.Random(5)
+    table = KeyedTable(spark, str(tmp_path / "t"))
+    schema, now, states = "k long, v string", {k: "a" for k in range(30)}, {}
+    table.start(spark.createDataFrame(sorted(now.items()), schema), ["k"], ["k"], "b0", buckets=4)
+    states["b0"] = dict(now)
+    for step in range(1, 6):
+        ups = {k: rng.choice("ab") for k in rng.sample(range(40), 9)}
+        gone = [k for k in rng.sample(sorted(now), 5) if k not in ups]
+        table.change(spark.createDataFrame(sorted(ups.items()), schema), spark.createDataFrame([(k,) for k in gone], "k long"), f"b{step}")
+        now = {k: v for k, v in {**now, **ups}.items() if k not in gone}
+        states[f"b{step}"] = dict(now)
+        assert {r["k"]: r["v"] for r in table.read().collect()} == now
+        if step in (2, 4):
+            assert table.maintain(f"b{step}", deltas=0)
+    rows = table.versions().collect()
+    for batch, state in states.items():
+        known = [r for r in rows if r["recorded_from"] <= batch and (r["recorded_to"] is None or batch < r["recorded_to"])]
+        assert {r["k"]: r["v"] for r in known} == state and len(known) == len(state)
+    for r in rows:  # no two versions in a row are equal
+        assert not any(o["k"] == r["k"] and o["recorded_from"] == r["recorded_to"] and o["v"] == r["v"] for o in rows)
+
+
 def test_vanished_keys_and_returns(spark):
     spec = EntitySpec.parse({"entity": "e", "attributes": ["full_name"], "sources": [
         {"source_id": s, "format": "csv", "path": "x", "load_type": kind, "field_map": {"id": "source_record_id"}}

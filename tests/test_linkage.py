@@ -145,6 +145,13 @@ def test_pairs_counts_and_clusters_equal_brute_force(spark, name):
         assert len(got) == len(rows)
         assert got == profile_pairs(truth, records, spec, spec.review if floor is None else floor)
     assert linkage.candidate_pair_count(df, spec).first()[0] == len(truth)
+    assert linkage.open_pair_count(df, spec).first()[0] == sum(not t[0] for t in truth.values())
+    own = df.withColumn("who", F.substring("record_uid", 1, 1))
+    assert linkage.open_pair_count(own, spec, "who").first()[0] == sum(not t[0] and p[0][0] == p[1][0] for p, t in truth.items())
+    asked = {r["record_uid"] for r in records[::9]}
+    some = linkage.compared_pairs(df, df.filter(F.col("record_uid").isin(*asked)), spec).collect()
+    assert {(r["record_uid_1"], r["record_uid_2"]): (r["method"] == "deterministic", r["decision"]) for r in some} == {
+        p: (t[0], t[2]) for p, t in truth.items() if asked & set(p)} and len(some) == len({(r["record_uid_1"], r["record_uid_2"]) for r in some})
     bands = {(r["decision"], r["method"]): int(r["record_pairs"]) for r in linkage.match_bands(df, spec).collect()}
     expected = dict.fromkeys(bands, 0)
     for det, _, decision in truth.values():
