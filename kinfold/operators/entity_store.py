@@ -1,6 +1,6 @@
 """Entities kept current by increments that read and write only what they touch.
 
-Six keyed tables, each in hash buckets (`kinfold.sources.keyed`):
+Five keyed tables, each in hash buckets (`kinfold.sources.keyed`):
 
 | table    | key                   | holds |
 |----------|-----------------------|-------|
