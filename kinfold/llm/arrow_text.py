@@ -11,19 +11,10 @@ import numpy as np
 import pandas as pd
 import pyarrow as pa
 import pyarrow.compute as pc
-from pyspark.sql import DataFrame
 
 SLICE_BYTES = 1 << 20
 
 
-def free_name(df: DataFrame, wanted: str) -> str:
-    """`wanted`, lengthened until no column of `df` has that name."""
-    taken = {c.lower() for c in df.columns}
-    while wanted.lower() in taken:
-        wanted += "_"
-    return wanted
-
-
 def filled(texts: pa.Array) -> pa.Array:
     """The texts as one large-string array, null as empty."""
     if isinstance(texts, pa.ChunkedArray):

@@ -27,7 +27,7 @@ import pyarrow.compute as pc
 from pyspark.sql import Column, DataFrame, functions as F
 
 from kinfold.llm import arrow_text
-from kinfold.llm.arrow_text import free_name, pair_codes
+from kinfold.llm.arrow_text import pair_codes
 from kinfold.session import materialize
 
 # Frequent function words of four languages, the common-word bins.
@@ -229,12 +229,12 @@ def report(docs: DataFrame, doc_id: str = "doc_id", text: str = "text", lang: st
 def judge(docs: DataFrame, text: str = "text", lang: str = "lang") -> DataFrame:
     """The documents that are kept, with all their columns and nothing else.
 
-    Texts are measured twice (references, then verdicts) and never shuffled.
+    Texts are measured once: the rows are written with their features, then judged.
     """
-    refs = clean_references(docs.select(F.col(lang).alias("lang"), features_of(F.col(text)).alias("f")), "lang", "f")
-    refs = materialize(refs, "quality-references")
     columns = docs.columns
     inner = docs.toDF(*[f"c{i}" for i in range(len(columns))])
     text, lang = (f"c{columns.index(c)}" for c in (text, lang))
-    judged = verdicts(inner.withColumn("f", features_of(F.col(text))), refs, lang, "f", "v").filter("v.kept")
+    measured = materialize(inner.withColumn("f", features_of(F.col(text))), "quality-measured")
+    refs = materialize(clean_references(measured.select(lang, "f"), lang, "f"), "quality-references")
+    judged = verdicts(measured, refs, lang, "f", "v").filter("v.kept")
     return judged.select(*[F.col(f"c{i}").alias(c) for i, c in enumerate(columns)])
