@@ -34,7 +34,6 @@ from pyspark.sql import Column, DataFrame, functions as F
 from kinfold.session import materialize
 
 DEPTH = 4
-MIN_WORDS = 1  # every line with a word
 SIMILAR = 0.8
 
 _SPACE = r"[\x20\x09-\x0D]+"
@@ -54,8 +53,9 @@ def parsed(docs: DataFrame, doc_id: str, text: str) -> DataFrame:
     """(doc, doc_id, line, leaf, whole, words) of every line with a word.
 
     `doc` names the row by doc_id and text, `whole` hashes the words, `words` has
-    a 16-bit hash per position (votes only; equality is decided on `whole`), odd if
-    the word has a letter or stands in a line whose leading words have one.
+    31 bits of a 64-bit hash per position and a last bit that says whether the word has
+    a letter or stands in a line whose leading words have one.  Two different words at
+    one place pass for equal with probability 2 ** -31.
     """
     lines = docs.select(F.xxhash64(doc_id, text).alias("doc"), F.col(doc_id).alias("doc_id"),
                         F.posexplode(F.split(F.col(text), "\n")).alias("line", "content"))
@@ -63,10 +63,14 @@ def parsed(docs: DataFrame, doc_id: str, text: str) -> DataFrame:
     split = bare.withColumn("w", F.split(F.when(_exact(F.col("bare")), F.col("bare"))
                                          .otherwise(F.regexp_replace("bare", "[0-9]+", "0")), " "))
     lettered = F.array_join(F.slice("w", 1, DEPTH), " ").rlike(LETTER)
+
+    def named(x: Column, has_letter: Column) -> Column:
+        return (2 * F.shiftright(F.xxhash64(x), 33) + has_letter).cast("int")
+    # Words are looked at one by one only where the leading ones have no letter.
+    words = (F.when(lettered, F.transform("w", lambda x: named(x, F.lit(1))))
+             .otherwise(F.transform("w", lambda x: named(x, F.when(x.rlike(LETTER), 1).otherwise(0)))))
     return split.select("doc", "doc_id", "line", F.xxhash64(F.size("w"), F.slice("w", 1, DEPTH)).alias("leaf"),
-                        F.xxhash64("w").alias("whole"),
-                        F.transform("w", lambda x: (2 * F.shiftright(F.hash(x), 17) + F.when(lettered | x.rlike(LETTER), 1).otherwise(0))
-                                    .cast("smallint")).alias("words"))
+                        F.xxhash64("w").alias("whole"), words.alias("words"))
 
 
 def _follows(words: Column, template: Column) -> Column:
@@ -144,7 +148,8 @@ def dedup(docs: DataFrame, doc_id: str = "doc_id", text: str = "text", out: str
     stay = F.array_except(F.sequence(F.lit(0), F.size(every) - 1), F.col("lines"))
     cut = F.when(F.col("lines").isNull(), F.col(body)).otherwise(
         F.concat_ws("\n", F.transform(F.array_sort(stay), lambda i: F.element_at(every, i + 1))))
-    n = F.when(F.col(body).isNull(), 0).otherwise(F.size(every)).cast("long")
+    ends = F.octet_length(body) - F.octet_length(F.replace(F.col(body), F.lit("\n"), F.lit("")))
+    n = F.when(F.col(body).isNull(), 0).otherwise(ends + 1).cast("long")
     n_gone = F.coalesce(F.size("lines"), F.lit(0)).cast("long")
     kept = [(cut if c == body else F.col(c)).alias(name) for c, name in zip(inner.columns, columns)]
     added = [F.struct(n.alias("n_lines"), n_gone.alias("n_dropped")).alias(out)] if out else []

@@ -65,7 +65,7 @@ def test_null_ids_are_never_the_smallest(spark):
 
 
 def test_recurring_lines_equal_the_tree(docs, rows, none):
-    wanted = brute.line_drops([(r[0], r[1]) for r in rows], line_templates.DEPTH, line_templates.MIN_WORDS, line_templates.SIMILAR)
+    wanted = brute.line_drops([(r[0], r[1]) for r in rows], line_templates.DEPTH, 1, line_templates.SIMILAR)
     clashing = docs.withColumn("lines", F.lit(1)).withColumn("doc", F.lit(2))
     cut = line_templates.dedup(clashing.unionByName(clashing.filter("doc_id = 4")))
     assert cut.columns == clashing.columns and cut.count() == len(rows) + 1

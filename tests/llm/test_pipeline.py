@@ -31,7 +31,7 @@ def test_stages_on_their_own_input(spark, docs, none):
             verdict = {r.doc_id for r in quality_rules.report(docs).filter("kept").collect()}
             assert {r.doc_id for r in after} == verdict and 0 < len(after) < len(before)
         if k == 1:
-            wanted = brute.line_drops(texts, line_templates.DEPTH, line_templates.MIN_WORDS, line_templates.SIMILAR)
+            wanted = brute.line_drops(texts, line_templates.DEPTH, 1, line_templates.SIMILAR)
             assert {r.doc_id: r.text for r in after} == {d: t for d, t in wanted.items() if t}
             assert all(r.n_chars == len(r.text) for r in after) and len(after) < len(before)
         if k == 2:
