@@ -8,20 +8,24 @@ Layout below one folder, all of it Spark tables, so any store will do:
   `lengths` count ids within the payload.  Shards and chunks ascend by doc_id.
 * `shards`: (shard, base, n_tokens), `base` being the ids of all shards before.
 * `index`: one row per bucket of keys: levels of a perfect hash and, by slot,
-  32-bit fingerprints, shard, chunk, offset and length.
+  32-bit fingerprints, shard, chunk, offset and length.  It is partitioned by
+  `part` (bucket modulo at most `INDEX_PARTS`), so keys read the parts they need.
 
-A lookup hashes a key to its bucket, finds its slot in a few probes, checks the
+`lookup` hashes a key to its bucket, finds its slot in a few probes, checks the
 fingerprint, and so knows where the document's ids lie without any search.
+`fetch` reads the chunks named there and slices the payload; the doc_id stored at
+that place must be the key.
 
 Documents are sorted by range, so shards are of even size; chunks close after
 `CHUNK_IDS` ids, and a document is never cut: a longer one has a chunk of its own.
 Buckets hold about `BUCKET_KEYS` keys whatever the number of documents.
 
-Defined results: a null or empty text has no ids but the end id; an unknown key
-is not found (but for a fingerprint of 32 bits equal by chance); of repeated
-doc_ids the index points to the first row stored and the others follow it;
-a null doc_id is stored first and not indexed; an empty table gives empty
-files; other columns are not read.
+Defined results: a null or empty text has no ids but the end id, a text of any
+length is one document; an unknown key is not found (by `lookup` alone: but for a
+fingerprint of 32 bits equal by chance); of repeated doc_ids the index points to
+the first row stored, `report` takes the others from the stored doc_ids; a null
+doc_id is stored first and not indexed; an empty table gives empty files; other
+columns, whatever their names, are not read.
 """
 
 from __future__ import annotations
@@ -40,16 +44,20 @@ from pyspark.sql import DataFrame, SparkSession, Window, functions as F
 from kinfold.llm import arrow_text, perfect_hash
 from kinfold.llm.arrow_text import process_state
 from kinfold.llm.bpe import spread_ids
+from kinfold.session import materialize
 
 TOKENIZER = public_tokenizers.path("byte_bpe_50k.json")
 END_ID = 0
 CHUNK_IDS = 1 << 18
 BUCKET_KEYS = 1 << 16
+INDEX_PARTS = 256
+#: Up to so many shards a read names them to the scan; the rows are the same either way.
+NAMED_SHARDS = 1000
 CACHE_PIECES = 200_000
 SLICE_BYTES = 2 << 20
 
 _CHUNKS = ("shard int, chunk int, first long, doc_ids array<long>, offsets array<long>, lengths array<long>, payload binary")
-_INDEX = ("bucket int, levels array<binary>, fingerprints binary, shards binary, chunks binary, offsets binary, lengths binary")
+_INDEX = ("bucket int, levels array<binary>, ranks array<binary>, fingerprints binary, shards binary, chunks binary, offsets binary, lengths binary")
 
 #: A space with other than white space on both sides: no token of the byte-level pattern crosses its left edge.
 _CUT = re.compile(r"(?<=\S) (?=\S)")
@@ -164,11 +172,12 @@ def _index_builder(batches: pa.Table) -> pa.Table:
         out[slot] = values
         return out.tobytes()
     column = lambda name, dtype: by_slot(batches.column(name).to_numpy(), dtype)
-    row = {"bucket": batches.column("bucket")[0].as_py(), "levels": levels,
+    row = {"bucket": batches.column("bucket")[0].as_py(), "levels": [b for b, _ in levels], "ranks": [r for _, r in levels],
            "fingerprints": by_slot(perfect_hash.fingerprints(keys), "<u4"), "shards": column("shard", "<i4"),
            "chunks": column("chunk", "<i4"), "offsets": column("offset", "<i8"), "lengths": column("length", "<i8")}
     return pa.Table.from_pylist([row], pa.schema([
-        ("bucket", pa.int32()), ("levels", pa.list_(pa.binary())), *[(n, pa.binary()) for n in list(row)[2:]]]))
+        ("bucket", pa.int32()), ("levels", pa.list_(pa.binary())), ("ranks", pa.list_(pa.binary())),
+        *[(n, pa.binary()) for n in list(row)[3:]]]))
 
 
 def entries(chunks: DataFrame) -> DataFrame:
@@ -193,8 +202,12 @@ def write(docs: DataFrame, path: str, doc_id: str = "doc_id", text: str = "text"
               .agg(F.min(F.struct("shard", "chunk", "offset", "length")).alias("at")).select("key", "at.*"))
     n_buckets = max(1, -(-chunks.agg(F.sum(F.size("doc_ids"))).first()[0] // BUCKET_KEYS)) if not chunks.isEmpty() else 1
     bucketed = stored.withColumn("bucket", F.pmod(_bucket_of(F.col("key")), F.lit(n_buckets)).cast("int"))
-    index = bucketed.groupBy("bucket").applyInArrow(_index_builder, _INDEX)
-    index.withColumn("n_buckets", F.lit(n_buckets)).write.parquet(f"{path}/index")
+    index = bucketed.groupBy("bucket").applyInArrow(_index_builder, _INDEX).withColumn("n_buckets", F.lit(n_buckets))
+    index.withColumn("part", _part(n_buckets)).repartition("part").write.partitionBy("part").parquet(f"{path}/index")
+
+
+def _part(n_buckets: int):
+    return F.col("bucket") % F.lit(min(n_buckets, INDEX_PARTS))
 
 
 def read_chunks(spark: SparkSession, path: str) -> DataFrame:
@@ -202,7 +215,7 @@ def read_chunks(spark: SparkSession, path: str) -> DataFrame:
 
 
 def read_index(spark: SparkSession, path: str) -> DataFrame:
-    return spark.read.schema(f"{_INDEX}, n_buckets int").parquet(f"{path}/index")
+    return spark.read.schema(f"{_INDEX}, n_buckets int, part int").parquet(f"{path}/index")
 
 
 def _finder(index: pa.Table, keys: pa.Table) -> pa.Table:
@@ -211,7 +224,7 @@ def _finder(index: pa.Table, keys: pa.Table) -> pa.Table:
     if not index.num_rows or not len(wanted):
         return schema.empty_table()
     row = index.slice(0, 1).to_pylist()[0]
-    slot = perfect_hash.slots(row["levels"], wanted)
+    slot = perfect_hash.slots(list(zip(row["levels"], row["ranks"])), wanted)
     known = np.frombuffer(row["fingerprints"], "<u4")
     hit = slot >= 0
     hit[hit] = known[slot[hit]] == perfect_hash.fingerprints(wanted[hit])
@@ -221,50 +234,74 @@ def _finder(index: pa.Table, keys: pa.Table) -> pa.Table:
 
 
 def lookup(spark: SparkSession, path: str, keys: DataFrame, key: str = "key") -> DataFrame:
-    """(key, shard, chunk, offset, length) of each distinct key that the files hold."""
+    """(key, shard, chunk, offset, length) of each distinct key that the files hold, from the index parts of these keys."""
     index = read_index(spark, path)
     first = index.select("n_buckets").first()
     n_buckets = first["n_buckets"] if first else 1
     wanted = keys.select(F.col(key).cast("long").alias("key")).filter("key IS NOT NULL").distinct()
     wanted = wanted.withColumn("bucket", F.pmod(_bucket_of(F.col("key")), F.lit(n_buckets)).cast("int"))
-    return index.groupBy("bucket").cogroup(wanted.groupBy("bucket")).applyInArrow(
+    parts = [r[0] for r in wanted.select(_part(n_buckets)).distinct().collect()]  # INDEX_PARTS at most
+    return index.filter(F.col("part").isin(parts)).groupBy("bucket").cogroup(wanted.groupBy("bucket")).applyInArrow(
         _finder, "key long, shard int, chunk int, offset long, length long")
 
 
-def _checks(dtype: str):
+def _slices(dtype: str, ids: bool):
+    """The asked places of each chunk: their ids or the crc of these."""
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             for at in range(batch.num_rows):
-                shard, chunk, first, keys, offsets, lengths, payload = (c[at].as_py() for c in batch.columns)
-                ids = np.frombuffer(payload, dtype)
-                sums = [zlib.crc32(ids[a:a + n].astype("<u4").tobytes()) for a, n in zip(offsets, lengths)]
-                n = len(keys)
+                shard, chunk, first, keys, offsets, payload, asked = (c[at].as_py() for c in batch.columns)
+                stored, held = dict(zip(offsets, keys)), np.frombuffer(payload, dtype)
+                asked = [a for a in asked if a["offset"] in stored and stored[a["offset"]] == a["key"]]
+                here = [held[a["offset"]:a["offset"] + a["length"]].astype("<u4").tobytes() for a in asked]
+                n = len(asked)
                 yield pa.RecordBatch.from_arrays(
-                    [pa.array(keys, pa.int64()), pa.array([shard] * n, pa.int32()), pa.array([chunk] * n, pa.int32()),
-                     pa.array(offsets, pa.int64()), pa.array([first + o for o in offsets], pa.int64()),
-                     pa.array(lengths, pa.int64()), pa.array(sums, pa.int64())],
-                    ["doc_id", "shard", "chunk", "offset", "in_shard", "n_tokens", "ids_crc32"])
+                    [pa.array([a["key"] for a in asked], pa.int64()), pa.array([shard] * n, pa.int32()), pa.array([chunk] * n, pa.int32()),
+                     pa.array([a["offset"] for a in asked], pa.int64()), pa.array([first + a["offset"] for a in asked], pa.int64()),
+                     pa.array([len(h) // 4 for h in here], pa.int64()),
+                     pa.array(here, pa.binary()) if ids else pa.array([zlib.crc32(h) for h in here], pa.int64())],
+                    ["key", "shard", "chunk", "offset", "in_shard", "n_tokens", "ids" if ids else "ids_crc32"])
     return run
 
 
-def digests(spark: SparkSession, path: str, tokenizer: str = TOKENIZER) -> DataFrame:
-    """(doc_id, shard, chunk, offset, start, n_tokens, ids_crc32) of every stored document, from the payloads."""
-    read = read_chunks(spark, path).mapInArrow(
-        _checks(id_type(tokenizer)),
-        "doc_id long, shard int, chunk int, offset long, in_shard long, n_tokens long, ids_crc32 long")
+def read_places(spark: SparkSession, path: str, places: DataFrame, tokenizer: str = TOKENIZER, ids: bool = True) -> DataFrame:
+    """(key, shard, chunk, offset, start, n_tokens, ids as little-endian unsigned 32-bit) at (key, shard, chunk, offset, length).
+
+    A place that does not hold the key is left out.  Without `ids` their crc is returned as ids_crc32.
+    """
+    asked = places.groupBy("shard", "chunk").agg(F.collect_list(F.struct("key", "offset", "length")).alias("asked"))
+    chunks = read_chunks(spark, path)
+    named = [r[0] for r in places.select("shard").distinct().limit(NAMED_SHARDS + 1).collect()]
+    if len(named) <= NAMED_SHARDS:
+        chunks = chunks.filter(F.col("shard").isin(named))
+    met = chunks.select("shard", "chunk", "first", "doc_ids", "offsets", "payload").join(asked, ["shard", "chunk"])
+    held = met.mapInArrow(_slices(id_type(tokenizer), ids), "key long, shard int, chunk int, offset long, in_shard long, n_tokens long, "
+                          + ("ids binary" if ids else "ids_crc32 long"))
     base = spark.read.schema("shard int, base long, n_tokens long").parquet(f"{path}/shards").select("shard", "base")
-    return read.join(base, "shard").withColumn("start", F.col("base") + F.col("in_shard")).drop("base", "in_shard")
+    return held.join(base, "shard").withColumn("start", F.col("base") + F.col("in_shard")).drop("base", "in_shard")
+
+
+def fetch(spark: SparkSession, path: str, keys: DataFrame, key: str = "key", tokenizer: str = TOKENIZER) -> DataFrame:
+    """The ids of each distinct key that the files hold, read where the index says; columns as in `read_places`."""
+    return read_places(spark, path, materialize(lookup(spark, path, keys, key), "token-places"), tokenizer)
+
+
+def followers(chunks: DataFrame) -> DataFrame:
+    """Places of the rows that the index does not name: null doc_ids, and repeats behind the first."""
+    stored, at = entries(chunks), F.struct("shard", "chunk", "offset")
+    repeated = (stored.filter("key IS NOT NULL").groupBy("key").agg(F.count("*").alias("n"), F.min(at).alias("named"))
+                .filter("n > 1").select("key", "named"))
+    behind = stored.join(repeated, "key").filter(at > F.col("named")).drop("named")
+    return stored.filter("key IS NULL").unionByName(behind)
 
 
 def report(docs: DataFrame, path: str, doc_id: str = "doc_id", text: str = "text", tokenizer: str = TOKENIZER) -> DataFrame:
-    """Write the files, look every document up by its key, and return what the payload holds there.
+    """Write the files, look every document up by its key, and return what the payload holds where the index says.
 
-    Rows of a repeated doc_id follow the one that the index names; those without a doc_id lie before all.
+    Rows of a repeated doc_id behind the first, and those without a doc_id, come from the stored doc_ids.
     """
     spark = docs.sparkSession
     write(docs, path, doc_id, text, tokenizer)
-    found = lookup(spark, path, docs, doc_id).select("key", F.struct("shard", "chunk", "offset").alias("named"))
-    stored = digests(spark, path, tokenizer)
-    at = F.struct("shard", "chunk", "offset")
-    return (stored.join(found, F.col("doc_id") == F.col("key"), "left").filter(F.col("doc_id").isNull() | (at >= F.col("named")))
-            .select("doc_id", "start", "n_tokens", "ids_crc32", "shard", "chunk", "offset"))
+    places = lookup(spark, path, docs, doc_id).unionByName(followers(read_chunks(spark, path)))
+    held = read_places(spark, path, materialize(places, "token-places"), tokenizer, ids=False)
+    return held.select(F.col("key").alias("doc_id"), "start", "n_tokens", "ids_crc32", "shard", "chunk", "offset")

@@ -1,5 +1,6 @@
 """Operators on whole corpora against brute force, with the hard rows of the fixture."""
 
+import shutil
 import zlib
 from collections import Counter, defaultdict
 from datetime import datetime, timedelta
@@ -179,6 +180,17 @@ def test_token_files_read_back_whole(spark, docs, rows, none, tmp_path):
     asked = spark.createDataFrame([(5,), (5,), (12345,), (None,)], "key long")
     found = token_files.lookup(spark, path, asked).collect()
     assert [(r.key, r.length) for r in found] == [(5, len(ids[5][0]))]
+    read = {r.key: r for r in token_files.fetch(spark, path, asked).collect()}
+    assert set(read) == {5} and np.frombuffer(read[5].ids, "<u4").tolist() == ids[5][0]
+    # Rows come from where the index points: with every offset at 0, only the documents that begin a chunk are found.
+    wrong = str(tmp_path / "wrong")
+    for part in ("chunks", "shards"):
+        shutil.copytree(f"{path}/{part}", f"{wrong}/{part}")
+    index = token_files.read_index(spark, path).withColumn("offsets", F.expr("cast(repeat('\\0', octet_length(offsets)) AS binary)"))
+    index.write.partitionBy("part").parquet(f"{wrong}/index")
+    begin = {r.key for r in token_files.entries(token_files.read_chunks(spark, path)).filter("offset = 0").collect()} - {None}
+    everyone = spark.createDataFrame([(d,) for d in ids], "key long")
+    assert {r.key for r in token_files.fetch(spark, wrong, everyone).collect()} == begin < set(ids)
     assert token_files.report(none, str(tmp_path / "empty")).count() == 0
 
 
