@@ -30,8 +30,10 @@ columns, whatever their names, are not read.
 
 from __future__ import annotations
 
+import json
 import re
 import zlib
+from array import array
 from collections.abc import Iterator
 
 import numpy as np
@@ -54,13 +56,15 @@ INDEX_PARTS = 256
 #: Up to so many shards a read names them to the scan; the rows are the same either way.
 NAMED_SHARDS = 1000
 CACHE_PIECES = 200_000
-SLICE_BYTES = 2 << 20
+SLICE_BYTES = 4 << 20
 
 _CHUNKS = ("shard int, chunk int, first long, doc_ids array<long>, offsets array<long>, lengths array<long>, payload binary")
 _INDEX = ("bucket int, levels array<binary>, ranks array<binary>, fingerprints binary, shards binary, chunks binary, offsets binary, lengths binary")
 
 #: A space with other than white space on both sides: no token of the byte-level pattern crosses its left edge.
 _CUT = re.compile(r"(?<=\S) (?=\S)")
+#: Marks that the byte-level pattern never joins to the letters before them.
+_MARKS = (",", ".", ";", ":", "!", "?")
 _LONE = "^ | $|[\\s\\x0b\\x1c-\\x1f] | [\\s\\x0b\\x1c-\\x1f]"
 _WIDE = "[\\x0b\\x1c-\\x1f\\x{85}\\x{a0}\\x{1680}\\x{2000}-\\x{200a}\\x{2028}\\x{2029}\\x{202f}\\x{205f}\\x{3000}]"
 
@@ -73,23 +77,64 @@ def id_type(tokenizer: str) -> str:
 
 
 class PieceEncoder:
-    """Ids of text pieces by the tokenizers library, remembering those seen."""
+    """Ids of text pieces by the tokenizers library, remembering those seen.
+
+    ASCII letters with at most one space before them are one pre-token of the byte-level pattern, and a mark of `_MARKS`
+    behind them is the next one.  Their ids come from a tokenizer of the same model that leaves the pattern out.
+    """
 
     def __init__(self, path: str, dtype: str):
-        from tokenizers import Tokenizer
+        from tokenizers import Tokenizer, models, pre_tokenizers
 
-        self.library, self.dtype, self.seen = Tokenizer.from_file(path), dtype, {}
+        self.library, self.code, self.seen = Tokenizer.from_file(path), "H" if dtype == "<u2" else "I", {}
         self.library.no_truncation()
         self.library.no_padding()
+        spec = json.loads(self.library.to_str())
+        self.letters = None
+        split, model = spec["pre_tokenizer"] or {}, spec["model"]
+        if (split.get("type"), split.get("use_regex"), split.get("add_prefix_space"), spec["normalizer"], model["type"]) == (
+                "ByteLevel", True, False, None, "BPE") and not (model["dropout"] or model["continuing_subword_prefix"] or model["end_of_word_suffix"]):
+            merges = [tuple(m) if isinstance(m, list) else tuple(m.split(" ")) for m in model["merges"]]
+            # What was seen is remembered here, so the model need not.
+            self.letters = Tokenizer(models.BPE(vocab=model["vocab"], merges=merges, cache_capacity=0, ignore_merges=model["ignore_merges"]))
+            self.letters.pre_tokenizer = pre_tokenizers.ByteLevel(add_prefix_space=False, use_regex=False)
+
+    def _coded(self, library, pieces: list[str]) -> dict[str, bytes]:
+        coded = library.encode_batch_fast(pieces, add_special_tokens=False) if pieces else []
+        return {p: array(self.code, e.ids).tobytes() for p, e in zip(pieces, coded)}
+
+    def _new(self, pieces: list[str]) -> dict[str, bytes]:
+        if self.letters is None:
+            return self._coded(self.library, pieces)
+        plain, marked, other, seen = set(), [], [], self.seen
+        for p in pieces:
+            body = p[1:] if p[:1] == " " else p
+            if not p.isascii():
+                other.append(p)
+            elif body.isalpha():
+                plain.add(p)
+            elif body[-1:] in _MARKS and body[:-1].isalpha():
+                marked.append(p)
+                if p[:-1] not in seen:
+                    plain.add(p[:-1])
+            else:
+                other.append(p)
+        found = self._coded(self.letters, list(plain))
+        found.update(self._coded(self.library, [*other, *_MARKS] if marked else other))
+        for p in marked:
+            stem = p[:-1]
+            found[p] = (found[stem] if stem in found else seen[stem]) + found[p[-1]]
+        return found
 
     def ids(self, pieces: list[str]) -> list[bytes]:
         seen = self.seen
         new = [p for p in pieces if p not in seen]
-        coded = self.library.encode_batch_fast(new, add_special_tokens=False) if new else []
-        found = {p: np.array(e.ids, self.dtype).tobytes() for p, e in zip(new, coded)}
-        out = [seen[p] if p in seen else found[p] for p in pieces]
-        if len(seen) < CACHE_PIECES:
-            seen.update(found)
+        found = self._new(new) if new else {}
+        seen.update(found)
+        out = list(map(seen.__getitem__, pieces))
+        if len(seen) > CACHE_PIECES + len(found):  # what came last goes first; the early pieces are the frequent ones
+            for p in found:
+                del seen[p]
         return out
 
 
