@@ -13,17 +13,18 @@ FAILURES = "array<struct<rule_id:string,severity:string,description:string>>"
 
 
 def evaluate(df: DataFrame, rules: Sequence[Mapping], as_of: str,
-             references: Mapping[str, DataFrame] | None = None) -> DataFrame:
+             references: Mapping[str, DataFrame] | None = None, earlier: Mapping[str, DataFrame] | None = None) -> DataFrame:
     """Add `dq_failures` (one struct per failed rule, in rule order) and `dq_status`.
 
     A check that yields NULL has failed.  Row rules stay in one projection;
-    each `unique` or `reference` rule adds one aggregated join.
+    each `unique` or `reference` rule adds one aggregated join.  `earlier` has, by
+    rule id, keys that other rows held before: a `unique` rule fails on them, too.
     """
     columns, passed = df.columns, []
     for i, rule in enumerate(rules):
         flag = f"__rule_{i}"
         if rule["rule_type"] == "unique":
-            df = _flag_repeated(df, rule["columns"], flag)
+            df = _flag_repeated(df, rule["columns"], flag, (earlier or {}).get(rule["rule_id"]))
             check = F.col(flag).isNull()
         elif rule["rule_type"] == "reference":
             df = _flag_known(df, rule, (references or {})[rule["reference"]], flag)
@@ -44,14 +45,17 @@ def evaluate(df: DataFrame, rules: Sequence[Mapping], as_of: str,
     return checked.withColumn("dq_status", status)
 
 
-def _flag_repeated(df: DataFrame, keys: Sequence[str], flag: str) -> DataFrame:
-    """Flag every copy of a repeated key; null keys form one group.
+def _flag_repeated(df: DataFrame, keys: Sequence[str], flag: str, earlier: DataFrame | None = None) -> DataFrame:
+    """Flag every copy of a repeated key, and every copy of an earlier one; null keys form one group.
 
     Counts are combined before the shuffle and only repeated keys are joined
     back, so no group of copies has to fit into one task.
     """
     repeated = (df.groupBy(*[F.col(k).alias(f"{flag}_{k}") for k in keys]).count()
                 .filter("count > 1").withColumnRenamed("count", flag))
+    if earlier is not None:
+        held = earlier.select(*[F.col(k).alias(f"{flag}_{k}") for k in keys], F.lit(1).cast("long").alias(flag))
+        repeated = repeated.unionByName(held).groupBy(*[f"{flag}_{k}" for k in keys]).agg(F.max(flag).alias(flag))
     same = [df[k].eqNullSafe(repeated[f"{flag}_{k}"]) for k in keys]
     return df.join(repeated, same, "left")
 

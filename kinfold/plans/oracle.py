@@ -637,6 +637,9 @@ def oracle_sql() -> dict[str, str]:
         "stream_ingest": _sql(f"""SELECT record_uid, source_id, source_record_id, 'stream' AS batch_id, trust_rank, source_updated_at,
             {', '.join(ATTRIBUTES)} FROM bronze WHERE source_id = 'WEB'"""),
         "stream_quality": _sql("SELECT source_id, dq_status, count(*) AS n_rows FROM checked GROUP BY ALL"),
+        "stream_unique": _sql("""SELECT record_uid, source_id, count(*) OVER (PARTITION BY epoch, email) > 1
+              OR min(epoch) OVER (PARTITION BY email) < epoch AS email_repeated
+            FROM (SELECT *, CASE source_id WHEN 'CRM' THEN 1 WHEN 'LEGACY' THEN 2 ELSE 3 END AS epoch FROM std)"""),
         "stream_match": _sql("SELECT record_uid, cluster_id FROM clusters", CLUSTERS),
         "stream_dedup": "SELECT event_id, user_id, event_type, value FROM events",
     }

@@ -837,6 +837,20 @@ def stream_quality(spark, sf_dir):
     return checked.groupBy("source_id", "dq_status").agg(F.count("*").alias("n_rows"))
 
 
+@query
+def stream_unique(spark, sf_dir):
+    """Records of one source per epoch, an e-mail address unique across the epochs: who repeats one."""
+    root = scratch_path(spark, "stream")
+    layers, landed = Layers(spark, root), contacts.landed(table(spark, sf_dir, "customer"))
+    rule = {"rule_id": "E1", "rule_type": "unique", "columns": ["email"], "severity": "WARN", "description": "e-mail used once"}
+    for source in ("CRM", "LEGACY", "WEB"):
+        landed.filter(F.col("source_id") == source).write.mode("append").parquet(f"{root}/in")
+        stream = spark.readStream.schema(landed.schema).parquet(f"{root}/in")
+        micro_batch.check(stream, CUSTOMER, layers, f"{root}/checkpoint", AS_OF, [rule]).awaitTermination()
+    repeated = F.exists("dq_failures", lambda f: f["rule_id"] == "E1")
+    return layers.read("silver", "customer_checked").select("record_uid", "source_id", repeated.alias("email_repeated"))
+
+
 @query
 def stream_match(spark, sf_dir):
     """Valid records replayed as a stream, a few files per micro-batch, matched against the store."""

@@ -6,6 +6,8 @@ own partition, so the sinks are idempotent.
 
 from __future__ import annotations
 
+from collections.abc import Mapping, Sequence
+
 from pyspark.sql import DataFrame, functions as F
 from pyspark.sql.streaming import StreamingQuery
 
@@ -13,6 +15,8 @@ from kinfold.operators import incremental, linkage
 from kinfold.operators.ingest import to_canonical
 from kinfold.operators.quality import evaluate
 from kinfold.operators.standardize import standardize
+from kinfold.session import materialize
+from kinfold.sources.keyed import KeyedTable
 from kinfold.sources.tables import Layers
 from kinfold.spec import EntitySpec, Source
 
@@ -28,16 +32,39 @@ def land(stream: DataFrame, source: Source, spec: EntitySpec, path: str, checkpo
             .option("path", path).option("checkpointLocation", checkpoint).trigger(availableNow=True).start())
 
 
-def check(stream: DataFrame, spec: EntitySpec, layers: Layers, checkpoint: str, as_of: str) -> StreamingQuery:
-    """Standardize and validate each micro-batch; uniqueness is scoped to the epoch.
+def check(stream: DataFrame, spec: EntitySpec, layers: Layers, checkpoint: str, as_of: str,
+          across: Sequence[Mapping] = ()) -> StreamingQuery:
+    """Standardize and validate each micro-batch; uniqueness of the entity's rules is scoped to the epoch.
+
+    `across` are further `unique` rules that span the epochs: a key fails in every
+    row but those of the first epoch that had it, and there if it is repeated (null
+    keys are one key).  The keys seen are a keyed table per rule; an epoch reads the
+    buckets of its own keys and adds those as a small delta.  A replayed epoch sees
+    only the epochs before it.
 
     One write per epoch: the outcome is a partition column, so valid and
     quarantined rows need no second pass.
     """
+    seen = {rule["rule_id"]: KeyedTable(layers.spark, f"{layers.root}/store/{spec.entity}_seen_{rule['rule_id']}") for rule in across}
+
     def one(batch: DataFrame, epoch: int) -> None:
-        stamped = standardize(batch.withColumn("batch_id", F.lit(epoch_id(epoch))), spec)
-        checked = evaluate(stamped, spec.rules, as_of)
-        layers.write(checked, "silver", f"{spec.entity}_checked", epoch_id(epoch), within=("dq_status",))
+        batch_id, columns = epoch_id(epoch), {rule["rule_id"]: list(rule["columns"]) for rule in across}
+        stamped = standardize(batch.withColumn("batch_id", F.lit(batch_id)), spec)
+        if across:
+            stamped = materialize(stamped, "epoch")
+        keys = {rule_id: stamped.select(*names).distinct() for rule_id, names in columns.items()}
+        earlier = {}
+        for rule_id, table in seen.items():
+            if epoch > 0 and table.exists():
+                table.maintain(epoch_id(epoch - 1))
+                earlier[rule_id] = table.read(before=batch_id, among=keys[rule_id])
+        checked = evaluate(stamped, [*spec.rules, *across], as_of, earlier=earlier)
+        layers.write(checked, "silver", f"{spec.entity}_checked", batch_id, within=("dq_status",))
+        for rule_id, table in seen.items():
+            if rule_id in earlier:
+                table.change(keys[rule_id], None, batch_id)
+            else:
+                table.start(keys[rule_id], columns[rule_id], columns[rule_id], batch_id)
 
     return stream.writeStream.foreachBatch(one).option("checkpointLocation", checkpoint).trigger(availableNow=True).start()
 

@@ -47,3 +47,29 @@ def test_repeated_keys_across_micro_batches(spark, tmp_path):
     (micro_batch.distinct_within(stream, ["k"], "t", "1 hour").writeStream.format("parquet").option("path", str(tmp_path / "out"))
      .option("checkpointLocation", str(tmp_path / "cp")).trigger(availableNow=True).start().awaitTermination())
     assert sorted(r["k"] for r in spark.read.parquet(str(tmp_path / "out")).collect()) == [1, 2]
+
+
+def test_uniqueness_across_epochs(spark, tmp_path):
+    """A key fails where it was in an earlier epoch or is repeated in its own; a replayed epoch sees those before it only."""
+    epochs = [["a", "b", None], ["a", "c", "c"], ["b", "d", None, "a"], ["c", "e"]]
+    rule = {"rule_id": "E1", "rule_type": "unique", "columns": ["email"], "severity": "WARN", "description": "once"}
+    base = frame(spark, make(9, 1)).withColumns({
+        "source_id": F.lit("S"), "source_record_id": F.lit("r"), "source_updated_at": F.lit("2026-07-01"), "city": F.lit("x"), "state": F.lit("y")})
+    layers, n = Layers(spark, str(tmp_path / "tables")), 0
+    for i, keys in enumerate(epochs):
+        rows = spark.createDataFrame([(f"u{n + k}", e and f"{e}@x.org") for k, e in enumerate(keys)], "uid string, mail string")
+        n += len(keys)
+        (base.crossJoin(rows).withColumns({"record_uid": F.col("uid"), "source_record_id": F.col("uid"), "email": F.col("mail")})
+         .drop("uid", "mail").write.mode("append").parquet(str(tmp_path / "in")))
+        stream = spark.readStream.schema(base.schema).parquet(str(tmp_path / "in"))
+        micro_batch.check(stream, CUSTOMER, layers, str(tmp_path / "checkpoint"), AS_OF, [rule]).awaitTermination()
+    failed = F.exists("dq_failures", lambda f: f["rule_id"] == "E1")
+
+    def flagged():
+        return {r[0] for r in layers.read("silver", "customer_checked").filter(failed).select("record_uid").collect()}
+    assert flagged() == {"u3", "u4", "u5", "u6", "u8", "u9", "u10"}
+    # All epochs in one, from a lost checkpoint: the store starts again, nothing of the first run is seen.
+    again = spark.readStream.schema(base.schema).parquet(str(tmp_path / "in"))
+    micro_batch.check(again, CUSTOMER, layers, str(tmp_path / "lost"), AS_OF, [rule]).awaitTermination()
+    first = layers.read("silver", "customer_checked", micro_batch.epoch_id(0)).filter(failed)
+    assert {r[0] for r in first.select("record_uid").collect()} == {"u0", "u1", "u2", "u3", "u4", "u5", "u6", "u8", "u9", "u10"}
