@@ -584,6 +584,15 @@ def oracle_sql() -> dict[str, str]:
                OR u2 IN (SELECT record_uid FROM crosswalk JOIN subjects USING (golden_id))""", PAIRS, GOLDEN, _SUBJECTS),
         "erasure": _sql("""SELECT record_uid, source_id, source_record_id FROM members
             WHERE cluster_id NOT IN (SELECT golden_id FROM subjects)""", GOLDEN, _SUBJECTS),
+        "erasure_layers": _sql("""SELECT 'customer_checked' AS name, record_uid AS held FROM checked WHERE record_uid NOT IN (FROM gone)
+            UNION ALL SELECT 'crosswalk', record_uid FROM crosswalk WHERE record_uid NOT IN (FROM gone)
+            UNION ALL SELECT 'golden_customer', golden_id FROM golden WHERE golden_id NOT IN (SELECT golden_id FROM subjects)
+            UNION ALL SELECT 'dead_letters', 'C' || c_custkey || ';' || c_name FROM customer
+            WHERE c_mktsegment = 'BUILDING' AND sha256('CRM||C' || c_custkey) NOT IN (FROM gone)""", GOLDEN, _SUBJECTS, """
+            owned AS (SELECT record_uid FROM crosswalk JOIN subjects USING (golden_id)),
+            gone AS (SELECT record_uid FROM owned UNION SELECT record_uid FROM checked WHERE dq_status = 'QUARANTINED'
+              AND lower(trim(email)) IN (SELECT lower(trim(email)) FROM checked WHERE record_uid IN (FROM owned) AND email IS NOT NULL)
+              AND record_uid NOT IN (SELECT record_uid FROM crosswalk))"""),
         "masking": _sql("""SELECT sha256(record_uid) AS record_uid, source_updated_at,
             regexp_replace(regexp_replace(regexp_replace(full_name, '[A-Z]', 'X', 'g'), '[a-z]', 'x', 'g'), '[0-9]', 'n', 'g') AS full_name,
             regexp_replace(email, '^[^@]+', '***') AS email, '******' || right(phone, 4) AS phone,

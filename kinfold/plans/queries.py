@@ -10,6 +10,7 @@ from pyspark.sql import Column, DataFrame, SparkSession, functions as F, types a
 
 from kinfold.operators import (evaluate, incremental, ingest, lineage, linkage, monitor, privacy, quality, reconcile,
                                standardize, survivorship)
+from kinfold.operators.subjects import SubjectIndex
 from kinfold.plans import contacts, entities
 from kinfold.plans.customer import AS_OF, ATTRIBUTES, CUSTOMER
 from kinfold.plans.mastering import Mastering, run_batch
@@ -700,6 +701,26 @@ def erasure(spark, sf_dir):
     return kept.select("record_uid", "source_id", "source_record_id")
 
 
+@query
+def erasure_layers(spark, sf_dir):
+    """What every layer still holds after an erasure through the subject index: checked rows, dead letters, crosswalk, golden records."""
+    work, layers = mastering(spark, sf_dir), Layers(spark, scratch_path(spark, "erasure"))
+    torn = contacts.customers(spark, sf_dir).filter("c_mktsegment = 'BUILDING'").select(
+        F.lit("CRM").alias("source_id"), F.concat(F.lit("C"), "c_custkey", F.lit(";"), "c_name").alias("payload"), F.lit("torn").alias("reason"))
+    layers.write(torn, "bronze", "dead_letters", "b1")
+    layers.write(work.checked, "silver", "customer_checked", "b1")
+    layers.write(work.crosswalk, "gold", "crosswalk", "b1")
+    layers.write(work.golden, "gold", "golden_customer", "b1")
+    index = SubjectIndex(layers, CUSTOMER)
+    index.index_batch("b1")
+    crosswalk = materialize(work.crosswalk, "crosswalk")
+    index.erase(_subjects(spark, sf_dir, work), crosswalk, "b2")
+    shown = [("bronze", "dead_letters", "payload"), ("silver", "customer_checked", "record_uid"), ("gold", "crosswalk", "record_uid"),
+             ("gold", "golden_customer", "golden_id")]
+    return reduce(DataFrame.unionByName, [
+        layers.read(layer, name).select(F.lit(name).alias("name"), F.col(column).alias("held")) for layer, name, column in shown])
+
+
 @query
 def masking(spark, sf_dir):
     policy = {"full_name": "characters", "email": "email", "phone": "last4", "date_of_birth": "year",

@@ -64,6 +64,10 @@ class KeyedTable:
     def exists(self) -> bool:
         return bool(self._generations())
 
+    def since(self) -> str:
+        """The batch of the present base."""
+        return self._current()["since"]
+
     def _current(self) -> dict:
         known = self._generations()
         if not known:
