@@ -249,3 +249,59 @@ def test_third_of_all_rows_under_one_name(spark):
     df = frame(spark, [dict(zip(COLUMNS, r)) for r in rows])
     got = [tuple(r)[:4] for r in linkage.fuzzy_pairs(df, config()).collect()]
     assert got == [("u00003", "v1", 1, 0.65)]
+
+
+@pytest.mark.parametrize("name", ["shipped", "no deterministic key in the blocks"])
+def test_compared_pairs_in_tiles(spark, name):
+    """Blocks cut into tiles give every pair of the wanted records once, as uncut blocks do."""
+    records, spec = make(5, 90), CONFIGS[name]
+    df = frame(spark, records)
+    asked = {r["record_uid"] for r in records[::7]}
+    wanted = spark.createDataFrame([(u,) for u in sorted(asked)], "record_uid string")
+    found = linkage.compared_pairs(df, wanted, spec, split_rows=4).collect()
+    truth = {k: v for k, v in brute(records, spec).items() if set(k) & asked}
+    assert len(found) == len(truth)
+    for r in found:
+        sure, score, decision = truth[r["record_uid_1"], r["record_uid_2"]]
+        assert (r["method"] == "deterministic", r["decision"]) == (sure, decision)
+        assert r["score"] == (1.0 if sure else pytest.approx(score, abs=1e-4))
+
+
+def test_pair_features_carry_columns(spark):
+    """Both records of a pair bring their own columns, so nothing is joined back to the pairs."""
+    records = make(6, 60)
+    tagged = frame(spark, records).withColumn("tag", F.concat(F.lit("t"), "record_uid"))
+    rows = linkage.pair_features(tagged, CONFIGS["shipped"], 0.3, carried=("tag",)).collect()
+    assert rows and all((r["tag_1"], r["tag_2"]) == ("t" + r["record_uid_1"], "t" + r["record_uid_2"]) for r in rows)
+
+
+def test_scorer_counts_equal_pairs(spark):
+    """The fit on counted rows is that of the single pairs, and stores one row per distinct row of similarities."""
+    from pyspark.ml.classification import LogisticRegression
+    from pyspark.ml.feature import VectorAssembler
+    from pyspark.ml.functions import vector_to_array
+    from kinfold.operators import evaluate
+    rng, spec = random.Random(3), CONFIGS["shipped"]
+    sims = [f"sim_{f.attribute}" for f in spec.features]
+    kinds = [([rng.choice([0.0, 0.25, 0.5, 1.0]) for _ in sims], rng.random()) for _ in range(12)]
+    rows = [(*k, rng.random() < p) for k, p in rng.choices(kinds, range(1, 13), k=500)]
+    data = spark.createDataFrame(rows, ", ".join(f"{s} double" for s in sims) + ", is_match boolean")
+    model = evaluate.train_scorer(data, spec)
+    assert model.stages[-1].getWeightCol() == "pairs"
+    plain = VectorAssembler(inputCols=sims, outputCol="features").transform(data.withColumn("target", F.col("is_match").cast("double")))
+    other = LogisticRegression(labelCol="target", regParam=0.01, maxIter=50).fit(plain).transform(plain)
+    expected = {tuple(r[s] for s in sims): r["p"] for r in other.withColumn("p", vector_to_array("probability")[1]).collect()}
+    for r in evaluate.apply_scorer(model, data).collect():
+        assert r["match_probability"] == pytest.approx(expected[tuple(r[s] for s in sims)], abs=1e-4)
+
+
+def test_kernels_on_long_and_odd_texts(spark):
+    """Texts of one machine word and longer ones, in one batch, against the definitions."""
+    from kinfold.functions import similarity as sim
+    rng = random.Random(9)
+    texts = ["", "a", *["".join(rng.choices("abcdé安 \U0001F600", k=n)).strip() for n in (7, 8, 9, 16, 17, 33, 63, 64, 65, 90)]]
+    pairs = [(" ".join(a.split()), " ".join(b.split())) for a in texts for b in texts] + [(None, "a")]
+    df = spark.createDataFrame(pairs, "a string, b string")
+    found = df.select("a", "b", sim.make_kernel("lcs")("a", "b").alias("lcs"), sim.make_kernel("token_set")("a", "b").alias("set")).collect()
+    for r in found:
+        assert (r["lcs"], r["set"]) == ((None, None) if r["a"] is None else (lcs(r["a"], r["b"]), pytest.approx(token_set(r["a"], r["b"]))))
