@@ -17,10 +17,11 @@ SEPARATORS = r"[\s\x1c-\x1f\x85\p{Z}]+"
 def make_kernel(measure: str):
     """Arrow UDF over two canonical texts: the LCS length (`lcs`) or the token_set ratio (`token_set`).
 
-    The LCS is bit-parallel over the whole strings with Python integers of any
-    width.  Everything is nested, so a kernel ships by value and works without
+    The LCS is bit-parallel: texts of up to 64 characters side by side in numpy
+    words, longer ones with Python integers of any width.  Everything is nested, so a kernel ships by value and works without
     the package being installed on the executors.
     """
+    import numpy as np
     import pandas as pd
 
     def lcs(a: str, b: str) -> int:
@@ -36,34 +37,76 @@ def make_kernel(measure: str):
             row = ((row + hits) | (row - hits)) & full
         return len(a) - row.bit_count()
 
-    def token_set(a: str, b: str) -> float:
-        mine, yours = set(a.split()), set(b.split())
-        if not mine or not yours:
-            return 0.0
-        common = len(" ".join(mine & yours))
-        rest_a, rest_b = " ".join(sorted(mine - yours)), " ".join(sorted(yours - mine))
-        if common and not (rest_a and rest_b):
-            return 1.0
-        gap = 1 if common else 0
-        whole_a, whole_b = common + gap + len(rest_a), common + gap + len(rest_b)
-        apart = 1.0 - (len(rest_a) + len(rest_b) - 2 * lcs(rest_a, rest_b)) / (whole_a + whole_b)
-        if not common:
-            return apart
-        return max(apart, 1.0 - (1 + len(rest_a)) / (common + whole_a), 1.0 - (1 + len(rest_b)) / (common + whole_b))
-
-    compare = {"lcs": lcs, "token_set": token_set}[measure]
+    def codes(texts: list[str], width: int, filler: int) -> np.ndarray:
+        """Code points of texts of at most `width` characters, one row each; `filler` is no code point."""
+        joined = np.frombuffer("".join(texts).encode("utf-32-le", "surrogatepass"), dtype=np.uint32)
+        out = np.full((len(texts), width), filler, dtype=np.uint32)
+        out[np.arange(width) < np.fromiter(map(len, texts), dtype=np.int64, count=len(texts))[:, None]] = joined
+        return out
+
+    def lcs_all(left: list[str], right: list[str]) -> np.ndarray:
+        """`lcs` of many pairs side by side: the same recurrence, a machine word per pair."""
+        out = np.zeros(len(left), dtype=np.int64)
+        longest = np.maximum(*(np.fromiter(map(len, side), dtype=np.int64, count=len(side)) for side in (left, right)))
+        for i in np.flatnonzero(longest > 64):
+            out[i] = lcs(left[i], right[i])
+        below = 0
+        for width, word in ((8, np.uint8), (16, np.uint16), (32, np.uint32), (64, np.uint64)):
+            rows = np.flatnonzero((longest > below) & (longest <= width))
+            below = width
+            if not len(rows):
+                continue
+            one, other = [left[i] for i in rows], [right[i] for i in rows]
+            mine, yours = codes(one, width, 0xFFFFFFFF), codes(other, width, 0xFFFFFFFE).T.copy()
+            full = np.packbits(mine != 0xFFFFFFFF, axis=1, bitorder="little").view(word)[:, 0]
+            row = full.copy()
+            for j in range(max(map(len, other))):
+                hits = row & np.packbits(mine == yours[j][:, None], axis=1, bitorder="little").view(word)[:, 0]
+                row = ((row + hits) | (row - hits)) & full
+            out[rows] = np.bitwise_count(full).astype(np.int64) - np.bitwise_count(row)
+        return out
+
+    def token_set_all(left: list[str], right: list[str]) -> np.ndarray:
+        texts: dict[str, tuple[set, str]] = {}
+        for text in {*left, *right}:
+            words = set(text.split())
+            texts[text] = words, " ".join(sorted(words))
+        out = np.zeros(len(left))
+        at, commons, rests_a, rests_b = [], [], [], []
+        for i, (a, b) in enumerate(zip(left, right)):
+            (mine, all_a), (yours, all_b) = texts[a], texts[b]
+            if not mine or not yours:
+                continue
+            if mine.isdisjoint(yours):
+                common, rest_a, rest_b = 0, all_a, all_b
+            else:
+                common = len(" ".join(mine & yours))
+                rest_a, rest_b = " ".join(sorted(mine - yours)), " ".join(sorted(yours - mine))
+                if not (rest_a and rest_b):
+                    out[i] = 1.0
+                    continue
+            at.append(i)
+            commons.append(common)
+            rests_a.append(rest_a)
+            rests_b.append(rest_b)
+        if at:
+            common = np.array(commons)
+            a, b = (np.array([len(t) for t in rests]) for rests in (rests_a, rests_b))
+            gap = (common > 0).astype(np.int64)
+            whole_a, whole_b = common + gap + a, common + gap + b
+            apart = 1.0 - (a + b - 2 * lcs_all(rests_a, rests_b)) / (whole_a + whole_b)
+            met = np.maximum(apart, np.maximum(1.0 - (1 + a) / (common + whole_a), 1.0 - (1 + b) / (common + whole_b)))
+            out[at] = np.where(common > 0, met, apart)
+        return out
+
+    compare = {"lcs": lcs_all, "token_set": token_set_all}[measure]
 
     def batch(left: pd.Series, right: pd.Series) -> pd.Series:
-        seen: dict[tuple[str, str], float] = {}
-        out = []
-        for pair in zip(left, right):
-            if pair[0] is None or pair[1] is None:
-                out.append(None)
-                continue
-            if pair not in seen:
-                seen[pair] = compare(*pair)
-            out.append(seen[pair])
-        return pd.Series(out, dtype="Float64")
+        there = np.flatnonzero(left.notna().to_numpy() & right.notna().to_numpy())
+        out = pd.Series([None] * len(left), dtype="Float64")
+        if len(there):
+            out.iloc[there] = compare(left.to_numpy()[there].tolist(), right.to_numpy()[there].tolist())
+        return out
 
     # The annotations above are text in this module; Spark needs the classes.
     batch.__annotations__ = dict.fromkeys(("left", "right", "return"), pd.Series)
