@@ -11,7 +11,7 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame, functions as F
 
-from kinfold.session import drop_stage, read_stage, write_stage
+from kinfold.session import drop_stage, materialize, read_stage, write_stage
 
 
 def _large_star(edges: DataFrame) -> DataFrame:
@@ -42,19 +42,32 @@ def connected_components(edges: DataFrame, max_rounds: int = 100) -> DataFrame:
     """(vertex, component) for every vertex on an edge; component = its largest vertex.
 
     Input columns `src`, `dst` of any orderable type.  Duplicate, reversed and
-    self edges are allowed; vertices without another vertex are left out.
+    self edges are allowed; vertices without another vertex are left out.  The rounds
+    run on numbers in the order of the vertices, an eighth of the size of a uid.
     """
     spark = edges.sparkSession
-    state = (edges.filter("src != dst")
-             .select(F.least("src", "dst").alias("src"), F.greatest("src", "dst").alias("dst")).distinct())
+    given = materialize(edges.filter("src != dst").select("src", "dst").distinct(), "edges")
+    ends = given.select(F.explode(F.array("src", "dst")).alias("vertex")).distinct()
+    # Numbers grow with partition and row of a sorted table; written once, they stay what they are.
+    numbers = materialize(ends.orderBy("vertex").withColumn("number", F.monotonically_increasing_id()), "vertices")
+    for end in ("src", "dst"):
+        given = given.join(numbers.select(F.col("vertex").alias(end), F.col("number").alias(f"{end}_number")), end).drop(end)
+    state = given.select(F.least("src_number", "dst_number").alias("src"), F.greatest("src_number", "dst_number").alias("dst")).distinct()
     path = write_stage(state, "edges")
     state = read_stage(state, path)
     for _ in range(max_rounds):
         if _settled(state):
-            roots = state.select(F.col("dst").alias("vertex"), F.col("dst").alias("component")).distinct()
-            return state.select(F.col("src").alias("vertex"), F.col("dst").alias("component")).unionByName(roots)
+            return _named(state, numbers)
         after = _small_star(_large_star(state))
         before, path = path, write_stage(after, "edges")
         state = read_stage(after, path)
         drop_stage(spark, before)
     raise RuntimeError(f"components did not settle in {max_rounds} rounds")
+
+
+def _named(settled: DataFrame, numbers: DataFrame) -> DataFrame:
+    """Numbers back to vertices: members by their own number, then components by theirs."""
+    roots = settled.select(F.col("dst").alias("number"), F.col("dst").alias("top")).distinct()
+    placed = settled.select(F.col("src").alias("number"), F.col("dst").alias("top")).unionByName(roots)
+    names = roots.select("top").join(numbers.select(F.col("number").alias("top"), F.col("vertex").alias("component")), "top")
+    return placed.join(numbers, "number").join(names, "top").select("vertex", "component")
