@@ -10,7 +10,7 @@ from functools import reduce
 
 from pyspark.sql import DataFrame, functions as F
 
-from kinfold.operators.standardize import changed_values
+from kinfold.session import materialize
 
 
 SECTIONS = ["source_records", "transforms", "dq_annotations", "match_decisions", "survivorship_decisions"]
@@ -25,8 +25,9 @@ def source_records(uids: DataFrame, standardized: DataFrame) -> DataFrame:
 
 
 def transforms(uids: DataFrame, standardized: DataFrame) -> DataFrame:
-    """Transforms that changed a value."""
-    return uids.join(changed_values(standardized, "record_uid"), "record_uid")
+    """Transforms that changed a value; a record's entries travel as one array."""
+    entries = standardized.select("record_uid", F.filter("transform_log", lambda e: ~e["raw_value"].eqNullSafe(e["standardized_value"])).alias("entries"))
+    return uids.join(entries.filter(F.size("entries") > 0), "record_uid").select("record_uid", "golden_id", F.inline("entries"))
 
 
 def dq_annotations(uids: DataFrame, dq_results: DataFrame) -> DataFrame:
@@ -76,8 +77,10 @@ def documents(traced: DataFrame, items: int = 1000) -> DataFrame:
 
     The shape is the same for every entity: the parts of a section are numbered
     from 0 by a hash of the evidence, as many as its number of items asks for, so
-    no row grows with the size of an entity.
+    no row grows with the size of an entity.  The evidence is written first: it is
+    counted and then placed, and making it takes all joins of the trace.
     """
+    traced = materialize(traced, "traced")
     sizes = traced.groupBy("golden_id", "section").agg(F.ceil(F.count("*") / items).cast("int").alias("parts"))
     part = F.pmod(F.xxhash64("evidence"), F.col("parts")).cast("int").alias("part")
     return (traced.join(sizes, ["golden_id", "section"]).groupBy("golden_id", "section", part)

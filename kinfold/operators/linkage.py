@@ -108,9 +108,9 @@ def profiles(records: DataFrame, spec: Matching, carried: tuple[str, ...] = ())
 
 def profile_members(records: DataFrame, spec: Matching) -> DataFrame:
     """(record_uid, first_uid): which profile stands for a record in the pair table."""
-    same = [F.col(f"r.{c}").eqNullSafe(F.col(f"p.{c}")) for c in spec.columns]
-    narrow = records.select("record_uid", *spec.columns).alias("r")
-    return narrow.join(profiles(records, spec).alias("p"), same).select("r.record_uid", "p.first_uid")
+    values = F.to_json(F.array(*[F.col(c).cast("string") for c in spec.columns]), {"ignoreNullFields": "false"})
+    narrow = records.select("record_uid", F.unhex(F.sha2(values, 256)).alias("profile"))
+    return narrow.join(narrow.groupBy("profile").agg(F.min("record_uid").alias("first_uid")), "profile").select("record_uid", "first_uid")
 
 
 def _subsets(items) -> chain:
@@ -447,17 +447,17 @@ def _within_profile(profile: DataFrame, spec: Matching, floor: float) -> DataFra
                     _decided(F.col("score"), F.lit(False), spec).alias("decision")))
 
 
-def deterministic_decisions(records: DataFrame, spec: Matching) -> DataFrame:
+def deterministic_decisions(records: DataFrame, spec: Matching, links: DataFrame | None = None) -> DataFrame:
     """Key links in the shape of the decision table (score 1)."""
-    return deterministic_links(records, spec).select(
+    return (deterministic_links(records, spec) if links is None else links).select(
         F.col("record_uid").alias("record_uid_1"), F.col("root_uid").alias("record_uid_2"),
         F.lit(1).cast("bigint").alias("record_pairs"), F.lit(1.0).alias("score"),
         F.lit("deterministic").alias("method"), F.lit(MATCH).alias("decision")).distinct()
 
 
-def match_pairs(records: DataFrame, spec: Matching, floor: float | None = None) -> DataFrame:
-    """The decision table: deterministic links (score 1) and every fuzzy pair at or above `floor`."""
-    return deterministic_decisions(records, spec).unionByName(fuzzy_pairs(records, spec, floor))
+def match_pairs(records: DataFrame, spec: Matching, floor: float | None = None, links: DataFrame | None = None) -> DataFrame:
+    """The decision table: deterministic links (score 1; `links`, if already made) and every fuzzy pair at or above `floor`."""
+    return deterministic_decisions(records, spec, links).unionByName(fuzzy_pairs(records, spec, floor))
 
 
 def compared_pairs(records: DataFrame, wanted: DataFrame, spec: Matching, split_rows: int = SPLIT_ROWS) -> DataFrame:
@@ -508,13 +508,14 @@ def review_queue(pairs: DataFrame, limit: int | None = None) -> DataFrame:
 
 # ---------------------------------------------------------------- clustering
 
-def match_edges(records: DataFrame, spec: Matching) -> DataFrame:
+def match_edges(records: DataFrame, spec: Matching, links: DataFrame | None = None) -> DataFrame:
     """(src, dst) whose components are the entities.
 
     If no fuzzy pair can reach the automatic threshold (decidable from the
     weights alone), key links are all there is and nothing is scored.
     """
-    edges = deterministic_links(records, spec).select(F.col("record_uid").alias("src"), F.col("root_uid").alias("dst"))
+    links = deterministic_links(records, spec) if links is None else links
+    edges = links.select(F.col("record_uid").alias("src"), F.col("root_uid").alias("dst"))
     if reachable_evidence(spec, spec.auto_match) is None:
         return edges
     certain = (materialize(fuzzy_pairs(records, spec, spec.auto_match), "fuzzy").filter(F.col("decision") == MATCH)
@@ -526,13 +527,13 @@ def match_edges(records: DataFrame, spec: Matching) -> DataFrame:
     return edges.unionByName(certain).unionByName(copies)
 
 
-def clusters(records: DataFrame, spec: Matching, id_length: int = 32) -> DataFrame:
+def clusters(records: DataFrame, spec: Matching, id_length: int = 32, links: DataFrame | None = None) -> DataFrame:
     """(record_uid, cluster_id, root_uid) for every record; singletons keep their own uid.
 
     The root is the largest uid of the component, so ids do not depend on the
     order in which pairs are found.
     """
-    found = connected_components(match_edges(records, spec)).withColumnRenamed("vertex", "record_uid")
+    found = connected_components(match_edges(records, spec, links)).withColumnRenamed("vertex", "record_uid")
     return label(records.select("record_uid").join(found, "record_uid", "left")
                  .select("record_uid", F.coalesce("component", "record_uid").alias("root_uid")), id_length)
 

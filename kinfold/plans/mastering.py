@@ -41,15 +41,20 @@ class Mastering:
     def quarantine(self) -> DataFrame:
         return quality.quarantine(self.checked)
 
+    @cached_property
+    def links(self) -> DataFrame:
+        """Key links, part of the decisions and of the clusters."""
+        return materialize(linkage.deterministic_links(self.valid, self.spec.matching), "links")
+
     @cached_property
     def pairs(self) -> DataFrame:
-        return materialize(linkage.match_pairs(self.valid, self.spec.matching), "pairs")
+        return materialize(linkage.match_pairs(self.valid, self.spec.matching, links=self.links), "pairs")
 
     @cached_property
     def clusters(self) -> DataFrame:
         if self.store is not None:
             return self.store.clusters(self.id_length, self.batch_id)
-        return materialize(linkage.clusters(self.valid, self.spec.matching, self.id_length), "clusters")
+        return materialize(linkage.clusters(self.valid, self.spec.matching, self.id_length, self.links), "clusters")
 
     @cached_property
     def members(self) -> DataFrame:
@@ -78,7 +83,7 @@ class Mastering:
         return survivorship.crosswalk(self.members)
 
     def trace(self, golden_ids: DataFrame) -> DataFrame:
-        uids = lineage.member_uids(self.crosswalk, golden_ids)
+        uids = materialize(lineage.member_uids(self.crosswalk, golden_ids), "member-uids")  # narrow, read by four sections
         return lineage.trace(dict(zip(lineage.SECTIONS, [
             lineage.source_records(uids, self.checked),
             lineage.transforms(uids, self.checked),
