@@ -305,3 +305,14 @@ def test_kernels_on_long_and_odd_texts(spark):
     found = df.select("a", "b", sim.make_kernel("lcs")("a", "b").alias("lcs"), sim.make_kernel("token_set")("a", "b").alias("set")).collect()
     for r in found:
         assert (r["lcs"], r["set"]) == ((None, None) if r["a"] is None else (lcs(r["a"], r["b"]), pytest.approx(token_set(r["a"], r["b"]))))
+
+
+def test_component_rounds_run_on_numbers(spark, monkeypatch):
+    """Texts are numbered once; the rounds and their stages hold numbers, the result holds the texts."""
+    from kinfold.operators import components
+    types, write = [], components.write_stage
+    monkeypatch.setattr(components, "write_stage", lambda df, label="stage": types.append(df.dtypes) or write(df, label))
+    edges = spark.createDataFrame([("a" * 64, "b"), ("b", "c"), ("c", "b"), ("d", "e"), ("f", "f")], "src string, dst string")
+    found = {tuple(r) for r in components.connected_components(edges).collect()}
+    assert found == {("a" * 64, "c"), ("b", "c"), ("c", "c"), ("d", "e"), ("e", "e")}
+    assert types and all(kind == "bigint" for t in types for _, kind in t)

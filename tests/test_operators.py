@@ -403,3 +403,31 @@ def test_scratch_needs_a_shared_folder_off_local(spark, monkeypatch):
 
     with pytest.raises(ValueError, match="spark.checkpoint.dir"):
         session.shared_dir(Elsewhere)
+
+
+def test_few_repeated_keys_leave_wide_rows_in_place(spark):
+    """Their number is known when the rows are joined, so the rows are not shuffled for the join."""
+    rows = [(i % 9, "x" * 50) for i in range(10)]
+    df = spark.createDataFrame(spark.sparkContext.parallelize(rows), "k int, wide string")
+    rule = {"rule_id": "R1", "rule_type": "unique", "columns": ["k"], "severity": "ERROR", "description": "once"}
+    checked = quality.evaluate(df, [rule], "2026-08-01")
+    plan = checked._jdf.queryExecution().executedPlan().toString()
+    assert "BroadcastHashJoin" in plan and "SortMergeJoin" not in plan
+    assert quality.quarantine(checked).count() == 2
+
+
+def test_documents_make_their_evidence_once(spark):
+    """Counting the evidence and placing it read one written table."""
+    from kinfold.operators import lineage
+    traced = spark.createDataFrame([("g1", "a", f"e{i}") for i in range(5)] + [("g2", "a", "e")], "golden_id string, section string, evidence string")
+    nested = lineage.documents(traced, items=2)
+    plan = nested._jdf.queryExecution().optimizedPlan().toString()
+    assert "LocalRelation" not in plan and "LogicalRDD" not in plan and "parquet" in plan
+    rows = nested.collect()
+    assert sorted(e for r in rows for e in r["evidence"]) == ["e", "e0", "e1", "e2", "e3", "e4"]
+
+
+def test_layers_and_stages_are_zstd(spark, tmp_path):
+    """Hexadecimal uids take about half their length."""
+    Layers(spark, str(tmp_path)).write(spark.range(5).withColumn("u", F.sha2(F.col("id").cast("string"), 256)), "bronze", "t", "b1")
+    assert list(tmp_path.rglob("*.zstd.parquet"))
