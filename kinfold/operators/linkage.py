@@ -14,6 +14,8 @@ is quadratic in the largest block, so no operator here does it:
   every compared pair, for small inputs.
 * Pairs below the floor are counted exactly from group sizes (`match_bands`).
 * A join group above `split_rows` profiles is cut into tiles spread over tasks.
+* Where few texts recur in a join group, texts are measured once per pair of
+  texts and only pairs of profiles that can still reach the floor are formed.
 """
 
 from __future__ import annotations
@@ -32,6 +34,7 @@ from kinfold.spec import Matching
 MATCH, REVIEW, REJECTED, NO_MATCH = "MATCH", "REVIEW", "REJECTED_FP_GUARD", "NO_MATCH"
 ROUNDING = 5e-5  # scores are rounded to four digits before they meet a threshold
 SPLIT_ROWS = 5_000
+RECURRING_ROWS = 32  # join groups of this many profiles on, with half as many texts at most, meet by their texts
 PAIR_COLUMNS = ["record_uid_1", "record_uid_2", "record_pairs", "score", "method", "decision"]
 
 
@@ -141,11 +144,15 @@ class Slot:
     All `keys` (columns of the profile table) are equal; with `inside`, the
     tokens of one side also contain those of the other.  `any_block` slots
     check per pair that a block is shared, the others have it in their key.
+    `equal` are the exact features that agree here; `settled` if nothing else
+    need agree for the slot.
     """
 
     keys: tuple[str, ...]
     inside: str | None = None
     any_block: bool = False
+    equal: tuple[str, ...] = ()
+    settled: bool = False
 
 
 def _slots(spec: Matching, floor: float) -> tuple[dict[str, Column], list[Slot]]:
@@ -165,7 +172,7 @@ def _slots(spec: Matching, floor: float) -> tuple[dict[str, Column], list[Slot]]
         columns[f"__e{j}"] = _joined([F.col(c) for c in equal])
         # Values that settle a block need no other block: whoever shares them shares that block.
         implied = [i for i, b in enumerate(spec.blocking) if set(b.columns) <= set(equal)]
-        agreeing += [Slot((f"__e{j}",) if implied else (f"__b{i}", f"__e{j}"))
+        agreeing += [Slot((f"__e{j}",) if implied else (f"__b{i}", f"__e{j}"), equal=equal, settled=bool(implied))
                      for i in implied[:1] or range(len(spec.blocking))]
     return columns, agreeing + slots
 
@@ -235,10 +242,15 @@ def _exact_part(f) -> Column:
     return F.coalesce(F.when(a == b, F.lit(1.0)), F.lit(0.0))
 
 
-def _bound(spec: Matching, known: set[str]) -> Column:
-    """What a pair can score at most, when only the similarities in `known` were measured."""
-    total = F.lit(0.0)
+def _bound(spec: Matching, known: set[str], agreeing: Column | None = None) -> Column:
+    """What a pair can score at most, when only the similarities in `known` were measured.
+
+    `agreeing` is the most that exact features can add, for pairs of texts without them.
+    """
+    total = F.lit(0.0) if agreeing is None else agreeing
     for f in spec.features:
+        if f.method == "exact" and agreeing is not None:
+            continue
         forms = _both(f"__{f.attribute}")
         if f.attribute in known:
             part = F.col(f"sim_{f.attribute}")
@@ -252,8 +264,8 @@ def _bound(spec: Matching, known: set[str]) -> Column:
     return total
 
 
-def _scored(pairs: DataFrame, spec: Matching, floor: float) -> DataFrame:
-    """Weighted similarity, rounded to four digits; a NULL on either side contributes nothing.
+def _measured(pairs: DataFrame, spec: Matching, floor: float, agreeing: Column | None = None) -> DataFrame:
+    """Similarities of the texts; a NULL on either side contributes nothing.
 
     Features are measured by falling weight, and a pair leaves as soon as the
     rest cannot lift it to the floor.
@@ -262,7 +274,16 @@ def _scored(pairs: DataFrame, spec: Matching, floor: float) -> DataFrame:
     for f in sorted((f for f in spec.features if f.method != "exact"), key=lambda f: -f.weight):
         measured = F.coalesce(sim.ratio(f.method, *_both(f"__{f.attribute}")), F.lit(0.0))
         known = known | {f.attribute}
-        pairs = pairs.withColumn(f"sim_{f.attribute}", measured).filter(_bound(spec, known) >= floor - ROUNDING)
+        pairs = pairs.withColumn(f"sim_{f.attribute}", measured).filter(_bound(spec, known, agreeing) >= floor - ROUNDING)
+    return pairs
+
+
+def _scored(pairs: DataFrame, spec: Matching, floor: float) -> DataFrame:
+    """Weighted similarity, rounded to four digits."""
+    return _totalled(_measured(pairs, spec, floor), spec, floor)
+
+
+def _totalled(pairs: DataFrame, spec: Matching, floor: float) -> DataFrame:
     pairs = pairs.withColumns({f"sim_{f.attribute}": _exact_part(f) for f in spec.features if f.method == "exact"})
     total = reduce(lambda t, f: t + f.weight * F.col(f"sim_{f.attribute}"), spec.features, F.lit(0.0))
     return pairs.withColumn("score", F.round(total, 4)).filter(F.col("score") >= floor)
@@ -363,8 +384,13 @@ def _meets(spec: Matching, slot: Slot) -> Column:
 
 def _cross_profile(profile: DataFrame, spec: Matching, slots: list[Slot], floor: float, split_rows: int,
                    carried: tuple[str, ...] = ()) -> DataFrame:
-    entries = profile.select("first_uid", F.inline(F.concat(*[_entries(n, slot) for n, slot in enumerate(slots)])))
-    left, right = _tiles(profile, _meeting(entries, split_rows))
+    entries = profile.select("first_uid", _texts(spec).alias("__text"),
+                             F.inline(F.concat(*[_entries(n, slot) for n, slot in enumerate(slots)])))
+    meeting = _meeting(entries, split_rows)
+    recurring = _recurring(meeting, split_rows)
+    once = all(f.method == "exact" for f in spec.features) or recurring.isEmpty()
+    direct = meeting if once else meeting.join(recurring, "__group", "left_anti")
+    left, right = _tiles(profile, direct.drop("__text", "__rows"))
     on = [F.col(f"l.{c}") == F.col(f"r.{c}") for c in ("__group", "__row", "__tile", "__slot")]
     # Each pair is taken in one orientation: by uid, or the contained side first.
     by_uid = F.col("l.first_uid") < F.col("r.first_uid")
@@ -375,9 +401,69 @@ def _cross_profile(profile: DataFrame, spec: Matching, slots: list[Slot], floor:
             by_uid = F.when(F.col("l.__slot") == n, smaller).otherwise(by_uid)
     # Profiles meeting in several slots are taken in the first of them: no distinct over pairs.
     first = F.coalesce(*[F.when(_meets(spec, slot), F.lit(n)) for n, slot in enumerate(slots)])
-    on += [by_uid, ~_is_deterministic(spec), _bound(spec, set()) >= floor - ROUNDING, first == F.col("l.__slot")]
+    taken = [~_is_deterministic(spec), first == F.col("l.__slot")]
+    on += [by_uid, *taken, _bound(spec, set()) >= floor - ROUNDING]
     met = left.alias("l").join(right.alias("r"), reduce(lambda a, b: a & b, on))
-    scored = _scored(met, spec, floor)
+    named = _named_pairs(_scored(met, spec, floor), spec, carried)
+    if once:
+        return named
+    by_text = _by_text(profile, meeting.join(recurring, "__group"), spec, slots, floor, taken)
+    return named.unionByName(_named_pairs(by_text, spec, carried))
+
+
+def _texts(spec: Matching) -> Column:
+    return F.xxhash64(*[F.col(f"__{f.attribute}") for f in spec.features if f.method != "exact"] or [F.lit(0)])
+
+
+def _recurring(meeting: DataFrame, split_rows: int) -> DataFrame:
+    """(group, parts of its texts): groups whose texts recur, so that pairs of texts are far fewer than pairs of profiles."""
+    # Groups asked from one side hold a profile under many tokens; they meet as they are.
+    whole = meeting.filter((F.col("__rows") >= RECURRING_ROWS) & (F.col("__side") == BOTH))
+    texts = whole.groupBy("__group", "__text").agg(F.count("*").alias("n")).groupBy("__group").agg(
+        F.sum("n").alias("n"), F.count("*").alias("texts"))
+    return materialize(texts.filter("texts * 2 <= n").select(
+        "__group", F.ceil(F.col("texts") / split_rows).cast("int").alias("__text_parts")), "recurring")
+
+
+def _agreeing_at_most(spec: Matching, slots: list[Slot], n: int) -> float:
+    """The most that exact features can add to a pair taken in slot `n`: an earlier slot would have taken it otherwise."""
+    exact = {f.attribute: f.weight for f in spec.features if f.method == "exact"}
+    earlier = [set(s.equal) for s in slots[:n] if s.settled]
+    return max((sum(exact[a] for a in s) for s in _subsets(exact)
+                if set(slots[n].equal) <= set(s) and not any(e <= set(s) for e in earlier)), default=0.0)
+
+
+def _by_text(profile: DataFrame, meeting: DataFrame, spec: Matching, slots: list[Slot], floor: float, taken: list[Column]) -> DataFrame:
+    """Pairs of groups with recurring texts: texts are measured once per group, then the profiles of the texts that are close meet."""
+    fuzzy = [f"__{f.attribute}" for f in spec.features if f.method != "exact"]
+    forms = F.struct(*fuzzy)
+    members = materialize(meeting.select("first_uid", "__slot", "__group", "__text_parts").join(profile, "first_uid"), "members")
+    texts = members.select("__slot", "__group", F.col("__text_parts").alias("__parts"), *fuzzy).distinct().withColumn("__forms", forms)
+    left, right = _squares(texts, texts, "__forms", "__group")
+    on = [F.col(f"l.{c}") == F.col(f"r.{c}") for c in ("__group", "__row", "__tile", "__slot")]
+    agreeing = F.coalesce(*[F.when(F.col("l.__slot") == n, F.lit(float(_agreeing_at_most(spec, slots, n)))) for n in range(len(slots))])
+    # Sums of weights differ in their last bits with the order of the features; the exact score follows below.
+    low = floor - ROUNDING
+    on += [F.col("l.__forms") <= F.col("r.__forms"), _bound(spec, set(), agreeing) >= low - ROUNDING]
+    close = _measured(left.alias("l").join(right.alias("r"), reduce(lambda a, b: a & b, on)), spec, low, agreeing).select(
+        F.col("l.__slot").alias("slot"), F.col("l.__group").alias("group"), F.col("l.__forms").alias("one"), F.col("r.__forms").alias("other"),
+        *[f"sim_{f.removeprefix('__')}" for f in fuzzy])
+    close = materialize(close, "close_texts")
+    sides = members.withColumn("__forms", forms)
+    n = int(members.sparkSession.conf.get("spark.sql.shuffle.partitions"))
+
+    def of(side: str, text: str) -> Column:
+        keys = zip((f"{side}.__slot", f"{side}.__group", f"{side}.__forms"), ("slot", "group", text))
+        return reduce(lambda a, b: a & b, [F.col(mine) == F.col(yours) for mine, yours in keys])
+
+    # As in `_squares`, asking for the number keeps it: few rows make many pairs here.
+    begun = close.join(sides.alias("l"), of("l", "one")).repartition(n, "slot", "group", "other")
+    apart = (F.col("one") != F.col("other")) | (F.col("l.first_uid") < F.col("r.first_uid"))
+    pairs = begun.join(sides.repartition(n, "__slot", "__group", "__forms").alias("r"), reduce(lambda a, b: a & b, [of("r", "other"), apart, *taken]))
+    return _totalled(pairs, spec, floor)
+
+
+def _named_pairs(scored: DataFrame, spec: Matching, carried: tuple[str, ...]) -> DataFrame:
     a, b = _both("first_uid")
     return scored.select(
         F.least(a, b).alias("record_uid_1"), F.greatest(a, b).alias("record_uid_2"),
@@ -399,7 +485,7 @@ def _meeting(entries: DataFrame, split_rows: int) -> DataFrame:
     # Whoever asks under a token also answers under it.
     alive = (n[BOTH] > 1) | ((n[LEFT] > 0) & (n[RIGHT] > 1))
     groups = entries.groupBy("__group").agg(
-        alive.alias("alive"), F.ceil(F.count("*") / split_rows).cast("int").alias("__parts")).filter("alive").drop("alive")
+        alive.alias("alive"), F.count("*").alias("__rows"), F.ceil(F.count("*") / split_rows).cast("int").alias("__parts")).filter("alive").drop("alive")
     return materialize(entries.join(groups, "__group"), "meeting")
 
 

@@ -316,3 +316,37 @@ def test_component_rounds_run_on_numbers(spark, monkeypatch):
     found = {tuple(r) for r in components.connected_components(edges).collect()}
     assert found == {("a" * 64, "c"), ("b", "c"), ("c", "c"), ("d", "e"), ("e", "e")}
     assert types and all(kind == "bigint" for t in types for _, kind in t)
+
+
+def test_recurring_texts_are_measured_once(spark, monkeypatch):
+    """Few names in large groups: similarity is asked per pair of names and group, and the pairs equal brute force."""
+    from kinfold.plans.entities import PART
+    spec, rng = PART.matching, random.Random(3)
+    columns = ["record_uid", "p_name", "p_brand", "p_type", "p_size"]
+    pick = lambda values: rng.choice([*values, None])
+    rows = [(f"{i:04d}", pick(["Red Bolt", "Bolt Red", "Red Bolts", "Rod", ""]), pick("AB"), pick("XY"), pick([str(n) for n in range(40)]))
+            for i in range(400)]
+    asked, ratio = spark.sparkContext.accumulator(0), linkage.sim.ratio
+
+    def counting(method, a, b):
+        seen = F.udf(lambda text: (asked.add(1), text)[1]).asNondeterministic()
+        return ratio(method, seen(a), b)
+
+    monkeypatch.setattr(linkage.sim, "ratio", counting)
+    df = spark.createDataFrame(rows, ", ".join(f"{c} string" for c in columns))
+    got = {(r["record_uid_1"], r["record_uid_2"]): (r["record_pairs"], r["score"], r["decision"])
+           for r in linkage.fuzzy_pairs(df, spec, split_rows=3).collect()}
+    truth, records = {}, [dict(zip(columns, r)) for r in rows]
+    for a, b in itertools.combinations(records, 2):
+        same = {c: a[c] is not None and a[c] == b[c] for c in columns[1:]}
+        if not same["p_brand"] and not (same["p_type"] and same["p_size"]):
+            continue
+        score = 0.2 * same["p_brand"] + 0.2 * same["p_type"] + 0.1 * same["p_size"]
+        if a["p_name"] is not None and b["p_name"] is not None:
+            score += 0.5 * token_sort(a["p_name"], b["p_name"])
+        clash = a["p_type"] is not None and b["p_type"] is not None and not same["p_type"]
+        score = round(score, 4)
+        truth[a["record_uid"], b["record_uid"]] = (all(same.values()), score, "REJECTED_FP_GUARD" if clash else "MATCH" if score >= 0.85 else "REVIEW")
+    expected = profile_pairs(truth, records, spec, spec.review)
+    assert got == expected and len(got) > 1000
+    assert 0 < asked.value < len(got) / 2
