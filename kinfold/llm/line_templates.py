@@ -29,6 +29,8 @@ no rows.  `dedup` passes all columns on, whatever their names.
 
 from __future__ import annotations
 
+from functools import reduce
+
 from pyspark.sql import Column, DataFrame, functions as F
 
 from kinfold.session import materialize
@@ -42,11 +44,15 @@ WORDED = r"[^\x20\x09-\x0D]"
 
 
 def _bare(line: Column) -> Column:
-    return F.trim(F.regexp_replace(line, _SPACE, " "))
+    """Words parted by one space. Most lines are so already; looking for other white space costs less than replacing it."""
+    other = reduce(lambda a, b: a | b, [F.contains(line, F.lit(c)) for c in ("  ", "\t", "\n", "\v", "\f", "\r")])
+    return F.trim(F.when(other, F.regexp_replace(line, _SPACE, " ")).otherwise(line))
 
 
 def _exact(bare: Column) -> Column:
-    return (F.size(F.split(bare, " ")) <= DEPTH) | ~bare.rlike(LETTER)
+    """Words are one more than spaces: counted in bytes, without splitting."""
+    spaces = F.octet_length(bare) - F.octet_length(F.replace(bare, F.lit(" "), F.lit("")))
+    return (spaces < DEPTH) | ~bare.rlike(LETTER)
 
 
 def parsed(docs: DataFrame, doc_id: str, text: str) -> DataFrame:
@@ -57,18 +63,19 @@ def parsed(docs: DataFrame, doc_id: str, text: str) -> DataFrame:
     a letter or stands in a line whose leading words have one.  Two different words at
     one place pass for equal with probability 2 ** -31.
     """
-    lines = docs.select(F.xxhash64(doc_id, text).alias("doc"), F.col(doc_id).alias("doc_id"),
-                        F.posexplode(F.split(F.col(text), "\n")).alias("line", "content"))
+    # Named before its lines are dealt out, so a text is hashed once and no line carries it.
+    named_docs = docs.select(F.xxhash64(doc_id, text).alias("doc"), F.col(doc_id).alias("doc_id"), F.col(text).alias("text"))
+    lines = named_docs.select("doc", "doc_id", F.posexplode(F.split("text", "\n")).alias("line", "content"))
     bare = lines.filter(F.col("content").rlike(WORDED)).withColumn("bare", _bare(F.col("content")))
     split = bare.withColumn("w", F.split(F.when(_exact(F.col("bare")), F.col("bare"))
                                          .otherwise(F.regexp_replace("bare", "[0-9]+", "0")), " "))
     lettered = F.array_join(F.slice("w", 1, DEPTH), " ").rlike(LETTER)
 
-    def named(x: Column, has_letter: Column) -> Column:
-        return (2 * F.shiftright(F.xxhash64(x), 33) + has_letter).cast("int")
+    def named(x: Column) -> Column:
+        return F.shiftright(F.xxhash64(x), 32).cast("int")
     # Words are looked at one by one only where the leading ones have no letter.
-    words = (F.when(lettered, F.transform("w", lambda x: named(x, F.lit(1))))
-             .otherwise(F.transform("w", lambda x: named(x, F.when(x.rlike(LETTER), 1).otherwise(0)))))
+    words = (F.when(lettered, F.transform("w", lambda x: named(x).bitwiseOR(1)))
+             .otherwise(F.transform("w", lambda x: F.when(x.rlike(LETTER), named(x).bitwiseOR(1)).otherwise(named(x).bitwiseAND(-2)))))
     return split.select("doc", "doc_id", "line", F.xxhash64(F.size("w"), F.slice("w", 1, DEPTH)).alias("leaf"),
                         F.xxhash64("w").alias("whole"), words.alias("words"))
 
@@ -143,11 +150,12 @@ def dedup(docs: DataFrame, doc_id: str = "doc_id", text: str = "text", out: str
     inner = docs.toDF(*[f"c{i}" for i in range(len(columns))])
     key, body = (f"c{columns.index(c)}" for c in (doc_id, text))
     gone = dropped_lines(inner, key, body).select(F.col("doc").alias("gone_doc"), "lines")
-    joined = inner.join(gone, F.xxhash64(key, body) == F.col("gone_doc"), "left")
-    every = F.split(F.col(body), "\n")
-    stay = F.array_except(F.sequence(F.lit(0), F.size(every) - 1), F.col("lines"))
+    # A column of its own: inside the lambda below, the text would be split again for every line that stays.
+    joined = (inner.join(gone, F.xxhash64(key, body) == F.col("gone_doc"), "left")
+              .withColumn("every", F.when(F.col("lines").isNotNull(), F.split(F.col(body), "\n"))))
+    stay = F.array_except(F.sequence(F.lit(0), F.size("every") - 1), F.col("lines"))
     cut = F.when(F.col("lines").isNull(), F.col(body)).otherwise(
-        F.concat_ws("\n", F.transform(F.array_sort(stay), lambda i: F.element_at(every, i + 1))))
+        F.concat_ws("\n", F.transform(F.array_sort(stay), lambda i: F.element_at("every", i + 1))))
     ends = F.octet_length(body) - F.octet_length(F.replace(F.col(body), F.lit("\n"), F.lit("")))
     n = F.when(F.col(body).isNull(), 0).otherwise(ends + 1).cast("long")
     n_gone = F.coalesce(F.size("lines"), F.lit(0)).cast("long")

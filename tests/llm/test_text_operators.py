@@ -184,3 +184,17 @@ def test_full_caches_change_nothing(monkeypatch):
             words.encode(t, add_special_tokens=False).ids for t in odd_texts()]
         assert [i.tolist() for i in token_files.encoded(texts, token_files.TOKENIZER, "<u2", 0)] == [
             [*pieces.encode(t, add_special_tokens=False).ids, 0] for t in odd_texts()]
+
+
+def test_line_templates_read_a_text_once(spark):
+    """Other white space is normalized as before; no line carries its text, and a cut text is split once."""
+    from kinfold.llm import line_templates
+    rows = [(1, "red  fox\tran over the hill\nown one"), (2, " red fox ran\vover the hill \nown two"), (3, None), (4, "red fox ran over the hill")]
+    docs = spark.createDataFrame(rows, "doc_id long, text string")
+    kept = {r["doc_id"]: r["text"] for r in line_templates.report(docs).collect()}
+    assert kept == {1: rows[0][1], 2: "own two", 3: None, 4: ""}
+    plan = line_templates.parsed(docs, "doc_id", "text")._jdf.queryExecution().executedPlan().toString()
+    carried = plan[plan.index("Generate posexplode"):].split("-1)), [")[1].split("]")[0]
+    assert "doc#" in carried and "text#" not in carried
+    plan = line_templates.dedup(docs)._jdf.queryExecution().optimizedPlan().toString()
+    assert "element_at(split(" not in plan and "element_at(every" in plan
