@@ -125,13 +125,31 @@ def _fingerprint(shingles: np.ndarray) -> tuple[int, int]:
     return int(high), int(low)
 
 
+def _lists(arrays: list[np.ndarray], kind: pa.DataType) -> pa.Array:
+    """A list array over one buffer, without a copy per row."""
+    ends = np.concatenate([[0], np.cumsum([len(a) for a in arrays])]).astype(np.int32)
+    return pa.ListArray.from_arrays(pa.array(ends), pa.array(np.concatenate(arrays).view(kind.to_pandas_dtype())))
+
+
 def _sets(texts: pa.Array) -> pa.Array:
-    found = [s for _, some in arrow_text.slices(texts) for s in shingle_sets(some)]
-    return pa.StructArray.from_arrays(
-        [pa.array([_fingerprint(s)[0] for s in found], pa.int64()),
-         pa.array([s.view(np.int64) for s in found], pa.list_(pa.int64())),
-         pa.array([np.bincount((s & np.uint64(PARTS - 1)).astype(np.int64), minlength=PARTS).astype(np.int32) for s in found],
-                  pa.list_(pa.int32()))], ["high", "shingles", "parts"])
+    """Fingerprint, shingles and their number per part of the hash range.
+
+    The sets of a batch weigh more than its texts, so each slice leaves as Arrow
+    columns and what it needed is given back before the next.
+    """
+    names, shingles, parts = ([pa.array([], kind)] for kind in (pa.int64(), pa.list_(pa.int64()), pa.list_(pa.int32())))
+    for _, some in arrow_text.slices(texts):
+        found = shingle_sets(some)
+        names.append(pa.array([_fingerprint(s)[0] for s in found], pa.int64()))
+        shingles.append(_lists(found, pa.int64()))
+        parts.append(_lists([np.bincount((s & np.uint64(PARTS - 1)).astype(np.int64), minlength=PARTS).astype(np.int32) for s in found], pa.int32()))
+        del found
+        pa.default_memory_pool().release_unused()
+    columns = []
+    for chunks in (names, shingles, parts):
+        columns.append(pa.concat_arrays(chunks))
+        chunks.clear()
+    return pa.StructArray.from_arrays(columns, ["high", "shingles", "parts"])
 
 
 def sketch_of(text: Column) -> Column:

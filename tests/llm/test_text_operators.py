@@ -198,3 +198,29 @@ def test_line_templates_read_a_text_once(spark):
     assert "doc#" in carried and "text#" not in carried
     plan = line_templates.dedup(docs)._jdf.queryExecution().optimizedPlan().toString()
     assert "element_at(split(" not in plan and "element_at(every" in plan
+
+
+def test_minhash_sets_leave_slice_by_slice(monkeypatch):
+    """The sets of one slice of a batch are gone before the next slice is read; the columns are as from whole batches."""
+    import weakref
+
+    import numpy as np
+    import pyarrow as pa
+
+    from kinfold.llm import near_duplicates
+    texts = pa.array([" ".join(f"w{i}x{j}" for j in range(20_000)) for i in range(20)] + ["", None, "one two"])
+    expected = near_duplicates.shingle_sets(texts.cast(pa.large_string()).fill_null(""))
+    made, inner = [], near_duplicates.shingle_sets
+
+    def watched(some):
+        assert not any(ref() is not None for ref in made)
+        sets = inner(some)
+        made.extend(weakref.ref(s) for s in sets)
+        return sets
+
+    monkeypatch.setattr(near_duplicates, "shingle_sets", watched)
+    got = near_duplicates._sets(texts)
+    assert [np.array(s, np.int64).view(np.uint64).tolist() for s in got.field("shingles").to_pylist()] == [s.tolist() for s in expected]
+    assert [sum(p) for p in got.field("parts").to_pylist()] == [len(s) for s in expected]
+    assert got.field("high").to_pylist() == [near_duplicates._fingerprint(s)[0] for s in expected]
+    assert len(near_duplicates._sets(texts[:0])) == 0 and len(made) == len(expected)
