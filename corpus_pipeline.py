@@ -38,9 +38,9 @@ def mixing_stage(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame
 
 def bpe_stage(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Ids of every document, and the hash of what they decode to."""
-    coded = docs.select("doc_id", "lang", "source", bpe.encode(F.col("text")).alias("ids"))
-    return coded.select("doc_id", "lang", "source", bpe.n_ids(F.col("ids")).alias("n_tokens"), "ids",
-                        F.sha2(bpe.decode(F.col("ids")), 256).alias("decoded_sha256"))
+    coded = docs.select("doc_id", "lang", "source", bpe.encode_and_decode(F.col("text")).alias("coded"))
+    return coded.select("doc_id", "lang", "source", bpe.n_ids(F.col("coded.ids")).alias("n_tokens"), F.col("coded.ids").alias("ids"),
+                        F.sha2("coded.decoded", 256).alias("decoded_sha256"))
 
 
 STAGES = [

@@ -247,13 +247,20 @@ def decode(ids: Column, tokenizer: str = TOKENIZER) -> Column:
     return F.arrow_udf(lambda some: decoded(some, tokenizer), "string")(ids)
 
 
+def encode_and_decode(text: Column, tokenizer: str = TOKENIZER) -> Column:
+    """`ids` and `decoded` in one call: Spark would run `encode` a second time as the input of `decode`."""
+    def both(texts: pa.Array) -> pa.Array:
+        ids = encoded(texts, tokenizer)
+        return pa.StructArray.from_arrays([ids, decoded(ids, tokenizer)], ["ids", "decoded"])
+    return F.arrow_udf(both, "struct<ids: binary, decoded: string>")(text)
+
+
 def n_ids(ids: Column) -> Column:
     return (F.octet_length(ids) / 4).cast("long")
 
 
 def report(docs: DataFrame, doc_id: str = "doc_id", text: str = "text", tokenizer: str = TOKENIZER) -> DataFrame:
     """Per document: number of ids, and the hashes of its ids and of the text they decode to."""
-    coded = docs.select(F.col(doc_id).alias("doc_id"), encode(F.col(text), tokenizer).alias("ids"))
-    both = coded.select("doc_id", "ids", decode(F.col("ids"), tokenizer).alias("decoded"))
-    return both.select("doc_id", n_ids(F.col("ids")).alias("n_tokens"), F.sha2("ids", 256).alias("ids_sha256"),
-                       F.sha2("decoded", 256).alias("decoded_sha256"))
+    coded = docs.select(F.col(doc_id).alias("doc_id"), encode_and_decode(F.col(text), tokenizer).alias("coded"))
+    return coded.select("doc_id", n_ids(F.col("coded.ids")).alias("n_tokens"), F.sha2("coded.ids", 256).alias("ids_sha256"),
+                        F.sha2("coded.decoded", 256).alias("decoded_sha256"))

@@ -138,6 +138,14 @@ def test_bpe_equals_the_library_and_decodes_alike(spark, docs, rows, none):
     assert bpe.report(none).count() == 0
 
 
+def test_bpe_encodes_a_text_once(spark, docs):
+    """No second call of Python for the decoded text, which would encode every text again."""
+    import corpus_pipeline
+    for df in (bpe.report(docs), corpus_pipeline.bpe_stage(spark, docs, "")):
+        plan = df._jdf.queryExecution().executedPlan().toString()
+        assert plan.count("ArrowEvalPython") == 1 and "pythonUDF0" in plan and "pythonUDF1" not in plan
+
+
 def test_bpe_verification_only_passes_what_exact_merging_gives():
     one = bpe.loaded(bpe.TOKENIZER)
     distinct = sorted({p for t in odd_texts() for w in t.split() for p in one.pretokens(w) if p not in one.special})
