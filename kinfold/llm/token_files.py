@@ -30,10 +30,10 @@ columns, whatever their names, are not read.
 
 from __future__ import annotations
 
+import codecs
 import json
 import re
 import zlib
-from array import array
 from collections.abc import Iterator
 
 import numpy as np
@@ -45,7 +45,7 @@ from pyspark.sql import DataFrame, SparkSession, Window, functions as F
 
 from kinfold.llm import arrow_text, perfect_hash
 from kinfold.llm.arrow_text import process_state
-from kinfold.llm.bpe import spread_ids
+from kinfold.llm.bpe import byte_symbols
 from kinfold.session import materialize
 
 TOKENIZER = public_tokenizers.path("byte_bpe_50k.json")
@@ -57,14 +57,19 @@ INDEX_PARTS = 256
 NAMED_SHARDS = 1000
 CACHE_PIECES = 200_000
 SLICE_BYTES = 4 << 20
+BLOCK_PIECES = 1 << 14
 
 _CHUNKS = ("shard int, chunk int, first long, doc_ids array<long>, offsets array<long>, lengths array<long>, payload binary")
 _INDEX = ("bucket int, levels array<binary>, ranks array<binary>, fingerprints binary, shards binary, chunks binary, offsets binary, lengths binary")
 
-#: A space with other than white space on both sides: no token of the byte-level pattern crosses its left edge.
-_CUT = re.compile(r"(?<=\S) (?=\S)")
-#: Marks that the byte-level pattern never joins to the letters before them.
-_MARKS = (",", ".", ";", ":", "!", "?")
+#: A space or line break with other than white space on both sides: no token of the byte-level pattern crosses its left edge.
+#: The space goes, the line break stays with the piece behind it.
+_CUT = re.compile(r"(?<=\S) (?=\S)|(?<=\S)(?=\n\S)")
+#: The line breaks of these, in texts without wide white space.
+_LINE = r"([^\s\x0b\x1c-\x1f])\n([^\s\x0b\x1c-\x1f])"
+#: Latin letters, and marks that the byte-level pattern never joins to the letters before them.
+_LETTER = r"[A-Za-z\x{c0}-\x{d6}\x{d8}-\x{f6}\x{f8}-\x{24f}]"
+_MARK = r"[!#$%&*,.:;?]"
 _LONE = "^ | $|[\\s\\x0b\\x1c-\\x1f] | [\\s\\x0b\\x1c-\\x1f]"
 _WIDE = "[\\x0b\\x1c-\\x1f\\x{85}\\x{a0}\\x{1680}\\x{2000}-\\x{200a}\\x{2028}\\x{2029}\\x{202f}\\x{205f}\\x{3000}]"
 
@@ -76,19 +81,29 @@ def id_type(tokenizer: str) -> str:
     return "<u2" if Tokenizer.from_file(tokenizer).get_vocab_size() <= 1 << 16 else "<u4"
 
 
+def gathered(flat: np.ndarray, lengths: np.ndarray, at: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """The ids of the pieces `at` in a row, and the number of ids of each; `flat` holds those of all pieces."""
+    n = lengths[at]
+    starts = (np.cumsum(lengths) - lengths)[at] - (np.cumsum(n) - n)
+    return flat[np.repeat(starts, n) + np.arange(int(n.sum()))], n
+
+
 class PieceEncoder:
     """Ids of text pieces by the tokenizers library, remembering those seen.
 
-    ASCII letters with at most one space before them are one pre-token of the byte-level pattern, and a mark of `_MARKS`
-    behind them is the next one.  Their ids come from a tokenizer of the same model that leaves the pattern out.
+    Letters of `_LETTER` with at most one space before them are one pre-token of the byte-level pattern, and marks of
+    `_MARK` behind them up to the next white space are the next one, so a marked piece has the ids of its two parts.
+    Ids of letters come from a tokenizer of the same model, to which many go in one text of byte symbols.
+    Pieces and ids stay Arrow and numpy arrays; only parts not seen before become Python strings, a block at a time.
     """
 
     def __init__(self, path: str, dtype: str):
         from tokenizers import Tokenizer, models, pre_tokenizers
 
-        self.library, self.code, self.seen = Tokenizer.from_file(path), "H" if dtype == "<u2" else "I", {}
+        self.library, self.dtype = Tokenizer.from_file(path), dtype
         self.library.no_truncation()
         self.library.no_padding()
+        self.seen, self.flat, self.lengths = pa.array([], pa.large_string()), np.zeros(0, dtype), np.zeros(0, np.int64)
         spec = json.loads(self.library.to_str())
         self.letters = None
         split, model = spec["pre_tokenizer"] or {}, spec["model"]
@@ -97,66 +112,97 @@ class PieceEncoder:
             merges = [tuple(m) if isinstance(m, list) else tuple(m.split(" ")) for m in model["merges"]]
             # What was seen is remembered here, so the model need not.
             self.letters = Tokenizer(models.BPE(vocab=model["vocab"], merges=merges, cache_capacity=0, ignore_merges=model["ignore_merges"]))
-            self.letters.pre_tokenizer = pre_tokenizers.ByteLevel(add_prefix_space=False, use_regex=False)
-
-    def _coded(self, library, pieces: list[str]) -> dict[str, bytes]:
-        coded = library.encode_batch_fast(pieces, add_special_tokens=False) if pieces else []
-        return {p: array(self.code, e.ids).tobytes() for p, e in zip(pieces, coded)}
-
-    def _new(self, pieces: list[str]) -> dict[str, bytes]:
+            self.symbols = "".join(byte_symbols())
+            self.letters.pre_tokenizer = pre_tokenizers.CharDelimiterSplit(self.symbols[ord("\n")])
+            self.n_bytes = np.zeros(max(model["vocab"].values()) + 1, np.int64)
+            for token, i in model["vocab"].items():
+                self.n_bytes[i] = len(token)
+
+    def _coded(self, parts: pa.Array) -> tuple[np.ndarray, np.ndarray]:
+        """Ids of the parts in a row, and the number of ids of each."""
+        ids, lengths = [np.zeros(0, self.dtype)], [np.zeros(0, np.int64)]
+        for start in range(0, len(parts), BLOCK_PIECES):
+            block = parts.slice(start, BLOCK_PIECES).to_pylist()
+            coded = self.library.encode(block, is_pretokenized=True, add_special_tokens=False)
+            ids.append(np.array(coded.ids, self.dtype))
+            lengths.append(np.bincount(np.array(coded.word_ids, np.int64), minlength=len(block)))
+        return np.concatenate(ids), np.concatenate(lengths)
+
+    def _coded_letters(self, parts: pa.Array) -> tuple[np.ndarray, np.ndarray]:
+        """The same for parts of letters, which no line break is in; tokens are told apart by their bytes."""
+        ids, lengths = [np.zeros(0, self.dtype)], [np.zeros(0, np.int64)]
+        for start in range(0, len(parts), BLOCK_PIECES):
+            block = parts.slice(start, BLOCK_PIECES)
+            raw = "\n".join(block.to_pylist()).encode()
+            found = np.array(self.letters.encode_batch_fast([codecs.charmap_decode(raw, "strict", self.symbols)[0]], add_special_tokens=False)[0].ids, self.dtype)
+            ends, done = np.cumsum(pc.binary_length(block).to_numpy(zero_copy_only=False)), np.cumsum(self.n_bytes[found])
+            last = np.searchsorted(done, ends)
+            if len(done) == 0 or done[-1] != ends[-1] or (done[last] != ends).any():
+                raise ValueError("the tokens do not spell the pieces")
+            ids.append(found)
+            lengths.append(np.diff(last, prepend=-1))
+        return np.concatenate(ids), np.concatenate(lengths)
+
+    def _new(self, parts: pa.Array) -> tuple[pa.Array, np.ndarray, np.ndarray]:
+        """The parts, those of letters first, their ids, and the number of ids of each."""
         if self.letters is None:
-            return self._coded(self.library, pieces)
-        plain, marked, other, seen = set(), [], [], self.seen
-        for p in pieces:
-            body = p[1:] if p[:1] == " " else p
-            if not p.isascii():
-                other.append(p)
-            elif body.isalpha():
-                plain.add(p)
-            elif body[-1:] in _MARKS and body[:-1].isalpha():
-                marked.append(p)
-                if p[:-1] not in seen:
-                    plain.add(p[:-1])
-            else:
-                other.append(p)
-        found = self._coded(self.letters, list(plain))
-        found.update(self._coded(self.library, [*other, *_MARKS] if marked else other))
-        for p in marked:
-            stem = p[:-1]
-            found[p] = (found[stem] if stem in found else seen[stem]) + found[p[-1]]
-        return found
-
-    def ids(self, pieces: list[str]) -> list[bytes]:
-        seen = self.seen
-        new = [p for p in pieces if p not in seen]
-        found = self._new(new) if new else {}
-        seen.update(found)
-        out = list(map(seen.__getitem__, pieces))
-        if len(seen) > CACHE_PIECES + len(found):  # what came last goes first; the early pieces are the frequent ones
-            for p in found:
-                del seen[p]
-        return out
-
-
-def pieces(texts: pa.Array) -> tuple[list[str], np.ndarray, np.ndarray]:
-    """Distinct pieces, each piece's code, and the text it is of; a piece but the first has its space before it.
-
-    Texts are cut at lone spaces only, so the ids of the pieces in a row are the ids of the text.
+            return parts, *self._coded(parts)
+        plain = pc.match_substring_regex(parts, rf"\A ?{_LETTER}+\z")
+        groups = [parts.filter(plain), parts.filter(pc.invert(plain))]
+        ids, lengths = zip(self._coded_letters(groups[0]), self._coded(groups[1]))
+        return pa.concat_arrays(groups), np.concatenate(ids), np.concatenate(lengths)
+
+    def _parts(self, pieces: pa.Array) -> tuple[pa.Array, np.ndarray]:
+        """Distinct parts, the empty one first, and the places of each piece's two parts."""
+        heads, tails = pieces, pa.array([""], pa.large_string()).take(pa.array(np.zeros(len(pieces), np.int64)))
+        if self.letters is not None:
+            split = pc.extract_regex(pieces, rf"\A(?P<head> ?{_LETTER}+)(?P<tail>{_MARK}+)\z")
+            heads, tails = pc.coalesce(pc.struct_field(split, "head"), pieces), pc.coalesce(pc.struct_field(split, "tail"), tails)
+        coded = pc.dictionary_encode(pa.concat_arrays([pa.array([""], pa.large_string()), heads, tails]))
+        return coded.dictionary, coded.indices.to_numpy(zero_copy_only=False)[1:].reshape(2, -1).T
+
+    def ids(self, pieces: pa.Array) -> tuple[np.ndarray, np.ndarray]:
+        """Ids of the distinct pieces in a row, and the number of ids of each."""
+        parts, places = self._parts(pieces)
+        at = pc.index_in(parts, self.seen)
+        seen, flat, lengths = self.seen, self.flat, self.lengths
+        if at.null_count:
+            found, new_ids, new_lengths = self._new(parts.filter(at.is_null()))
+            flat, lengths = np.concatenate([flat, new_ids]), np.concatenate([lengths, new_lengths])
+            at = pc.coalesce(at, pc.add(pc.index_in(parts, found), pa.scalar(len(seen), pa.int32())))
+            room = min(CACHE_PIECES - len(seen), len(found))
+            if room > 0:  # the early parts are the frequent ones
+                self.seen, self.lengths = pa.concat_arrays([seen, found.slice(0, room)]), lengths[:len(seen) + room].copy()
+                self.flat = flat[:self.lengths.sum()].copy()
+        at = at.to_numpy(zero_copy_only=False)
+        ids, n = gathered(flat, lengths, at[places.ravel()])
+        return ids, n.reshape(-1, 2).sum(axis=1)
+
+
+def pieces(texts: pa.Array) -> tuple[pa.Array, np.ndarray, np.ndarray]:
+    """Distinct pieces, each piece's code, and the text it is of; a piece but the first has its space or line break before it.
+
+    Texts are cut before lone spaces and line breaks only, so the ids of the pieces in a row are the ids of the text.
     """
-    plain = pc.invert(pc.or_(pc.match_substring_regex(texts, _LONE), pc.match_substring_regex(texts, _WIDE)))
-    if pc.all(plain).as_py() is not False:
-        lists = pc.split_pattern(texts, " ")
-    else:
-        lists = pa.array([_CUT.split(t) for t in texts.to_pylist()], pa.large_list(pa.large_string()))
+    odd = pc.or_(pc.match_substring_regex(texts, _LONE), pc.match_substring_regex(texts, _WIDE))
+    lists = pc.split_pattern(pc.replace_substring_regex(texts.filter(pc.invert(odd)), _LINE, "\\1 \n\\2"), " ")
+    if len(lists) < len(texts):
+        by_hand = pa.array([_CUT.split(t) for t in texts.filter(odd).to_pylist()], lists.type)
+        order = np.argsort(np.argsort(odd.to_numpy(zero_copy_only=False), kind="stable"), kind="stable")
+        lists = pa.concat_arrays([lists, by_hand]).take(pa.array(order))
     split = arrow_text.listed(lists)
     first = np.ones(len(split.codes), bool)
     first[1:] = split.rows[1:] != split.rows[:-1]
-    size = len(split.distinct)
     heads, head_at = np.unique(split.codes[first], return_inverse=True)
-    words = split.distinct.to_pylist()
-    codes = split.codes.copy()
-    codes[first] = size + head_at
-    return [" " + w for w in words] + [words[h] for h in heads.tolist()], codes, split.rows
+    inner = np.flatnonzero(np.bincount(split.codes[~first], minlength=len(split.distinct)))
+    place = np.zeros(len(split.distinct), np.int64)
+    place[inner] = np.arange(len(inner))
+    codes = place[split.codes]
+    codes[first] = len(inner) + head_at
+    words = split.distinct.cast(pa.large_string())
+    behind = words.take(pa.array(inner))
+    spaced = pc.binary_join_element_wise(pa.scalar(" ", pa.large_string()), behind, pa.scalar("", pa.large_string()))
+    return pa.concat_arrays([pc.if_else(pc.starts_with(behind, "\n"), behind, spaced), words.take(pa.array(heads))]), codes, split.rows
 
 
 def encoded(texts: pa.Array, tokenizer: str, dtype: str, end_id: int) -> Iterator[np.ndarray]:
@@ -165,10 +211,7 @@ def encoded(texts: pa.Array, tokenizer: str, dtype: str, end_id: int) -> Iterato
     end = np.array([end_id], dtype)
     for _, some in arrow_text.slices(texts, SLICE_BYTES):
         distinct, codes, rows = pieces(some)
-        used = np.unique(codes)
-        place = np.zeros(len(distinct), np.int64)
-        place[used] = np.arange(len(used))
-        ids, n = spread_ids(encoder.ids([distinct[u] for u in used.tolist()]), place[codes], dtype)
+        ids, n = gathered(*encoder.ids(distinct), codes)
         ends = np.cumsum(np.bincount(rows, n, len(some)).astype(np.int64))
         start = 0
         for stop in ends.tolist():

@@ -1,5 +1,6 @@
 """Operators on whole corpora against brute force, with the hard rows of the fixture."""
 
+import random
 import shutil
 import zlib
 from collections import Counter, defaultdict
@@ -7,6 +8,7 @@ from datetime import datetime, timedelta
 
 import compare
 import numpy as np
+import pyarrow as pa
 import pytest
 from pyspark.sql import functions as F
 from tokenizers import Tokenizer
@@ -160,6 +162,24 @@ def test_perfect_hash_is_minimal_and_rejects_strangers():
         perfect_hash.build(np.array([3, 3]))
 
 
+def test_token_pieces_are_words_lines_and_marks():
+    """Lines and marks make no pieces of their own with the words beside them, and ids are the library's on odd texts."""
+    texts = pa.array(["one two.\nThree two, two...", "one two\n\nthree  four", "", "\nx"], pa.large_string())
+    distinct, codes, rows = token_files.pieces(texts)
+    assert [[distinct[c].as_py() for c in codes[rows == r]] for r in range(4)] == [
+        ["one", " two.", "\nThree", " two,", " two..."], ["one", " two\n\nthree  four"], [""], ["\nx"]]
+    encoder = token_files.PieceEncoder(token_files.TOKENIZER, "<u2")
+    encoder.ids(distinct)
+    assert {" two", ",", ".", "..."} <= set(encoder.seen.to_pylist()) and not {" two.", " two,", " two..."} & set(encoder.seen.to_pylist())
+    rng, library = random.Random(8), Tokenizer.from_file(token_files.TOKENIZER)
+    odd = ["".join(rng.choice([" ", "\n", " ", "\n", "\t", "\xa0", "\x1c", "\x0b", ".", ",", "?!", "'s", "'", "a", "The", "é", "ß", "\u01c5", "\u0301", "×", "9", "日",
+                               "<|endoftext|>", "\U0001F600", "&&&"]) for _ in range(rng.randrange(40))) for _ in range(3000)]
+    odd += [f"{a}\n{b} {c}" for a, b, c in zip(odd, odd[1:], odd[2:])]
+    for _ in range(2):  # the second time from what is remembered
+        got = [i.tolist() for i in token_files.encoded(pa.array(odd), token_files.TOKENIZER, "<u2", 0)]
+        assert got == [[*library.encode(t, add_special_tokens=False).ids, 0] for t in odd]
+
+
 def test_token_files_read_back_whole(spark, docs, rows, none, tmp_path):
     library = Tokenizer.from_file(token_files.TOKENIZER)
     extra = [(900 + n, t) for n, t in enumerate([" lead", "trail ", "a  b\n\n c \n d", "x<|endoftext|> y", "a\xa0 b", "\n", "it's 12 34"])]
