@@ -14,8 +14,10 @@ else's prefix are done.
    all pairs are counted at once.  Each component then sends one member, the one
    with the least of its own, into a second round sorted by another MinHash.  A
    group of near copies is mostly one component after that.
-2. Token-group matrix: documents are dealt into groups anew, by component, then
-   MinHash.  The matrix holds each group's token union, its sizes and, for
+2. Token-group matrix: documents that share prefix tokens with another component
+   get new prefixes, with all their tokens in order of the number of these documents
+   that hold them, and those that still share one are dealt into groups anew, by
+   component, then MinHash.  The matrix holds each group's token union, its sizes and, for
    probing, its members' prefix tokens.  A document probes with its own prefix in
    the size classes that it can link with.  (token, size class) entries on which
    all documents are of one component are closed, and groups that are wholly of the
@@ -37,7 +39,7 @@ no rows; other columns are not read.
 
 from __future__ import annotations
 
-from collections.abc import Iterator
+from collections.abc import Callable, Iterator
 
 import numpy as np
 import pandas as pd
@@ -139,7 +141,7 @@ def _is_counted(token: Column) -> Column:
     return (token >= 0) & (token < COUNTED)
 
 
-def prefixes(sketches: DataFrame) -> DataFrame:
+def prefixes(sketches: DataFrame, is_counted: Callable[[Column], Column] = _is_counted) -> DataFrame:
     """(node, token, probes, single) of every prefix token that several classes have in their prefixes.
 
     `probes` marks the shorter prefix that a set needs among sets not smaller than itself; `single` is the number of
@@ -147,12 +149,12 @@ def prefixes(sketches: DataFrame) -> DataFrame:
     """
     long_ = sketches.filter(F.col("n") >= LEAST).withColumnRenamed("high", "node")
     # Dealt by token once: counting and joining the counts back need no further shuffle.
-    counted = (long_.select("node", F.explode(F.filter("tokens", _is_counted)).alias("token"))
+    counted = (long_.select("node", F.explode(F.filter("tokens", is_counted)).alias("token"))
                .repartition("token").dropDuplicates(["token", "node"]))
     shared = counted.groupBy("token").agg(F.count("*").alias("f")).filter("f > 1")
     known = counted.join(shared, "token").groupBy("node").agg(F.sort_array(F.collect_list(F.struct("f", "token"))).alias("known"))
-    sized = long_.groupBy("node").agg(F.first("n").alias("n"), F.first(F.size(F.filter("tokens", _is_counted))).alias("counted"),
-                                      F.first(F.filter("tokens", lambda x: ~_is_counted(x))).alias("rest"))
+    sized = long_.groupBy("node").agg(F.first("n").alias("n"), F.first(F.size(F.filter("tokens", is_counted))).alias("counted"),
+                                      F.first(F.filter("tokens", lambda x: ~is_counted(x))).alias("rest"))
     n, single = F.col("n"), F.col("counted") - F.coalesce(F.size("known"), F.lit(0))
     ordered = F.concat(F.coalesce(F.col("known.token"), F.array().cast("array<bigint>")), F.col("rest"))
     as_larger = n - F.ceil(n * PERCENT / 100) + 1
@@ -344,9 +346,24 @@ def candidates(grouped: DataFrame, groups: DataFrame, posted: DataFrame) -> Data
             .select("class", "group", "query", "query_n", "query_label").distinct())
 
 
+def unsettled(labelled: DataFrame, posted: DataFrame) -> tuple[DataFrame, DataFrame]:
+    """The documents that may link with another component, and their prefixes by the frequency of all tokens among them.
+
+    A link shares a prefix token in every order of the tokens, so it is among the documents of tokens that several
+    components hold, and again among those of the new prefixes.  Near copies that do not link with each other differ in
+    more tokens than a probing prefix has, and only such tokens come first when all are counted.
+    """
+    held = posted.select("node", "token").join(labelled.select("node", "label"), "node")
+    several = held.groupBy("token").agg(F.min("label").alias("least"), F.max("label").alias("most")).filter("least != most").select("token")
+    nodes = held.join(several, "token").select("node").distinct()
+    left = materialize(labelled.join(nodes, "node", "left_semi"), "group-unsettled")
+    again = materialize(prefixes(left.select(F.col("node").alias("high"), "n", "tokens"), lambda token: token.isNotNull()), "group-prefixes")
+    return left.join(again.select("node").distinct(), "node", "left_semi"), again
+
+
 def search(members: DataFrame, posted: DataFrame, links: DataFrame) -> DataFrame:
     """Links between documents that `links` does not connect; see the module text."""
-    labelled = _labelled(members, links)
+    labelled, posted = unsettled(_labelled(members, links), posted)
     sizes = labelled.groupBy("label").agg(F.count("*").alias("times")).filter("times > 1")
     shared = labelled.join(sizes, "label", "left").withColumn("whole", F.when(F.col("times").isNotNull(), F.col("label"))).drop("times")
     grouped = materialize(in_order(shared, F.col("whole"), F.col("keys")[0], F.col("keys")[1]).drop("whole", "keys"), "group-members")

@@ -175,6 +175,29 @@ def test_a_group_too_large_for_one_is_joined_by_the_matrix(spark, monkeypatch):
     assert got == joined(rows)
 
 
+def test_near_copies_that_do_not_link_probe_no_groups(spark, monkeypatch):
+    """120 copies with 9 own words in 300 words each, too far from each other; with the links of the others all found."""
+    rng = random.Random(10)
+    base = [f"b{i}" for i in range(300)]
+    rows = []
+    for k in range(120):
+        new = list(base)
+        for i in rng.sample(range(0, 300, 5), 9):
+            new[i] = f"own{k}_{i}"
+        rows += [(k, " ".join(new)), *([(1000 + k, " ".join([*new[:-1], f"end{k}"]))] if k % 10 == 0 else [])]
+    probed, inner = [], token_groups.candidates
+
+    def watched(*frames):
+        found = inner(*frames)
+        probed.append(found.count())
+        return found
+    monkeypatch.setattr(token_groups, "GROUP", 8)
+    monkeypatch.setattr(token_groups, "candidates", watched)
+    got = {r.doc_id: (r.n_shingles, r.component_id) for r in token_groups.components(spark.createDataFrame(rows, "doc_id long, text string")).collect()}
+    assert got == joined(rows) and got[1010][1] == 10
+    assert probed[0] <= len(rows)  # 16 groups each without the new prefixes
+
+
 def test_null_ids_in_the_join(spark):
     text = "a b c d e f g h i j"
     rows = [(None, text), (7, text), (None, "x y z u v w"), (3, None), (4, "x y"), (5, "X Y")]
