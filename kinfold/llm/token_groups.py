@@ -17,7 +17,7 @@ else's prefix are done.
 2. Token-group matrix: documents that share prefix tokens with another component
    get new prefixes, with all their tokens in order of the number of these documents
    that hold them, and those that still share one are dealt into groups anew, by
-   component, then MinHash.  The matrix holds each group's token union, its sizes and, for
+   component, then MinHash; only the last group of a size class is not full.  The matrix holds each group's token union, its sizes and, for
    probing, its members' prefix tokens.  A document probes with its own prefix in
    the size classes that it can link with.  (token, size class) entries on which
    all documents are of one component are closed, and groups that are wholly of the
@@ -46,7 +46,7 @@ import pandas as pd
 import pyarrow as pa
 import pyarrow.compute as pc
 import xxhash
-from pyspark.sql import Column, DataFrame, functions as F
+from pyspark.sql import Column, DataFrame, Window, functions as F
 
 from kinfold.llm import arrow_text
 from kinfold.operators.components import connected_components
@@ -178,11 +178,24 @@ def _group_size(klass: Column) -> Column:
     return F.greatest(F.lit(2), F.least(F.lit(GROUP), F.floor(F.lit(float(GROUP_TOKENS)) / largest))).cast("bigint")
 
 
-def in_order(members: DataFrame, *order: Column) -> DataFrame:
-    """`members` with a `group`: runs of bounded length, of one size class, in the order given."""
+def _sorted(members: DataFrame, *order: Column) -> DataFrame:
     keys = [F.col("class"), *order, F.col("node")]
-    ordered = members.repartitionByRange(*keys).sortWithinPartitions(*keys)
-    return ordered.withColumn("group", F.floor(F.monotonically_increasing_id() / _group_size(F.col("class"))).cast("bigint"))
+    return members.repartitionByRange(*keys).sortWithinPartitions(*keys).withColumn("row", F.monotonically_increasing_id())
+
+
+def in_order(members: DataFrame, *order: Column) -> DataFrame:
+    """`members` with a `group`: runs of bounded length, of one size class, in the order given; none leaves its partition."""
+    return _sorted(members, *order).withColumn("group", F.floor(F.col("row") / _group_size(F.col("class"))).cast("bigint")).drop("row")
+
+
+def in_full_groups(members: DataFrame, *order: Column) -> DataFrame:
+    """As `in_order`, but groups run on across partitions: all of a size class are full but its last, however many partitions there are."""
+    ordered = materialize(_sorted(members, *order).withColumn("part", F.spark_partition_id()), "group-ordered")
+    parts = ordered.groupBy("class", "part").agg(F.min("row").alias("first"), F.count("*").alias("rows"))
+    earlier = Window.partitionBy("class").orderBy("part").rowsBetween(Window.unboundedPreceding, -1)
+    starts = parts.select("class", "part", (F.coalesce(F.sum("rows").over(earlier), F.lit(0)) - F.col("first")).alias("start"))
+    return (ordered.join(F.broadcast(starts), ["class", "part"])
+            .withColumn("group", F.floor((F.col("row") + F.col("start")) / _group_size(F.col("class"))).cast("bigint")).drop("row", "part", "start"))
 
 
 def _links(common: Column | np.ndarray, n_a, n_b):
@@ -366,7 +379,7 @@ def search(members: DataFrame, posted: DataFrame, links: DataFrame) -> DataFrame
     labelled, posted = unsettled(_labelled(members, links), posted)
     sizes = labelled.groupBy("label").agg(F.count("*").alias("times")).filter("times > 1")
     shared = labelled.join(sizes, "label", "left").withColumn("whole", F.when(F.col("times").isNotNull(), F.col("label"))).drop("times")
-    grouped = materialize(in_order(shared, F.col("whole"), F.col("keys")[0], F.col("keys")[1]).drop("whole", "keys"), "group-members")
+    grouped = materialize(in_full_groups(shared, F.col("whole"), F.col("keys")[0], F.col("keys")[1]).drop("whole", "keys"), "group-members")
     groups = materialize(matrix(grouped), "group-matrix")
     pairs = materialize(_in_blocks(materialize(candidates(grouped, groups, posted), "group-candidates")), "group-blocks")
     queries = members.select(F.col("node").alias("query"), "tokens")

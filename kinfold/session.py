@@ -8,6 +8,7 @@ import uuid
 from pyspark.sql import DataFrame, SparkSession
 
 CHECKPOINT_CONF = "spark.checkpoint.dir"
+FREE_SHUFFLES = "spark.sql.classic.shuffleDependency.fileCleanup.enabled"
 
 
 def local_session(cores: int | str = 8, app: str = "kinfold", memory: str = "16g") -> SparkSession:
@@ -58,9 +59,22 @@ def materialize(df: DataFrame, label: str = "stage") -> DataFrame:
 
 
 def write_stage(df: DataFrame, label: str) -> str:
-    path = scratch_path(df.sparkSession, label)
-    # Zstandard: uids are hexadecimal texts, which snappy leaves at their length.
-    df.write.option("compression", "zstd").parquet(path)
+    """Write `df` below the shared folder and free the shuffle files of the write.
+
+    Nothing reads them again, since readers scan the table.  Left to the driver's garbage collection they would
+    stay for several stages, as long as its heap has room.
+    """
+    conf, path = df.sparkSession.conf, scratch_path(df.sparkSession, label)
+    before = conf.get(FREE_SHUFFLES, None)
+    conf.set(FREE_SHUFFLES, "true")
+    try:
+        # Zstandard: uids are hexadecimal texts, which snappy leaves at their length.
+        df.write.option("compression", "zstd").parquet(path)
+    finally:
+        if before is None:
+            conf.unset(FREE_SHUFFLES)
+        else:
+            conf.set(FREE_SHUFFLES, before)
     return path
 
 

@@ -198,6 +198,38 @@ def test_near_copies_that_do_not_link_probe_no_groups(spark, monkeypatch):
     assert probed[0] <= len(rows)  # 16 groups each without the new prefixes
 
 
+def test_groups_of_the_matrix_are_full_however_many_partitions(spark, monkeypatch):
+    """200 near copies sorted in 50 partitions: 25 groups of 8 and no more, so a query meets no more of them."""
+    rng = random.Random(11)
+    base = [f"b{i}" for i in range(120)]
+    rows = []
+    for k in range(200):
+        new = list(base)
+        for i in range(2):
+            new[rng.randrange(120)] = f"edit{rng.randrange(40)}_{i}"
+        rows.append((k, " ".join(new)))
+    sizes, inner = [], token_groups.matrix
+
+    def watched(grouped):
+        sizes.extend((r["class"], r["count"]) for r in grouped.groupBy("class", "group").count().collect())
+        return inner(grouped)
+    monkeypatch.setattr(token_groups, "GROUP", 8)
+    monkeypatch.setattr(token_groups, "matrix", watched)
+    settings_ = {"spark.sql.shuffle.partitions": "50", "spark.sql.adaptive.coalescePartitions.enabled": "false"}
+    before = {k: spark.conf.get(k) for k in settings_}
+    try:
+        for k, v in settings_.items():
+            spark.conf.set(k, v)
+        got = {r.doc_id: (r.n_shingles, r.component_id) for r in token_groups.components(spark.createDataFrame(rows, "doc_id long, text string")).collect()}
+    finally:
+        for k, v in before.items():
+            spark.conf.set(k, v)
+    assert got == joined(rows)
+    assert len(sizes) > 3 and max(n for _, n in sizes) == 8
+    for klass in {c for c, _ in sizes}:
+        assert sum(n < 8 for c, n in sizes if c == klass) <= 1
+
+
 def test_null_ids_in_the_join(spark):
     text = "a b c d e f g h i j"
     rows = [(None, text), (7, text), (None, "x y z u v w"), (3, None), (4, "x y"), (5, "X Y")]

@@ -1,10 +1,12 @@
 """Edge cases of the single operators: nulls, duplicates, empty input, ties, malformed values."""
 
 import json
+import time
 
 import pytest
 from pyspark.sql import functions as F
 
+from kinfold import session
 from kinfold.functions import similarity as sim
 from kinfold.functions.transforms import apply_chain
 from kinfold.operators import (evaluate, incremental, ingest, lineage, linkage, monitor, privacy, quality, reconcile, standardize,
@@ -431,3 +433,23 @@ def test_layers_and_stages_are_zstd(spark, tmp_path):
     """Hexadecimal uids take about half their length."""
     Layers(spark, str(tmp_path)).write(spark.range(5).withColumn("u", F.sha2(F.col("id").cast("string"), 256)), "bronze", "t", "b1")
     assert list(tmp_path.rglob("*.zstd.parquet"))
+
+
+def test_a_written_stage_leaves_no_shuffle_files(spark):
+    """Files of a write went only when the driver's garbage collection came, several stages later."""
+    disk = spark._jvm.org.apache.spark.SparkEnv.get().blockManager().diskBlockManager()
+
+    def shuffles():
+        files = disk.getAllFiles()
+        return {files.apply(i).getName() for i in range(files.size()) if files.apply(i).getName().startswith("shuffle_")}
+    rows = spark.range(0, 20_000, 1, 8).groupBy((F.col("id") % 5_000).alias("k")).count()
+    before, there = spark.conf.get(session.FREE_SHUFFLES, None), shuffles()
+    stage = session.materialize(rows, "freed")
+    for _ in range(50):  # they are removed behind the write
+        left = shuffles() - there
+        if not left:
+            break
+        time.sleep(0.1)
+    assert not left
+    assert spark.conf.get(session.FREE_SHUFFLES, None) == before
+    assert stage.count() == 5_000 and stage.agg(F.sum("count")).first()[0] == 20_000
