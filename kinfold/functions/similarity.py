@@ -14,15 +14,14 @@ from pyspark.sql import Column, functions as F, types as T
 SEPARATORS = r"[\s\x1c-\x1f\x85\p{Z}]+"
 
 
-def make_kernel(measure: str):
-    """Arrow UDF over two canonical texts: the LCS length (`lcs`) or the token_set ratio (`token_set`).
+def _measures():
+    """(LCS lengths, token_set ratios) of two lists of canonical texts, pair by pair.
 
     The LCS is bit-parallel: texts of up to 64 characters side by side in numpy
     words, longer ones with Python integers of any width.  Everything is nested, so a kernel ships by value and works without
     the package being installed on the executors.
     """
     import numpy as np
-    import pandas as pd
 
     def lcs(a: str, b: str) -> int:
         if a == b:
@@ -99,7 +98,15 @@ def make_kernel(measure: str):
             out[at] = np.where(common > 0, met, apart)
         return out
 
-    compare = {"lcs": lcs_all, "token_set": token_set_all}[measure]
+    return lcs_all, token_set_all
+
+
+def make_kernel(measure: str):
+    """Arrow UDF over two canonical texts: the LCS length (`lcs`) or the token_set ratio (`token_set`)."""
+    import numpy as np
+    import pandas as pd
+
+    compare = dict(zip(("lcs", "token_set"), _measures()))[measure]
 
     def batch(left: pd.Series, right: pd.Series) -> pd.Series:
         there = np.flatnonzero(left.notna().to_numpy() & right.notna().to_numpy())

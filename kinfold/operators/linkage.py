@@ -26,7 +26,7 @@ from itertools import chain, combinations
 
 from pyspark.sql import Column, DataFrame, functions as F
 
-from kinfold.functions import similarity as sim
+from kinfold.functions import similarity as sim, tiles
 from kinfold.operators.components import connected_components
 from kinfold.session import materialize
 from kinfold.spec import Matching
@@ -334,10 +334,105 @@ def _fuzzy(profile: DataFrame, spec: Matching, floor: float, split_rows: int,
            carried: tuple[str, ...] = ()) -> tuple[DataFrame | None, DataFrame]:
     """(pairs of different profiles or None if none can reach the floor, copies within profiles)."""
     slots = _slots(spec, floor)[1]
-    across = _cross_profile(profile, spec, slots, floor, split_rows, carried) if slots else None
+    if _whole_blocks(slots):
+        across = _block_pairs(profile, spec, floor, split_rows, carried=carried)
+    else:
+        across = _cross_profile(profile, spec, slots, floor, split_rows, carried) if slots else None
     return across, _within_profile(profile, spec, floor)
 
 
+def _whole_blocks(slots: list[Slot]) -> bool:
+    """Does every pair of a block meet, because nothing else can be said about a pair that reaches the floor?"""
+    return bool(slots) and all(s.any_block is False and not s.equal and s.inside is None for s in slots)
+
+
+def _block_pairs(profile: DataFrame, spec: Matching, floor: float, split_rows: int, carried: tuple[str, ...] = ()) -> DataFrame:
+    """Pairs of profiles that share a block and score `floor` or more, with the similarity of each attribute."""
+    found = _tile_pairs(_profile_sides(profile, spec), spec, floor, split_rows, carried=tuple(f"__c_{c}" for c in carried))
+    equal = tiles.exact_columns(*_kernel(spec))
+    sims = [((F.col("equal").bitwiseAND(1 << equal.index(f.attribute)) > 0).cast("double") if f.method == "exact"
+             else F.col(f"sim_{f.attribute}")).alias(f"sim_{f.attribute}") for f in spec.features]
+    return found.select(
+        F.col("uid_1").alias("record_uid_1"), F.col("uid_2").alias("record_uid_2"), F.col("n").alias("record_pairs"), "score",
+        F.lit("probabilistic").alias("method"), _decided(F.col("score"), F.col("differ").bitwiseAND(_bits(spec)) > 0, spec).alias("decision"),
+        *sims, *[F.col(f"__c_{c}_{side}").alias(f"{c}_{side}") for c in carried for side in (1, 2)])
+
+
+def score_counts(records: DataFrame, spec: Matching, floor: float, same: str, split_rows: int = SPLIT_ROWS) -> DataFrame:
+    """(score, is_same, record_pairs): the pairs of `pair_features` counted by score and by whether the first records agree on `same`.
+
+    Where whole blocks meet, pairs are counted where they are scored and never listed.
+    """
+    slots = _slots(spec, floor)[1]
+    if _whole_blocks(slots):
+        sides = _profile_sides(_profile_table(records, spec, floor, (same,)), spec).withColumnRenamed(f"__c_{same}", "__same")
+        found = _tile_pairs(sides, spec, floor, split_rows, same=("__same",), counted=True)
+        listed = found.select("score", (F.col("equal") > 0).alias("is_same"), F.col("n").alias("record_pairs"))
+    else:
+        one, other = F.col(f"{same}_1"), F.col(f"{same}_2")
+        listed = pair_features(records, spec, floor, (same,)).select("score", F.coalesce(one == other, F.lit(False)).alias("is_same"), "record_pairs")
+    return listed.groupBy("score", "is_same").agg(F.sum("record_pairs").alias("record_pairs"))
+
+
+def _kernel(spec: Matching) -> tuple[list[tuple[str, str, float]], list[tuple[str, ...]], tuple[str, ...]]:
+    return [(f.attribute, f.method, f.weight) for f in spec.features], [tuple(k) for k in spec.deterministic], tuple(spec.conflict_columns)
+
+
+def _bits(spec: Matching) -> int:
+    order = tiles.exact_columns(*_kernel(spec))
+    return sum(1 << order.index(c) for c in dict.fromkeys(spec.conflict_columns))
+
+
+def _profile_sides(profile: DataFrame, spec: Matching) -> DataFrame:
+    """Profiles with the blocks they are in; a pair is taken in the first block, in the order of the spec."""
+    named = [F.concat(F.lit(f"{i:03d}|"), F.col(f"__b{i}")) for i in range(len(spec.blocking))]
+    return profile.withColumns({"uid": F.col("first_uid"), "n": F.col("n_records"), "__blocks": F.array_compact(F.array(*named))})
+
+
+def _tile_pairs(sides: DataFrame, spec: Matching, floor: float, split_rows: int, asked: str | None = None, same: tuple[str, ...] = (),
+                carried: tuple[str, ...] = (), sure_pairs: bool = False, counted: bool = False) -> DataFrame:
+    """The pairs of all blocks, or those with a row marked `asked`, scored tile by tile (`tiles.make_tiles`).
+
+    A block of n rows has s = ceil(n / split_rows) parts, and a tile holds two of them: each pair of parts once, or, if
+    rows are asked for, the asked ones of either part with all of the other.
+    """
+    features, keys, guarded = _kernel(spec)
+    exact = tiles.exact_columns(features, keys, guarded, same)
+    texts = [f"__{f.attribute}" for f in spec.features if f.method != "exact"]
+    needed = ["uid", "n", "__blocks", *texts, *exact, *carried]
+    marked = F.col(asked) if asked else F.lit(True)
+    entry = sides.select(*dict.fromkeys(needed), F.coalesce(marked, F.lit(False)).alias("__asked"), F.explode("__blocks").alias("__block"))
+    groups = (entry.groupBy("__block").agg(F.count("*").alias("__rows"), F.count_if("__asked").alias("__asking"))
+              .filter("__rows > 1 AND __asking > 0").select("__block", F.ceil(F.col("__rows") / split_rows).cast("int").alias("__parts")))
+    part = F.pmod(F.xxhash64("uid"), F.col("__parts")).cast("int")
+    every = F.sequence(F.lit(0), F.col("__parts") - 1)
+
+    def place(row: Column, column: Column, side: Column) -> Column:
+        return F.struct(row.cast("int").alias("__row"), column.cast("int").alias("__tile"), side.cast("int").alias("__side"))
+
+    if asked:
+        mine = F.transform(every, lambda q: place(F.col("__part"), q, F.when(q == F.col("__part"), tiles.BOTH).otherwise(tiles.LEFT)))
+        theirs = F.transform(every, lambda p: place(p, F.col("__part"), F.lit(tiles.RIGHT)))
+        places = F.when(F.col("__asked"), F.concat(mine, F.filter(theirs, lambda x: x["__row"] != F.col("__part")))).otherwise(theirs)
+        once = F.col("__asked")
+    else:
+        places = F.transform(every, lambda q: place(F.least(q, "__part"), F.greatest(q, "__part"), F.when(q == F.col("__part"), tiles.BOTH)
+                                                    .when(F.col("__part") < q, tiles.LEFT).otherwise(tiles.RIGHT)))
+        once = F.col("__row") == F.col("__tile")
+    placed = entry.join(groups, "__block").withColumn("__part", part).select("*", F.inline(places)).withColumn("__once", once)
+    # As in `_squares`, asking for the number keeps it: the work of a task grows with pairs, not bytes.
+    n = int(sides.sparkSession.conf.get("spark.sql.shuffle.partitions"))
+    rows = placed.drop("__parts", "__part", "__asked").repartition(n, "__block", "__row", "__tile").sortWithinPartitions("__block", "__row", "__tile")
+    kernel = tiles.make_tiles(features, keys, guarded, floor, same, carried, sure_pairs, counted)
+    if counted:
+        return rows.mapInArrow(kernel, "score double, equal int, n long")
+    types = {c: sides.schema[c].dataType.simpleString() for c in carried}
+    sims = [f"`sim_{f.attribute}` double" for f in spec.features if f.method != "exact"]
+    return rows.mapInArrow(kernel, ", ".join([
+        "uid_1 string", "uid_2 string", "n long", "score double", *sims, "equal int", "differ int",
+        *[f"`{c}_{side}` {types[c]}" for c in carried for side in (1, 2)]]))
+
+
 LEFT, RIGHT, BOTH = 1, 2, 3
 
 
@@ -556,25 +651,24 @@ def compared_pairs(records: DataFrame, wanted: DataFrame, spec: Matching, split_
     cut into tiles, so a pair is scored where it is formed and never moved.
     """
     blocks = F.array_sort(F.array_distinct(F.array_compact(F.array(*[F.expr(b.expr) for b in spec.blocking]))))
-    sides = _prepared(records.select("record_uid", *spec.columns), spec).withColumn("blocks", blocks)
+    sides = _prepared(records.select("record_uid", *spec.columns), spec).withColumns({
+        "uid": F.col("record_uid"), "n": F.lit(1).cast("bigint"), "__blocks": blocks})
     marked = wanted.select("record_uid").distinct().withColumn("is_wanted", F.lit(True))
     asked = materialize(sides.join(marked, "record_uid", "left"), "asked")
-    entry = asked.select("*", F.explode("blocks").alias("block"))
-    groups = (entry.groupBy("block").agg(F.count("*").alias("n"), F.count("is_wanted").alias("asking"))
-              .filter("n > 1 AND asking > 0").select("block", F.ceil(F.col("n") / split_rows).cast("int").alias("__parts")))
-    one, other = _squares(entry.filter("is_wanted").join(groups, "block"), entry.join(groups, "block"), "record_uid", "block")
-    first = F.array_min(F.array_intersect("l.blocks", "r.blocks")) == F.col("l.block")
-    # Two wanted records meet in both orders and are taken in one.
-    once = (F.col("l.record_uid") != F.col("r.record_uid")) & (F.col("r.is_wanted").isNull() | (F.col("l.record_uid") < F.col("r.record_uid")))
-    on = [F.col(f"l.{c}") == F.col(f"r.{c}") for c in ("block", "__row", "__tile")]
-    scored = _scored(one.alias("l").join(other.alias("r"), reduce(lambda a, b: a & b, [*on, first, once])), spec, 0.0)
-    named = F.array_join(F.array_compact(F.array(*[F.when(_both(c)[0] != _both(c)[1], F.lit(c)) for c in spec.conflict_columns])), "+")
-    sure, (a, b) = _is_deterministic(spec), _both("record_uid")
-    return scored.select(
-        F.least(a, b).alias("record_uid_1"), F.greatest(a, b).alias("record_uid_2"),
-        F.when(sure, F.lit(1.0)).otherwise(F.col("score")).alias("score"),
+    found = _tile_pairs(asked, spec, 0.0, split_rows, asked="is_wanted", sure_pairs=True)
+    order = tiles.exact_columns(*_kernel(spec))
+    named = F.array_join(F.array_compact(F.array(*[
+        F.when(F.col("differ").bitwiseAND(1 << order.index(c)) > 0, F.lit(c)) for c in spec.conflict_columns])), "+")
+
+    def holds(key: tuple[str, ...]) -> Column:
+        bits = sum(1 << order.index(c) for c in dict.fromkeys(key))
+        return F.col("equal").bitwiseAND(bits) == bits
+
+    sure = reduce(lambda a, b: a | b, [holds(k) for k in spec.deterministic], F.lit(False))
+    return found.select(
+        F.col("uid_1").alias("record_uid_1"), F.col("uid_2").alias("record_uid_2"), "score",
         F.when(sure, F.lit("deterministic")).otherwise(F.lit("probabilistic")).alias("method"),
-        F.when(sure, F.lit(MATCH)).otherwise(_decided(F.col("score"), _conflict(spec), spec)).alias("decision"), named.alias("conflicts"))
+        F.when(sure, F.lit(MATCH)).otherwise(_decided(F.col("score"), F.col("differ") > 0, spec)).alias("decision"), named.alias("conflicts"))
 
 
 def review_members(pairs: DataFrame, stands: DataFrame) -> DataFrame:

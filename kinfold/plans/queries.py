@@ -753,7 +753,8 @@ def pr_curve(spark, sf_dir):
     are counted from group sizes, so what it adds to the row above are the true pairs that no listed threshold finds."""
     people = valid(spark, sf_dir).withColumn("person", F.nullif(_person(), F.lit("")))
     total = evaluate.open_true_pairs(people, "person", MATCHING)
-    curve = evaluate.precision_recall(_labelled(spark, sf_dir), weight="record_pairs", total=total)
+    counted = linkage.score_counts(people, MATCHING, LEAST_SCORE, "person").withColumnRenamed("is_same", "is_match")
+    curve = evaluate.precision_recall(counted, weight="record_pairs", total=total)
     tagged = [counted.select(F.lit(tag).alias("tag"), counted.columns[0]).toDF("tag", "n") for tag, counted in (
         ("merged", linkage.open_pair_count(people, MATCHING)), ("true", linkage.open_pair_count(people, MATCHING, "person")), ("all", total))]
     count = lambda tag: F.max(F.when(F.col("tag") == tag, F.col("n")))

@@ -267,6 +267,48 @@ def test_compared_pairs_in_tiles(spark, name):
         assert r["score"] == (1.0 if sure else pytest.approx(score, abs=1e-4))
 
 
+@pytest.mark.parametrize("floor,split", [(0.3, 5_000), (0.3, 4), (0.65, 5_000)])
+def test_scores_are_counted_without_pairs(spark, floor, split):
+    """Counts per score and truth equal those of the single pairs, with whole blocks (0.3, in tiles too) and with slots (0.65)."""
+    records, spec = make(7, 110), CONFIGS["shipped"]
+    who = {r["record_uid"]: r["record_uid"][0] if r["record_uid"][1] > "3" else None for r in records}
+    df = frame(spark, records).join(spark.createDataFrame(list(who.items()), "record_uid string, who string"), "record_uid")
+    expected = {}
+    for (a, b), (n, score, _) in profile_pairs(brute(records, spec), records, spec, floor).items():
+        key = {r["record_uid"]: tuple(r[c] for c in spec.columns) for r in records}
+        if key[a] != key[b]:
+            place = (score, who[a] is not None and who[a] == who[b])
+            expected[place] = expected.get(place, 0) + n
+    counted = linkage.score_counts(df, spec, floor, "who", split)
+    assert {(r["score"], r["is_same"]): r["record_pairs"] for r in counted.collect()} == expected
+    assert sum(s for _, s in expected) and len(expected) > 3
+
+
+def test_tiles_of_long_and_odd_texts():
+    """Matrices of texts of one machine word, of several and of none give what the measures give pair by pair, over groups of all sizes."""
+    import pyarrow as pa
+    from kinfold.functions import similarity as sim, tiles
+    rng = random.Random(11)
+    lcs_all, token_set_all = sim._measures()
+    text = lambda: "".join(rng.choice("abc é\U0001F600") for _ in range(rng.choice([0, 1, 7, 8, 9, 16, 17, 33, 64, 65, 140])))
+    groups = [[(f"{g}-{i}", " ".join(sorted(text().split())) if rng.random() < 0.9 else None, " ".join(dict.fromkeys(text().split())))
+               for i in range(n)] for g, n in enumerate((2, 1, 30, 150, 3, 40, 100))]
+    rows = [(u, a, b, f"{g}") for g, members in enumerate(groups) for u, a, b in members]
+    same = len(rows)
+    table = pa.table({
+        "uid": [r[0] for r in rows], "n": pa.array([1] * same, pa.int64()), "__blocks": [[r[3]] for r in rows], "__block": [r[3] for r in rows],
+        "__a": [r[1] for r in rows], "__b": [r[2] for r in rows], "__row": [0] * same, "__tile": [0] * same, "__side": [tiles.BOTH] * same,
+        "__once": [True] * same})
+    kernel = tiles.make_tiles([("a", "token_sort_ratio", 0.6), ("b", "token_set_ratio", 0.4)], [], (), 0.0)
+    found = {(r["uid_1"], r["uid_2"]): (r["sim_a"], r["sim_b"]) for out in kernel(iter(table.to_batches(max_chunksize=37))) for r in out.to_pylist()}
+    expected = {}
+    for members in groups:
+        for (u, a, b), (v, c, d) in itertools.combinations(members, 2):
+            first = 0.0 if a is None or c is None else 1.0 if not a and not c else 2.0 * lcs_all([a], [c])[0] / (len(a) + len(c))
+            expected[tuple(sorted((u, v)))] = (first, token_set_all([b], [d])[0])
+    assert found == expected
+
+
 def test_pair_features_carry_columns(spark):
     """Both records of a pair bring their own columns, so nothing is joined back to the pairs."""
     records = make(6, 60)
