@@ -284,6 +284,21 @@ def test_scores_are_counted_without_pairs(spark, floor, split):
     assert sum(s for _, s in expected) and len(expected) > 3
 
 
+def test_compared_pairs_leave_their_tile_scored(spark):
+    """No row is made per pair before it is scored; the columns that differ are named in the order of the spec."""
+    records, spec = make(9, 80), CONFIGS["shipped"]
+    df = frame(spark, records)
+    by_uid = {r["record_uid"]: r for r in records}
+    found = linkage.compared_pairs(df, df.limit(40), spec, split_rows=6)
+    plan = found._jdf.queryExecution().optimizedPlan().toString()
+    assert "MapInArrow" in plan and "__tile" not in "".join(line for line in plan.splitlines() if "Join" in line)
+    rows = found.collect()
+    for r in rows:
+        a, b = by_uid[r["record_uid_1"]], by_uid[r["record_uid_2"]]
+        assert r["conflicts"] == "+".join(c for c in spec.conflict_columns if a[c] is not None and b[c] is not None and a[c] != b[c])
+    assert len({r["conflicts"] for r in rows}) == 4
+
+
 def test_tiles_of_long_and_odd_texts():
     """Matrices of texts of one machine word, of several and of none give what the measures give pair by pair, over groups of all sizes."""
     import pyarrow as pa
