@@ -284,6 +284,43 @@ def test_scores_are_counted_without_pairs(spark, floor, split):
     assert sum(s for _, s in expected) and len(expected) > 3
 
 
+@pytest.mark.parametrize("floor,split", [(0.3, 5_000), (0.3, 4), (0.65, 5_000)])
+def test_features_are_counted_without_pairs(spark, floor, split):
+    """Similarities are counted as the listed pairs have them, less a fifth by hash of the pair, for uids of any length."""
+    records, spec = make(8, 110), CONFIGS["shipped"]
+    for i, r in enumerate(records):
+        r["record_uid"] = (r["record_uid"] * 4)[:1 + i % 77] + f"é{i}"
+    df = frame(spark, records).withColumn("who", F.when(F.col("phone") > "8500000000", F.substring("record_uid", 1, 1)))
+    sims = [f"sim_{f.attribute}" for f in spec.features]
+    pairs = linkage.pair_features(df, spec, floor, same="who").withColumn("fold", F.pmod(F.xxhash64("record_uid_1", "record_uid_2"), F.lit(5)))
+    carried = linkage.pair_features(df, spec, floor, carried=("who",)).filter("who_1 = who_2").count()
+    listed = pairs.collect()
+    assert carried == sum(r["is_same"] for r in listed) > 0 and len({r["fold"] for r in listed}) == 5
+    expected = {}
+    for r in listed:
+        if r["fold"] != 0:
+            place = (*[r[s] for s in sims], r["is_same"])
+            expected[place] = expected.get(place, 0) + 1
+    counted = linkage.feature_counts(df, spec, floor, "who", (5, 0), split).collect()
+    assert {(*[r[s] for s in sims], r["is_same"]): r["pairs"] for r in counted} == expected
+
+
+def test_scorer_is_applied_as_one_expression(spark):
+    """The fitted model gives each pair the probability that the pipeline gives it, without vectors per pair."""
+    from pyspark.ml.functions import vector_to_array
+    from kinfold.operators import evaluate
+    rng, spec = random.Random(4), CONFIGS["shipped"]
+    sims = [f"sim_{f.attribute}" for f in spec.features]
+    rows = [(*k, k[0] + rng.random() > 0.9, rng.randrange(1, 9)) for k in ([rng.choice([0.0, 0.3, 1.0]) for _ in sims] for _ in range(200))]
+    data = spark.createDataFrame(rows, ", ".join(f"{s} double" for s in sims) + ", is_match boolean, pairs bigint")
+    model = evaluate.train_scorer(data, spec, weight="pairs")
+    scored = evaluate.apply_scorer(model, data)
+    assert "UDF" not in scored._jdf.queryExecution().optimizedPlan().toString()
+    expected = {tuple(r[s] for s in sims): r["p"] for r in model.transform(data).withColumn("p", vector_to_array("probability")[1]).collect()}
+    for r in scored.collect():
+        assert r["match_probability"] == pytest.approx(expected[tuple(r[s] for s in sims)], abs=1e-12)
+
+
 def test_compared_pairs_leave_their_tile_scored(spark):
     """No row is made per pair before it is scored; the columns that differ are named in the order of the spec."""
     records, spec = make(9, 80), CONFIGS["shipped"]
