@@ -336,6 +336,22 @@ def test_compared_pairs_leave_their_tile_scored(spark):
     assert len({r["conflicts"] for r in rows}) == 4
 
 
+@pytest.mark.parametrize("name", ["shipped", "no deterministic key in the blocks", "exact features carry the score"])
+def test_large_groups_meet_as_matrices(spark, name, monkeypatch):
+    """Groups above the limit leave their tiles scored, smaller ones a join; every pair comes once."""
+    monkeypatch.setattr(linkage, "TILE_ROWS", 6)
+    monkeypatch.setattr(linkage, "RECURRING_ROWS", 30)
+    records, spec = make(10, 130), CONFIGS[name]
+    made, given = [], linkage._slot_pairs
+    monkeypatch.setattr(linkage, "_slot_pairs", lambda *a: made.append(a[1].count()) or given(*a))
+    truth = profile_pairs(brute(records, spec), records, spec, spec.review)
+    for split in (5_000, 3):
+        rows = linkage.fuzzy_pairs(frame(spark, records), spec, None, split).collect()
+        assert {(r["record_uid_1"], r["record_uid_2"]): (r["record_pairs"], r["score"], r["decision"]) for r in rows} == truth
+        assert len(rows) == len(truth)
+    assert len(made) == 2 and all(made)
+
+
 def test_tiles_of_long_and_odd_texts():
     """Matrices of texts of one machine word, of several and of none give what the measures give pair by pair, over groups of all sizes."""
     import pyarrow as pa
